@@ -41,12 +41,12 @@ def words_of(text: Column) -> Column:
 def repeat_words(words: Column, hashes: Column) -> Column:
     """Words that lie in 3-word windows found more than once; ``hashes`` has the windows' hashes in order."""
     n = F.size(hashes)
-    ordered = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    ordered = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
     def starts(s: Column) -> Column:
         same = lambda a, b: F.get(s, a)["h"] == F.get(s, b)["h"]
         found = F.transform(s, lambda e, j: F.when(F.coalesce(same(j, j - 1), F.lit(False)) | F.coalesce(same(j, j + 1), F.lit(False)), e["i"]))
-        return F.array_sort(F.filter(found, lambda x: x.isNotNull()))
+        return F.sort_array(F.filter(found, lambda x: x.isNotNull()))
 
     def covered(at: Column) -> Column:
         steps = F.transform(at, lambda p, j: F.least(F.lit(3), F.coalesce(F.get(at, j + 1) - p, F.lit(3))))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.llm import matroska, packing, quality_rules
+from tallyproof.llm import cotraining, matroska, packing, piece_sampling, quality_rules, string_kernel
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,16 +25,31 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.encode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), digest=True)
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotraining.score(docs, cotraining.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = string_kernel.predict(docs, string_kernel.fit(docs, ~string_kernel.held_out()))
+    return found.select("doc_id", string_kernel.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op10_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.media_columns(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_quality_rules, op7_packing, op10_matroska)
+    f.__name__: f for f in (op4_quality_rules, op5_sentencepiece, op6_quality_classifier, op7_packing, op9_language_id, op10_matroska)
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"
