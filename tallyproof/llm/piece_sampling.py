@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -71,69 +70,95 @@ class Lattices:
                 self.text[i] = s.replace(MARK, " ").encode()
                 self.piece[s] = (i, (rank + 10.0) ** -alpha)
                 rank += 1
-        self.prefixes = {s[:k] for s in self.piece for k in range(1, len(s) + 1)}
+        self.grow_trie()
         self.raw_weight = (n + 10.0) ** -alpha
         self.first_byte = [self.bytes_at[b] for b in range(256)]
         self.clear()
 
+    def grow_trie(self) -> None:
+        """The pieces as a trie in arrays: sorted (node, character) keys, the node each leads to, and nodes' pieces."""
+        nodes: dict[str, int] = {"": 0}
+        for s in self.piece:
+            for k in range(1, len(s) + 1):
+                nodes.setdefault(s[:k], len(nodes))
+        keys = np.array([nodes[s[:-1]] << 21 | ord(s[-1]) for s in nodes if s], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.leads = keys[order], np.array([i for s, i in nodes.items() if s], np.int64)[order]
+        self.node_piece, self.node_log = np.full(len(nodes), -1, np.int64), np.zeros(len(nodes))
+        for s, (i, w) in self.piece.items():
+            self.node_piece[nodes[s]], self.node_log[nodes[s]] = i, np.log(w)
+
     def clear(self) -> None:
         self.at: dict[str, int] = {}  # word -> its place 0
-        self.cum, self.step, self.ident = array("d"), array("i"), array("i")
+        self.cum, self.step, self.ident = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32)
         self.places = 0
 
-    def learn(self, word: str) -> None:
-        """Forward pass over one word: the weight of all segmentations up to each place, and the edges that end there."""
-        n, base = len(word), self.places
-        alpha = [1.0] + [0.0] * n
-        ends: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
-        piece, prefixes = self.piece, self.prefixes
-        for s in range(n):
-            here = alpha[s]
-            if here < 1e-150 and s:  # only ratios matter: lift everything that later places can still see
-                for k in range(s, min(n, s + 64) + 1):
-                    alpha[k] *= 1e150
-                    ends[k] = [(i, d, w * 1e150) for i, d, w in ends[k]]
-                here = alpha[s]
-            alone = True
-            for e in range(s + 1, n + 1):
-                part = word[s:e]
-                if part not in prefixes:
-                    break
-                found = piece.get(part)
-                if found:
-                    alone = alone and e > s + 1
-                    w = here * found[1]
-                    alpha[e] += w
-                    ends[e].append((found[0], e - s, w))
-            if alone:
-                w = here * self.raw_weight
-                alpha[s + 1] += w
-                ends[s + 1].append((_RAW | ord(word[s]), 1, w))
-        self.at[word] = base
-        for e in range(1, n + 1):
-            total, upto = alpha[e], 0.0
-            edges = ends[e]
-            for i, d, w in edges[:-1]:
-                upto += w / total
-                self.cum.append(base + e + min(upto, 1.0))
-                self.step.append(d)
-                self.ident.append(i)
-            i, d, _ = edges[-1]
-            self.cum.append(base + e + 1.0)
-            self.step.append(d)
-            self.ident.append(i)
-        self.places += n + 1
+    def learn(self, words: list[str]) -> None:
+        """Forward pass over words: at each place, the edges that end there and their cumulated shares of its weight."""
+        if not words:
+            return
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        begin = np.cumsum(size) - size
+        chars = np.frombuffer("\0".join([*words, ""]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        within = np.arange(len(chars)) - np.repeat(begin, size)
+        real = within < np.repeat(size - 1, size)
+        start = np.flatnonzero(real)
+        node = np.zeros(len(start), np.int64)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        length = 0
+        while len(start):
+            here = start + length
+            length += 1
+            key = node << 21 | chars[here]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = (self.keys[at] == key) & real[here]
+            if length == 1:
+                lone = np.where(hit, self.node_piece[self.leads[at]], -1) < 0
+                raw = start[lone]
+                found.append((raw, np.full(len(raw), 1), _RAW | chars[raw], np.full(len(raw), np.log(self.raw_weight))))
+            start, node = start[hit], self.leads[at[hit]]
+            ends = self.node_piece[node] >= 0
+            n = int(ends.sum())
+            found.append((start[ends], np.full(n, length), self.node_piece[node[ends]], self.node_log[node[ends]]))
+        begins, steps, ids, logs = (np.concatenate(x) for x in zip(*found))
+        stop = begins + steps
+        order = np.lexsort((steps, stop, within[stop]))  # all words' first places, then all their second places, ...
+        begins, steps, ids, logs, stop = begins[order], steps[order], ids[order], logs[order], stop[order]
+        weight, share = np.zeros(len(chars)), np.empty(len(stop))
+        depth = within[stop]
+        bounds = np.flatnonzero(np.diff(depth, prepend=-1, append=np.iinfo(np.int64).max))
+        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            w, s = weight[begins[lo:hi]] + logs[lo:hi], stop[lo:hi]
+            first = np.flatnonzero(np.diff(s, prepend=-1))
+            many = np.diff(first, append=len(s))
+            top = np.maximum.reduceat(w, first)
+            sums = np.add.reduceat(np.exp(w - np.repeat(top, many)), first)
+            weight[s[first]] = top + np.log(sums)
+            share[lo:hi] = np.exp(w - np.repeat(weight[s[first]], many))
+        order = np.argsort(stop, kind="stable")
+        stop, share = stop[order], share[order]
+        upto = np.cumsum(share)
+        first = np.flatnonzero(np.diff(stop, prepend=-1))
+        many = np.diff(first, append=len(stop))
+        upto -= np.repeat(upto[first] - share[first], many)
+        upto = np.clip(upto, 0.0, 1.0)
+        upto[first + many - 1] = 1.0
+        self.cum = np.concatenate([self.cum, self.places + stop + upto])
+        self.step = np.concatenate([self.step, steps[order].astype(np.int32)])
+        self.ident = np.concatenate([self.ident, ids[order].astype(np.int32)])
+        self.at.update(zip(words, (self.places + begin).tolist()))
+        self.places += len(chars)
 
     def sample(self, words: list[str], starts: np.ndarray, seeds: np.ndarray, total: int, offsets: np.ndarray) -> np.ndarray:
         """Ids by global place: words begin at ``starts``; ``seeds`` and in-text ``offsets`` per word; 0 is no id (shifted by one)."""
         place = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
         left = np.fromiter(map(len, words), np.int64, len(words))
-        cum, step, ident = np.array(self.cum), np.array(self.step), np.array(self.ident)
+        cum, step, ident = self.cum, self.step, self.ident
         out = np.zeros(total + 1, np.int32)
         live = np.flatnonzero(left)
         place, left, starts, seeds, offsets = place[live], left[live], starts[live], seeds[live], offsets[live]
         while len(left):
-            u = (mixed(seeds + (offsets + left).astype(np.uint64) * _GOLD) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+            u = (mixed(seeds + (offsets + left).astype(np.uint64) * _GOLD) >> np.uint64(38)).astype(np.float64) * 2.0**-26  # coarse, so that adding a place never rounds it up to 1
             edge = np.searchsorted(cum, place + left + u, side="right")
             out[starts + left] = ident[edge] + 1
             left = left - step[edge]
@@ -174,8 +199,7 @@ class Lattices:
         if len(self.at) + len(new) > UNITS_KEPT and self.at:
             self.clear()
             new = set(words)
-        for w in new:
-            self.learn(w)
+        self.learn(sorted(new))
         counts = np.array([len(x) for x in units], np.int64)
         size = np.fromiter(map(len, words), np.int64, len(words))
         begin = np.cumsum(size) - size
