@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.llm import cotraining, matroska, packing, piece_sampling, quality_rules, string_kernel, style_tree
+from tallyproof.llm import cotraining, matroska, packing, partenum, piece_sampling, quality_rules, string_kernel, style_tree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style_tree.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.join(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -53,7 +57,7 @@ def op10_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op4_quality_rules, op5_sentencepiece, op6_quality_classifier, op7_packing, op9_language_id, op10_matroska)
+    f.__name__: f for f in (op1_html_extraction, op2_ngram_jaccard_join, op4_quality_rules, op5_sentencepiece, op6_quality_classifier, op7_packing, op9_language_id, op10_matroska)
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,3 +16,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyproof-"))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder and read back, columns still prunable."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        named = context.getConf().get("spark.checkpoint.dir")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyproof-"))
+    path = f"{context._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
