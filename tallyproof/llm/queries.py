@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.llm import cotraining, matroska, packing, partenum, piece_sampling, quality_rules, string_kernel, style_tree
+from tallyproof.llm import cotraining, line_dedup, matroska, packing, partenum, piece_sampling, quality_rules, string_kernel, style_tree, suffix_groups
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.join(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -46,6 +50,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_groups.dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = string_kernel.predict(docs, string_kernel.fit(docs, ~string_kernel.held_out()))
@@ -57,13 +65,39 @@ def op10_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_ngram_jaccard_join, op4_quality_rules, op5_sentencepiece, op6_quality_classifier, op7_packing, op9_language_id, op10_matroska)
+    f.__name__: f
+    for f in (
+        op1_html_extraction,
+        op2_ngram_jaccard_join,
+        op3_substring_dedup,
+        op4_quality_rules,
+        op5_sentencepiece,
+        op6_quality_classifier,
+        op7_packing,
+        op8_suffix_array_dedup,
+        op9_language_id,
+        op10_matroska,
+    )
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
 
 SQL: dict[str, str] = {
+    "op3_substring_dedup": rf"""
+with u as (
+  select doc_id, coalesce(text, '') x, unnest(string_split(coalesce(text, ''), chr(10))) l,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) i
+  from documents),
+r as (
+  select *, regexp_matches(l, '[^\x20\x09-\x0D]') word,
+         row_number() over (partition by lower(trim(regexp_replace(l, '{_SPACES}', ' ', 'g'))) order by doc_id, i) rn
+  from u)
+select doc_id, (count(*) filter (word))::bigint n_units, (count(*) filter (word and rn > 1))::bigint n_removed,
+       coalesce(sum(length(l)) filter (word and rn > 1), 0)::bigint removed_chars,
+       sha256(coalesce(string_agg(l, chr(10) order by i) filter (not word or rn = 1), '')) kept_sha256
+from r group by doc_id
+""",
     "op4_quality_rules": rf"""
 with t as (
   select doc_id, coalesce(text, '') x,
