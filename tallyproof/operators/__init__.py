@@ -1,0 +1 @@
+"""Operators of the engine, each lazily composed from DataFrames and columns."""

@@ -1,0 +1 @@
+"""Plans of the engine, each lazily composed from DataFrames and columns."""

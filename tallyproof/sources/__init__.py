@@ -1,0 +1 @@
+"""Sources of the engine, each lazily composed from DataFrames and columns."""

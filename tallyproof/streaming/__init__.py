@@ -1,0 +1 @@
+"""Streaming of the engine, each lazily composed from DataFrames and columns."""
