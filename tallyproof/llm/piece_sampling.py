@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 MARK = "▁"
-UNITS_KEPT = 150_000
+UNITS_KEPT = 300_000
 _STAND_IN = "\ud800"
 _RAW = 1 << 21  # ids from here on stand for a character written as bytes
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -76,27 +76,49 @@ class Lattices:
         self.clear()
 
     def grow_trie(self) -> None:
-        """The pieces as a trie in arrays: sorted (node, character) keys, the node each leads to, and nodes' pieces."""
+        """The pieces as a trie in arrays: a hash table from (node, character) to the next node, and nodes' pieces."""
         nodes: dict[str, int] = {"": 0}
         for s in self.piece:
             for k in range(1, len(s) + 1):
                 nodes.setdefault(s[:k], len(nodes))
         keys = np.array([nodes[s[:-1]] << 21 | ord(s[-1]) for s in nodes if s], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.leads = keys[order], np.array([i for s, i in nodes.items() if s], np.int64)[order]
+        self.slots = np.full(1 << _SLOT_BITS, -1, np.int64)
+        self.leads = np.zeros(1 << _SLOT_BITS, np.int64)
+        for key, lead, at in zip(keys.tolist(), (i for s, i in nodes.items() if s), _slot(keys).tolist()):
+            while self.slots[at] >= 0:
+                at = at + 1 & (1 << _SLOT_BITS) - 1
+            self.slots[at], self.leads[at] = key, lead
         self.node_piece, self.node_log = np.full(len(nodes), -1, np.int64), np.zeros(len(nodes))
         for s, (i, w) in self.piece.items():
             self.node_piece[nodes[s]], self.node_log[nodes[s]] = i, np.log(w)
 
+    def child(self, key: np.ndarray) -> np.ndarray:
+        """The node that each (node, character) key leads to, or -1."""
+        at = _slot(key)
+        found = self.slots[at]
+        out = np.where(found == key, self.leads[at], -1)
+        probe = np.flatnonzero((found != key) & (found >= 0))
+        while len(probe):
+            at[probe] = at[probe] + 1 & (1 << _SLOT_BITS) - 1
+            found = self.slots[at[probe]]
+            same = found == key[probe]
+            out[probe[same]] = self.leads[at[probe[same]]]
+            probe = probe[~same & (found >= 0)]
+        return out
+
     def clear(self) -> None:
         self.at: dict[str, int] = {}  # word -> its place 0
         self.cum, self.step, self.ident = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32)
-        self.places = 0
+        self.edge, self.size = np.empty(0, np.int64), np.empty(0, np.int32)  # by place: its first edge; its word's length
+
+    def learn(self, names: list[str]) -> None:
+        """Forward pass over words: at each place, the edges that end there and their cumulated shares of its weight.
 
-    def learn(self, words: list[str]) -> None:
-        """Forward pass over words: at each place, the edges that end there and their cumulated shares of its weight."""
-        if not words:
+        A name that starts with neither mark nor line feed is a word after one space.
+        """
+        if not names:
             return
+        words = [w if w[0] == "\n" or w[0] == MARK else MARK + w for w in names]
         size = np.fromiter(map(len, words), np.int64, len(words)) + 1
         begin = np.cumsum(size) - size
         chars = np.frombuffer("\0".join([*words, ""]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -110,19 +132,19 @@ class Lattices:
             here = start + length
             length += 1
             key = node << 21 | chars[here]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = (self.keys[at] == key) & real[here]
+            lead = self.child(key)
+            hit = (lead >= 0) & real[here]
             if length == 1:
-                lone = np.where(hit, self.node_piece[self.leads[at]], -1) < 0
+                lone = np.where(hit, self.node_piece[lead], -1) < 0
                 raw = start[lone]
                 found.append((raw, np.full(len(raw), 1), _RAW | chars[raw], np.full(len(raw), np.log(self.raw_weight))))
-            start, node = start[hit], self.leads[at[hit]]
+            start, node = start[hit], lead[hit]
             ends = self.node_piece[node] >= 0
             n = int(ends.sum())
             found.append((start[ends], np.full(n, length), self.node_piece[node[ends]], self.node_log[node[ends]]))
         begins, steps, ids, logs = (np.concatenate(x) for x in zip(*found))
         stop = begins + steps
-        order = np.lexsort((steps, stop, within[stop]))  # all words' first places, then all their second places, ...
+        order = np.argsort(within[stop] * len(chars) + stop, kind="stable")  # all words' first places, then all their second places, ...
         begins, steps, ids, logs, stop = begins[order], steps[order], ids[order], logs[order], stop[order]
         weight, share = np.zeros(len(chars)), np.empty(len(stop))
         depth = within[stop]
@@ -135,33 +157,36 @@ class Lattices:
             sums = np.add.reduceat(np.exp(w - np.repeat(top, many)), first)
             weight[s[first]] = top + np.log(sums)
             share[lo:hi] = np.exp(w - np.repeat(weight[s[first]], many))
-        order = np.argsort(stop, kind="stable")
+        order = np.argsort(stop - 0.999 * share, kind="stable")  # the likeliest edge of a place first
         stop, share = stop[order], share[order]
         upto = np.cumsum(share)
         first = np.flatnonzero(np.diff(stop, prepend=-1))
         many = np.diff(first, append=len(stop))
         upto -= np.repeat(upto[first] - share[first], many)
-        upto = np.clip(upto, 0.0, 1.0)
-        upto[first + many - 1] = 1.0
-        self.cum = np.concatenate([self.cum, self.places + stop + upto])
+        upto[first + many - 1] = 2.0  # the last edge takes what is left
+        edge = np.zeros(len(chars), np.int64)
+        edge[stop[first]] = first + len(self.cum)
+        at = len(self.edge) + begin
+        self.edge = np.concatenate([self.edge, edge])
+        self.size = np.concatenate([self.size, np.repeat(size - 1, size).astype(np.int32)])
+        self.cum = np.concatenate([self.cum, upto])
         self.step = np.concatenate([self.step, steps[order].astype(np.int32)])
         self.ident = np.concatenate([self.ident, ids[order].astype(np.int32)])
-        self.at.update(zip(words, (self.places + begin).tolist()))
-        self.places += len(chars)
+        self.at.update(zip(names, at.tolist()))
 
-    def sample(self, words: list[str], starts: np.ndarray, seeds: np.ndarray, total: int, offsets: np.ndarray) -> np.ndarray:
-        """Ids by global place: words begin at ``starts``; ``seeds`` and in-text ``offsets`` per word; 0 is no id (shifted by one)."""
-        place = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
-        left = np.fromiter(map(len, words), np.int64, len(words))
-        cum, step, ident = self.cum, self.step, self.ident
+    def sample(self, place: np.ndarray, starts: np.ndarray, seeds: np.ndarray, total: int, offsets: np.ndarray) -> np.ndarray:
+        """Ids by global place, shifted by one: words at ``place`` begin at ``starts``; 0 is no id."""
+        left = self.size[place].astype(np.int64)
         out = np.zeros(total + 1, np.int32)
-        live = np.flatnonzero(left)
-        place, left, starts, seeds, offsets = place[live], left[live], starts[live], seeds[live], offsets[live]
         while len(left):
-            u = (mixed(seeds + (offsets + left).astype(np.uint64) * _GOLD) >> np.uint64(38)).astype(np.float64) * 2.0**-26  # coarse, so that adding a place never rounds it up to 1
-            edge = np.searchsorted(cum, place + left + u, side="right")
-            out[starts + left] = ident[edge] + 1
-            left = left - step[edge]
+            u = (mixed(seeds + (offsets + left).astype(np.uint64) * _GOLD) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+            edge = self.edge[place + left]
+            more = np.flatnonzero(u >= self.cum[edge])
+            while len(more):
+                edge[more] += 1
+                more = more[u[more] >= self.cum[edge[more]]]
+            out[starts + left] = self.ident[edge] + 1
+            left = left - self.step[edge]
             going = left > 0
             if not going.all():
                 place, left, starts, seeds, offsets = place[going], left[going], starts[going], seeds[going], offsets[going]
@@ -181,7 +206,7 @@ class Lattices:
                 continue
             parts = (t.replace(MARK, _STAND_IN) if MARK in t else t).replace("\n", " \n").split(" ")
             if "" not in parts:
-                units.append([w if w[0] == "\n" else MARK + w for w in parts])
+                units.append(parts)
                 continue
             found, run = [], ""  # runs of spaces stay before the word that they lead to
             for w in parts:
@@ -191,7 +216,7 @@ class Lattices:
                 else:
                     run += MARK
                     if w:
-                        found.append(run + w)
+                        found.append(run + w if len(run) > 1 else w)
                         run = ""
             units.append(found + [run] if run else found)
         words = list(chain.from_iterable(units))
@@ -199,15 +224,16 @@ class Lattices:
         if len(self.at) + len(new) > UNITS_KEPT and self.at:
             self.clear()
             new = set(words)
-        self.learn(sorted(new))
+        self.learn(list(new))
         counts = np.array([len(x) for x in units], np.int64)
-        size = np.fromiter(map(len, words), np.int64, len(words))
+        place = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        size = self.size[place].astype(np.int64)
         begin = np.cumsum(size) - size
         doc_begin = np.concatenate([begin, [size.sum()]])[np.concatenate([[0], np.cumsum(counts)])]
         base = np.array([row_seed(k, seed) for k in keys], np.uint64)
         with np.errstate(over="ignore"):
             base = mixed(base)
-            out = self.sample(words, begin, np.repeat(base, counts), int(size.sum()), begin - np.repeat(doc_begin[:-1], counts))
+            out = self.sample(place, begin, np.repeat(base, counts), int(size.sum()), begin - np.repeat(doc_begin[:-1], counts))
         return [self.spelled(out[a + 1 : b + 1]) for a, b in zip(doc_begin[:-1], doc_begin[1:])]
 
     def spelled(self, ids: np.ndarray) -> np.ndarray:
@@ -229,6 +255,14 @@ class Lattices:
         return body[1:].decode("utf-8", "surrogatepass")
 
 
+_SLOT_BITS = 19
+
+
+def _slot(key: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
 _MODELS: dict[tuple[str, float], Lattices] = {}
 
 
