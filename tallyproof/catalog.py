@@ -1,4 +1,597 @@
-"""Registered queries over the test tables and the SQL that checks them."""
+"""Registered queries over the test tables and the SQL that checks them.
 
-QUERIES: dict = {}
+Each query applies one operator of the library to whole tables.  Money columns
+are binary floats in the test tables; they are cast to exact decimals first.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tallyproof.functions import money as M
+from tallyproof.functions import privacy as P
+from tallyproof.functions import text as X
+from tallyproof.functions import timestamps as T
+from tallyproof.operators import assertions, controls, graphs, ledger, medallion, profile, reconcile, referee, search
+from tallyproof.sources import files
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+CHECK_KEY = b"a key for checks only"
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its SQL if there is any."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as payment rows of ten batches."""
+    return t(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("B"), F.lpad((F.col("l_orderkey") % 10).cast("string"), 15, "0")).alias("batch_id"),
+        F.col("l_orderkey"), F.col("l_linenumber"), M.money("l_extendedprice").alias("amount_brl"), F.col("l_returnflag").alias("code"),
+    )
+
+
+_LINES = """lines as (select 'B' || lpad(cast(l_orderkey % 10 as varchar), 15, '0') batch_id, l_orderkey, l_linenumber,
+  cast(l_extendedprice as decimal(18,2)) amount_brl, l_returnflag code from lineitem)"""
+
+
+def declared_control(lines: DataFrame) -> DataFrame:
+    """What the batches declare; the declaration of one batch is off by a cent."""
+    sums = lines.groupBy("batch_id").agg(F.count(F.lit(1)).alias("source_count"), F.sum("amount_brl").cast("decimal(18,2)").alias("s"))
+    off = F.when(F.col("batch_id") == "B000000000000003", F.lit("0.01")).otherwise(F.lit("0.00")).cast("decimal(18,2)")
+    return sums.select("batch_id", F.lit("BRL").alias("currency"), "source_count", (F.col("s") + off).cast("decimal(18,2)").alias("source_net_amount"))
+
+
+@query(f"""with {_LINES},
+s as (select batch_id, count(*) n, cast(sum(amount_brl) as decimal(18,2)) a from lines group by 1)
+select batch_id, 'BRL' currency, n source_count, cast(a + case when batch_id = 'B000000000000003' then 0.01 else 0.00 end as decimal(18,2)) source_net_amount,
+  n staged_count, a staged_net_amount, n applied_count, a applied_net_amount, cast(0 as bigint) count_delta,
+  cast(case when batch_id = 'B000000000000003' then -0.01 else 0.00 end as decimal(18,2)) net_amount_delta, 0 reject_count,
+  case when batch_id = 'B000000000000003' then 'MISMATCHED' else 'MATCHED' end status from s""")
+def gold_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = bronze_lines(spark, sf_dir)
+    silver = lines.withColumn("label", medallion.label(F.col("code"), {"A": "ACCEPTED", "N": "NONE", "R": "RETURNED"}))
+    return medallion.reconcile(declared_control(lines), lines, silver, {"net_amount": "amount_brl"})
+
+
+@query("""select user_id % 20 as grp, count(*) filter (event_type = 'purchase') credit_count,
+  cast(coalesce(sum(cast(value as decimal(18,2))) filter (event_type = 'purchase'), 0) as decimal(38,2)) credit_amount,
+  count(*) filter (event_type = 'error') debit_count, cast(coalesce(sum(abs(cast(value as decimal(18,2)))) filter (event_type = 'error'), 0) as decimal(38,2)) debit_amount
+from events group by 1""")
+def gold_filtered_totals(spark, sf_dir):
+    rows = t(spark, sf_dir, "events").withColumn("grp", F.col("user_id") % 20)
+    return controls.filtered_totals(rows, "grp", M.money("value"), F.col("event_type") == "purchase", F.col("event_type") == "error")
+
+
+@query(f"""with {_LINES} select batch_id, cast(sum(case when code = 'R' then 1 else 0 end) as bigint) returned_count,
+  cast(sum(case when code = 'R' then amount_brl else 0 end) as decimal(38,2)) returned_amount, cast(sum(case when code <> 'R' then amount_brl else 0 end) as decimal(38,2)) kept_amount from lines group by 1""")
+def gold_conditional_split(spark, sf_dir):
+    back = F.col("code") == "R"
+    zero = F.lit(0).cast("decimal(18,2)")
+    return bronze_lines(spark, sf_dir).groupBy("batch_id").agg(F.sum(F.when(back, 1).otherwise(0)).alias("returned_count"), F.sum(F.when(back, F.col("amount_brl")).otherwise(zero)).cast("decimal(38,2)").alias("returned_amount"), F.sum(F.when(~back, F.col("amount_brl")).otherwise(zero)).cast("decimal(38,2)").alias("kept_amount"))
+
+
+@query(f"""with {_LINES} select batch_id, cast(grouping(batch_id) as integer) "level", count(*) row_count, cast(sum(amount_brl) as decimal(38,2)) sum_amount from lines group by rollup(batch_id)""")
+def two_level_totals(spark, sf_dir):
+    return controls.two_levels(bronze_lines(spark, sf_dir), "batch_id", F.col("amount_brl"))
+
+
+@query("""select count(*) row_count, count(*) filter (l_extendedprice is null) invalid_count, cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(38,2)) sum_amount,
+  min(cast(l_extendedprice as decimal(18,2))) min_amount, max(cast(l_extendedprice as decimal(18,2))) max_amount from lineitem""")
+def five_controls(spark, sf_dir):
+    return controls.five_controls(t(spark, sf_dir, "lineitem"), M.money("l_extendedprice"))
+
+
+@query("""select trim(l_returnflag) code, cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(38,2)) sum_amount from lineitem where l_extendedprice is not null group by 1 having trim(l_returnflag) <> ''""")
+def totals_by_code(spark, sf_dir):
+    return controls.totals_by_code(t(spark, sf_dir, "lineitem"), F.col("l_returnflag"), M.money("l_extendedprice"))
+
+
+@query("""select '{"row_count":' || count(*) || ',"invalid_count":0,"sum_amount":"' || cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(38,2)) || '","min_amount":"' || min(cast(l_extendedprice as decimal(18,2))) || '","max_amount":"' || max(cast(l_extendedprice as decimal(18,2)))
+  || '","totals_by_code":{' || (select string_agg('"' || c || '":"' || s || '"', ',' order by c) from (select trim(l_returnflag) c, cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(38,2)) s from lineitem group by 1)) || '}}' envelope from lineitem""")
+def control_envelope(spark, sf_dir):
+    return controls.envelope(controls.controls_and_codes(t(spark, sf_dir, "lineitem"), F.col("l_returnflag"), M.money("l_extendedprice")))
+
+
+_ALTERED = "cast(case when l_orderkey % 1000 = 7 and l_linenumber = 1 then amount_brl + 0.01 else amount_brl end as decimal(18,2))"
+
+
+def altered(lines: DataFrame) -> DataFrame:
+    wrong = (F.col("l_orderkey") % 1000 == 7) & (F.col("l_linenumber") == 1)
+    return lines.withColumn("amount_brl", F.when(wrong, F.col("amount_brl") + F.lit("0.01").cast("decimal(18,2)")).otherwise(F.col("amount_brl")).cast("decimal(18,2)"))
+
+
+@query(f"""with {_LINES}, a as (select batch_id, count(*) n, cast(sum(amount_brl) as decimal(38,2)) s from lines group by 1),
+b as (select batch_id, count(*) n, cast(sum({_ALTERED}) as decimal(38,2)) s from lines where l_orderkey % 10 <> 9 group by 1)
+select batch_id, a.n bronze_count, a.s bronze_amount_brl, b.n silver_count, b.s silver_amount_brl from a full join b using (batch_id) where a.n is distinct from b.n or a.s is distinct from b.s""")
+def conserves_totals(spark, sf_dir):
+    lines = bronze_lines(spark, sf_dir)
+    return medallion.conserves_totals(lines, altered(lines).filter("l_orderkey % 10 <> 9"), "batch_id", ["amount_brl"])
+
+
+@query(f"""with {_LINES}, b as (select l_orderkey, l_linenumber, {_ALTERED} amount_brl from lines where l_orderkey % 500 <> 3), a as (select l_orderkey, l_linenumber, amount_brl from lines)
+select *, 'left' side from (select * from a except select * from b) union all select *, 'right' side from (select * from b except select * from a)""")
+def symmetric_difference(spark, sf_dir):
+    a = bronze_lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "amount_brl")
+    return reconcile.symmetric_difference(a, altered(a).filter("l_orderkey % 500 <> 3"))
+
+
+@query("""select o_orderkey, o_custkey, o_orderstatus from orders o where not exists (select 1 from orders p where p.o_orderkey = o.o_orderkey and p.o_orderstatus = 'F')""")
+def insert_missing(spark, sf_dir):
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return reconcile.insert_missing(orders.filter("o_orderstatus = 'F'"), orders, ["o_orderkey"])
+
+
+@query("""select o_orderkey, case when o_orderkey % 3 = 0 then cast(o_totalprice * 2 as decimal(18,2)) else cast(o_totalprice as decimal(18,2)) end amount, case when o_orderkey % 3 = 0 then 'new' else 'old' end version
+from orders where o_orderkey % 3 = 0 or o_orderkey % 2 = 0""")
+def upsert_reconciliation(spark, sf_dir):
+    orders = t(spark, sf_dir, "orders")
+    old = orders.filter("o_orderkey % 2 = 0").select("o_orderkey", M.money("o_totalprice").alias("amount"), F.lit("old").alias("version"))
+    new = orders.filter("o_orderkey % 3 = 0").select("o_orderkey", (F.col("o_totalprice") * 2).cast("decimal(18,2)").alias("amount"), F.lit("new").alias("version"))
+    return reconcile.upsert(old, new, ["o_orderkey"])
+
+
+@query("""select o_orderkey, case when o_orderkey % 100 = 5 then null else o_orderstatus end o_orderstatus, o_orderstatus old_o_orderstatus from orders where o_orderkey % 100 = 5""")
+def replay_identity(spark, sf_dir):
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    again = orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 100 != 5, F.col("o_orderstatus")))
+    return reconcile.replay_differences(orders, again, ["o_orderkey"])
+
+
+_CANON = "case when contains(cast({0} as varchar), '.') then regexp_replace(cast({0} as varchar), '\\.?0+$', '') else cast({0} as varchar) end"
+
+
+@query(f"""with a as (select c_custkey, c_name, cast(c_acctbal as decimal(18,2)) c_acctbal from customer where c_custkey % 97 <> 3),
+c as (select c_custkey, case when c_custkey % 50 = 1 then c_name || 'x' else c_name end c_name, cast(case when c_custkey % 40 = 2 then c_acctbal + 0.01 else c_acctbal end as decimal(18,2)) c_acctbal from customer where c_custkey % 89 <> 4),
+j as (select c_custkey, a.c_custkey is not null ha, c.c_custkey is not null hc, coalesce(trim(a.c_name), '') an, coalesce(trim(c.c_name), '') cn, {_CANON.format('a.c_acctbal')} aa, {_CANON.format('c.c_acctbal')} ca
+  from a full join c using (c_custkey)),
+d as (select c_custkey, '(record)' field, case when ha then 'present' else 'absent' end actual, case when hc then 'present' else 'absent' end expected from j where not ha or not hc
+  union all select c_custkey, 'c_name', an, cn from j where ha and hc union all select c_custkey, 'c_acctbal', aa, ca from j where ha and hc)
+select *, 'MODERN_DEFECT' classification from d where actual <> expected""")
+def record_diff(spark, sf_dir):
+    c = t(spark, sf_dir, "customer").select("c_custkey", "c_name", M.money("c_acctbal").alias("c_acctbal"))
+    cent = F.lit("0.01").cast("decimal(18,2)")
+    expected = c.filter("c_custkey % 89 <> 4").withColumns({"c_name": F.when(F.col("c_custkey") % 50 == 1, F.concat("c_name", F.lit("x"))).otherwise(F.col("c_name")), "c_acctbal": F.when(F.col("c_custkey") % 40 == 2, F.col("c_acctbal") + cent).otherwise(F.col("c_acctbal")).cast("decimal(18,2)")})
+    return referee.record_diff(c.filter("c_custkey % 97 <> 3"), expected, ["c_custkey"], ["c_name", "c_acctbal"], ("c_acctbal",))
+
+
+@query("""with s as (select count(*) n, cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(38,2)) a, cast(sum(cast(l_quantity as decimal(18,2))) as decimal(38,2)) q from lineitem)
+select 'amount' field, regexp_replace(cast(a + 0.01 as varchar), '\\.?0+$', '') actual, regexp_replace(cast(a as varchar), '\\.?0+$', '') contract, regexp_replace(cast(a as varchar), '\\.?0+$', '') reference, 'MODERN_DEFECT' classification from s
+union all select 'quantity', regexp_replace(cast(q as varchar), '\\.?0+$', ''), regexp_replace(cast(q as varchar), '\\.?0+$', ''), '', 'CONFIRMED_LEGACY_DEFECT' from s""")
+def aggregate_diff(spark, sf_dir):
+    sums = t(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("n"), F.sum(M.money("l_extendedprice")).cast("decimal(38,2)").alias("amount"), F.sum(M.money("l_quantity")).cast("decimal(38,2)").alias("quantity"))
+    cash = ("amount", "quantity")
+    actual = referee.unpivoted(sums.withColumn("amount", (F.col("amount") + F.lit("0.01").cast("decimal(38,2)")).cast("decimal(38,2)")), ["n", "amount", "quantity"], "actual", cash)
+    return referee.aggregate_diff(actual, referee.unpivoted(sums, ["n", "amount", "quantity"], "contract", cash), referee.unpivoted(sums, ["n", "amount"], "reference", cash))
+
+
+@query(f"""with {_LINES}, s as (select batch_id, count(*) n, cast(sum(amount_brl) as decimal(18,2)) a from lines group by 1)
+select batch_id, 'count' control, cast(n as varchar) declared, cast(n as varchar) computed, true equal from s
+union all select batch_id, 'amount', cast(cast(a + case when batch_id = 'B000000000000003' then 0.01 else 0 end as decimal(18,2)) as varchar), cast(a as varchar), batch_id <> 'B000000000000003' from s""")
+def control_pairs(spark, sf_dir):
+    lines = bronze_lines(spark, sf_dir)
+    computed = lines.groupBy("batch_id").agg(F.count(F.lit(1)).alias("computed_count"), F.sum("amount_brl").cast("decimal(18,2)").alias("computed_amount"))
+    both = declared_control(lines).select("batch_id", F.col("source_count").alias("declared_count"), F.col("source_net_amount").alias("declared_amount")).join(computed, "batch_id")
+    return referee.control_pairs(both, ["batch_id"], ["count", "amount"])
+
+
+@query(f"""with {_LINES}, s as (select batch_id, count(*) n, cast(sum(amount_brl) as decimal(18,2)) a from lines group by 1)
+select batch_id, case when batch_id = 'B000000000000003' then 'SOURCE_CONTROL_TOTAL_MISMATCH' end rejection_code, batch_id <> 'B000000000000003' accepted, case when batch_id = 'B000000000000003' then 0 else n end kept_rows from s""")
+def control_gate(spark, sf_dir):
+    lines = bronze_lines(spark, sf_dir)
+    computed = lines.groupBy("batch_id").agg(F.count(F.lit(1)).alias("count"), F.sum("amount_brl").cast("decimal(18,2)").alias("net"))
+    declared = declared_control(lines).select("batch_id", F.col("source_count").alias("count"), F.col("source_net_amount").alias("net"))
+    verdicts = controls.gate(declared, computed, "batch_id", [("count", "TRAILER_MISMATCH"), ("net", "SOURCE_CONTROL_TOTAL_MISMATCH")])
+    kept = controls.accepted_only(lines, verdicts, "batch_id").groupBy("batch_id").agg(F.count(F.lit(1)).alias("k"))
+    return verdicts.join(kept, "batch_id", "left").select("batch_id", "rejection_code", "accepted", F.coalesce("k", F.lit(0)).alias("kept_rows"))
+
+
+@query("""with j as (select c_custkey, c_custkey % 7 = 0 mc, c_custkey % 5 = 0 mr, c_custkey % 11 = 0 sw, c_custkey % 13 = 0 ap from customer)
+select c_custkey, case when ap then 'APPROVED_BEHAVIOR_CHANGE' when sw then 'CONFIRMED_SOURCE_DEFECT' when mc and not mr then 'CONFIRMED_LEGACY_DEFECT' when not mc then 'MODERN_DEFECT' else 'UNRESOLVED' end classification from j""")
+def classification_table(spark, sf_dir):
+    k = F.col("c_custkey")
+    return t(spark, sf_dir, "customer").select("c_custkey", referee.classify(k % 7 == 0, k % 5 == 0, k % 11 == 0, k % 13 == 0).alias("classification"))
+
+
+@query("""with j as (select c_nationkey, case when c_custkey % 13 = 0 then 'APPROVED_BEHAVIOR_CHANGE' when c_nationkey % 2 = 0 then 'MODERN_DEFECT' else 'CONFIRMED_SOURCE_DEFECT' end k from customer)
+select c_nationkey, count(*) differences, count(*) filter (k = 'MODERN_DEFECT') unexplained, case when count(*) = 0 then 'MATCHED' when count(*) filter (k = 'MODERN_DEFECT') = 0 then 'RESOLVED' else 'STALLED' end status from j group by 1""")
+def referee_status(spark, sf_dir):
+    k = F.when(F.col("c_custkey") % 13 == 0, "APPROVED_BEHAVIOR_CHANGE").when(F.col("c_nationkey") % 2 == 0, "MODERN_DEFECT").otherwise("CONFIRMED_SOURCE_DEFECT")
+    return referee.status(t(spark, sf_dir, "customer").withColumn("classification", k), ["c_nationkey"])
+
+
+@query(SQL["gold_reconciliation"] + " where batch_id = 'B000000000000003'")
+def release_gate(spark, sf_dir):
+    return assertions.release_gate(gold_reconciliation(spark, sf_dir), ["count_delta", "net_amount_delta"])
+
+
+@query("select l_orderkey, l_returnflag, count(*) n from lineitem group by 1, 2 having count(*) > 1")
+def grain_violations(spark, sf_dir):
+    return assertions.duplicate_grain(t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_returnflag"])
+
+
+@query("select o_orderstatus, count(*) n from orders where o_orderstatus not in ('F', 'O') group by 1")
+def accepted_values(spark, sf_dir):
+    return assertions.accepted_values(t(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O"])
+
+
+@query("select c_custkey, c_name from customer c where not exists (select 1 from orders where o_custkey = c_custkey)")
+def orphan_rows(spark, sf_dir):
+    return assertions.orphans(t(spark, sf_dir, "customer").select("c_custkey", "c_name"), t(spark, sf_dir, "orders"), "c_custkey", "o_custkey")
+
+
+@query("""select l_orderkey, l_linenumber, rule from (select l_orderkey, l_linenumber, unnest(list_filter([case when l_discount > 0.09 then 'discount' end, case when l_quantity > 49 then 'quantity' end, case when l_extendedprice < 0 then 'sign' end], lambda x: x is not null)) rule from lineitem)""")
+def check_violations(spark, sf_dir):
+    rules = {"discount": F.col("l_discount") <= 0.09, "quantity": F.col("l_quantity") <= 49, "sign": F.col("l_extendedprice") >= 0}
+    return assertions.broken(t(spark, sf_dir, "lineitem"), rules).select("l_orderkey", "l_linenumber", "rule")
+
+
+@query("""with b as (select l_orderkey, l_linenumber, cast(case when l_returnflag = 'R' then -l_extendedprice else l_extendedprice end as decimal(18,2)) amount from lineitem),
+d as (select *, lpad(cast(cast(abs(amount) * 100 as bigint) as varchar), 15, '0') digits from b)
+select l_orderkey, l_linenumber, amount, substr(digits, 1, 14) || case when amount < 0 then translate(substr(digits, 15, 1), '0123456789', '}JKLMNOPQR') else translate(substr(digits, 15, 1), '0123456789', '{ABCDEFGHI') end coded, amount decoded from d""")
+def overpunch_roundtrip(spark, sf_dir):
+    amount = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).cast("decimal(18,2)")
+    rows = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", amount.alias("amount")).withColumn("coded", M.overpunch_encode(F.col("amount"), 15))
+    return rows.withColumn("decoded", M.overpunch_decode(F.col("coded")))
+
+
+@query("""with b as (select o_orderkey, '  ' || replace(replace(replace(format('{:,.2f}', o_totalprice), ',', '#'), '.', ','), '#', case when o_orderkey % 10 = 0 then '' else '.' end) raw from orders)
+select o_orderkey, raw, case when regexp_matches(trim(raw), '^-?\\d{1,3}(\\.\\d{3})*,\\d{2}$') then cast(replace(replace(trim(raw), '.', ''), ',', '.') as decimal(18,2)) end amount from b""")
+def brl_money_grammar(spark, sf_dir):
+    shown = F.format_number("o_totalprice", 2)
+    sep = F.when(F.col("o_orderkey") % 10 == 0, "").otherwise(".")
+    raw = F.concat(F.lit("  "), F.replace(F.replace(F.replace(shown, F.lit(","), F.lit("#")), F.lit("."), F.lit(",")), F.lit("#"), sep))
+    return t(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw")).withColumn("amount", M.brl_money(F.col("raw")))
+
+
+@query("""with b as (select l_orderkey, l_linenumber, cast(cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint) as varchar) digits from lineitem)
+select l_orderkey, l_linenumber, digits, cast(cast(digits as decimal(18,0)) * 0.01 as decimal(18,2)) amount from b""")
+def implied_decimal(spark, sf_dir):
+    digits = (M.money("l_extendedprice") * 100).cast("decimal(18,0)").cast("string")
+    return t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", digits.alias("digits")).withColumn("amount", M.implied_decimal(F.col("digits")))
+
+
+@query("""select l_orderkey, l_linenumber, cast(case when l_returnflag = 'A' then l_extendedprice else -l_extendedprice end as decimal(18,2)) signed from lineitem""")
+def signed_amount(spark, sf_dir):
+    return t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", M.signed_by(F.col("l_returnflag"), M.money("l_extendedprice"), "A").alias("signed"))
+
+
+@query("""select l_orderkey, l_linenumber, cast(round(cast(l_extendedprice as decimal(18,2)) * cast(l_discount * 100 as decimal(9,3)) * cast(0.01 as decimal(3,2)), 2) as decimal(18,2)) fee from lineitem""")
+def half_up_fee(spark, sf_dir):
+    return t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", M.half_up(M.money("l_extendedprice"), F.col("l_discount") * 100).alias("fee"))
+
+
+@query("""select l_returnflag, cast(round_even(sum(cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(9,3))), 2) as decimal(38,2)) total from lineitem group by 1""")
+def half_even_total(spark, sf_dir):
+    return t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(M.half_even(F.sum(M.money("l_extendedprice") * F.col("l_tax").cast("decimal(9,3)"))).alias("total"))
+
+
+def _pad(x: int) -> str:
+    return "unhex('" + bytes(b ^ x for b in CHECK_KEY.ljust(64, b"\0")).hex() + "')"
+
+
+@query(f"""select c_custkey, 'tok_' || substr(sha256({_pad(0x5C)} || unhex(sha256({_pad(0x36)} || encode(c_name)))), 1, 24) token from customer""")
+def hmac_token(spark, sf_dir):
+    return t(spark, sf_dir, "customer").select("c_custkey", P.token(F.col("c_name"), CHECK_KEY).alias("token"))
+
+
+@query("select c_custkey, '*******' || right(c_name, 4) masked from customer")
+def mask_last4(spark, sf_dir):
+    return t(spark, sf_dir, "customer").select("c_custkey", P.mask_last4(F.col("c_name"), 7).alias("masked"))
+
+
+_CPF1 = " + ".join(f"cast(substr(d, {i + 1}, 1) as integer) * {10 - i}" for i in range(9))
+_CPF2 = " + ".join(f"cast(substr(d, {i + 1}, 1) as integer) * {11 - i}" for i in range(10))
+
+
+@query(f"""with b as (select c_custkey, lpad(cast(c_custkey * 7919 % 1000000000 as varchar), 9, '0') || lpad(cast(c_custkey % 100 as varchar), 2, '0') d from customer),
+s as (select *, ({_CPF1}) % 11 r1, ({_CPF2}) % 11 r2 from b)
+select c_custkey, d document, (case when r1 < 2 then 0 else 11 - r1 end) = cast(substr(d, 10, 1) as integer) and (case when r2 < 2 then 0 else 11 - r2 end) = cast(substr(d, 11, 1) as integer) and d <> repeat(substr(d, 1, 1), 11) valid from s""")
+def cpf_check_digit(spark, sf_dir):
+    d = F.concat(F.lpad((F.col("c_custkey") * 7919 % 1000000000).cast("string"), 9, "0"), F.lpad((F.col("c_custkey") % 100).cast("string"), 2, "0"))
+    return t(spark, sf_dir, "customer").select("c_custkey", d.alias("document")).withColumn("valid", P.valid_cpf(F.col("document")))
+
+
+@query("""select doc_id, regexp_matches(text, '(^|[^0-9])[0-9]{11}([^0-9]|$)') has_11, regexp_matches(text, '(^|[^0-9])[0-9]{16}([^0-9]|$)') has_16 from documents where text is not null""")
+def clear_pii_scan(spark, sf_dir):
+    return t(spark, sf_dir, "documents").filter("text is not null").select("doc_id", P.clear_digits(F.col("text"), 11).alias("has_11"), P.clear_digits(F.col("text"), 16).alias("has_16"))
+
+
+@query("""with b as (select doc_id, string_split(text, chr(10))[1] l from documents where text is not null)
+select doc_id, length(l) between 1 and 80 and not regexp_matches(l, '[\\x00-\\x1F\\x7F-\\x{9F}\\x{61C}\\x{200E}\\x{200F}\\x{202A}-\\x{202E}\\x{2066}-\\x{2069}]') and not regexp_matches(l, '^[=+\\-@]') and not regexp_matches(l, '(^|[^0-9])[0-9]{11,19}([^0-9]|$)') safe from b""")
+def text_safety(spark, sf_dir):
+    line = F.get(F.split("text", "\n"), F.lit(0))
+    return t(spark, sf_dir, "documents").filter("text is not null").select("doc_id", P.safe_text(line).alias("safe"))
+
+
+@query("select count(distinct trim(source)) codes, count(distinct trim(lang)) descriptions, count(distinct (trim(source), trim(lang))) pairs from documents where source is not null and lang is not null")
+def code_cardinality(spark, sf_dir):
+    return profile.cardinality(t(spark, sf_dir, "documents").filter("source is not null and lang is not null"), "source", "lang")
+
+
+@query("select p_type code, count(*) n from part group by 1 having count(*) < 100000 order by n, code limit 15")
+def rare_codes(spark, sf_dir):
+    return profile.rare_codes(t(spark, sf_dir, "part"), "p_type")
+
+
+@query("select p_type description, count(distinct p_brand) codes from part group by 1 having count(distinct p_brand) > 1")
+def collapsed_identity(spark, sf_dir):
+    return profile.collapsed(t(spark, sf_dir, "part"), "p_brand", "p_type")
+
+
+@query("select length(p_name) width, count(*) n from part group by 1")
+def width_histogram(spark, sf_dir):
+    return profile.widths(t(spark, sf_dir, "part"), F.col("p_name"))
+
+
+@query("""with b as (select case when c_custkey % 3 = 0 then cast(c_custkey as varchar) when c_custkey % 3 = 1 then c_mktsegment || '  ' else '  ' || cast(c_custkey as varchar) end r from customer)
+select count(*) filter (regexp_matches(r, '^\\d+$')) digits_only, count(*) filter (not regexp_matches(trim(r), '^\\d+$')) textual, count(*) filter (regexp_matches(r, '^\\S.*\\s$')) left_aligned from b""")
+def format_profile(spark, sf_dir):
+    k = F.col("c_custkey")
+    raw = F.when(k % 3 == 0, k.cast("string")).when(k % 3 == 1, F.concat("c_mktsegment", F.lit("  "))).otherwise(F.concat(F.lit("  "), k.cast("string")))
+    return profile.formats(t(spark, sf_dir, "customer"), raw)
+
+
+@query("""with b as (select cast(case when l_returnflag = 'R' then -l_extendedprice else l_extendedprice end as decimal(18,2)) v from lineitem)
+select count(*) filter (v < 0) negatives, count(*) filter (v = 0) zeros, min(v) least, max(v) greatest, cast(sum(v) as decimal(38,2)) total, length(cast(cast(floor(abs(sum(v))) as bigint) as varchar)) + 3 "precision" from b""")
+def sign_profile(spark, sf_dir):
+    v = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
+    return profile.signs(t(spark, sf_dir, "lineitem"), v)
+
+
+_MONTHS = "m as (select strftime(o_orderdate, '%Y%m') as period, count(*) n, cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(38,2)) s from orders group by 1)"
+
+
+def months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyyMM").alias("period")).agg(F.count(F.lit(1)).alias("n"), F.sum(M.money("o_totalprice")).cast("decimal(38,2)").alias("s"))
+
+
+@query(f"""with {_MONTHS}, l as (select period, s, lag(s) over (order by period) b from m), c as (select period, s, round(cast(s - b as double) * 100 / cast(b as double), 6) change_percent from l)
+select period, s, change_percent, coalesce(abs(change_percent) > 5, false) flagged from c""")
+def series_step(spark, sf_dir):
+    return profile.series_steps(months(spark, sf_dir), "period", "s")
+
+
+@query("""with r as (select sum(cast(case when l_returnflag = 'R' then -l_extendedprice else l_extendedprice end as decimal(18,2))) over (order by l_orderkey, l_linenumber, l_partkey rows unbounded preceding) s, cast(case when l_returnflag = 'R' then -l_extendedprice else l_extendedprice end as decimal(18,2)) v from lineitem)
+select cast(sum(v) as decimal(38,2)) total, cast(max(s) as decimal(38,2)) peak from r""")
+def running_peak(spark, sf_dir):
+    v = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
+    return profile.running_peak(t(spark, sf_dir, "lineitem"), F.floor(F.col("l_orderkey") / 1000), [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")], v)
+
+
+@query(f"with {_MONTHS} select period, cast(sum(n) over (order by period) as bigint) rows_so_far, cast(sum(s) over (order by period) as decimal(38,2)) sum_so_far from m")
+def cumulative_anchor(spark, sf_dir):
+    return profile.cumulative(months(spark, sf_dir), "period", "n", "s")
+
+
+@query("""select event_id, user_id, lead(event_id) over w as next_id, lead(event_type) over w = event_type as pairs_with_next from events window w as (partition by user_id order by ts, event_id)""")
+def pair_link(spark, sf_dir):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return t(spark, sf_dir, "events").select("event_id", "user_id", F.lead("event_id").over(w).alias("next_id"), (F.lead("event_type").over(w) == F.col("event_type")).alias("pairs_with_next"))
+
+
+@query("""with x as (select *, sum(case when event_type = 'signup' then 1 else 0 end) over (partition by user_id order by ts, event_id rows unbounded preceding) island from events)
+select user_id, cast(island as bigint) island, count(*) n, cast(sum(cast(value as decimal(18,2))) as decimal(38,2)) total from x group by 1, 2""")
+def lot_islands(spark, sf_dir):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = t(spark, sf_dir, "events").withColumn("island", F.sum(F.when(F.col("event_type") == "signup", 1).otherwise(0)).over(w))
+    return rows.groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("n"), F.sum(M.money("value")).cast("decimal(38,2)").alias("total"))
+
+
+@query("""with h as (select event_id, user_id, ts, sha256(cast(event_id as varchar) || ':' || event_type) event_hash from events),
+l as (select *, case when event_id % 200 = 0 then 'broken' else lag(event_hash) over (partition by user_id order by ts, event_id) end previous_event_hash, lag(event_hash) over (partition by user_id order by ts, event_id) expected_hash from h)
+select event_id, user_id, previous_event_hash, expected_hash from l where previous_event_hash is distinct from expected_hash""")
+def chain_check(spark, sf_dir):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    h = t(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.sha2(F.concat_ws(":", F.col("event_id").cast("string"), "event_type"), 256).alias("event_hash"))
+    linked = h.withColumn("previous_event_hash", F.when(F.col("event_id") % 200 == 0, "broken").otherwise(F.lag("event_hash").over(w)))
+    return ledger.chain_breaks(linked, "user_id", ["ts", "event_id"]).select("event_id", "user_id", "previous_event_hash", "expected_hash")
+
+
+@query("""with f as (select c_nationkey, c_custkey, case when c_acctbal < -900 then 1 when length(c_name) > 18 then 2 when c_mktsegment = 'BUILDING' then 3 end phase from customer)
+select c_nationkey, arg_min(case phase when 1 then 'OVERDRAWN' when 2 then 'LONG_NAME' else 'SEGMENT' end, cast(phase as bigint) * 1000000000 + c_custkey) rejection_code from f where phase is not null group by 1""")
+def first_failing_rule(spark, sf_dir):
+    phase = F.when(F.col("c_acctbal") < -900, 1).when(F.length("c_name") > 18, 2).when(F.col("c_mktsegment") == "BUILDING", 3)
+    found = t(spark, sf_dir, "customer").withColumn("phase", phase).filter("phase is not null").withColumn("position", F.col("c_custkey")).withColumn("code", F.element_at(F.array(*map(F.lit, ("OVERDRAWN", "LONG_NAME", "SEGMENT"))), F.col("phase")))
+    return controls.first_by_phase(found, "c_nationkey")
+
+
+@query("""select user_id, event_type, ts, event_id from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) rn from events) where rn = 1""")
+def latest_state(spark, sf_dir):
+    return reconcile.latest(t(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "event_type")
+
+
+@query("""select user_id, event_type, event_id, cast(n - 1 as bigint) duplicates from (select *, row_number() over (partition by user_id, event_type order by ts, event_id) rn, count(*) over (partition by user_id, event_type) n from events) where rn = 1""")
+def first_seen(spark, sf_dir):
+    return reconcile.first_seen(t(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id", "duplicates")
+
+
+@query("""select event_id from events where ts + interval (event_id % 7 - 3) minute > ts""")
+def late_arrivals(spark, sf_dir):
+    rows = t(spark, sf_dir, "events").select("event_id", F.col("ts").alias("occurred_at"), (F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") % 7 - 3).cast("int"))).alias("observed_at"))
+    return ledger.late(rows).select("event_id")
+
+
+@query("""select event_type, round(avg(value), 4) mean, round(coalesce(stddev_samp(value), 0), 4) stddev, round(min(value), 4) least, round(max(value), 4) greatest, count(*) n from events group by 1""")
+def run_stats_delta(spark, sf_dir):
+    return profile.run_stats(t(spark, sf_dir, "events"), "event_type", F.col("value"))
+
+
+@query("""select event_type, cast(sum(coalesce(cast(json_extract_string(props, '$.count') as bigint), cast(json_extract_string(props, '$.k') as bigint))) as bigint) k_total, count(json_extract_string(props, '$.k')) with_k from events group by 1""")
+def json_controls(spark, sf_dir):
+    k = F.coalesce(*(F.get_json_object("props", f"$.{n}").try_cast("bigint") for n in ("count", "k")))
+    return t(spark, sf_dir, "events").groupBy("event_type").agg(F.sum(k).alias("k_total"), F.count(F.get_json_object("props", "$.k")).alias("with_k"))
+
+
+@query("""select vec_id, cast(len(embedding) as integer) n, cast(list_sum(list_transform(embedding, lambda x: cast(cast(x as double) as decimal(18,6)))) as decimal(28,6)) total from embeddings""")
+def array_sum(spark, sf_dir):
+    zero = F.lit(0).cast("decimal(28,6)")
+    total = F.aggregate("embedding", zero, lambda a, x: (a + x.cast("double").cast("decimal(18,6)")).cast("decimal(28,6)"))
+    return t(spark, sf_dir, "embeddings").select("vec_id", F.size("embedding").alias("n"), total.alias("total"))
+
+
+@query("""with s as (select doc_id, 3 * (case when contains(lower(text), 'the') then 1 else 0 end) + 3 * (case when contains(lower(text), 'ation') then 1 else 0 end) + 8 * (case when contains(lower(text), 'the ation') then 1 else 0 end) score from documents)
+select doc_id, score from s where score > 0 order by score desc, doc_id limit 12""")
+def keyword_search_topk(spark, sf_dir):
+    return search.keyword_search(t(spark, sf_dir, "documents"), "doc_id", "text", "the ation")
+
+
+@query("""with s as (select doc_id, unnest(string_split(text, chr(10))) line, generate_subscripts(string_split(text, chr(10)), 1) line_number from documents)
+select doc_id, line_number::integer line_number, line from s where regexp_matches(line, '(?i)\\bthat\\b')""")
+def word_lines(spark, sf_dir):
+    return X.word_lines(t(spark, sf_dir, "documents"), "doc_id", "text", "that")
+
+
+@query("""with p as (select distinct page_id id, regexp_extract(url, '^[a-z]+://([^?#]*)', 1) path from pages), q as (select distinct id, path from p)
+select distinct least(a.id, b.id) a, greatest(a.id, b.id) b from q a join q b on a.id <> b.id and (a.path = b.path or starts_with(a.path, b.path || '/'))""")
+def path_overlap(spark, sf_dir):
+    rows = t(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.regexp_extract("url", "^[a-z]+://([^?#]*)", 1).alias("path"))
+    return graphs.path_conflicts(rows)
+
+
+_EDGES = "e as (select distinct cast(n_regionkey as bigint) src, cast(n_nationkey as bigint) dst from nation where n_regionkey < n_nationkey)"
+
+
+def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "nation").filter("n_regionkey < n_nationkey").select(F.col("n_regionkey").cast("bigint").alias("src"), F.col("n_nationkey").cast("bigint").alias("dst"))
+
+
+@query(f"with recursive {_EDGES}, r(src, dst, depth) as (select src, dst, 1 from e union select r.src, e.dst, r.depth + 1 from r join e on r.dst = e.src where r.depth < 64) select src, dst, min(depth) depth from r group by 1, 2")
+def closure(spark, sf_dir):
+    return graphs.closure(edges(spark, sf_dir))
+
+
+_LEVELS = f"{_EDGES}, n as (select distinct cast(n_nationkey as bigint) id from nation), w(id, lv) as (select id, 0 from n where id not in (select dst from e) union select e.dst, w.lv + 1 from w join e on w.id = e.src where w.lv < 64)"
+
+
+@query(f"""with recursive {_LEVELS}, l as (select id, max(lv) "level" from w group by 1) select id, "level", cast(row_number() over (order by "level", id) as integer) place from l""")
+def topo_levels(spark, sf_dir):
+    nodes = t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"))
+    return graphs.topological(nodes, edges(spark, sf_dir))
+
+
+@query(f"with recursive {_LEVELS} select max(lv) + 1 steps from w")
+def critical_path(spark, sf_dir):
+    nodes = t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"))
+    return graphs.critical_path_length(nodes, edges(spark, sf_dir))
+
+
+@query("""with x as (select distinct cast(n_regionkey as bigint) src, cast(n_nationkey as bigint) dst from nation), k as (select distinct cast(n_nationkey as bigint) id from nation where n_nationkey <> 2),
+ends as (select dst id from x union select src from x)
+select 'dangling' kind, id from ends where id not in (select id from k)
+union all select 'multi_parent', dst from x group by dst having count(distinct src) > 1""")
+def graph_issues(spark, sf_dir):
+    nodes = t(spark, sf_dir, "nation").filter("n_nationkey <> 2").select(F.col("n_nationkey").cast("bigint").alias("id"))
+    e = t(spark, sf_dir, "nation").select(F.col("n_regionkey").cast("bigint").alias("src"), F.col("n_nationkey").cast("bigint").alias("dst"))
+    return graphs.issues(nodes, e)
+
+
+@query(f"""with {_EDGES}, tasks as (select cast(n_nationkey as bigint) id, case when n_nationkey % 3 = 0 then 'done' else 'open' end status from nation),
+b as (select e.dst id, string_agg(e.src || ':' || coalesce(t.status, 'missing'), ',' order by e.src || ':' || coalesce(t.status, 'missing')) blocked_by from e left join tasks t on t.id = e.src where coalesce(t.status <> 'done', true) group by 1)
+select id, coalesce(blocked_by, '') blocked_by, blocked_by is null ready from tasks left join b using (id) where status = 'open'""")
+def ready_frontier(spark, sf_dir):
+    tasks = t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"), F.when(F.col("n_nationkey") % 3 == 0, "done").otherwise("open").alias("status"))
+    return graphs.frontier(tasks, edges(spark, sf_dir)).withColumn("blocked_by", F.array_join("blocked_by", ","))
+
+
+@query("""with b as (select o_orderkey, strftime(o_orderdate, '%Y%m%d') d, lpad(cast(o_orderkey % 24 as varchar), 2, '0') || '3000' h from orders)
+select o_orderkey, d || h lexeme, strftime(strptime(d || h, '%Y%m%d%H%M%S'), '%Y-%m-%dT%H:%M:%S') wall from b""")
+def iso_timestamp(spark, sf_dir):
+    d, h = F.date_format("o_orderdate", "yyyyMMdd"), F.concat(F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit("3000"))
+    rows = t(spark, sf_dir, "orders").select("o_orderkey", F.concat(d, h).alias("lexeme"), T.local_iso(d, h).alias("iso"))
+    return rows.select("o_orderkey", "lexeme", F.substring("iso", 1, 19).alias("wall"))
+
+
+@query("""with b as (select o_orderkey, lpad(cast(o_orderkey % 33 as varchar), 2, '0') || '/' || lpad(cast(o_orderkey % 13 as varchar), 2, '0') || '/' || strftime(o_orderdate, '%Y') raw from orders)
+select o_orderkey, raw, cast(try_strptime(raw, '%d/%m/%Y') as date) "day" from b""")
+def strict_date(spark, sf_dir):
+    raw = F.concat_ws("/", F.lpad((F.col("o_orderkey") % 33).cast("string"), 2, "0"), F.lpad((F.col("o_orderkey") % 13).cast("string"), 2, "0"), F.date_format("o_orderdate", "yyyy"))
+    return t(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw")).withColumn("day", T.strict_date(F.col("raw")))
+
+
+@query("""with b as (select c_custkey, 'D|' || c_name || '|' || replace(replace(c_mktsegment, 'B', '\\|'), 'M', '\\\\') || case when c_custkey % 9 = 0 then '\\x' else '' end line from customer)
+select c_custkey, case when c_custkey % 9 = 0 then null else c_name end name, case when c_custkey % 9 = 0 then null else replace(replace(c_mktsegment, 'B', '|'), 'M', '\\') end segment
+from (select c.c_custkey, c.c_name, c.c_mktsegment from customer c)""")
+def escaped_split(spark, sf_dir):
+    seg = F.replace(F.replace("c_mktsegment", F.lit("B"), F.lit("\\|")), F.lit("M"), F.lit("\\\\"))
+    line = F.concat(F.lit("D|"), "c_name", F.lit("|"), seg, F.when(F.col("c_custkey") % 9 == 0, "\\x").otherwise(""))
+    fields = X.escaped_fields(line)
+    return t(spark, sf_dir, "customer").select("c_custkey", F.get(fields, F.lit(1)).alias("name"), F.get(fields, F.lit(2)).alias("segment"))
+
+
+@query("""select c_custkey, case when c_custkey % 8 = 0 then null else c_name || '; "' || c_mktsegment || '"' end quoted_value, case when c_custkey % 8 = 0 then null else true end was_quoted from customer""")
+def quoted_lexer(spark, sf_dir):
+    inner = F.concat("c_name", F.lit('; ""'), "c_mktsegment", F.lit('""'))
+    line = F.concat(F.lit("ID;"), F.lit('"'), inner, F.when(F.col("c_custkey") % 8 == 0, "").otherwise('"'), F.lit(";9,99"))
+    fields = X.quoted_fields(line)
+    return t(spark, sf_dir, "customer").select("c_custkey", F.get(fields, F.lit(1))["value"].alias("quoted_value"), F.get(fields, F.lit(1))["quoted"].alias("was_quoted"))
+
+
+@query("""with p as (select distinct user_id from events where event_type = 'error'), c as (select distinct user_id from events where event_type = 'purchase'), i as (select distinct user_id from events where event_type = 'click'), d as (select distinct user_id from events where event_type = 'signup'),
+r as (select user_id, min(z) as zone from (select user_id, 0 z from p union all select user_id, 1 from c where user_id not in (select user_id from d) union all select user_id, 2 from i where user_id not in (select user_id from p)) group by 1)
+select user_id batch_id, zone, (select greatest(count(*) - 100, 0) from r) deferred from r order by zone, user_id limit 100""")
+def zone_selection(spark, sf_dir):
+    of = lambda kind: t(spark, sf_dir, "events").filter(F.col("event_type") == kind).select(F.col("user_id").alias("batch_id")).distinct()
+    return reconcile.zone_selection(of("error"), of("purchase"), of("click"), of("signup"))
+
+
+@query("""select user_id batch_id from events where event_type = 'error' intersect select user_id from events where event_type = 'signup'""")
+def ambiguous_batches(spark, sf_dir):
+    of = lambda kind: t(spark, sf_dir, "events").filter(F.col("event_type") == kind).select(F.col("user_id").alias("batch_id"))
+    return reconcile.ambiguous(of("error"), of("signup"))
+
+
+@query("""select o_orderstatus state, case when (o_orderstatus = 'F') then 'succeeded' else 'claimed' end wanted, count(*) n, count(*) filter (o_orderstatus = 'F') moved from orders group by 1, 2""")
+def state_transitions(spark, sf_dir):
+    state = F.when(F.col("o_orderstatus") == "F", "committed").otherwise("succeeded")
+    wanted = F.when(F.col("o_orderstatus") == "F", "succeeded").otherwise("claimed")
+    rows = t(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("state"), wanted.alias("wanted"), reconcile.transition(state, wanted).alias("after"))
+    return rows.groupBy("state", "wanted").agg(F.count(F.lit(1)).alias("n"), F.count("after").alias("moved"))
+
+
+@query("select o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as decimal(18,2)) amount from orders")
+def sink_roundtrip(spark, sf_dir):
+    import uuid
+
+    from tallyproof.plans.storage import scratch
+
+    rows = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", M.money("o_totalprice").alias("amount"))
+    path = f"{scratch(spark)}/sink-{uuid.uuid4().hex}"
+    files.publish(rows, path, ["o_orderkey"])
+    if files.publish(rows, path, ["o_orderkey"]) != "already_published":
+        raise RuntimeError("a replay was not recognised")
+    return spark.read.parquet(path)
+
+
+@query("""select event_type, count(*) n, cast(sum(cast(value as decimal(18,2))) as decimal(38,2)) total from events group by 1""")
+def stream_available_now(spark, sf_dir):
+    import uuid
+
+    from tallyproof.plans.storage import scratch
+
+    root, source = f"{scratch(spark)}/stream-{uuid.uuid4().hex}", t(spark, sf_dir, "events")
+    source.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(source.schema).parquet(f"{root}/in")
+
+    def add(df: DataFrame, number: int) -> None:
+        df.write.mode("append").parquet(f"{root}/out")
+
+    stream.writeStream.foreachBatch(add).option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(M.money("value")).cast("decimal(38,2)").alias("total"))
