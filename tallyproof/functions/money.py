@@ -69,7 +69,7 @@ def half_even(total: Column, places: int = 2) -> Column:
 
 def two_places(value: Column) -> Column:
     """Text with exactly two places; null where the value would have to be rounded."""
-    exact = value.cast("decimal(38,2)")
+    exact = value.cast("decimal(30,2)")
     return F.when(exact == value, exact.cast("string"))
 
 
