@@ -78,7 +78,7 @@ class Encoder:
     def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.flat = array("I")
-        self.ends = array("q", [0])
+        self.ends = array("q", [0, 0])  # place 0 is the empty word
 
     def learn(self, words: list[str]) -> None:
         """Keep the ids of words; -1 is kept for those with other white space."""
@@ -116,7 +116,7 @@ class Encoder:
         flat, ends = np.array(self.flat, np.uint32), np.array(self.ends, np.int64)
         odd = {int(i) for i in np.searchsorted(words_upto, np.flatnonzero(at < 0), side="right") - 1}
         at[at < 0] = 0
-        start, size = ends[at], (ends[at + 1] - ends[at] if len(at) else at)
+        start, size = ends[at], ends[at + 1] - ends[at]
         upto = np.concatenate([[0], np.cumsum(size)])
         ids = flat[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])]
         cuts = upto[words_upto]
