@@ -10,13 +10,18 @@ by following the pointers, without naming anything anew.
 One suffix array of the corpus would need the corpus in one place, so strings
 are brought together by anchors: of the 69 runs of 32 bytes in a 100-byte
 string, the one with the least hash.  Equal strings have equal anchors, and
-the string lies within 68 bytes of its anchor.  Anchors that occur once are
-dropped, the others travel with that context; the distinct contexts of an
-anchor are sorted together, equal 100-byte strings then stand side by side, and
-all but the earliest are marked.  A context that is met again is marked as a
-whole, within its task before the shuffle and within its group after it.
-Anchors that occur more than ``hot`` times are not gathered: each of their
-100-byte strings travels on its own, under its own hash, one a task.
+the string lies within 68 bytes of its anchor.  Four passes follow:
+1. Anchors that occur once are dropped.
+2. A 100-byte string holds one of four 83-byte ranges around its anchor; anchors
+   none of whose ranges occurs twice are dropped, which short common lines are.
+3. The digests of the remaining contexts (the anchor and 68 bytes on either side)
+   are grouped by anchor.  A context met again is removed as a whole.
+4. Where an anchor has several contexts, their bytes are sorted together by the
+   suffix array; equal 100-byte strings then stand side by side, and all but the
+   earliest are marked.  Anchors with more than ``hot`` contexts are not gathered:
+   each of their 100-byte strings travels on its own, under its own digest, and
+   once a task.
+Sets of hashes go out as bitmaps of fixed size; a false hit costs work only.
 
 Defined results: a null text is empty; matches never cross documents; strings
 are judged on the input; a null key counts as the least; rows that share a key count as one
@@ -145,28 +150,49 @@ def repeated(contexts: list[tuple[bytes, tuple[int, int]]]) -> list[tuple[int, i
     return found
 
 
-def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of the anchors of texts that lie side by side in ``data``, cut at ``bounds``."""
-    n = len(data)
-    if n < LENGTH:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    up, down = powers(n + 1)
-    with np.errstate(over="ignore"):
-        total = np.concatenate([[U(0)], np.cumsum(_BYTE[data] * up[:n])])
-        h = mixed((total[GRAM:] - total[:-GRAM]) * down[: n - GRAM + 1])
-    low = U((1 << 28) - 1)
-    m = (h & ~low) | np.arange(len(h), dtype=np.uint64)
-    for step in (1, 2, 4, 8, 16, 32):  # least of 64, then of 69
-        m = np.minimum(m[:-step], m[step:])
-    m = np.minimum(m[:-5], m[5:])
-    size = np.diff(bounds)
-    at = np.arange(len(m))
-    ends = np.repeat(bounds[1:], size)[: len(m)]
-    m = m[at + LENGTH <= ends]
-    place = (m & low).astype(np.int64)
-    place = place[np.concatenate([[True], np.diff(place) != 0])] if len(place) else place
-    place = np.unique(place)
-    return h[place], place
+STEPS = 4
+SIDE = REACH // STEPS  # 17
+
+
+class Scan:
+    """Anchors of texts that lie side by side in ``data``, cut at ``bounds``, with hashes of any range."""
+
+    def __init__(self, data: np.ndarray, bounds: np.ndarray) -> None:
+        n = len(data)
+        self.h, self.place = np.empty(0, np.uint64), np.empty(0, np.int64)
+        if n >= LENGTH:
+            up, self.down = powers(n + 1)
+            with np.errstate(over="ignore"):
+                self.total = np.concatenate([[U(0)], np.cumsum(_BYTE[data] * up[:n])])
+                h = mixed((self.total[GRAM:] - self.total[:-GRAM]) * self.down[: n - GRAM + 1])
+            low = U((1 << 28) - 1)
+            m = (h & ~low) | np.arange(len(h), dtype=np.uint64)
+            for step in (1, 2, 4, 8, 16, 32):  # least of 64, then of 69
+                m = np.minimum(m[:-step], m[step:])
+            m = np.minimum(m[:-5], m[5:])
+            ends = np.repeat(bounds[1:], np.diff(bounds))[: len(m)]
+            place = (m[np.arange(len(m)) + LENGTH <= ends] & low).astype(np.int64)
+            self.place = np.unique(place[np.concatenate([[True], np.diff(place) != 0])]) if len(place) else place
+            self.h = h[self.place]
+        self.doc = np.searchsorted(bounds, self.place, side="right") - 1
+        self.low, self.high = bounds[self.doc], bounds[self.doc + 1]
+
+    def keep(self, which: np.ndarray) -> None:
+        self.h, self.place, self.doc, self.low, self.high = (x[which] for x in (self.h, self.place, self.doc, self.low, self.high))
+
+    def ranges(self, start: np.ndarray, end: np.ndarray, salt: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mixed((self.total[end] - self.total[start]) * self.down[start] + U(salt))
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, anchor number) of the 83-byte ranges around anchors, one of which each 100-byte string around an anchor holds."""
+        found, whose = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for j in range(STEPS if len(self.place) else 0):
+            start, end = self.place - SIDE * j, self.place + LENGTH - SIDE * (j + 1)
+            fits = np.flatnonzero((start >= self.low) & (end <= self.high))
+            found.append(self.ranges(start[fits], end[fits], 2 * j + 1))
+            whose.append(fits)
+        return np.concatenate(found), np.concatenate(whose)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], most: int = 4_000_000) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
@@ -191,8 +217,13 @@ def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> U(32)) * U(buckets)) >> U(32)
 
 
-def _counts(docs: DataFrame, buckets: int) -> DataFrame:
-    """(h, n) of the anchors that occur more than once."""
+def _in(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return bits[(h >> U(64 - FILTER_BITS + 3)).astype(np.int64)] >> (h & U(7)).astype(np.uint8) & 1 == 1
+
+
+def _counts(docs: DataFrame, buckets: int, bitmap: bytes | None = None) -> DataFrame:
+    """(h, n) of the anchors, or with the bitmap of those of the ranges around them, that occur more than once."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -206,10 +237,13 @@ def _counts(docs: DataFrame, buckets: int) -> DataFrame:
             packed = [np.concatenate([h[a:b], h[a:b][twice[a:b]], many[a:b][twice[a:b]].astype(np.uint64), np.array([twice[a:b].sum()], np.uint64)]).tobytes() for a, b in zip(first.tolist(), ends)]
             return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int64)), pa.array(packed, pa.binary())], ["bucket", "packed"])
 
+        bits = None if shared.value is None else np.frombuffer(shared.value, np.uint8)
         for _, data, bounds in _texts(batches):
-            h, _ = anchors(data, bounds)
-            held.append(h)
-            n += len(h)
+            scan = Scan(data, bounds)
+            if bits is not None:
+                scan.keep(_in(bits, scan.h))
+            held.append(scan.h if bits is None else scan.grams()[0])
+            n += len(held[-1])
             if n > 4_000_000:
                 yield blobs()
                 held, n = [], 0
@@ -268,84 +302,143 @@ def _filter_of(hashes: DataFrame) -> bytes:
     return out.tobytes()
 
 
+_ROWS = "h long, context binary, k long, a long, b long"
+
+
+class Met:
+    """Distinct contexts with their earliest owner; ranges of those that were met again."""
+
+    def __init__(self) -> None:
+        self.seen: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+        self.again: list[tuple[int, int, int]] = []
+
+    def __len__(self) -> int:
+        return len(self.seen) + len(self.again)
+
+    def meet(self, h: int, body: bytes, owner: tuple[int, int, int]) -> None:
+        old = self.seen.setdefault((h, body), owner)
+        if old is owner or old == owner:
+            return
+        if owner < old:
+            self.seen[h, body] = owner
+            owner = old
+        self.again.append(owner)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """What is held, ranges merged and without a context; then nothing is held."""
+        rows = [(h, c, *owner) for (h, c), owner in self.seen.items()]
+        merged: list[list[int]] = []
+        for k, a, b in sorted(self.again):
+            if merged and merged[-1][0] == k and a <= merged[-1][2]:
+                merged[-1][2] = max(merged[-1][2], b)
+            else:
+                merged.append([k, a, b])
+        rows += [(k, None, k, a, b) for k, a, b in merged]
+        self.__init__()
+        for at in range(0, len(rows), 10_000):
+            h, c, k, a, b = zip(*rows[at : at + 10_000])
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(c, pa.binary()), *(pa.array(x, pa.int64()) for x in (k, a, b))], ["h", "context", "k", "a", "b"])
+
+
+def _digests(docs: DataFrame, anchors: bytes, grams: bytes) -> DataFrame:
+    """Rows of contexts around anchors near which a range repeats; contexts as 128-bit digests."""
+    shared = docs.sparkSession.sparkContext.broadcast((anchors, grams))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one, two = (np.frombuffer(x, np.uint8) for x in shared.value)
+        met = Met()
+        for keys, data, bounds in _texts(batches):
+            scan = Scan(data, bounds)
+            scan.keep(_in(one, scan.h))
+            gram, whose = scan.grams()
+            scan.keep(np.unique(whose[_in(two, gram)]))
+            if not len(scan.h):
+                continue
+            a, b = np.maximum(scan.place - REACH, scan.low), np.minimum(scan.place + LENGTH, scan.high)
+            size = (b - a).astype(np.uint64)
+            with np.errstate(over="ignore"):
+                digest = np.stack([scan.ranges(a, b, 101) + size, scan.ranges((a + b) // 2, b, 103) ^ mixed(size)], 1)
+            packed = digest.tobytes()
+            for i, (x, d, s, e, base) in enumerate(zip(scan.h.view(np.int64).tolist(), scan.doc.tolist(), a.tolist(), b.tolist(), scan.low.tolist())):
+                met.meet(x, packed[16 * i : 16 * i + 16], (keys[d], s - base, e - base))
+            if len(met) > 2 * _HELD:
+                yield from met.rows()
+        yield from met.rows()
+
+    return docs.select("k", "t").mapInArrow(run, _ROWS)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, Met]]:
+    """The contexts of each anchor, from rows sorted by anchor; rows without a context are passed on as ranges."""
+    now, met, loose = None, Met(), Met()
+    for batch in batches:
+        for h, c, k, a, b in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if c is None:
+                loose.again.append((k, a, b))
+                continue
+            if h != now:
+                yield now, met
+                now, met = h, Met()
+            met.meet(h, c, (k, a, b))
+        yield None, loose
+        loose = Met()
+    yield now, met
+
+
+def _resolved(rows: DataFrame, partitions: int) -> DataFrame:
+    """Ranges (k, a, b) of contexts met again, and (h, n) of anchors with several contexts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+
+        def table() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["h", "n", "k", "a", "b"])
+
+        for h, met in _groups(batches):
+            out += [(None, None, *r) for r in met.again]
+            if len(met.seen) > 1:
+                out.append((h, len(met.seen), None, None, None))
+            if len(out) > 20_000:
+                yield table()
+                out.clear()
+        if out:
+            yield table()
+
+    return rows.repartition(partitions, "h").sortWithinPartitions("h").mapInArrow(run, "h long, n long, k long, a long, b long")
+
+
 def _contexts(docs: DataFrame, bitmap: bytes, hot: np.ndarray) -> DataFrame:
-    """(h, context, k, a, b): distinct contexts, or null and the range (a, b) of one that its task has met before."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((bitmap, hot))
+    """Rows of the distinct contexts, in bytes, of anchors in the bitmap; of the hot ones, of their 100-byte strings as digests."""
+    shared = docs.sparkSession.sparkContext.broadcast((bitmap, hot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, heavy = np.frombuffer(shared.value[0], np.uint8), shared.value[1]
-        seen: dict[tuple[int, bytes], tuple[int, int]] = {}
-        again: list[tuple[int, int, int]] = []
-
-        def meet(h: int, body: bytes, owner: tuple[int, int]) -> None:
-            old = seen.get((h, body))
-            if old is None or owner < old:
-                seen[h, body] = owner
-                owner, old = old, owner
-            if owner is not None and owner != old:
-                again.append((owner[0], owner[1], owner[1] + len(body)))
-
-        def table() -> Iterator[pa.RecordBatch]:
-            rows = [(h, c, k, a, a + len(c)) for (h, c), (k, a) in seen.items()]
-            merged: dict[int, list[list[int]]] = {}
-            for k, a, b in sorted(again):
-                spans = merged.setdefault(k, [])
-                if spans and a <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], b)
-                else:
-                    spans.append([a, b])
-            rows += [(k, None, k, a, b) for k, spans in merged.items() for a, b in spans]
-            for at in range(0, len(rows), 10_000):
-                h, c, k, a, b = zip(*rows[at : at + 10_000])
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(c, pa.binary()), *(pa.array(x, pa.int64()) for x in (k, a, b))], ["h", "context", "k", "a", "b"])
-            seen.clear()
-            again.clear()
-
+        met, strings = Met(), Met()
         for keys, data, bounds in _texts(batches):
-            h, place = anchors(data, bounds)
-            hit = bits[(h >> U(64 - FILTER_BITS + 3)).astype(np.int64)] >> (h & U(7)).astype(np.uint8) & 1 == 1
-            h, place = h[hit], place[hit]
-            doc = np.searchsorted(bounds, place, side="right") - 1
-            low, high = bounds[doc], bounds[doc + 1]
-            a, b = np.maximum(place - REACH, low), np.minimum(place + LENGTH, high)
-            is_hot = np.isin(h, heavy)
+            scan = Scan(data, bounds)
+            scan.keep(_in(bits, scan.h))
+            a, b = np.maximum(scan.place - REACH, scan.low), np.minimum(scan.place + LENGTH, scan.high)
             body = data.tobytes()
-            for x, d, s, e, base, many in zip(h.view(np.int64).tolist(), doc.tolist(), a.tolist(), b.tolist(), low.tolist(), is_hot.tolist()):
+            for x, d, s, e, base, many in zip(scan.h.view(np.int64).tolist(), scan.doc.tolist(), a.tolist(), b.tolist(), scan.low.tolist(), np.isin(scan.h, heavy).tolist()):
                 if not many:
-                    meet(x, body[s:e], (keys[d], s - base))
-                else:
-                    for at in range(s, e - LENGTH + 1):
-                        string = body[at : at + LENGTH]
-                        meet(int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little", signed=True), string, (keys[d], at - base))
-            if len(seen) + len(again) > _HELD:
-                yield from table()
-        yield from table()
-
-    return docs.select("k", "t").mapInArrow(run, "h long, context binary, k long, a long, b long")
+                    met.meet(x, body[s:e], (keys[d], s - base, e - base))
+                    continue
+                for at in range(s, e - LENGTH + 1):
+                    digest = hashlib.blake2b(body[at : at + LENGTH], digest_size=16).digest()
+                    strings.meet(int.from_bytes(digest[:8], "little", signed=True), digest, (keys[d], at - base, at - base + LENGTH))
+            if len(met) + len(strings) > _HELD:
+                met.again.clear()  # whole contexts are ranges already
+                yield from met.rows()
+                yield from strings.rows()
+        met.again.clear()
+        yield from met.rows()
+        yield from strings.rows()
 
+    return docs.select("k", "t").mapInArrow(run, _ROWS)
 
-def _marked(contexts: DataFrame, partitions: int) -> DataFrame:
-    """(k, a, b): ranges of bytes to remove, each within 168 bytes or whole repeated contexts."""
 
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[bytes, tuple[int, int]], list[tuple[int, int, int]]]]:
-        now, distinct, spans = None, {}, []
-        for batch in batches:
-            for h, c, k, a, b in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if c is None:
-                    spans.append((k, a, b))
-                    continue
-                if h != now:
-                    yield distinct, spans
-                    now, distinct, spans = h, {}, []
-                old = distinct.get(c)
-                owner = (k, a)
-                if old is None or owner < old:
-                    distinct[c] = owner
-                    owner, old = old, owner
-                if owner is not None and owner != old:
-                    spans.append((owner[0], owner[1], owner[1] + len(c)))
-        yield distinct, spans
+def _marked(rows: DataFrame, partitions: int) -> DataFrame:
+    """(k, a, b): ranges of the repeated strings that a suffix array of each anchor's contexts shows, and of hot ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int, int]] = []
@@ -353,13 +446,13 @@ def _marked(contexts: DataFrame, partitions: int) -> DataFrame:
         def table() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["k", "a", "b"])
 
-        for distinct, spans in groups(batches):
-            out += spans
-            if len(distinct) > 1:
-                some = list(distinct.items())
+        for _, met in _groups(batches):
+            out += met.again
+            some = [(c, owner) for (_, c), owner in met.seen.items() if len(c) >= LENGTH]
+            if len(some) > 1:
                 last = None
-                for c, at in sorted(repeated(some)):
-                    k, a = some[c][1]
+                for c, at in sorted(repeated([(c, owner[:2]) for c, owner in some])):
+                    k, a, _ = some[c][1]
                     if last and last[0] == c and a + at <= last[3]:
                         last[3] = a + at + LENGTH
                     else:
@@ -374,7 +467,7 @@ def _marked(contexts: DataFrame, partitions: int) -> DataFrame:
         if out:
             yield table()
 
-    return contexts.repartition(partitions, "h").sortWithinPartitions("h").mapInArrow(run, "k long, a long, b long")
+    return rows.repartition(partitions, "h").sortWithinPartitions("h").mapInArrow(run, "k long, a long, b long")
 
 
 def removed_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
@@ -383,12 +476,15 @@ def removed_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("k"), F.col(text).alias("t"))
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = stored(_counts(rows, base), "anchors")
-    found = counts.agg(F.count(F.lit(1)), F.sum("n")).first()
-    total = found[1] or 0
+    anchors = _filter_of(counts)
+    ranges = stored(_counts(rows, base, anchors), "ranges")
+    total = ranges.agg(F.sum("n")).first()[0] or 0
+    found = stored(_resolved(_digests(rows, anchors, _filter_of(ranges)), max(base, total // 400_000)), "contexts")
+    several = found.filter("h is not null").select("h", "n")
     heavy = max(hot, total // 10_000_000)  # so at most ten million hashes are sent out
-    many = np.sort(np.array([r[0] for r in counts.filter(F.col("n") > heavy).select("h").collect()], np.int64).view(np.uint64))
-    contexts = _contexts(rows, _filter_of(counts), many)
-    return _marked(contexts, max(base, total // 100_000))
+    many = np.sort(np.array([r[0] for r in several.filter(F.col("n") > heavy).select("h").collect()], np.int64).view(np.uint64))
+    marked = _marked(_contexts(rows, _filter_of(several), many), max(base, total // 400_000))
+    return found.filter("h is null").select("k", "a", "b").unionByName(marked)
 
 
 def apply(docs: DataFrame, ranges: DataFrame, key: str = "doc_id", text: str = "text", digest: bool = True) -> DataFrame:
