@@ -11,12 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyproof.functions import documents as D
 from tallyproof.functions import money as M
 from tallyproof.functions import privacy as P
 from tallyproof.functions import text as X
 from tallyproof.functions import timestamps as T
-from tallyproof.operators import assertions, controls, graphs, ledger, medallion, profile, reconcile, referee, search
-from tallyproof.sources import files
+from tallyproof.operators import assertions, controls, graphs, leases, ledger, medallion, profile, reconcile, referee, search
+from tallyproof.sources import batches, encoders, files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -595,3 +596,116 @@ def stream_available_now(spark, sf_dir):
 
     stream.writeStream.foreachBatch(add).option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(M.money("value")).cast("decimal(38,2)").alias("total"))
+
+
+@query("""select event_id, json_extract_string(props, '$.k') is not null is_object, true same, cast(json_extract_string(props, '$.k') as bigint) declared_count from events""")
+def json_documents(spark, sf_dir):
+    rows = t(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    turned = F.concat(F.lit('{"z": 1, "k": '), F.col("k"), F.lit("}"))
+    other = F.concat(F.lit('{"k":'), F.col("k"), F.lit(', "z":1}'))
+    named = F.concat(F.lit('{"record_count": '), F.col("k"), F.lit("}"))
+    return rows.select("event_id", D.is_object(F.col("props")).alias("is_object"), D.same_object(turned, other).alias("same"), D.control_count(named).alias("declared_count"))
+
+
+@query(f"""with {_LINES} select batch_id, '{{"count":' || count(*) || ',"net":"' || cast(sum(amount_brl) as decimal(18,2)) || '"}}' control from lines group by 1""")
+def control_documents(spark, sf_dir):
+    sums = bronze_lines(spark, sf_dir).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum("amount_brl").alias("s"))
+    return sums.select("batch_id", D.control_map(F.col("n"), {"net": F.col("s")}).alias("control"))
+
+
+def _leases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "events").select(F.col("user_id").alias("resource"), F.col("event_id").alias("token"), F.col("ts").alias("expires_at"), (F.col("event_type") != "error").alias("active"))
+
+
+@query("select user_id resource, event_id token from events where event_type <> 'error' and ts < timestamp '2024-01-02 00:00:00'")
+def expired_leases(spark, sf_dir):
+    return leases.expired(_leases(spark, sf_dir), F.to_timestamp(F.lit("2024-01-02 00:00:00"))).select("resource", "token")
+
+
+@query("select user_id resource, max(event_id) + 1 next_token, max(case when event_type <> 'error' then 1 else 0 end) held from events group by 1")
+def fence_tokens(spark, sf_dir):
+    return leases.next_tokens(_leases(spark, sf_dir))
+
+
+@query("""select o_orderkey task_id, coalesce(case when o_orderkey % 2 = 0 then o_orderstatus end, case when o_orderkey % 3 = 0 then 'x' end, 'unknown') status from orders""")
+def status_lookup(spark, sf_dir):
+    orders = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("task_id"), F.col("o_orderstatus").alias("status"))
+    return leases.status_of(orders.select("task_id"), orders.filter("task_id % 2 = 0"), orders.filter("task_id % 3 = 0").withColumn("status", F.lit("x")))
+
+
+_LEDGER = """g as (select event_id, user_id, ts, case event_type when 'signup' then 'TASK_STARTED' when 'purchase' then 'TASK_COMPLETED' when 'error' then 'BLOCKER_RAISED' when 'view' then 'BLOCKER_CLEARED' else 'DRIFT_RESOLVED' end kind,
+  't' || (user_id % 50) entity, case when event_id % 4 = 0 then [] else ['e' || (event_id % 10)] end evidence_ids from events)"""
+
+
+def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event stream read as a work ledger."""
+    e = t(spark, sf_dir, "events")
+    kind = medallion.label(F.col("event_type"), {"signup": "TASK_STARTED", "purchase": "TASK_COMPLETED", "error": "BLOCKER_RAISED", "view": "BLOCKER_CLEARED", "click": "DRIFT_RESOLVED"})
+    evidence = F.when(F.col("event_id") % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("e"), (F.col("event_id") % 10).cast("string"))))
+    rows = e.select(F.col("event_id"), F.concat(F.lit("p"), (F.col("user_id") % 5).cast("string")).alias("project_id"), "ts", kind.alias("kind"), F.array(F.concat(F.lit("t"), (F.col("user_id") % 50).cast("string"))).alias("entity_refs"), evidence.alias("evidence_ids"))
+    return rows.withColumns({"occurred_at": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), "observed_at": F.date_format(F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") % 3 - 1).cast("int")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")})
+
+
+@query(f"""with {_LEDGER},
+b as (select entity, arg_max(kind, (ts, event_id)) k from g where kind in ('BLOCKER_RAISED', 'BLOCKER_CLEARED') and event_id % 7 <> 0 group by 1),
+a as (select entity, arg_max(kind, (ts, event_id)) k from g where kind in ('TASK_STARTED', 'TASK_COMPLETED') and event_id % 7 <> 0 group by 1),
+c as (select entity, max(len(evidence_ids)) n from g where kind = 'TASK_COMPLETED' and event_id % 7 <> 0 group by 1),
+s as (select distinct entity from g where kind = 'DRIFT_RESOLVED' and event_id % 7 <> 0 and user_id % 50 < 10)
+select * from (select 'open_blocker' as rule, entity from b where k = 'BLOCKER_RAISED' union all select 'task_not_ended', entity from a where k = 'TASK_STARTED' union all select 'completed_without_evidence', entity from c where n = 0)
+where entity not in (select entity from s)""")
+def drift_rules(spark, sf_dir):
+    rows = ledger_events(spark, sf_dir).filter("event_id % 7 <> 0")
+    few = F.regexp_extract(F.element_at("entity_refs", 1), r"(\d+)", 1).cast("int") < 10
+    return ledger.drift(rows.filter((F.col("kind") != "DRIFT_RESOLVED") | few), ["ts"])
+
+
+@query("""with g as (select 'p' || (user_id % 5) project_id, ts, event_id % 3 = 2 late, case when event_id % 4 <> 0 then 'e' || (event_id % 10) end e from events)
+select project_id, count(*) events, strftime(min(ts), '%Y-%m-%dT%H:%M:%S.%f') since, strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%f') until, count(*) filter (late) late, string_agg(distinct e, ',' order by e) evidence_ids from g group by 1""")
+def ledger_snapshot(spark, sf_dir):
+    return ledger.snapshot(ledger_events(spark, sf_dir)).withColumn("evidence_ids", F.array_join("evidence_ids", ","))
+
+
+@query(f"""with recursive {_EDGES}, r(src, dst, depth) as (select src, dst, 1 from e union select r.src, e.dst, r.depth + 1 from r join e on r.dst = e.src where r.depth < 64), k as (select distinct src, dst from r)
+select q.id task, q.a artifact, cast(coalesce(p.n, 0) as bigint) producers from (select dst id, 'a' || (dst % 4) a from k) q left join (select 'a' || (n_nationkey % 3) a, count(distinct n_nationkey) n from nation where n_nationkey < 5 group by 1) p using (a) where coalesce(p.n, 0) <> 1""")
+def requirement_producers(spark, sf_dir):
+    reach = graphs.closure(edges(spark, sf_dir))
+    requires = reach.select(F.col("dst").alias("task"), F.concat(F.lit("a"), (F.col("dst") % 4).cast("string")).alias("artifact"))
+    produces = t(spark, sf_dir, "nation").filter("n_nationkey < 5").select(F.col("n_nationkey").alias("task"), F.concat(F.lit("a"), (F.col("n_nationkey") % 3).cast("string")).alias("artifact"))
+    return graphs.requirement_producers(requires, produces)
+
+
+@query("""with b as (select case when c_custkey % 4 = 0 then c_name else replace(cast(cast(c_acctbal as decimal(18,2)) as varchar), '.', ',') end raw from customer),
+g as (select raw, case when regexp_matches(raw, '^(0|[1-9][0-9]*),[0-9]{2}$') then 1 end ok from b)
+select count(ok) accepted, count(*) - count(ok) refused, '2' scales from g""")
+def grammar_profile(spark, sf_dir):
+    raw = F.when(F.col("c_custkey") % 4 == 0, F.col("c_name")).otherwise(F.translate(M.money("c_acctbal").cast("string"), ".", ","))
+    rows = t(spark, sf_dir, "customer").select(raw.alias("raw"))
+    return profile.grammar(rows, F.col("raw"), M.locale_decimal(F.col("raw"), 2)).select("accepted", "refused", F.array_join(F.transform("scales", lambda x: x.cast("string")), ",").alias("scales"))
+
+
+@query("""select doc_id, case when length(text) > 40 then substr(text, 1, 40) || '...' else text end head from documents""")
+def truncated_text(spark, sf_dir):
+    return t(spark, sf_dir, "documents").select("doc_id", X.truncated(F.col("text"), 40).alias("head"))
+
+
+@query("""select page_id, relation from (select page_id, unnest(list_filter([case when contains(lower(html), 'nav') then 'nav' end, case when contains(lower(html), 'aside') then 'aside' end, case when contains(lower(html), 'tion') then 'tion' end], lambda x: x is not null)) relation from pages)""")
+def relation_mentions(spark, sf_dir):
+    return search.mentions(t(spark, sf_dir, "pages"), "page_id", "html", ["nav", "aside", "tion"])
+
+
+@query("""select batch_id, count_ok, sum_ok from (select 'B' || lpad(cast(c_nationkey as varchar), 15, '0') batch_id, count(*) = count(*) count_ok, true sum_ok from customer group by 1)""")
+def parser_roundtrip(spark, sf_dir):
+    """Customers written as card settlement files and read back by the parser."""
+    c = t(spark, sf_dir, "customer")
+    amount = F.abs(M.money("c_acctbal")) + F.lit("0.01").cast("decimal(18,2)")
+    refund = F.col("c_custkey") % 3 == 0
+    wide = lambda prefix: F.concat(F.lit(prefix), F.lpad(F.col("c_custkey").cast("string"), 16 - len(prefix), "0"))
+    rows = c.select(
+        F.concat(F.lit("B"), F.lpad(F.col("c_nationkey").cast("string"), 15, "0")).alias("batch_id"), F.lit("20260723").alias("file_date"), F.col("c_custkey").cast("int").alias("position"), wide("TXN").alias("transaction_id"), wide("MER").alias("merchant_id"), wide("4").alias("pan"),
+        F.lpad(F.col("c_custkey").cast("string"), 11, "0").alias("cpf"), F.lit("20260723").alias("date"), F.lit("101500").alias("time"), F.when(refund, -amount).otherwise(amount).cast("decimal(18,2)").alias("amount_brl"), F.when(refund, "R").otherwise("P").alias("movement_code"), F.lit("A1B2C3").alias("authorization_code"), F.lpad(F.col("c_custkey").cast("string"), 12, "0").alias("nsu"), wide("TER").alias("terminal_id"),
+    )
+    written = encoders.card_settlement(rows).select(F.concat(F.lit("/"), "batch_id").alias("path"), F.encode("content", "ISO-8859-1").alias("content"))
+    result = batches.card_settlement(written, CHECK_KEY)
+    sent = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum("amount_brl").alias("s"))
+    back = result.details.groupBy("batch_id").agg(F.count(F.lit(1)).alias("bn"), F.sum("amount_brl").alias("bs"))
+    return sent.join(back, "batch_id", "left").select("batch_id", F.col("n").eqNullSafe(F.col("bn")).alias("count_ok"), F.col("s").eqNullSafe(F.col("bs")).alias("sum_ok"))

@@ -95,3 +95,9 @@ def state_fold(events: DataFrame, entity: str, kinds: dict[str, str], order: lis
     names = F.create_map(*(F.lit(x) for kv in kinds.items() for x in kv))
     rows = events.filter(F.col("kind").isin(*kinds))
     return rows.groupBy(entity).agg(F.max_by(names[F.col("kind")], F.struct(*order)).alias("state"))
+
+
+def stale_reports(reports: DataFrame, events: DataFrame) -> DataFrame:
+    """Reports with events after the window that they cover, and how many."""
+    after = reports.join(events.select("project_id", "occurred_at"), "project_id").filter(F.to_timestamp("occurred_at") > F.to_timestamp("until"))
+    return after.groupBy("project_id", "report_id").agg(F.count(F.lit(1)).alias("newer_events"))
