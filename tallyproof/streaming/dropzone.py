@@ -41,7 +41,7 @@ def work(stream: DataFrame, handle: Callable[[DataFrame], DataFrame], target: st
 
 def running_totals(events: DataFrame, at: str = "ts", by: str = "event_type", value: str = "value", window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Windowed counts and sums of a stream with a watermark; an addition for continuous sources."""
-    return events.withWatermark(at, late).groupBy(F.window(at, window).alias("w"), by).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(18,2)")).cast("decimal(38,2)").alias("total")).select(F.col("w.start").alias("start"), by, "n", "total")
+    return events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late).groupBy(F.window(at, window).alias("w"), by).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(18,2)")).cast("decimal(38,2)").alias("total")).select(F.col("w.start").alias("start"), by, "n", "total")
 
 
 def after(events: DataFrame, cursor: int, sequence: str = "sequence") -> DataFrame:
