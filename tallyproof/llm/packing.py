@@ -143,7 +143,7 @@ class RoomTree:
     """Open windows by the room left in them; a segment tree finds the least room that suffices."""
 
     def __init__(self, window: int) -> None:
-        self.leaves = 1 << (window + 1 - 1).bit_length()
+        self.leaves = 1 << window.bit_length()
         self.count = [0] * (2 * self.leaves)
         self.open: dict[int, list[int]] = {}
 

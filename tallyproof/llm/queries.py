@@ -84,6 +84,22 @@ _SPACES = r"[\x20\x09-\x0D]+"
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
 
 SQL: dict[str, str] = {
+    "op2_ngram_jaccard_join": rf"""
+with recursive t as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACES}'), lambda x: x <> '') w
+  from documents),
+s as (
+  select distinct doc_id, g from (
+    select doc_id, unnest(case when len(w) > 2 then list_transform(range(1, len(w) - 1), lambda i: w[i] || chr(31) || w[i + 1] || chr(31) || w[i + 2])
+      when len(w) > 0 then [array_to_string(w, chr(31))] else [] end) g from t)),
+n as (select doc_id, count(*) n from s group by doc_id),
+p as (select a.doc_id x, b.doc_id y, count(*) k from s a join s b using (g) where a.doc_id < b.doc_id group by 1, 2),
+e as (select x, y from p join n c on c.doc_id = x join n d on d.doc_id = y where 100 * k >= 90 * (c.n + d.n - k)),
+u as (select x, y from e union all select y, x from e),
+r(x, y) as (select doc_id, doc_id from documents union select r.x, u.y from r join u on r.y = u.x)
+select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, m.c component_id
+from documents d left join n on n.doc_id = d.doc_id join (select x, min(y) c from r group by x) m on m.x = d.doc_id
+""",
     "op3_substring_dedup": rf"""
 with u as (
   select doc_id, coalesce(text, '') x, unnest(string_split(coalesce(text, ''), chr(10))) l,
