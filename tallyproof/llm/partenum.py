@@ -13,12 +13,12 @@ pair is lost.
 Work is done on classes of equal sets, found by digest, so copies cost nothing.
 1. Signatures are gathered by range in packed blobs, 16 bytes each; those of
    one class only are left out.
-2. Every class is compared exactly with the one partner with which it shares most
-   signatures; links are closed to components.
-3. For signatures whose classes still lie in several components, each class
-   outside of the largest is compared with all classes of other components,
-   save pairs whose sizes, or whose distances to a common partner (Jaccard
-   distance is a metric), rule a link out.
+2. Every class is compared exactly with its hub, the class of most shared
+   signatures that shares one with it; links are closed to components.
+3. Signatures whose classes still lie in several components are worked off:
+   classes of different hubs are compared if their sizes allow a link; classes of
+   one hub only if the elements in which they differ from it overlap as a link
+   demands (prefix filter by frequency).
 A pair within a component needs no comparison, so the pairs of a group of
 copies are never listed.
 
@@ -222,46 +222,106 @@ def _sets(docs: DataFrame, text: str, words: int, wanted: DataFrame) -> DataFram
     return found.join(wanted.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("elements").alias("elements"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the sizes of both sets and of what they share."""
+def _verified(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> DataFrame:
+    """Pairs (a, b) with the sizes of both sets and of what they share; if asked for, the elements of just one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            na, nb, both = [], [], []
+        for batch in _chunks(batches, 2000):
+            na, nb, both, apart = [], [], [], []
             for x, y in zip(batch.column(2), batch.column(3)):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 na.append(len(p))
                 nb.append(len(q))
                 both.append(similar(p, q))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(v, pa.int64()) for v in (na, nb, both))], ["a", "b", "na", "nb", "both"])
+                if differences:
+                    apart.append(np.setxor1d(p, q, assume_unique=True).view(np.int64))
+            columns = [batch.column(0), batch.column(1), *(pa.array(v, pa.int64()) for v in (na, nb, both))]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(apart, pa.list_(pa.int64()))] * differences, ["a", "b", "na", "nb", "both"] + ["apart"] * differences)
 
     one = sets.select(F.col("cls").alias("a"), F.col("elements").alias("ea"))
     two = sets.select(F.col("cls").alias("b"), F.col("elements").alias("eb"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "ea", "eb").mapInArrow(run, "a long, b long, na long, nb long, both long")
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "ea", "eb").mapInArrow(run, "a long, b long, na long, nb long, both long" + ", apart array<long>" * differences)
+
 
+def roots(nodes: DataFrame, parents: DataFrame, most: int = 60) -> DataFrame:
+    """(cls, label): where the chain of (a, b) links from each node ends; each node links at most once, to a greater one."""
+    up = nodes.select("cls").join(parents.select(F.col("a").alias("cls"), "b"), "cls", "left").select("cls", F.coalesce("b", "cls").alias("label"))
+    up = stored(up, "roots")
+    for _ in range(most):
+        above = up.select(F.col("cls").alias("label"), F.col("label").alias("far"))
+        after = stored(up.join(above, "label").select("cls", F.col("far").alias("label"), (F.col("far") != F.col("label")).alias("moved")), "roots")
+        up = after.select("cls", "label")
+        if not after.filter("moved").limit(1).count():
+            return up
+    raise RuntimeError("chains did not end")
 
-def components(nodes: DataFrame, edges: DataFrame, most: int = 60) -> DataFrame:
-    """(cls, label): the least class of each node's component, by neighbours' least labels and pointer jumping.
 
-    Star-shaped components take two rounds, others about the logarithm of their diameter.
+def components(edges: DataFrame, most: int = 60) -> DataFrame:
+    """(cls, label) of the nodes of (a, b) edges: the least node of each one's component.
+
+    Each round every node takes the least label near it and then that label's
+    own; labels of stars settle in two rounds, of chains in the logarithm of their length.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = stored(both, "edges")
-    labels = stored(nodes.select("cls").distinct().withColumn("label", F.col("cls")), "labels")
+    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = both.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("b")).select("cls", F.least("cls", "b").alias("label"))
+    labels = stored(labels, "labels")
     for _ in range(most):
         heard = both.join(labels.select(F.col("cls").alias("b"), "label"), "b").groupBy(F.col("a").alias("cls")).agg(F.min("label").alias("heard"))
-        near = labels.join(heard, "cls", "left").select("cls", F.least("label", "heard").alias("near"), F.col("label").alias("old"))
-        near = stored(near, "labels")
-        jump = near.select(F.col("cls").alias("near"), F.col("near").alias("far"))
-        after = near.join(jump, "near", "left").select("cls", F.least("near", "far").alias("label"), (F.least("near", "far") < F.col("old")).alias("moved"))
+        jump = labels.select(F.col("cls").alias("label"), F.col("label").alias("far"))
+        after = labels.join(jump, "label").join(heard, "cls").select("cls", F.least("far", "heard").alias("label"), (F.least("far", "heard") < F.col("label")).alias("moved"))
         after = stored(after, "labels")
-        moved = after.filter("moved").limit(1).count()
         labels = after.select("cls", "label")
-        if not moved:
+        if not after.filter("moved").limit(1).count():
             return labels
     raise RuntimeError("components did not settle")
 
 
+def _across(state: DataFrame, near) -> DataFrame:
+    """Pairs of classes with different hubs that share a signature and lie in different components."""
+    fields = ("cls", "label", "size", "hub")
+    one = state.filter("label <> top").select("sig", *(F.col(c).alias(f"{c}1") for c in fields))
+    two = state.select("sig", "top", *(F.col(c).alias(f"{c}2") for c in fields))
+    new = (F.col("label1") != F.col("label2")) & ((F.col("label2") == F.col("top")) | (F.col("cls1") < F.col("cls2"))) & near(F.col("size1"), F.col("size2"))
+    met = F.coalesce(F.col("hub1") == F.col("cls2"), F.lit(False)) | F.coalesce(F.col("hub2") == F.col("cls1"), F.lit(False)) | F.coalesce(F.col("hub1") == F.col("hub2"), F.lit(False))
+    return one.join(two, (one["sig"] == two["sig"]) & new & ~met).select(F.least("cls1", "cls2").alias("a"), F.greatest("cls1", "cls2").alias("b")).distinct()
+
+
+def _within(state: DataFrame, first: DataFrame, labels: DataFrame, near, num: int, den: int) -> DataFrame:
+    """Pairs of classes with one hub, in different components, that can be linked.
+
+    With D the elements in which a class differs from the hub, two classes
+    differ in |D1| + |D2| - 2 |D1 and D2| elements, and a link allows h.  So the
+    sets D of a pair share t = (|D1| + |D2| - h) / 2 elements at least, and, each in the order
+    of the elements' frequency, one of the first |D| - t + 1; for the smaller
+    set these are no more than h / 2 + 1.  A pair with |D1| + |D2| <= h need
+    share none: there, classes not in the hub's component meet all that are as near to the hub.
+    """
+    active = state.select("cls", "label", "size", "hub").filter("hub is not null").distinct()
+    home = labels.select(F.col("cls").alias("hub"), F.col("label").alias("home"))
+    rows = active.join(first.select(F.col("a").alias("cls"), "apart"), "cls").join(home, "hub")
+    widest = F.floor((den - num) * (F.col("size") + F.floor(F.col("size") * den / num)) / (den + num))
+    rows = stored(rows.select("hub", "home", "cls", "label", "size", F.size("apart").alias("m"), widest.alias("widest"), "apart"), "apart")
+    each = rows.select("hub", "cls", F.explode("apart").alias("e"))
+    seen = stored(each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "seen")
+    # elements that one class alone has meet nobody, but keep their place before the others
+    shared = each.join(seen, ["hub", "e"]).groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("order"))
+    placed = rows.drop("apart").join(shared, "cls").select("*", F.posexplode("order").alias("p", "x"))
+    placed = placed.select("hub", "cls", "label", "size", "m", "widest", F.col("x.e").alias("e"), (F.col("p") + F.col("m") - F.size("order")).alias("p")).filter("p <= widest")
+    placed = stored(placed, "placed")
+    name = lambda df, i, *more: df.select("hub", *more, *(F.col(c).alias(f"{c}{i}") for c in ("cls", "label", "size", "m", "p")))
+    allowed = F.floor((den - num) * (F.col("size1") + F.col("size2")) / (den + num))
+    t = F.ceil((F.col("m1") + F.col("m2") - allowed) / 2)
+    apart = (F.col("label1") != F.col("label2")) & near(F.col("size1"), F.col("size2"))
+    larger = (F.col("m1") > F.col("m2")) | (F.col("m1") == F.col("m2")) & (F.col("cls1") > F.col("cls2"))
+    one, two = name(placed, 1, "e"), name(placed.filter("p <= widest / 2"), 2, "e")
+    meet = (one["hub"] == two["hub"]) & (one["e"] == two["e"]) & apart & larger & (t > 0) & (F.col("p1") <= F.col("m1") - t) & (F.col("p2") <= F.col("m2") - t)
+    sharing = one.join(two, meet).select("cls1", "cls2")
+    close = rows.filter("m <= widest").withColumn("p", F.lit(0))
+    one, two = name(close, 1), name(close.filter("label <> home"), 2)
+    none = one.join(two, (one["hub"] == two["hub"]) & apart & (F.col("m1") + F.col("m2") <= allowed)).select("cls1", "cls2")
+    return sharing.unionByName(none).select(F.least("cls1", "cls2").alias("a"), F.greatest("cls1", "cls2").alias("b")).distinct()
+
+
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): every row's key ``k``, set size ``n`` and class ``cls``; the label of each class that was compared.
 
@@ -281,29 +341,26 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     near = lambda a, b: den * F.least(a, b) >= num * F.greatest(a, b)
     linked = den * F.col("both") >= num * (F.col("na") + F.col("nb") - F.col("both"))
 
-    # the partner with which a class shares most signatures, among the least class of each
-    pivots = members.groupBy("sig").agg(F.min("cls").alias("pivot"))
-    votes = members.join(pivots, "sig").filter("cls <> pivot").groupBy("cls", "pivot").count()
-    best = votes.groupBy("cls").agg(F.max(F.struct("count", "pivot")).alias("best")).select(F.col("cls").alias("a"), F.col("best.pivot").alias("b"))
-    first = stored(_verified(best, sets), "links")
-    labels = components(nodes, first.filter(linked))
+    # each class and the most central class that shares a signature with it, its hub
+    central = members.join(members.groupBy("sig").count(), "sig").groupBy("cls").agg(F.sum("count").alias("degree"))
+    pivots = members.join(central, "cls").groupBy("sig").agg(F.max(F.struct("degree", "cls")).alias("top"))
+    best = members.join(pivots, "sig").filter("cls <> top.cls").groupBy("cls").agg(F.max("top").alias("top")).select(F.col("cls").alias("a"), F.col("top.cls").alias("b"))
+    first = stored(_verified(best, sets, differences=True), "links")
+    labels = roots(nodes, first.filter(linked))
 
     # signatures whose classes are still apart
-    apart = first.select(F.col("a").alias("cls"), F.col("b").alias("partner"), (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("distance"))
-    state = nodes.join(labels, "cls").join(apart, "cls", "left")
+    state = nodes.join(labels, "cls").join(first.select(F.col("a").alias("cls"), F.col("b").alias("hub")), "cls", "left")
     state = stored(members.join(state, "cls"), "state")
     by_label = state.groupBy("sig", "label").count()
     open_sigs = by_label.groupBy("sig").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("count", "label")).alias("top")).filter("labels > 1").select("sig", F.col("top.label").alias("top"))
     open_state = stored(state.join(open_sigs, "sig"), "open")
-    one = open_state.filter("label <> top").select("sig", *(F.col(c).alias(f"{c}1") for c in ("cls", "label", "size", "partner", "distance")))
-    two = open_state.select("sig", "top", *(F.col(c).alias(f"{c}2") for c in ("cls", "label", "size", "partner", "distance")))
-    slack = (den - num) / den + 1e-9
-    far = F.coalesce(F.when(F.col("partner1") == F.col("partner2"), F.abs(F.col("distance1") - F.col("distance2")) > slack).when(F.col("partner1") == F.col("cls2"), F.col("distance1") > slack).when(F.col("partner2") == F.col("cls1"), F.col("distance2") > slack), F.lit(False))
-    tried = one.join(two, "sig").filter((F.col("label1") != F.col("label2")) & ((F.col("label2") == F.col("top")) | (F.col("cls1") < F.col("cls2"))) & near(F.col("size1"), F.col("size2")) & ~far)
-    pairs = tried.select(F.least("cls1", "cls2").alias("a"), F.greatest("cls1", "cls2").alias("b")).distinct()
+    pairs = _across(open_state, near).unionByName(_within(open_state, first, labels, near, num, den)).distinct()
     second = stored(_verified(pairs, sets).filter(linked), "links")
     if second.limit(1).count():
-        labels = components(nodes, first.filter(linked).select("a", "b").unionByName(second.select("a", "b")))
+        of = lambda c: labels.select(F.col("cls").alias(c), F.col("label").alias(f"label_{c}"))
+        between = second.join(of("a"), "a").join(of("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).filter("a <> b").distinct()
+        joined = components(between).select(F.col("cls").alias("label"), F.col("label").alias("wide"))
+        labels = stored(labels.join(joined, "label", "left").select("cls", F.coalesce("wide", "label").alias("label")), "labels")
     return rows, labels
 
 
