@@ -419,9 +419,9 @@ def _contexts(docs: DataFrame, bitmap: bytes, hot: np.ndarray) -> DataFrame:
             scan.keep(_in(bits, scan.h))
             a, b = np.maximum(scan.place - REACH, scan.low), np.minimum(scan.place + LENGTH, scan.high)
             body = data.tobytes()
-            for x, d, s, e, base, many in zip(scan.h.view(np.int64).tolist(), scan.doc.tolist(), a.tolist(), b.tolist(), scan.low.tolist(), np.isin(scan.h, heavy).tolist()):
-                if not many:
-                    met.meet(x, body[s:e], (keys[d], s - base, e - base))
+            for x, d, p, s, e, base, many in zip(scan.h.view(np.int64).tolist(), scan.doc.tolist(), scan.place.tolist(), a.tolist(), b.tolist(), scan.low.tolist(), np.isin(scan.h, heavy).tolist()):
+                if not many:  # the first byte tells where the anchor is
+                    met.meet(x, bytes([p - s]) + body[s:e], (keys[d], s - base, e - base))
                     continue
                 for at in range(s, e - LENGTH + 1):
                     digest = hashlib.blake2b(body[at : at + LENGTH], digest_size=16).digest()
@@ -437,6 +437,27 @@ def _contexts(docs: DataFrame, bitmap: bytes, hot: np.ndarray) -> DataFrame:
     return docs.select("k", "t").mapInArrow(run, _ROWS)
 
 
+def alike(contexts: list[tuple[bytes, tuple[int, int, int]]]) -> list[tuple[bytes, tuple[int, int, int]]]:
+    """Contexts, without their first byte, that can share a 100-byte string with another of the group.
+
+    A 100-byte string around the anchor holds one of 17 ranges of 96 bytes, so
+    contexts that share no such range are left out of the sort.
+    """
+    if len(contexts) < 2:
+        return []
+    first: dict[tuple[int, bytes], int] = {}
+    keep = [False] * len(contexts)
+    for i, (c, _) in enumerate(contexts):
+        o = c[0] + 1
+        for left in range(0, min(REACH, o) + 1, 4):
+            part = c[o - left : o + LENGTH - 4 - left] if o - left > 0 else b""
+            if len(part) == LENGTH - 4:
+                j = first.setdefault((left, part), i)
+                if j != i:
+                    keep[i] = keep[j] = True
+    return [(c[1:], owner) for k, (c, owner) in zip(keep, contexts) if k]
+
+
 def _marked(rows: DataFrame, partitions: int) -> DataFrame:
     """(k, a, b): ranges of the repeated strings that a suffix array of each anchor's contexts shows, and of hot ones."""
 
@@ -448,7 +469,7 @@ def _marked(rows: DataFrame, partitions: int) -> DataFrame:
 
         for _, met in _groups(batches):
             out += met.again
-            some = [(c, owner) for (_, c), owner in met.seen.items() if len(c) >= LENGTH]
+            some = alike([(c, owner) for (_, c), owner in met.seen.items() if len(c) > LENGTH])
             if len(some) > 1:
                 last = None
                 for c, at in sorted(repeated([(c, owner[:2]) for c, owner in some])):
