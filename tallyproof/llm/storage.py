@@ -27,4 +27,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyproof-"))
     path = f"{context._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    context._jvm.System.gc()  # shuffle files go when the driver lets go of the plans that made them
     return spark.read.schema(df.schema).parquet(path)
