@@ -13,10 +13,13 @@ as many small rows as any other.  Of the finished tree only the paths to be cut
 are kept; they are broadcast if there are at most ``broadcast_paths`` of them,
 and joined to the pages by host otherwise.
 
-Element names, roles and classes that name menus, adverts, comments and the
-like have importance 0 by definition, on any number of pages.  If a page has an
-article or main element, what lies outside of it is not part of the text, and
-these elements themselves are never cut.
+Element names and roles of menus, adverts, comments and the like have importance
+0 by definition, on any number of pages.  Classes and ids that name them are only
+a prior: article and main elements are never cut by them, and no branch that
+holds most of the page's text (of the articles, if there are any; nine tenths for
+a class or id that is such a name as a whole) or, in an article, its h1.  What
+is spared that way is judged by the tree like any other branch.  If a page has an
+article or main element, what lies outside of it is not part of the text.
 
 Defined results: null or empty html gives an empty text; a null url is a host
 of its own; character references are decoded; white space inside a block is
@@ -55,7 +58,13 @@ NOISE_NAMES = frozenset(
     "notice notices cookie cookies consent gdpr alert popup modal overlay comment comments commentlist reply replies respond disqus share sharing social related recommended subscribe newsletter signup login search pagination pager widget widgets tags legal copyright disclaimer".split()
 )
 MAIN_NAMES = frozenset(["articlebody"])
+#: Inside an article these name its own title, as the header element does.
+TITLE_NAMES = frozenset(["header"])
+#: The share of a page's text from which a class or id doesn't cut: a part of a longer name, a whole name.
+PART_SHARE, WHOLE_SHARE = 0.5, 0.9
 _NAME = re.compile(r"[a-z]+")
+_TAG = re.compile(r"<[^>]*>")
+_ARTICLE = re.compile(r"<(?:article|main|h1)\b|\barticlebody\b", re.I)
 
 
 class Page:
@@ -65,11 +74,14 @@ class Page:
         self.blocks: list[tuple[str, tuple[int, ...]]] = []  # text, branch numbers
         self.paths: list[int] = []  # branch number -> path
         self.noise: list[bool] = []
+        self.named: dict[int, float] = {}  # branches with a noise name -> the share of text that spares them
+        self.headings: set[int] = set()
         self.main: list[bool] = []
         self.children: list[list[str]] = []
         self.stack: list[tuple[str, int]] = []  # tag, branch number
         self.words: list[str] = []
         self.read(source)
+        self.judge_names()
 
     def flush(self) -> None:
         if self.words:
@@ -94,7 +106,13 @@ class Page:
         words = _NAME.findall(names)
         main = main or role == "main"
         inside = any(self.main[b] for _, b in self.stack)
-        noise = gone or tag in NOISE_TAGS or role in NOISE_ROLES or tag == "header" and not inside or tag not in ("html", "body") and any(w in NOISE_NAMES for w in words)
+        noise = gone or tag in NOISE_TAGS or role in NOISE_ROLES or tag == "header" and not inside
+        if words and not main and tag not in ("html", "body"):
+            bad = NOISE_NAMES.intersection(words)
+            if bad and not (inside and bad <= TITLE_NAMES):
+                self.named[len(self.paths)] = PART_SHARE if NOISE_NAMES.isdisjoint(names.split()) else WHOLE_SHARE
+        if tag == "h1":
+            self.headings.add(len(self.paths))
         over = self.stack[-1][1] if self.stack else -1
         label = f"{tag}.{'.'.join(sorted(set(words)))}"
         if over >= 0:
@@ -113,7 +131,7 @@ class Page:
                 return
 
     def read(self, source: str) -> None:
-        at, n = 0, len(source)
+        at, n, bare = 0, len(source), None
         while at < n:
             m = _TOKEN.search(source, at)
             if m is None:
@@ -150,6 +168,12 @@ class Page:
                     depth = len(self.paths)
                     held = self.words
                     self.push(tag, attributes)
+                    named, end = self.named.pop(depth, None) is not None, at
+                    if named and not self.noise[depth]:  # it has no blocks of its own, so its source is measured
+                        end = self.skip(source, at, tag)
+                        if bare is None:
+                            bare = len(_TAG.sub("", source))
+                        self.noise[depth] = 2 * len(_TAG.sub("", source[at:end])) < bare and not _ARTICLE.search(source, at, end)
                     if self.noise[depth]:  # a branch of its own; text before it stays one block with what follows only if nothing is cut
                         self.stack.pop()
                         self.words = held
@@ -167,6 +191,24 @@ class Page:
                 self.stack.pop()
         self.flush()
 
+    def judge_names(self) -> None:
+        """Make noise of the branches with a noise name, but for those that hold most of the text or an article's h1."""
+        if not self.named:
+            return
+        seen = [(text, branches) for text, branches in self.blocks if not any(self.noise[b] for b in branches)]
+        inside = [x for x in seen if any(self.main[b] for b in x[1])]
+        total, held = 0, dict.fromkeys((self.paths[b] for b in self.named), 0)  # branches of one path count together
+        for text, branches in inside or seen:
+            total += len(text)
+            for path in {self.paths[b] for b in branches if b in self.named}:
+                held[path] += len(text)
+        titles = {b for _, branches in inside if not self.headings.isdisjoint(branches) for b in branches}
+        cut = {b for b, share in self.named.items() if b not in titles and (not held[self.paths[b]] or held[self.paths[b]] < share * total)}
+        if all(not cut.isdisjoint(branches) for _, branches in inside or seen):  # nothing would be left: only whole names count
+            cut = {b for b in cut if self.named[b] == WHOLE_SHARE}
+        for b in cut:
+            self.noise[b] = True
+
     @staticmethod
     def skip(source: str, at: int, tag: str) -> int:
         """Past the end tag of an inline branch that is cut; if it has none, past its opening tag only."""

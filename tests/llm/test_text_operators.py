@@ -235,3 +235,31 @@ def test_branches_that_all_pages_of_a_host_repeat_are_cut(spark, broadcast):
     df = spark.createDataFrame([(i, "http://a.example/" if i < 8 else None, page(i)) for i in range(10)], "page_id long, url string, html string")
     rows = {r.page_id: r.text for r in style_tree.extract(df, broadcast_paths=broadcast).collect()}
     assert rows == {i: f"Story {i} of many" if i < 8 else f"Buy now\nStory {i} of many" for i in range(10)}
+
+
+NAMED = [
+    ("<nav>n</nav><article class='post has-comments'><h1>T</h1><p>One</p></article>", "T\nOne"),
+    ("<article class='hentry category-social'><p>One</p><div class=share>Share it</div></article>", "One"),
+    ("<main class='with-sidebar'><p>One</p></main><div class=sidebar>s</div>", "One"),
+    ("<div id='content-with-sidebar'><p>A long story of the day</p><div class=sidebar>s</div></div><div class=menu>m</div>", "A long story of the day"),
+    ("<div class='page-footer-fixed'><article><p>One</p></article></div>", "One"),
+    ("<article><div class='entry-header'><h1>Title</h1></div><p>One two three four</p></article>", "Title\nOne two three four"),
+    ("<article><div class='promo box'><h1>Title</h1></div><p>One two three four</p></article>", "Title\nOne two three four"),
+    ("<article><p>A story with its end</p></article><div id=comments><article class='comment'><p>so it is</p></article></div>", "A story with its end"),
+    ("<div><p>Short</p></div><div class=comments><p>longer than the text</p></div>", "Short"),
+    ("<div class='post has-comments'>One</div><div class='post category-social'>Two</div><div class='post related-b'>Six</div><div class=ad>x</div>", "One\nTwo\nSix"),
+    ("<p>One <span class=ad>x</span>two <span class='promo text'>and <b>three</b></span></p>" + "<p>four</p>" * 9, "\n".join(["One two", *["four"] * 9])),
+    ("<p><span class='with-sidebar'>All of the text is in here</span></p>", "All of the text is in here"),
+]
+
+
+@pytest.mark.parametrize(("html", "text"), NAMED)
+def test_names_are_only_a_prior(html, text):
+    assert style_tree.Page(html).text(frozenset()) == text
+
+
+def test_the_tree_cuts_what_names_spare(spark):
+    page = lambda i: f"<div class='promo-wide'><p>The same long words on all the pages</p></div><div><p>Story {i}</p></div>"
+    df = spark.createDataFrame([(i, "http://a.example/", page(i)) for i in range(8)], "page_id long, url string, html string")
+    assert style_tree.Page(page(0)).text(frozenset()).startswith("The same")
+    assert {r.page_id: r.text for r in style_tree.extract(df).collect()} == {i: f"Story {i}" for i in range(8)}
