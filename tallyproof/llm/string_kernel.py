@@ -11,6 +11,12 @@ Training reads at most ``per_class`` labelled rows of each language, chosen by
 a hash of the key, from the rows that the caller marks for training; landmarks
 are shared out among the languages.  The model is a few MB whatever the input.
 
+Texts of no known language are told by another measure, as scores say only
+which of the known ones is nearest: the share of a text's n-grams that the
+predicted language's profile holds, n-grams of a fiftieth of its training rows.
+Each language's floor comes from its own training rows, each measured on the
+others of its language, so it does not depend on how many languages there are.
+
 Defined results: a null text, or one without a letter, gets ``und`` and score
 0, as do all texts when there is nothing to learn from; ties go to the
 language that sorts first; repeated rows get equal answers.
@@ -82,12 +88,37 @@ class Model:
         return f.argmax(1), (e / e.sum(1, keepdims=True)).max(1)
 
 
+class Profiles:
+    """Which n-grams are usual in each language, and the least share of usual ones that its texts have."""
+
+    def __init__(self, classes: list[str], texts: list[str], labels: list[str], usual: float = 0.02, lost: float = 0.01, slack: float = 0.9) -> None:
+        place = {c: i for i, c in enumerate(classes)}
+        room = np.zeros((128, BUCKETS), np.float32)
+        self.usual, self.floor = np.zeros((len(classes), BUCKETS), bool), np.zeros(len(classes))
+        for c, i in place.items():
+            own = [t for t, label in zip(texts, labels) if label == c]
+            parts = range(0, len(own), len(room))
+            counts = sum((presence(own[at : at + len(room)], room).sum(0) for at in parts), np.zeros(BUCKETS, np.float32))
+            least = max(1.0, usual * len(own))
+            self.usual[i] = counts >= least
+            held_back = []
+            for at in parts:
+                x = presence(own[at : at + len(room)], room)
+                held_back += ((x * (counts - 1 >= least)).sum(1) / np.maximum(x.sum(1), 1)).tolist()
+            self.floor[i] = slack * np.quantile(held_back, lost) if held_back else 0.0
+
+    def known(self, x: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """Whether rows of presence reach the floor of their best class."""
+        share = np.einsum("ij,ij->i", x, self.usual[best].astype(np.float32)) / np.maximum(x.sum(1), 1)
+        return share >= self.floor[best]
+
+
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def fit(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_class: int = 250, classes: int = 64, landmarks: int = 128, ridge: float = 0.1) -> Model:
-    """A model from at most ``per_class`` rows of each of the ``classes`` most frequent labels.
+def training_rows(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_class: int = 250, classes: int = 64) -> tuple[list[str], list[str]]:
+    """Texts and labels of at most ``per_class`` rows of each of the ``classes`` most frequent labels.
 
     Keys are chosen first, without texts; the chosen few are then joined to the texts.
     """
@@ -97,7 +128,12 @@ def fit(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text",
     chosen = rows.filter(F.col("_c").isin(common)).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_class)
     found = docs.filter(train).join(F.broadcast(chosen.select(F.col("_k").alias(key), "_c", "_r").distinct()), key).select("_c", "_r", text).orderBy("_c", "_r", text).collect()
     found = [r for r in found if has_letter(r[2])]
-    return Model([r[2] for r in found], [r[0] for r in found], landmarks, ridge)
+    return [r[2] for r in found], [r[0] for r in found]
+
+
+def fit(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_class: int = 250, classes: int = 64, landmarks: int = 128, ridge: float = 0.1) -> Model:
+    """A model of the training rows."""
+    return Model(*training_rows(docs, train, key, text, label, per_class, classes), landmarks, ridge)
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -128,18 +164,20 @@ def held_out(key: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds == 0
 
 
-def reject_unknown(docs: DataFrame, train: Column, least: float = 0.3, key: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
-    """``docs`` without rows of no language: no letter, or a score under ``least``; all columns as they were.
+def reject_unknown(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
+    """``docs`` without rows of no known language: no letter, or too few n-grams that are usual in the nearest; all columns as they were.
 
     Decisions are made row by row where the text is read, so nothing is joined.
     """
-    model = fit(docs, train, key, text, label)
+    texts, labels = training_rows(docs, train, key, text, label)
+    model = Model(texts, labels)
+    profiles = Profiles(model.classes, texts, labels)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_x"))
     kind = rows.schema["_row"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model, profiles))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m, usual = shared.value
         room = np.zeros((128, BUCKETS), np.float32)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
@@ -147,8 +185,8 @@ def reject_unknown(docs: DataFrame, train: Column, least: float = 0.3, key: str
                 texts = part.column(1).to_pylist()
                 known = [i for i, t in enumerate(texts) if has_letter(t)]
                 if known and m.classes:
-                    share = m.score([texts[i] for i in known], room)[1]
-                    known = [i for i, s in zip(known, share.tolist()) if s >= least]
+                    best = m.score([texts[i] for i in known], room)[0]
+                    known = [i for i, good in zip(known, usual.known(room[: len(known)], best).tolist()) if good]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(known, pa.int64()))], ["_row"])
 
     return rows.mapInArrow(run, f"_row {kind}").select("_row.*")

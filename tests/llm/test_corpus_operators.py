@@ -203,6 +203,41 @@ def test_language_id(spark, sf):
     assert kept.columns == [*docs.columns, "_x"] and kept.count() >= 0.95 * docs.count()
 
 
+FOREIGN = [
+    "Президент сказал, что новый закон будет обсуждаться в парламенте на следующей неделе, потому что граждане хотят ясных ответов.",
+    "总统表示新法律将于下周在议会讨论，因为公民想要明确的答案。",
+    "for (int i = 0; i < n; ++i) { if (a[i] != b[i]) return false; } std::vector<int> xs{1,2,3}; printf(\"%d\\n\", xs[0]);",
+    *("".join(random.Random(i).choices(letters, k=500)) for i, letters in enumerate(("0123456789abcdef", "bcdfghjklmnpqrstvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))),
+]
+
+
+@pytest.mark.parametrize("langs", [["en", "fr"], ["en", "fr", "de", "es"]])
+def test_texts_of_no_known_language_go(spark, sf, langs):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").filter(F.col("lang").isin(langs)).select("doc_id", "text", "lang")
+    strange = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(FOREIGN)], docs.schema)
+    kept = {r.doc_id for r in string_kernel.reject_unknown(docs.unionByName(strange), ~string_kernel.held_out()).collect()}
+    assert not {k for k in kept if k >= 10**9}
+    assert len(kept) >= 0.97 * docs.count()
+
+
+def test_the_floor_does_not_depend_on_the_number_of_languages():
+    rng = random.Random(4)
+    words = {f"l{c:02}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(40)] for c in range(64)}
+    rows = [(" ".join(rng.choice(w) for _ in range(60)), c) for c, w in words.items() for _ in range(12)]
+    for classes in (2, 64):
+        some = [r for r in rows if int(r[1][1:]) < classes]
+        model = string_kernel.Model([t for t, _ in some], [c for _, c in some])
+        profiles = string_kernel.Profiles(model.classes, [t for t, _ in some], [c for _, c in some])
+        import numpy as np
+
+        clean = [" ".join(rng.choice(words[c]) for _ in range(60)) for c in model.classes]
+        for texts, want in ((clean, True), (FOREIGN, False)):
+            room = np.zeros((len(texts), string_kernel.BUCKETS), np.float32)
+            best, _ = model.score(texts, room)
+            got = profiles.known(room, best)
+            assert got.mean() >= 0.95 if want else not got.any()
+
+
 def test_kernel_against_sets():
     import numpy as np
 
