@@ -377,7 +377,20 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` whose key is the least of its component, columns as they were."""
-    chosen = join(docs, key, text, words, num, den).filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_k")).distinct()
-    nameless = docs.filter(F.col(key).isNull())
-    return docs.join(chosen, F.col(key) == F.col("_k"), "left_semi").unionByName(nameless)
+    """One row of ``docs`` of each component, columns as they were.
+
+    It is the one with the least key, null keys last, then the least text hash.
+    Rows that share key and text are one document repeated, of which one row stays, with
+    or without words.  Copies meet where they are read before they are shuffled, so a
+    document with a third of all rows is one row a task.
+    """
+    ident = F.struct(F.col(f"`{key}`").isNull().alias("nameless"), F.col(f"`{key}`").alias("k"), F.xxhash64(F.col(f"`{text}`")).alias("h"))
+    found = join(docs.select(ident.alias("_id"), F.col(f"`{text}`").alias("_t")), "_id", "_t", words, num, den)
+    flat = lambda c: [F.col(f"{c}.{f}").alias(f"_{f}") for f in ("nameless", "k", "h")]
+    chosen = stored(found.filter(F.col("_id") == F.col("component_id")).select(*flat("_id")).distinct(), "chosen").alias("c")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    rows = docs.select(ident.alias("_id"), whole.alias("_row"), order.alias("_order")).select(*flat("_id"), "_row", "_order")
+    rows = rows.groupBy("_nameless", "_k", "_h").agg(F.min_by("_row", "_order").alias("_row")).alias("r")
+    same = (F.col("r._h") == F.col("c._h")) & (F.col("r._nameless") == F.col("c._nameless")) & F.col("r._k").eqNullSafe(F.col("c._k"))
+    return rows.join(chosen, same, "left_semi").select("_row.*")

@@ -74,6 +74,19 @@ def test_join_against_all_pairs(spark, size, num):
     assert {r.doc_id for r in kept.collect()} == {c for _, c in got.values()}
 
 
+def test_one_row_of_each_group_stays(spark):
+    one, two = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    near, far = one + " more", " ".join(f"u{i}" for i in range(40))
+    rows = [(2, one), (2, one), (2, one), (3, near), (None, one), (5, two), (5, two), (1, two), (2, two), (None, far), (None, far), (None, far + " end"), (None, None), (None, None), (7, ""), (7, ""), (8, "")]
+    kept = [(r.doc_id, r.text) for r in partenum.keep_one(frame(spark, rows), words=5, num=80, den=100).collect()]
+    want = [(2, one), (1, two), (None, None), (7, ""), (8, "")]
+    rest = [r for r in kept if r not in want]
+    assert len(kept) == len(want) + 1 and all(r in kept for r in want)
+    assert rest[0] in [(None, far), (None, far + " end")]
+    again = partenum.keep_one(frame(spark, rows[::-1]).repartition(3), words=5, num=80, den=100)
+    assert sorted(map(str, kept)) == sorted(str((r.doc_id, r.text)) for r in again.collect())
+
+
 def test_join_of_nothing(spark):
     assert partenum.join(frame(spark, [])).count() == 0
     assert [tuple(r) for r in partenum.join(frame(spark, [(5, None)])).collect()] == [(5, 0, 5)]
