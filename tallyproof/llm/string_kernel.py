@@ -7,9 +7,10 @@ texts give the Nystroem map K(x, L) K(L, L)^-1/2, on which one-versus-rest
 kernel ridge regression is solved in closed form; a batch of texts is scored by
 two matrix products.
 
-Training reads at most ``per_class`` labelled rows of each language, chosen by
-a hash of the key, from the rows that the caller marks for training; landmarks
-are shared out among the languages.  The model is a few MB whatever the input.
+Training reads at most ``per_class`` labelled rows of every language, chosen by
+a hash of the key, from the rows that the caller marks for training, and fewer
+of each where there are many languages; landmarks are shared out among the
+languages, one each at least.  The model is a few MB whatever the number of rows.
 
 Texts of no known language are told by another measure, as scores say only
 which of the known ones is nearest: the share of a text's n-grams that the
@@ -68,7 +69,7 @@ class Model:
         for i, c in enumerate(labels):  # the first of each language, then the second of each, ...
             order.append((turn.setdefault(c, 0), c, i))
             turn[c] += 1
-        chosen = [i for _, _, i in sorted(order)[:landmarks]]
+        chosen = [i for _, _, i in sorted(order)[: max(landmarks, len(self.classes))]]
         self.landmarks = np.ascontiguousarray(x[chosen].T)
         values, vectors = np.linalg.eigh((self.landmarks.T @ self.landmarks).astype(np.float64))
         good = values > 1e-6 * values.max()
@@ -117,23 +118,23 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def training_rows(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_class: int = 250, classes: int = 64) -> tuple[list[str], list[str]]:
-    """Texts and labels of at most ``per_class`` rows of each of the ``classes`` most frequent labels.
+def training_rows(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_class: int = 250, most: int = 16_000) -> tuple[list[str], list[str]]:
+    """Texts and labels of at most ``per_class`` rows of every label, fewer each if that were over ``most`` rows.
 
     Keys are chosen first, without texts; the chosen few are then joined to the texts.
     """
     rows = docs.filter(train & F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("_k"), F.col(label).alias("_c"))
-    common = [r["_c"] for r in rows.groupBy("_c").count().orderBy(F.desc("count"), "_c").limit(classes).collect()]
+    each = max(1, min(per_class, most // max(1, rows.select("_c").distinct().count())))
     order = Window.partitionBy("_c").orderBy(F.xxhash64("_k"), "_k")
-    chosen = rows.filter(F.col("_c").isin(common)).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_class)
+    chosen = rows.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= each)
     found = docs.filter(train).join(F.broadcast(chosen.select(F.col("_k").alias(key), "_c", "_r").distinct()), key).select("_c", "_r", text).orderBy("_c", "_r", text).collect()
     found = [r for r in found if has_letter(r[2])]
     return [r[2] for r in found], [r[0] for r in found]
 
 
-def fit(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_class: int = 250, classes: int = 64, landmarks: int = 128, ridge: float = 0.1) -> Model:
+def fit(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_class: int = 250, landmarks: int = 128, ridge: float = 0.1) -> Model:
     """A model of the training rows."""
-    return Model(*training_rows(docs, train, key, text, label, per_class, classes), landmarks, ridge)
+    return Model(*training_rows(docs, train, key, text, label, per_class), landmarks, ridge)
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

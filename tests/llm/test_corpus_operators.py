@@ -251,6 +251,19 @@ def test_the_floor_does_not_depend_on_the_number_of_languages():
             assert got.mean() >= 0.95 if want else not got.any()
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(200 * 9)]
+    rows = [(c * 10 + i, " ".join(rng.choices(words[9 * c : 9 * c + 9], k=30)), f"l{c:03}") for c in range(200) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = string_kernel.fit(docs, F.lit(True))
+    assert model.classes == sorted({r[2] for r in rows})
+    got = {r.doc_id: r.lang_pred for r in string_kernel.predict(docs, model).collect()}
+    assert sum(got[k] == c for k, _, c in rows) >= 0.95 * len(rows)
+    texts, labels = string_kernel.training_rows(docs, F.lit(True), most=400)
+    assert collections.Counter(labels) == {c: 2 for c in model.classes}
+
+
 def test_kernel_against_sets():
     import numpy as np
 
