@@ -15,7 +15,8 @@ the string lies within 68 bytes of its anchor.  Four passes follow:
 2. A 100-byte string holds one of four 83-byte ranges around its anchor; anchors
    none of whose ranges occurs twice are dropped, which short common lines are.
 3. The digests of the remaining contexts (the anchor and 68 bytes on either side)
-   are grouped by anchor.  A context met again is removed as a whole.
+   are grouped by anchor and context, and contexts counted by anchor.  A context
+   met again is removed as a whole.
 4. Where an anchor has several contexts, their bytes are sorted together by the
    suffix array; equal 100-byte strings then stand side by side, and all but the
    earliest are marked.  Anchors with more than ``hot`` contexts are not gathered:
@@ -386,7 +387,10 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, Met
 
 
 def _resolved(rows: DataFrame, partitions: int) -> DataFrame:
-    """Ranges (k, a, b) of contexts met again, and (h, n) of anchors with several contexts."""
+    """Ranges (k, a, b) of contexts met again, and (h, n) of anchors with n contexts, in parts to be summed.
+
+    Rows are dealt by anchor and context, so no anchor is gathered whole.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -394,29 +398,43 @@ def _resolved(rows: DataFrame, partitions: int) -> DataFrame:
         def table() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["h", "n", "k", "a", "b"])
 
-        for h, met in _groups(batches):
-            out += [(None, None, *r) for r in met.again]
-            if len(met.seen) > 1:
-                out.append((h, len(met.seen), None, None, None))
-            if len(out) > 20_000:
-                yield table()
-                out.clear()
+        anchor, context, owner, n = None, None, None, 0
+        for batch in batches:
+            for h, c, *at in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if c is None:
+                    out.append((None, None, *at))
+                elif h == anchor and c == context:
+                    if at != owner:
+                        owner, again = min(owner, at), max(owner, at)
+                        out.append((None, None, *again))
+                else:
+                    if h != anchor and n:
+                        out.append((anchor, n, None, None, None))
+                        n = 0
+                    anchor, context, owner, n = h, c, at, n + 1
+                if len(out) > 20_000:
+                    yield table()
+                    out.clear()
+        if n:
+            out.append((anchor, n, None, None, None))
         if out:
             yield table()
 
-    return rows.repartition(partitions, "h").sortWithinPartitions("h").mapInArrow(run, "h long, n long, k long, a long, b long")
+    return rows.repartition(partitions, "h", "context").sortWithinPartitions("h", "context").mapInArrow(run, "h long, n long, k long, a long, b long")
 
 
-def _contexts(docs: DataFrame, bitmap: bytes, hot: np.ndarray) -> DataFrame:
-    """Rows of the distinct contexts, in bytes, of anchors in the bitmap; of the hot ones, of their 100-byte strings as digests."""
-    shared = docs.sparkSession.sparkContext.broadcast((bitmap, hot))
+def _contexts(docs: DataFrame, bitmap: bytes, grams: bytes, hot: np.ndarray) -> DataFrame:
+    """Rows of the distinct contexts, in bytes, of anchors in the bitmap near which a range repeats; of the hot ones, of their 100-byte strings as digests."""
+    shared = docs.sparkSession.sparkContext.broadcast((bitmap, grams, hot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, heavy = np.frombuffer(shared.value[0], np.uint8), shared.value[1]
+        bits, two, heavy = np.frombuffer(shared.value[0], np.uint8), np.frombuffer(shared.value[1], np.uint8), shared.value[2]
         met, strings = Met(), Met()
         for keys, data, bounds in _texts(batches):
             scan = Scan(data, bounds)
             scan.keep(_in(bits, scan.h))
+            gram, whose = scan.grams()
+            scan.keep(np.unique(whose[_in(two, gram)]))  # as in the count that hotness is decided on
             a, b = np.maximum(scan.place - REACH, scan.low), np.minimum(scan.place + LENGTH, scan.high)
             body = data.tobytes()
             for x, d, p, s, e, base, many in zip(scan.h.view(np.int64).tolist(), scan.doc.tolist(), scan.place.tolist(), a.tolist(), b.tolist(), scan.low.tolist(), np.isin(scan.h, heavy).tolist()):
@@ -500,11 +518,12 @@ def removed_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
     anchors = _filter_of(counts)
     ranges = stored(_counts(rows, base, anchors), "ranges")
     total = ranges.agg(F.sum("n")).first()[0] or 0
-    found = stored(_resolved(_digests(rows, anchors, _filter_of(ranges)), max(base, total // 400_000)), "contexts")
-    several = found.filter("h is not null").select("h", "n")
+    grams = _filter_of(ranges)
+    found = stored(_resolved(_digests(rows, anchors, grams), max(base, total // 400_000)), "contexts")
+    several = stored(found.filter("h is not null").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1"), "several")
     heavy = max(hot, total // 10_000_000)  # so at most ten million hashes are sent out
     many = np.sort(np.array([r[0] for r in several.filter(F.col("n") > heavy).select("h").collect()], np.int64).view(np.uint64))
-    marked = _marked(_contexts(rows, _filter_of(several), many), max(base, total // 400_000))
+    marked = _marked(_contexts(rows, _filter_of(several), grams, many), max(base, total // 400_000))
     return found.filter("h is null").select("k", "a", "b").unionByName(marked)
 
 

@@ -197,6 +197,26 @@ def test_substring_dedup(spark, hot):
     assert got == plain_removal(rows)
 
 
+def test_no_anchor_is_gathered_whole(spark):
+    rows = [(7, i.to_bytes(16, "big"), i % 900, 0, 168) for i in range(1000)] + [(8, b"x", 1, 0, 168), (8, b"x", 2, 5, 173), (8, b"x", 2, 5, 173), (8, None, 3, 0, 9)]
+    found = suffix_groups._resolved(spark.createDataFrame(rows, suffix_groups._ROWS), 8).collect()
+    parts = [r.n for r in found if r.h == 7]
+    assert sum(parts) == 1000 and len(parts) == 8 and max(parts) < 300
+    assert [r.n for r in found if r.h == 8] == [1] and sorted(tuple(r)[2:] for r in found if r.h is None) == [(2, 5, 173), (2, 5, 173), (3, 0, 9)]
+
+
+def test_only_contexts_with_a_repeated_range_are_gathered(spark, monkeypatch):
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    common, tail = text(60), text(70)
+    texts = [text(90) + common + text(90) for _ in range(40)] + [text(90) + common + tail + text(40) for _ in range(3)]
+    given, marked = [], suffix_groups._marked
+    monkeypatch.setattr(suffix_groups, "_marked", lambda rows, n: (given.append(rows.count()), marked(rows, n))[1])
+    docs = frame(spark, list(enumerate(texts)))
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_groups.apply(docs, suffix_groups.removed_ranges(docs)).collect()}
+    assert got == plain_removal(list(enumerate(texts))) and 0 < given[0] < 40
+
+
 def test_substring_dedup_of_nothing(spark):
     assert suffix_groups.dedup(frame(spark, [])).count() == 0
     assert [tuple(r)[:4] for r in suffix_groups.dedup(frame(spark, [(None, None)])).collect()] == [(None, 0, 0, 0)]
