@@ -29,7 +29,7 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.digests(table(spark, sf_dir, "documents"))
+    return line_dedup.digests(table(spark, sf_dir, "documents"), sentence=line_dedup.SENTENCE, least=line_dedup.LEAST)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,18 +101,27 @@ select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, m.c component_id
 from documents d left join n on n.doc_id = d.doc_id join (select x, min(y) c from r group by x) m on m.x = d.doc_id
 """,
     "op3_substring_dedup": rf"""
-with u as (
-  select doc_id, coalesce(text, '') x, unnest(string_split(coalesce(text, ''), chr(10))) l,
+with l as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) l,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) i
   from documents),
+u as (
+  select doc_id, i, unnest(s) u, generate_subscripts(s, 1) j
+  from (select doc_id, i, string_split(regexp_replace(l, '([.!?] )', '\1' || chr(31), 'g'), chr(31)) s from l)),
+n as (
+  select *, lower(trim(regexp_replace(u, '{_SPACES}', ' ', 'g'))) norm,
+         len(list_filter(regexp_split_to_array(u, '{_SPACES}'), lambda w: w <> '')) n_words
+  from u),
 r as (
-  select *, regexp_matches(l, '[^\x20\x09-\x0D]') word,
-         row_number() over (partition by lower(trim(regexp_replace(l, '{_SPACES}', ' ', 'g'))) order by doc_id, i) rn
-  from u)
-select doc_id, (count(*) filter (word))::bigint n_units, (count(*) filter (word and rn > 1))::bigint n_removed,
-       coalesce(sum(length(l)) filter (word and rn > 1), 0)::bigint removed_chars,
-       sha256(coalesce(string_agg(l, chr(10) order by i) filter (not word or rn = 1), '')) kept_sha256
-from r group by doc_id
+  select *, n_words >= {line_dedup.LEAST} and row_number() over (partition by n_words >= {line_dedup.LEAST}, norm order by doc_id, i, j) > 1 gone
+  from n),
+k as (
+  select doc_id, i, count(*) filter (n_words > 0) n_units, count(*) filter (gone) n_removed,
+         coalesce(sum(length(u)) filter (gone), 0) removed_chars, coalesce(string_agg(u, '' order by j) filter (not gone), '') rest
+  from r group by doc_id, i)
+select doc_id, sum(n_units)::bigint n_units, sum(n_removed)::bigint n_removed, sum(removed_chars)::bigint removed_chars,
+       sha256(coalesce(string_agg(rest, chr(10) order by i) filter (rest <> '' or n_removed = 0), '')) kept_sha256
+from k group by doc_id
 """,
     "op4_quality_rules": rf"""
 with t as (
