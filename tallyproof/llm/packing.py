@@ -13,31 +13,26 @@ leaves one open window a task, and that one is written as windows whose
 lengths are powers of two, which need no padding.
 
 Defined results: a null or empty text is the end id alone; equal rows are
-packed separately; an empty table gives no rows.  A sequence number is the
-number of the task shifted by 40 bits plus a count within it: a rerun of a task
-reads the same split and gives the same numbers.
+packed separately; ties of length go by order of reading; an empty table gives no
+rows; columns other than key and text are left out, whatever their names; keys
+may be of any type, null included.  A sequence number is the number of the task
+shifted by 40 bits plus a count within it: a rerun of a task reads the same split
+and gives the same numbers.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 WINDOW = 1024
 END_ID = 0
-#: Distinct words whose ids a worker keeps; when full, it starts again.
-WORDS_KEPT = 600_000
-
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_FIRST = "\0"
 #: How byte-level vocabularies cut texts before merging (a fixed value of the format).
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -50,18 +45,16 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of whole texts by a byte-level tokenizer file, with the ids of words kept between texts.
+    """Ids of whole texts by a byte-level tokenizer file.
 
     The vocabulary is read from the file; merges are done by the ``tiktoken``
-    core, which gives the ids that ``tokenizers`` gives (tested) in a fourth of
-    its time.  Nothing is merged across a single space or line feed, so a text
-    is the concatenation of its words, each with the space or line feed before
-    it.  Texts with other white space are cut only at single spaces between
-    other characters; texts with a zero character, which marks first words
-    here, are encoded as they are.
+    core, which gives the ids that ``tokenizers`` gives (tested) in a fraction of
+    its time.  The file's added tokens get their own ids wherever a text holds
+    their strings, as in a plain ``Tokenizer.encode``; with ``added`` off, such
+    strings are ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = True) -> None:
         import json
 
         import tiktoken
@@ -71,62 +64,18 @@ class Encoder:
         special = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
         of = byte_alphabet()
         ranks = {bytes(map(of.__getitem__, t)): i for t, i in model["model"]["vocab"].items() if t not in special}
-        self.merges = tiktoken.Encoding("own", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
-        (self.feed,) = self.merges.encode_ordinary("\n")
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat = array("I")
-        self.ends = array("q", [0, 0])  # place 0 is the empty word
-
-    def learn(self, words: list[str]) -> None:
-        """Keep the ids of words; -1 is kept for those with other white space."""
-        plain = []
-        for w in words:
-            core = w[1:] if w[:1] in ("\n", _FIRST) else w
-            if core.split() == [core]:
-                plain.append((w, core if w is not core else " " + core))
-            else:
-                self.place[w] = -1
-        ids = np.array(self.merges.encode_ordinary("\n".join([t for _, t in plain])), np.uint32)
-        feed = np.append(np.flatnonzero(ids == self.feed), len(ids)).tolist()
-        start = 0
-        for (w, _), end in zip(plain, feed):
-            self.place[w] = len(self.ends) - 1
-            if w[0] == "\n":
-                self.flat.append(self.feed)
-            self.flat.frombytes(ids[start:end].tobytes())
-            self.ends.append(len(self.flat))
-            start = end + 1
+        self.special = tuple(special) if added else ()
+        self.merges = tiktoken.Encoding("own", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens=special if added else {})
+
+    def ids(self, text: str | None) -> list[int]:
+        if not text:
+            return []
+        if any(s in text for s in self.special):
+            return self.merges.encode(text, allowed_special="all")
+        return self.merges.encode_ordinary(text)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [t.replace("\n", " \n").split(" ") if t and _FIRST not in t else [] for t in texts]
-        for p in split:
-            if p:
-                p[0] = _FIRST + p[0]
-        words = list(chain.from_iterable(split))
-        new = set(words).difference(self.place)
-        if len(self.place) + len(new) > WORDS_KEPT and self.place:
-            self.clear()
-            new = set(words)
-        self.learn(list(new))
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        words_upto = np.cumsum([0, *map(len, split)])
-        flat, ends = np.array(self.flat, np.uint32), np.array(self.ends, np.int64)
-        odd = {int(i) for i in np.searchsorted(words_upto, np.flatnonzero(at < 0), side="right") - 1}
-        at[at < 0] = 0
-        start, size = ends[at], ends[at + 1] - ends[at]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        ids = flat[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])]
-        cuts = upto[words_upto]
-        out = [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-        for i, t in enumerate(texts):
-            if i in odd or t and _FIRST in t:
-                parts = _CUT.split(t)
-                whole = [self.merges.encode_ordinary(x) for x in [parts[0], *(" " + x for x in parts[1:])]]
-                out[i] = np.array(list(chain.from_iterable(whole)), np.uint32)
-        return out
+        return [np.array(self.ids(t), np.uint32) for t in texts]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -266,8 +215,12 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer), np.array([END_ID], np.uint32)
 
+        key_type = None
+
         def documents() -> Iterator[tuple[object, np.ndarray]]:
+            nonlocal key_type
             for batch in batches:
+                key_type = batch.schema.field(0).type
                 for at in range(0, batch.num_rows, 1000):
                     part = batch.slice(at, 1000)
                     for k, ids in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist())):
@@ -281,7 +234,6 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
             whole = lambda x: pa.array(x, pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(k, key_type), whole(start), whole(length), whole(crc), whole(n), whole([base + s for s in seq]), whole(offset)], [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-        key_type = {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
         for row in pack_split(documents(), window):
             rows.append(row)
             if len(rows) == 20_000:
@@ -290,4 +242,4 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
         if rows:
             yield table()
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(run, f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -31,7 +31,6 @@ def reference(bpe):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(bpe)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -90,6 +89,14 @@ def test_pack_query_shape(spark, bpe, reference):
     assert packing.pack(frame(spark, []), bpe).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["int", "string", "date", "decimal(9,2)", "struct<a:int>"])
+def test_pack_takes_any_key(spark, bpe, kind):
+    made = "named_struct('a', 1)" if "struct" in kind else "date'2020-01-02'" if kind == "date" else f"cast(7 as {kind})"
+    docs = spark.sql(f"select {made} as `a key`, 'one two' as text, 3 as length union all select cast(null as {kind}), null, 4")
+    got = packing.pack(docs, bpe, key="a key")
+    assert dict(got.dtypes)["a key"] == kind and {r.doc_tokens for r in got.collect()} == {1, 3}
+
+
 @pytest.fixture(scope="module")
 def lattices():
     return piece_sampling.Lattices(queries.tokenizer("piece_bpe_32k.model"), 1.0)
