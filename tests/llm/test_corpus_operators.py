@@ -93,23 +93,71 @@ def test_join_of_nothing(spark):
 
 
 @pytest.mark.parametrize(("num", "den"), [(90, 100), (80, 100)])
-def test_similar_sets_share_a_signature(num, den):
-    bands, rng = partenum.Bands(num, den), random.Random(7)
+def test_similar_sets_share_signatures(num, den):
     import numpy as np
 
+    bands, rng = partenum.Bands(num, den), random.Random(7)
+    fresh = lambda n: np.unique(shingles.mixed(np.array([rng.getrandbits(63) for _ in range(n)], np.uint64)))
+
+    def signed(x):
+        found = collections.defaultdict(set)
+        least = {}
+        for sig, own, code, n in zip(*(v.tolist() for v in partenum.signatures([np.empty(0, np.uint64), x], bands))):
+            assert own == 1
+            found[code].add(sig)
+            least[code] = n
+        return found, least
+
     for n in [*range(1, 60), 200, 1000]:
         for _ in range(4):
-            a = np.unique(shingles.mixed(np.array([rng.getrandbits(63) for _ in range(n)], np.uint64)))
+            a = fresh(n)
             b = a.copy()
             for _ in range(rng.randrange(0, n // 8 + 2)):
                 cut = rng.randrange(3)
                 if cut != 1 and len(b) > 1:
                     b = np.delete(b, rng.randrange(len(b)))
                 if cut != 0:
-                    b = np.unique(np.append(b, shingles.mixed(np.array([rng.getrandbits(63)], np.uint64))))
+                    b = np.unique(np.append(b, fresh(1)))
             both = partenum.similar(a, b)
             if den * both >= num * (len(a) + len(b) - both):
-                assert set(partenum.signatures(a, bands).tolist()) & set(partenum.signatures(b, bands).tolist())
+                (one, least), (two, _) = signed(a), signed(b)
+                theirs = set().union(*two.values())
+                shared = {code: len(sigs & theirs) for code, sigs in one.items()}
+                assert any(m >= least[code] for code, m in shared.items() if m), (n, shared, least)
+
+
+def test_signatures_are_those_of_enumerated_subsets():
+    import numpy as np
+
+    bands = partenum.Bands(80, 100)
+    assert all(2 * n1 > k for n1, k in zip(bands.partitions.tolist(), bands.differ.tolist()))
+    assert sorted(partenum.SUBSETS) == [(0, 1), (0, 2), (1, 2)]
+    s = np.unique(shingles.mixed(np.arange(400, dtype=np.uint64)))
+    sig, _, code, _ = partenum.signatures([s], bands)
+    for ahead in (0, 1):
+        n1 = int(bands.partitions[bands.of(np.array([400]))[0] + ahead])
+        cells = collections.Counter(((int(h) >> 32) * n1 >> 32, (int(h) & 0xFFFFFFFF) * 3 >> 32) for h in shingles.mixed(s ^ np.uint64(1)))
+        want = sum(1 for p in range(n1) for subset in partenum.SUBSETS if any(cells[p, c] for c in subset))
+        assert (code == ahead * partenum.LEVELS).sum() == want == len(set(sig[code == ahead * partenum.LEVELS].tolist()))
+
+
+def test_long_words_do_not_collide(spark):
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = []
+    for n in (32, 64, 512, 1024, 4096):
+        one = word[:n]
+        rows += [one, one.translate(str.maketrans("ab", "ba"))]
+    assert partenum.join(frame(spark, list(enumerate(rows)))).select("component_id").distinct().count() == len(rows)
+    assert partenum.join(frame(spark, [(1, "x" * 40), (2, "X" * 40)])).select("component_id").distinct().count() == 1
+
+
+def test_join_of_null_and_repeated_keys(spark):
+    one, two = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(3, one), (3, one), (3, two), (None, one + " x"), (7, two + " y"), (None, "alone here"), (9, "q" * 300_000), (10, "q " * 300_000)]
+    got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in partenum.join(frame(spark, rows)).collect())
+    assert got == sorted([("3", 36, 3), ("3", 36, 3), ("3", 36, 3), ("None", 37, 3), ("7", 37, 3), ("None", 1, None), ("9", 1, 9), ("10", 1, 10)], key=str) or got == sorted([("3", 36, 3), ("3", 36, 3), ("3", 36, 3), ("None", 37, 3), ("7", 37, 3), ("None", 1, None), ("9", 1, 9), ("10", 1, 10)])
 
 
 def test_shingles_of_odd_texts():
@@ -184,18 +232,28 @@ def test_line_dedup_of_repeated_rows_and_null_keys(spark):
 
 
 def plain_removal(rows, n=100):
-    seen, out = set(), {}
-    for k, t in rows:
-        raw = (t or "").encode()
-        hit = bytearray(len(raw))
+    """Of rows in order of their keys; rows that share a key are one document, cut by what is found in any of them."""
+    earliest, cut, out = {}, collections.defaultdict(set), []
+    raws = [(t or "").encode() for _, t in rows]
+    order = {k: i for i, k in enumerate(dict.fromkeys(k for k, _ in rows))}
+    for (k, _), raw in zip(rows, raws):
         for i in range(len(raw) - n + 1):
-            if raw[i : i + n] in seen:
-                hit[i : i + n] = b"\1" * n
-            seen.add(raw[i : i + n])
+            at = order[k], i
+            earliest[raw[i : i + n]] = min(at, earliest.get(raw[i : i + n], at))
+    for (k, _), raw in zip(rows, raws):
+        for i in range(len(raw) - n + 1):
+            if earliest[raw[i : i + n]] != (order[k], i):
+                cut[k].update(range(i, i + n))
+    for (k, _), raw in zip(rows, raws):
+        hit = [i in cut[k] for i in range(len(raw))]
         kept = bytes(c for c, x in zip(raw, hit) if not x)
         spans = sum(1 for i, x in enumerate(hit) if x and (i == 0 or not hit[i - 1]))
-        out[k] = (len(raw), sum(hit), spans, hashlib.sha256(kept).hexdigest())
-    return out
+        out.append((k, len(raw), sum(hit), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def removal(docs, **more):
+    return sorted((tuple(r) for r in suffix_groups.dedup(docs, **more).collect()), key=str)
 
 
 def test_suffix_array():
@@ -207,50 +265,66 @@ def test_suffix_array():
     assert suffix_groups.suffix_array(s) == sorted(range(len(s)), key=lambda i: s[i:])
 
 
-@pytest.mark.parametrize("hot", [1000, 3])
-def test_substring_dedup(spark, hot):
-    rng = random.Random(5)
+def test_suffix_arrays_of_many_strings():
+    import numpy as np
+
+    rng = random.Random(4)
+    for _ in range(150):
+        strings = [bytes(rng.randrange(rng.choice([1, 2, 3, 256])) for _ in range(rng.randrange(60))) for _ in range(rng.randrange(1, 30))]
+        bounds = np.cumsum([0, *map(len, strings)])
+        got = suffix_groups.suffix_arrays(np.frombuffer(b"".join(strings), np.uint8), bounds)
+        assert got.tolist() == [int(b) + i for b, s in zip(bounds, strings) for i in suffix_groups.suffix_array(s)]
+
+
+def overlapping(seed, copies=40):
+    rng = random.Random(seed)
     text = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
     passages = [text(n) for n in (99, 100, 101, 130, 180, 400, 1500)]
     texts = [None, "", "short", "x" * 99, "x" * 100, "x" * 101, "x" * 700, "ab" * 300, text(3000)]
-    for _ in range(40):
+    for _ in range(copies):
         parts = [text(rng.randrange(0, 150))]
         for _ in range(rng.randrange(1, 4)):
             p = rng.choice(passages)
             at = rng.randrange(0, max(1, len(p) - 100))
             parts += [p[at : at + rng.randrange(90, 500)], text(rng.randrange(0, 60))]
         texts.append("".join(parts))
-    texts += [texts[8], texts[-1], texts[-1], "q" + texts[-2]]
-    rows = list(enumerate(texts))
-    docs = frame(spark, rows)
-    ranges = suffix_groups.removed_ranges(docs, hot=hot)
-    got = {r.doc_id: tuple(r)[1:] for r in suffix_groups.apply(docs, ranges).collect()}
-    assert got == plain_removal(rows)
+    return texts + [texts[8], texts[-1], texts[-1], "q" + texts[-2]]
 
 
-def test_no_anchor_is_gathered_whole(spark):
-    rows = [(7, i.to_bytes(16, "big"), i % 900, 0, 168) for i in range(1000)] + [(8, b"x", 1, 0, 168), (8, b"x", 2, 5, 173), (8, b"x", 2, 5, 173), (8, None, 3, 0, 9)]
-    found = suffix_groups._resolved(spark.createDataFrame(rows, suffix_groups._ROWS), 8).collect()
-    parts = [r.n for r in found if r.h == 7]
-    assert sum(parts) == 1000 and len(parts) == 8 and max(parts) < 300
-    assert [r.n for r in found if r.h == 8] == [1] and sorted(tuple(r)[2:] for r in found if r.h is None) == [(2, 5, 173), (2, 5, 173), (3, 0, 9)]
+@pytest.mark.parametrize("hot", [1000, 12, 3])
+def test_substring_dedup(spark, hot):
+    rows = list(enumerate(overlapping(5)))
+    assert removal(frame(spark, rows), hot=hot) == plain_removal(rows)
 
 
-def test_only_contexts_with_a_repeated_range_are_gathered(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [1000, 3])
+def test_substring_dedup_with_keys_of_any_kind(spark, hot):
+    texts = overlapping(6, 30)
+    rows = sorted((f"k{i * 7 % 50:02}", t) for i, t in enumerate(texts) if t)
+    docs = spark.createDataFrame([(k, t, 1) for k, t in rows], "doc_id string, text string, k int").repartition(3)
+    assert removal(docs, hot=hot) == plain_removal(rows)
+    rows = [(None, texts[-1]), (-(1 << 63), texts[-1]), *enumerate(texts)]
+    assert removal(frame(spark, rows[::-1]), hot=hot) == plain_removal(rows)
+    rows = sorted(((i % 5, t) for i, t in enumerate(texts) if t), key=lambda r: r[0])
+    assert removal(frame(spark, rows + rows[:7]), hot=hot) == plain_removal(rows + rows[:7])
+
+
+def test_keys_with_many_contexts_are_split(spark):
     rng = random.Random(8)
     text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
-    common, tail = text(60), text(70)
-    texts = [text(90) + common + text(90) for _ in range(40)] + [text(90) + common + tail + text(40) for _ in range(3)]
-    given, marked = [], suffix_groups._marked
-    monkeypatch.setattr(suffix_groups, "_marked", lambda rows, n: (given.append(rows.count()), marked(rows, n))[1])
-    docs = frame(spark, list(enumerate(texts)))
-    got = {r.doc_id: tuple(r)[1:] for r in suffix_groups.apply(docs, suffix_groups.removed_ranges(docs)).collect()}
-    assert got == plain_removal(list(enumerate(texts))) and 0 < given[0] < 40
+    line, passage = text(60), text(160)
+    rows = list(enumerate([text(90) + line + text(90) for _ in range(60)] + [text(90) + passage + text(90) for _ in range(60)]))
+    docs = frame(spark, rows).select(F.col("doc_id").alias("k"), F.col("text").alias("t"))
+    heavy, total = suffix_groups._heavy(docs.coalesce(1), 20)
+    assert len(heavy) and len(suffix_groups._heavy(docs.coalesce(1), 1000)[0]) == 0 and total > 400
+    asked = suffix_groups._matched(docs, heavy, 4).filter("key is not null").groupBy("key").count()
+    assert (asked.agg(F.max("count")).first()[0] or 0) <= 61
+    assert removal(frame(spark, rows).coalesce(1), hot=20) == plain_removal(rows)
 
 
 def test_substring_dedup_of_nothing(spark):
     assert suffix_groups.dedup(frame(spark, [])).count() == 0
-    assert [tuple(r)[:4] for r in suffix_groups.dedup(frame(spark, [(None, None)])).collect()] == [(None, 0, 0, 0)]
+    assert removal(frame(spark, [(None, None)])) == plain_removal([(None, None)])
 
 
 def test_language_id(spark, sf):
