@@ -19,8 +19,9 @@ the string lies within 68 bytes of its anchor.
    keys, so their list is bounded whatever the input.
 2. Every context is one record, dealt by its key: digest, owner, and the digests of
    its four ranges.  Contexts equal to one of an earlier owner are removed as a whole;
-   of the distinct ones, those with a range in common with another are asked for.
-3. The contexts asked for are cut from their texts, once each, and the
+   of the distinct ones, those with a range in common with another are asked for.  If these
+   are more than ``MANY``, what surrounds each such range is asked for instead, under a key of its own.
+3. The contexts asked for are cut from their texts, and the distinct
    contexts of a key are sorted together by the suffix array; equal 100-byte
    strings then stand side by side, and all but the earliest are marked.
 Contexts that are equal within a few MB of text are one record, so copies are not gathered anywhere.
@@ -42,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyproof.llm.deal import labels
 from tallyproof.llm.shingles import GOLD, U, mixed, powers
 from tallyproof.llm.storage import stored
 
@@ -52,11 +54,13 @@ STEPS = 4
 SIDE = REACH // STEPS  # 17
 #: Contexts of a key from which it is split, at least.
 HOT = 1000
+#: Distinct contexts of an anchor from which they are sorted by range.
+MANY = 24
 #: Keys that are split, at most, for each level.
 SPLIT_KEYS = 20_000
 #: Records, and bytes of contexts, that a task takes on average.
-RECORDS, BYTES = 150_000, 2_000_000
-_CHUNK = 3_000_000
+RECORDS, BYTES = 250_000, 3_000_000
+_CHUNK = 2_000_000
 _BLOCK = 1 << 16
 _INDEX = np.arange(_BLOCK + LENGTH, dtype=np.uint64)
 _BYTE = mixed(np.arange(1000, 1256, dtype=np.uint64))
@@ -379,7 +383,7 @@ def _among(h: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
 
 class Records:
-    """Contexts of a chunk of texts, by owner, as columns: key, digest, four range digests, document, first and last byte."""
+    """Contexts of a chunk of texts, by owner, as columns: key, digest, four range digests, document, first and last byte, place of the anchor."""
 
     def __init__(self, keys: np.ndarray, firsts: np.ndarray, data: np.ndarray, bounds: np.ndarray, hot: np.ndarray) -> None:
         scan = Scan(data, bounds)
@@ -392,7 +396,7 @@ class Records:
         for j in range(STEPS if len(one) else 0):
             g, fits, _, _ = scan.level(j, one)
             grams[:, j] = np.where(fits, g, mixed(digest ^ U(j))).astype(np.uint32)
-        hashes, digests, docs, first, last, many = [scan.h[one]], [digest], [scan.doc[one]], [a], [b], [grams]
+        hashes, digests, docs, first, last, many, before = [scan.h[one]], [digest], [scan.doc[one]], [a], [b], [grams], [place - a]
         two = np.flatnonzero(heavy)
         for j in range(STEPS if len(two) else 0):
             g, fits, a, b = scan.level(j, two)
@@ -413,13 +417,14 @@ class Records:
             first.append(starts)
             last.append(starts + LENGTH)
             many.append(np.zeros((len(plain) + len(starts), STEPS), np.uint32))
+            before.append(np.zeros(len(plain) + len(starts), np.int64))
         self.key, self.digest, self.doc, self.a, self.b = map(np.concatenate, (hashes, digests, docs, first, last))
-        self.grams = np.concatenate(many)
+        self.grams, self.before = np.concatenate(many), np.concatenate(before).astype(np.uint8)
         start = bounds[self.doc] - firsts[self.doc]
         self.a, self.b = self.a - start, self.b - start
         if len(two) or (keys[1:] == keys[:-1]).any():  # in order of their owners again
             order = np.lexsort((self.a, keys[self.doc]))
-            self.key, self.digest, self.doc, self.a, self.b, self.grams = (x[order] for x in (self.key, self.digest, self.doc, self.a, self.b, self.grams))
+            self.key, self.digest, self.doc, self.a, self.b, self.grams, self.before = (x[order] for x in (self.key, self.digest, self.doc, self.a, self.b, self.grams, self.before))
 
 
 def _texts(batches: Iterator[pa.RecordBatch], most: int = _CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -531,11 +536,12 @@ def _found(k: np.ndarray, a: np.ndarray, b: np.ndarray, key: np.ndarray | None =
 
 def _matched(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
     """(k, a, b, key): ranges of contexts that an earlier owner has, without a key; contexts to be sorted, with theirs."""
-    shared = rows.sparkSession.sparkContext.broadcast(hot)
+    shared = rows.sparkSession.sparkContext.broadcast((hot, labels(buckets)))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, label = shared.value
         for keys, firsts, data, bounds in _texts(batches):
-            r = Records(keys, firsts, data, bounds, shared.value)
+            r = Records(keys, firsts, data, bounds, hot)
             order = np.argsort(mixed(r.key ^ mixed(r.digest)), kind="stable")  # of equal ones the earliest stays first
             same = np.zeros(len(order), bool)
             key, digest = r.key[order], r.digest[order]
@@ -552,33 +558,33 @@ def _matched(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
             packed = []
             for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(one)]):
                 x = one[s:e]
-                columns = (r.key[x], r.digest[x], r.grams[x], keys[r.doc[x]], r.a[x].astype(np.uint32), (r.b[x] - r.a[x]).astype(np.uint8))
+                columns = (r.key[x], r.digest[x], r.grams[x], keys[r.doc[x]], r.a[x].astype(np.uint32), (r.b[x] - r.a[x]).astype(np.uint8), r.before[x])
                 packed.append(b"".join(c.tobytes() for c in columns))
-            where, kinds = bucket[cuts].astype(np.int64).tolist(), [False] * len(packed)
+            where, kinds = label[bucket[cuts].astype(np.int64)].tolist(), [False] * len(packed)
             if len(ranges):
-                where.append(int(keys[0]) % buckets)
+                where.append(int(label[int(keys[0]) % buckets]))
                 packed.append(ranges.tobytes())
                 kinds.append(True)
             yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array(kinds, pa.bool_()), pa.array(packed, pa.binary())], ["bucket", "ranges", "packed"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns: list[list[np.ndarray]] = [[] for _ in range(6)]
+        columns: list[list[np.ndarray]] = [[] for _ in range(7)]
         for batch in batches:
             for ranges, blob in zip(batch.column(1).to_pylist(), batch.column(2)):
                 raw = blob.as_buffer()
                 if ranges:
                     yield from _found(*np.frombuffer(raw, np.int64).reshape(3, -1))
                     continue
-                n, upto = len(raw) // 45, 0
-                for c, (kind, wide) in zip(columns, ((np.uint64, 8), (np.uint64, 8), (np.uint32, 16), (np.int64, 8), (np.uint32, 4), (np.uint8, 1))):
+                n, upto = len(raw) // 46, 0
+                for c, (kind, wide) in zip(columns, ((np.uint64, 8), (np.uint64, 8), (np.uint32, 16), (np.int64, 8), (np.uint32, 4), (np.uint8, 1), (np.uint8, 1))):
                     c.append(np.frombuffer(raw, kind, n * wide // np.dtype(kind).itemsize, upto))
                     upto += n * wide
         if not columns[0]:
             return
-        key, digest, grams, k, a, size = map(np.concatenate, columns)
+        key, digest, grams, k, a, size, before = map(np.concatenate, columns)
         columns.clear()
         order = np.lexsort((a, k, digest, key))
-        key, digest, k, a = key[order], digest[order], k[order], a[order].astype(np.int64)
+        key, digest, k, a, before = key[order], digest[order], k[order], a[order].astype(np.int64), before[order]
         b = a + size[order]
         same = np.zeros(len(key), bool)
         same[1:] = (key[1:] == key[:-1]) & (digest[1:] == digest[:-1])
@@ -590,13 +596,24 @@ def _matched(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
         several = np.bincount(group)[group] > 1
         one, group = one[several], group[several]
         grams = grams.reshape(-1, STEPS)[order[one]]
-        keep = np.zeros(len(one), bool)
+        alike = np.zeros((len(one), STEPS), bool)
         for j in range(STEPS):
             sort = np.lexsort((grams[:, j], group))
             g, own = grams[sort, j], group[sort]
             pair = np.flatnonzero((g[1:] == g[:-1]) & (own[1:] == own[:-1]))
-            keep[sort[pair]] = keep[sort[pair + 1]] = True
-        one = one[keep]
+            alike[sort[pair], j] = alike[sort[pair + 1], j] = True
+        keep = alike.any(1)
+        crowd = keep & (np.bincount(group, keep)[group] > MANY) & grams.any(1) if len(one) else keep
+        for j in range(STEPS if crowd.any() else 0):
+            which = crowd & alike[:, j]
+            some = one[which]
+            start = a[some] + before[some] - SIDE * (j + 1)
+            first, last = np.maximum(start, a[some]), np.minimum(start + LENGTH + SIDE, b[some])
+            long = last - first >= LENGTH
+            with np.errstate(over="ignore"):
+                part = mixed(key[some] ^ mixed(grams[which, j].astype(np.uint64) | U(j + 1 << 32)))
+            yield from _found(k[some][long], first[long], last[long], part[long])
+        one = one[keep & ~crowd]
         yield from _found(k[one], a[one], b[one], key[one])
 
     dealt = rows.mapInArrow(emit, "bucket long, ranges boolean, packed binary").repartition(buckets, "bucket")
@@ -606,7 +623,10 @@ def _matched(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
 def _marked(rows: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
     """(k, a, b): ranges of the repeated strings that the suffix arrays of the contexts asked for show."""
 
+    shared = rows.sparkSession.sparkContext.broadcast(labels(buckets))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -630,7 +650,7 @@ def _marked(rows: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
                     wide = b[x] - a[x]
                     columns = (np.array([len(x)]), key[x], owner[x], a[x].astype(np.uint32), wide.astype(np.uint8), data[_spread(start[x], wide)])
                     packed.append(b"".join(c.tobytes() for c in columns))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[deal][cuts].astype(np.int64)), pa.array(packed, pa.binary())], ["bucket", "packed"])
+                yield pa.RecordBatch.from_arrays([pa.array(label[bucket[deal][cuts].astype(np.int64)]), pa.array(packed, pa.binary())], ["bucket", "packed"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns: list[list[np.ndarray]] = [[] for _ in range(5)]
@@ -646,16 +666,22 @@ def _marked(rows: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
             return
         key, k, a, size, body = map(np.concatenate, columns)
         columns.clear()
-        size = size.astype(np.int64)
+        size, a = size.astype(np.int64), a.astype(np.int64)
         start = np.cumsum(size) - size
-        order = np.lexsort((a, k, key))
-        new = np.ones(len(order), bool)  # rows that share a key bring the same context again
-        new[1:] = (key[order][1:] != key[order][:-1]) | (k[order][1:] != k[order][:-1]) | (a[order][1:] != a[order][:-1])
-        if not new.all():
-            bodies = [body[start[i] : start[i] + size[i]].tobytes() for i in order.tolist()]
-            new[1:] |= np.array([x != y for x, y in zip(bodies[1:], bodies[:-1])], bool)
-        order = order[new]
-        key, k, a, size = key[order], k[order], a[order].astype(np.int64), size[order]
+        words = np.ndarray(len(body) - 7, "<u8", body, strides=(1,))
+        with np.errstate(over="ignore"):
+            digest = mixed(words[start + size - 8] ^ size.astype(np.uint64))
+            for step in range(0, int(size.max()) - 7, 8):
+                some = size >= step + 8
+                digest[some] = mixed(digest[some] ^ words[start[some] + step])
+        order = np.lexsort((a, k, digest, key))
+        key, digest, k, a, size = key[order], digest[order], k[order], a[order], size[order]
+        same = np.zeros(len(order), bool)
+        same[1:] = (key[1:] == key[:-1]) & (digest[1:] == digest[:-1])
+        rep = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
+        again = same & ((k != k[rep]) | (a != a[rep]))
+        yield from _found(*_merged(k[again], a[again], a[again] + size[again]))
+        order, key, k, a, size = (x[~same] for x in (order, key, k, a, size))
         data = body[_spread(start[order], size)]
         bounds = np.concatenate([[0], np.cumsum(size)])
         groups = np.append(np.flatnonzero(np.diff(key, prepend=~key[:1]) != 0), len(key))

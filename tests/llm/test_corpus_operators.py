@@ -231,6 +231,14 @@ def test_line_dedup_of_repeated_rows_and_null_keys(spark):
     assert got == [("1", "a"), ("1", "a"), ("2", ""), ("None", "b\nq")]
 
 
+def test_labels_are_dealt_one_to_a_partition(spark):
+    from tallyproof.llm.deal import labels
+
+    for n in (1, 7, 200):
+        rows = spark.createDataFrame([(int(x),) for x in labels(n)], "x long").repartition(n, "x").select(F.spark_partition_id().alias("p"), "x")
+        assert [r.p for r in sorted(rows.collect(), key=lambda r: labels(n).tolist().index(r.x))] == list(range(n))
+
+
 def plain_removal(rows, n=100):
     """Of rows in order of their keys; rows that share a key are one document, cut by what is found in any of them."""
     earliest, cut, out = {}, collections.defaultdict(set), []
