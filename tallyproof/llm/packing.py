@@ -242,4 +242,4 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
         if rows:
             yield table()
 
-    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(run, f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

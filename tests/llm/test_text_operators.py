@@ -270,3 +270,91 @@ def test_the_tree_cuts_what_names_spare(spark):
     df = spark.createDataFrame([(i, "http://a.example/", page(i)) for i in range(8)], "page_id long, url string, html string")
     assert style_tree.Page(page(0)).text(frozenset()).startswith("The same")
     assert {r.page_id: r.text for r in style_tree.extract(df).collect()} == {i: f"Story {i}" for i in range(8)}
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div class='content with-sidebar'><article>A b</article></div>", "A b"),
+        ("<div class='page has-sidebar'><p>A b</p></div>", "A b"),
+        ("<article><div class='entry-header'><h1>T</h1></div><p>x</p></article>", "T\nx"),
+        ("<article><p>a</p><section class='related-work'><p>b</p></section></article>", "a\nb"),
+        ("<div class='post-comments-open'><p>a</p></div><p>b</p>", "a\nb"),
+    ],
+)
+def test_parts_of_names_say_nothing(html, text):
+    assert style_tree.Page(html).text(frozenset()) == text
+
+
+@pytest.mark.parametrize("source", ["<div>a" * 170_000, "<div class=x>" * 80_000 + "a</p>" * 10, "<span class=ad>a" * 60_000, "<span class=ad>a" * 30_000 + "</span>" * 30_000, "</b>" * 250_000, "<b id=q>" * 120_000, "<p>" + "word " * 200_000])
+def test_time_grows_with_the_length(source):
+    import time
+
+    began = time.process_time()
+    page = style_tree.Page(source)
+    page.text(frozenset())
+    assert sum(1 for _ in page.votes()) <= style_tree.LEVELS * len(page.blocks) * 2 + 2
+    assert time.process_time() - began < 8
+
+
+def plain_importance(pages):
+    """Importance of each (host, path) from the definition: entropies over the pages that have it."""
+    import math
+
+    layouts, blocks, out = collections.defaultdict(list), collections.defaultdict(list), {}
+    for host, source in pages:
+        for path, feature, is_text, _ in style_tree.Page(source).votes():
+            (blocks if is_text else layouts)[host, path].append(feature)
+    for at, seen in layouts.items():
+        m = len(seen)
+        if m < 4:
+            continue
+        log = lambda x: math.log(x, m)
+        shown = -sum(n / m * log(n / m) for n in collections.Counter(seen).values())
+        each = [-sum(1 / n * log(1 / n) for _ in range(n)) for n in collections.Counter(blocks[at]).values()]
+        told = 1 - sum(each) / len(each)
+        weight = 0.9 ** len(set(seen))
+        out[at] = (1 - weight) * shown + weight * told
+    return out
+
+
+def test_importance_against_its_definition(spark, sf):
+    import random
+
+    rng = random.Random(1)
+    pages = [(f"h{i % 3}.example", "".join(rng.choice(["<p>one</p>", f"<p>t{i}</p>", "<div class=q><p>buy</p></div>", "<ul><li>a<li>b</ul>", f"<section><p>s{i % 4}</p></section>", "<nav>n</nav>"]) for _ in range(6))) for i in range(60)]
+    docs = spark.createDataFrame([(i, f"http://{h}/x", s) for i, (h, s) in enumerate(pages)], "page_id long, url string, html string")
+    got = {(r.host, r.path): r.importance for r in style_tree.low_branches(docs, threshold=2.0, outside=2.0).collect()}
+    want = plain_importance(pages)
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-6 for x in want)
+    docs = spark.read.parquet(f"{sf}/pages.parquet")
+    assert style_tree.low_branches(docs, outside=0.25).count() == sum(1 for x in plain_importance([(r.host, r.html) for r in docs.select(style_tree.host_of(F.col("url")).alias("host"), "html").collect()]).values() if round(x, 9) < 0.25)
+
+
+def test_the_tree_decides_on_sites_with_pages_enough(spark):
+    import os
+
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables are not here")
+    docs = spark.read.parquet(f"{folder}/pages.parquet").withColumn("host", style_tree.host_of(F.col("url")))
+    cut = collections.defaultdict(set)
+    for r in style_tree.low_branches(docs).collect():
+        cut[r.host].add(r.path)
+    changed = 0
+    for r in docs.collect():
+        page = style_tree.Page(r.html)
+        low = page.low(cut[r.host])
+        changed += any(low[b] for _, b in page.blocks)
+    assert changed > 0
+
+
+def test_extraction_of_odd_tables(spark):
+    kinds = "page_id long, url string, html string, host string, path string, text string"
+    page = "<main><p>é  a</p></main>"
+    rows = [(1, None, page), (1, None, page), (None, "http://a.example/", page), (2, "nonsense", None), (3, "http://A.example:80/", "<p>" + "long word " * 100_000)]
+    got = style_tree.extract(spark.createDataFrame([(*r, "h", "p", "t") for r in rows], kinds))
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted((str(r.page_id), r.n_chars) for r in got.collect()) == [("1", 3), ("1", 3), ("2", 0), ("3", 999_999), ("None", 3)]
+    for broadcast in (10, 0):
+        assert style_tree.extract(spark.createDataFrame([], kinds), broadcast_paths=broadcast).count() == 0
