@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -31,6 +35,13 @@ def separator_of(spark: SparkSession, path: str) -> str:
     return next((s for s in ";,\t|" if line.count(s) > 2), ";")
 
 
+def short_rows(spark: SparkSession, path: str, columns: int, separator: str = ";", charset: str = "latin-1") -> DataFrame:
+    """(rows, invalid): lines after the first, read with quotes, and how many have fewer columns than asked for."""
+    raw = spark.read.option("encoding", encoding(charset)).csv(path, sep="\u0001", quote="", schema="line string", header=True, enforceSchema=True)
+    cut = F.from_csv("line", ", ".join(f"c{i} string" for i in range(columns)), {"sep": separator, "mode": "PERMISSIVE"})
+    return raw.select(cut[f"c{columns - 1}"].isNull().alias("short")).agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("short"), 1)).alias("invalid"))
+
+
 def ragged(spark: SparkSession, path: str, separator: str = ";", charset: str = "latin-1") -> DataFrame:
     """(line, fields, width): lines cut at each separator without quotes, so that uneven widths show; the header is dropped by its text."""
     raw = spark.read.option("encoding", encoding(charset)).csv(path, sep="\u0001", quote="", schema="line string", header=True, enforceSchema=True)
@@ -68,11 +79,17 @@ def ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE").json(path)
 
 
-def monthly_totals(spark: SparkSession, path: str) -> DataFrame:
-    """(period, rows, total) of totals documents, which come in two spellings; the period stands in the file name."""
+def monthly_totals(spark: SparkSession, path: str, anchor: DataFrame | None = None) -> DataFrame:
+    """(period, rows, total) of totals documents, which come in two spellings; the period stands in the file name.
+
+    Periods that ``anchor``, a frame of the same columns, has are taken from there.
+    """
     found = spark.read.schema("count_linhas long, linhas long, sum_vl_liquido string, soma string").option("multiLine", True).json(path)
     period = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{6})", 1)
-    return found.select(period.alias("period"), F.coalesce("count_linhas", "linhas").alias("rows"), F.coalesce("sum_vl_liquido", "soma").cast("decimal(38,2)").alias("total"))
+    totals = found.select(period.alias("period"), F.coalesce("count_linhas", "linhas").alias("rows"), F.coalesce("sum_vl_liquido", "soma").cast("decimal(38,2)").alias("total"))
+    if anchor is None:
+        return totals
+    return totals.join(anchor.select("period"), "period", "left_anti").unionByName(anchor.select("period", "rows", "total"))
 
 
 def ready_batches(spark: SparkSession, root: str) -> DataFrame:
@@ -82,25 +99,92 @@ def ready_batches(spark: SparkSession, root: str) -> DataFrame:
 
 
 def content_hash(df: DataFrame) -> DataFrame:
-    """A digest of the rows that does not depend on files, order or partitions."""
-    row = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.select(row.alias("h")).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("digest"))
+    """A digest of the rows that does not depend on files, order or partitions.
+
+    Each row's SHA-256 is taken over JSON that writes nulls out; its four quarters are summed.
+    """
+    row = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"}), 256)
+    quarter = lambda i: F.conv(F.substring(F.col("h"), 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")
+    sums = [F.coalesce(F.sum(quarter(i)), F.lit(0)).cast("string") for i in range(4)]
+    return df.select(row.alias("h")).agg(F.count(F.lit(1)).alias("rows"), F.sha2(F.concat_ws(",", *sums), 256).alias("digest"))
+
+
+def file_digests(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, sha256) of the bytes of whole files."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", F.sha2("content", 256).alias("sha256"))
+
+
+def _place(spark: SparkSession, path: str):
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there, there.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def publish(df: DataFrame, path: str, order: list[str] | None = None) -> str:
-    """Write once: ``published``; the same content again: ``already_published``; other content is refused."""
+def _commit(spark: SparkSession, staged: str, path: str) -> None:
+    """Make a finished folder visible under its name by one rename."""
+    there, system = _place(spark, path)
+    system.mkdirs(there.getParent())
+    if system.exists(there) or not system.rename(_place(spark, staged)[0], there):
+        system.delete(_place(spark, staged)[0], True)
+        raise FileExistsError(path)
+
+
+def publish(df: DataFrame, path: str, order: list[str] | None = None, one_file: bool = False) -> str:
+    """Write once: ``published``; the same content again: ``already_published``; other content is refused.
+
+    Rows are written beside the target and renamed when whole, with their number and digest in ``_manifest.json``
+    written last; a folder without a manifest was never published.  ``order`` sorts over all rows, ``one_file`` keeps
+    them in one row group's file, which suits a batch and not a corpus.
+    """
     spark = df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    if there:
-        same = content_hash(spark.read.parquet(path)).first() == content_hash(df).first()
-        if not same:
+    there, system = _place(spark, path)
+    found = content_hash(df).first()
+    manifest = json.dumps({"digest": found["digest"], "rows": found["rows"]}, sort_keys=True)
+    if system.exists(there):
+        beside = _place(spark, f"{path}/_manifest.json")[0]
+        said = None
+        if system.exists(beside):  # a hidden file, so not one that Spark's readers see
+            opened = system.open(beside)
+            said = spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+            opened.close()
+        if said != manifest:
             raise ValueError(f"{path} holds other content")
         return "already_published"
-    (df.sortWithinPartitions(*order) if order else df).write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    rows = df.coalesce(1).sortWithinPartitions(*order) if one_file and order else df.coalesce(1) if one_file else df.orderBy(*order) if order else df
+    rows.write.mode("errorifexists").option("compression", "zstd").parquet(staged)
+    written = system.create(_place(spark, f"{staged}/_manifest.json")[0])
+    written.write(bytearray(manifest.encode()))
+    written.close()
+    _commit(spark, staged, path)
     return "published"
 
 
+def overwrite(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Parquet in place of what was there, in so many files, or one a core."""
+    df.coalesce(files or df.sparkSession.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
+
+
+def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """A table in place of the one of that name, as a load with write disposition ``replace`` or a create-or-replace-as does."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def evidence(spark: SparkSession, documents: dict[str, dict], path: str) -> str:
+    """Small JSON documents with sorted keys in a folder that appears whole or not at all; the folder's digest."""
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    total = hashlib.sha256()
+    for name in sorted(documents):
+        body = (json.dumps(documents[name], sort_keys=True, ensure_ascii=False, separators=(",", ":")) + "\n").encode()
+        total.update(name.encode() + b"\0" + body)
+        there, system = _place(spark, f"{staged}/{name}.json")
+        written = system.create(there)
+        written.write(bytearray(body))
+        written.close()
+    _commit(spark, staged, path)
+    return total.hexdigest()
+
+
 def append_ledger(events: DataFrame, path: str) -> None:
     events.write.mode("append").json(path)
 

@@ -27,7 +27,38 @@ def test_publish_once(spark, tmp_path):
     assert files.publish(df.repartition(3), path) == "already_published"
     with pytest.raises(ValueError):
         files.publish(df.withColumn("v", F.col("id")), path)
-    assert files.landing(spark, str(tmp_path), "part-").count() == 10
+    assert files.landing(spark, str(tmp_path / "t"), "part-").count() == 10
+    one = files.publish(df, str(tmp_path / "u"), ["id"], one_file=True)
+    assert one == "published" and len(spark.read.parquet(str(tmp_path / "u")).inputFiles()) == 1 and not [x for x in tmp_path.iterdir() if "staged" in x.name]
+
+
+def test_digests_tell_nulls_apart(spark):
+    rows = [[(None, "x"), ("a", "b")], [("x", None), ("a", "b")], [("a", "b"), (None, "x")], [(None, "x"), (None, "x"), ("a", "b")], [("x", ""), ("a", "b")]]
+    found = [files.content_hash(spark.createDataFrame(r, "a string, b string")).first() for r in rows]
+    assert found[0] == found[2] and len({tuple(f) for f in found}) == 4
+
+
+def test_replaced_tables_and_evidence(spark, tmp_path):
+    files.overwrite(spark.range(9).repartition(6), str(tmp_path / "o"), 2)
+    files.overwrite(spark.range(5).repartition(6), str(tmp_path / "o"), 2)
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 5 and len(spark.read.parquet(str(tmp_path / "o")).inputFiles()) == 2
+    for n in (3, 4):
+        files.replace_table(spark.range(n), "replaced", str(tmp_path / "r"))
+        assert spark.table("replaced").count() == n
+    spark.sql("drop table replaced")
+    digest = files.evidence(spark, {"b": {"z": 1, "a": "é"}, "a": {}}, str(tmp_path / "e"))
+    assert (tmp_path / "e" / "b.json").read_text() == '{"a":"é","z":1}\n' and len(digest) == 64
+    with pytest.raises(FileExistsError):
+        files.evidence(spark, {"a": {}}, str(tmp_path / "e"))
+    assert [r.sha256 for r in files.file_digests(spark, str(tmp_path / "e"), "a.json").collect()] == ["ca3d163bab055381827226140568f3bef7eaac187cebd76878e0b63e9e442356"]
+
+
+def test_short_rows_and_anchored_totals(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('h;h;h\n1;2;3\n1;"2;2"\n"a;b";c;d\n')
+    assert tuple(files.short_rows(spark, str(tmp_path / "a.csv"), 3).first()) == (3, 1)
+    (tmp_path / "t-202501.json").write_text(json.dumps({"linhas": 2, "soma": "3.10"}))
+    anchor = spark.sql("select '202501' period, 9L rows, cast(1 as decimal(38,2)) total")
+    assert [tuple(r)[:2] for r in files.monthly_totals(spark, str(tmp_path / "t-*.json"), anchor).collect()] == [("202501", 9)]
 
 
 def test_totals_in_two_spellings(spark, tmp_path):
@@ -90,9 +121,45 @@ def test_drop_zone(spark, tmp_path):
     (zone / "three.txt").write_text("3")
     cycle()
     cycle()
+    assert json.loads(beat.document()) and {x["state"] for x in beat.state.values()} <= {"running", "idle", "stopped"}
     spark.streams.removeListener(beat)
     assert sorted(r.name for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["one.txt", "three.txt"]
-    assert sorted(r.state for r in spark.read.json(str(tmp_path / "states")).collect()) == ["retry_pending: ValueError", "succeeded", "succeeded"]
+    states = str(tmp_path / "states")
+    last = lambda: {r.path.rsplit("/", 1)[1]: r.state for r in spark.read.json(states).groupBy("path").agg(F.max_by("state", "cycle").alias("state")).collect()}
+    assert last() == {"one.txt": "succeeded", "two.txt": "retry_pending: ValueError", "three.txt": "succeeded"}
+    (zone / "two.txt").write_text("2")  # mended: a retry takes it
+    assert dropzone.retry(spark, handle, str(tmp_path / "out"), states, ["name"]) == 1
+    assert sorted(r.name for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["one.txt", "three.txt", "two.txt"]
+
+
+def test_a_pending_file_is_read_again_with_later_ones(spark, tmp_path):
+    zone, out, states = tmp_path / "zone", str(tmp_path / "out"), str(tmp_path / "states")
+    zone.mkdir()
+    mended = []
+
+    def handle(df):
+        rows = df.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.decode("content", "UTF-8").alias("body"))
+        if not mended and rows.filter("body = 'bad'").count():
+            raise ValueError("bad file")
+        return rows
+
+    def cycle():
+        dropzone.work(dropzone.batches(spark, str(zone)), handle, out, states, str(tmp_path / "progress"), ["name"]).awaitTermination()
+
+    for name, body in (("a", "1"), ("b", "bad"), ("c", "3")):
+        (zone / name).write_text(body)
+    cycle()
+    assert sorted(r.name for r in spark.read.parquet(out).collect()) == ["a", "c"]
+    assert [r.path.rsplit("/", 1)[1] for r in dropzone.pending(spark, states).collect()] == ["b"]
+    mended.append(True)
+    (zone / "d").write_text("4")
+    cycle()
+    assert sorted(r.name for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"] and not dropzone.pending(spark, states).count()
+
+
+def test_files_wait_for_their_marker(spark):
+    rows = spark.createDataFrame([("/z/B1/data.dat",), ("/z/B1/source-manifest.json",), ("/z/B2/data.dat",)], "path string")
+    assert [r.path for r in dropzone.ready(rows).collect()] == ["/z/B1/data.dat"]
 
 
 def test_windowed_totals(spark, sf, tmp_path):

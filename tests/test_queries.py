@@ -54,3 +54,23 @@ def test_nothing_else_imports_the_training_data_package():
             if n.endswith(".py"):
                 with open(os.path.join(folder, n)) as f:
                     assert "tallyproof.llm" not in f.read(), n
+
+
+def test_the_rest_works_without_the_training_data_package(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(catalog.__file__)))
+    for gone in (["tallyproof/llm", "tests/llm"], ["tallyproof/llm", "tests/llm", "corpus_pipeline.py"]):
+        tree = tmp_path / str(len(gone))
+        shutil.copytree(root, tree, ignore=shutil.ignore_patterns(".git", "__pycache__", "spark-warehouse"))
+        for name in gone:
+            if (tree / name).is_dir():
+                shutil.rmtree(tree / name)
+            elif (tree / name).exists():
+                (tree / name).unlink()
+        code = "import __spark_entry__ as e; q = e.queries(); s = e.oracle_sql(); assert set(s) <= set(q); print(len(q), sum(n.startswith('op') and n[2].isdigit() or n == 'pipeline' for n in q))"
+        done = subprocess.run([sys.executable, "-c", code], cwd=tree, env={**os.environ, "PYTHONPATH": str(tree)}, capture_output=True, text=True, timeout=120)
+        assert done.returncode == 0, done.stderr
+        assert done.stdout.split() == [str(len(catalog.QUERIES)), "0"]
