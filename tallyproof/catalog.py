@@ -374,7 +374,7 @@ def series_step(spark, sf_dir):
 select cast(sum(v) as decimal(38,2)) total, cast(max(s) as decimal(38,2)) peak from r""")
 def running_peak(spark, sf_dir):
     v = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
-    return profile.running_peak(t(spark, sf_dir, "lineitem"), F.floor(F.col("l_orderkey") / 1000), [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")], v)
+    return profile.running_peak(t(spark, sf_dir, "lineitem"), [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")], v)
 
 
 @query(f"with {_MONTHS} select period, cast(sum(n) over (order by period) as bigint) rows_so_far, cast(sum(s) over (order by period) as decimal(38,2)) sum_so_far from m")

@@ -80,3 +80,11 @@ def canonical(value: Column, is_money: bool = False) -> Column:
         return text
     short = F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
     return F.when(short.isin("-0", ""), F.when(text == "", "").otherwise("0")).otherwise(short)
+
+
+def at_scale(value: Column, reference: Column) -> Column:
+    """The amount as text with as many places as the reference text has, ties to even."""
+    places = F.when(F.instr(reference, ".") > 0, F.length(F.substring_index(reference, ".", -1))).otherwise(0)
+    exact = value.cast("decimal(28,10)")
+    by_places = [F.when(places == n, F.bround(exact, n).cast(f"decimal(28,{n})").cast("string")) for n in range(11)]
+    return F.coalesce(*by_places)

@@ -42,3 +42,16 @@ def clear_identifiers(df: DataFrame, columns: list[str], pattern: str) -> DataFr
     for c in columns:
         hit = hit | F.col(c).rlike(pattern)
     return df.filter(hit)
+
+
+def status_conflicts(batches: DataFrame, status: str = "status", failure: str = "failure_code", initial: bool = True) -> DataFrame:
+    """(.., conflict) of rows whose failure code does not fit their status.
+
+    A new batch is claimed without a code, or quarantined or an oracle mismatch with one; later on only quarantine needs a code.
+    """
+    code = F.col(failure).isNotNull()
+    unsafe = ~F.col(status).isin("claimed", "quarantined", "oracle_mismatch")
+    wrong = ((F.col(status) == "claimed") & code) | ((F.col(status) != "claimed") & ~code)
+    new = F.when(unsafe, "UNSAFE_INITIAL_STATUS").when(wrong, "FAILURE_CODE_MISMATCH")
+    later = F.when((F.col(status) == "quarantined") & ~code, "FAILURE_CODE_MISMATCH")
+    return batches.withColumn("conflict", new if initial else later).filter("conflict is not null")

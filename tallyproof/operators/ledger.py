@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 EVENT_SCHEMA = (
     "schema_version string, event_id string, project_id string, kind string, importance string, access string, occurred_at string, observed_at string, "
-    "source struct<system:string,ref:string>, method_context struct<method:string,phase:string,intent_ref:string,task_ref:string,parent_ref:string>, "
+    "source struct<system:string,ref:string,source_revision:string>, method_context struct<method:string,phase:string,intent_ref:string,task_ref:string,parent_ref:string>, "
     "headline string, entity_refs array<string>, evidence_ids array<string>, details string, previous_event_hash string, event_hash string"
 )
 
@@ -23,6 +23,11 @@ def chain_breaks(events: DataFrame, by: str, order: list[str]) -> DataFrame:
     return events.withColumn("expected_hash", before).filter(~F.col("previous_event_hash").eqNullSafe(F.col("expected_hash")))
 
 
+def forged(events: DataFrame, parts: list[str]) -> DataFrame:
+    """Events whose hash is not the one that their own fields and the hash before them give."""
+    return events.withColumn("computed_hash", event_hash(F.col("previous_event_hash"), *(F.col(p) for p in parts))).filter(~F.col("event_hash").eqNullSafe(F.col("computed_hash")))
+
+
 def ingest(ledger: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming events with what happens to them: APPENDED, or DUPLICATE where the id is known."""
     known = ledger.select("event_id", F.lit(True).alias("_known")).distinct()
@@ -43,14 +48,28 @@ def late(events: DataFrame, occurred: str = "occurred_at", observed: str = "obse
     return events.filter(F.to_timestamp(F.col(observed)) > F.to_timestamp(F.col(occurred)))
 
 
+def in_order(events: DataFrame) -> DataFrame:
+    """Events by when they occurred, then by id."""
+    return events.orderBy("occurred_at", "event_id")
+
+
+RELATIONS = ("implements", "depends_on", "supersedes", "blocked_by", "contradicts", "verifies", "caused_by", "accepted_by", "learned_from")
+
+
 def relations(events: DataFrame) -> DataFrame:
-    """Edges (src, relation, dst) that events state, and those that their context implies, once each."""
-    context = F.col("method_context")
-    implements = events.filter(context["task_ref"].isNotNull() & context["intent_ref"].isNotNull()).select(context["task_ref"].alias("src"), F.lit("implements").alias("relation"), context["intent_ref"].alias("dst"))
-    part_of = events.filter(context["task_ref"].isNotNull() & context["parent_ref"].isNotNull()).select(context["task_ref"].alias("src"), F.lit("part_of").alias("relation"), context["parent_ref"].alias("dst"))
-    verified = events.filter("kind = 'VERIFICATION_RECORDED'").select(F.explode("evidence_ids").alias("src"), "entity_refs").select("src", F.lit("verifies").alias("relation"), F.explode("entity_refs").alias("dst"))
-    stated = events.select(F.from_json("details", "relations array<struct<src:string,relation:string,dst:string>>").alias("d")).select(F.explode("d.relations").alias("r")).select("r.*")
-    return stated.unionByName(implements).unionByName(part_of).unionByName(verified).distinct()
+    """Edges (src, relation, dst, event_id, rule) that events state, and those that follow from their kind, once each an event."""
+    context, rows = F.col("method_context"), events
+    edge = lambda df, src, relation, dst, rule: df.select(src.alias("src"), F.lit(relation).alias("relation"), dst.alias("dst"), "event_id", F.lit(rule).alias("rule"))
+    task = context["task_ref"]
+    stated = rows.select("event_id", F.explode(F.from_json("details", "relations array<struct<source_ref:string,relation:string,target_ref:string>>")["relations"]).alias("r"))
+    stated = stated.select(F.col("r.source_ref").alias("src"), F.col("r.relation").alias("relation"), F.col("r.target_ref").alias("dst"), "event_id", F.lit("explicit.relation").alias("rule"))
+    implements = edge(rows.filter("kind = 'TASK_STARTED'"), task, "implements", context["intent_ref"], "event.task-started-intent")
+    accepted = edge(rows.filter("kind = 'TASK_ACCEPTED'"), task, "accepted_by", F.col("event_id"), "event.task-accepted")
+    proved = rows.filter("kind = 'EVIDENCE_ADDED'").select("event_id", F.explode("entity_refs").alias("e"), "evidence_ids").select("event_id", "e", F.explode("evidence_ids").alias("v"))
+    verifies = edge(proved, F.col("e"), "verifies", F.col("v"), "event.evidence-added")
+    revised = edge(rows.filter("kind = 'INTENT_REVISED'"), F.coalesce(context["intent_ref"], F.get("entity_refs", F.lit(0))), "supersedes", F.get_json_object("details", "$.supersedes"), "event.intent-revised")
+    found = stated.unionByName(implements).unionByName(accepted).unionByName(verifies).unionByName(revised)
+    return found.filter((F.coalesce("src", F.lit("")) != "") & (F.coalesce("dst", F.lit("")) != "") & F.col("relation").isin(*RELATIONS)).dropDuplicates(["src", "relation", "dst", "event_id"])
 
 
 def drift(events: DataFrame, order: list[str]) -> DataFrame:
@@ -64,6 +83,91 @@ def drift(events: DataFrame, order: list[str]) -> DataFrame:
     return blockers.unionByName(active).unionByName(bare).join(settled, "entity", "left_anti").select("rule", "entity")
 
 
+def drift_findings(events: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """(drift_id, rule, severity, event_id, task, disposition) of all eleven rules over a project's events.
+
+    What an event tells alone is one projection; what came before it is a window over the events of a task or an entity.
+    A finding is resolved by a later DRIFT_RESOLVED that names it, and superseded by the last revision of intent that
+    a recorded decision backs, if that lists it.
+    """
+    order = order or ["occurred_at", "event_id"]
+    said = lambda name: F.get_json_object("details", f"$.{name}")
+    context = F.col("method_context")
+    e = events.select("event_id", "kind", *[c for c in order if c != "event_id"], "importance", "entity_refs", "evidence_ids", "details", "source", context.alias("m"), context["task_ref"].alias("task"))
+    recorded = e.filter("kind = 'DECISION_RECORDED'").select(said("decision_id").alias("decision")).filter("decision is not null").distinct()
+    full = lambda c: F.coalesce(c, F.lit("")) != ""
+    find = lambda df, rule, severity, task=F.col("task"): df.select(F.concat_ws(":", F.lit(rule), "event_id").alias("drift_id"), F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), "event_id", task.alias("task"))
+    attention, blocking = "needs-attention", "blocking"
+    expected_hash, observed_hash = said("expected_sha256"), said("observed_sha256")
+    started, completed = e.filter("kind = 'TASK_STARTED' and task is not null"), e.filter("kind = 'TASK_COMPLETED' and task is not null")
+    found = [
+        find(e.filter((F.coalesce(said("scope_status"), F.lit("")) == "exceeds-accepted") | full(said("scope_exceeds_ref"))), "drift.scope-exceeds-accepted", attention),
+        find(e.filter(full(said("expected_phase")) & ~F.col("m.phase").eqNullSafe(said("expected_phase"))), "drift.method-phase-conflict", attention),
+        find(e.filter(full(said("expected_source_revision")) & ~F.col("source.source_revision").eqNullSafe(said("expected_source_revision"))), "drift.source-revision-mismatch", attention),
+        find(e.filter((F.coalesce(said("hash_status"), F.lit("")) == "mismatch") | (full(expected_hash) & full(observed_hash) & (expected_hash != observed_hash))), "drift.artifact-hash-mismatch", blocking),
+        find(e.filter("kind = 'INTENT_REVISED'").withColumn("decision", said("decision_id")).join(recorded, "decision", "left_anti"), "drift.pivot-without-decision", blocking),
+        find(started.filter((F.col("m.method") == "converge") & ~full(said("authorization_ref"))), "drift.converge-authorization", attention),
+        find(completed.filter(F.coalesce(F.size("evidence_ids"), F.lit(0)) <= 0), "drift.completion-without-evidence", attention),
+    ]
+    # a blocker still up when its task completes
+    keys = [F.col(c) for c in order]
+    blocked = e.filter("kind in ('BLOCKER_RAISED', 'BLOCKER_CLEARED')").select(*keys, F.explode(F.when(F.coalesce(F.size("entity_refs"), F.lit(0)) > 0, F.col("entity_refs")).otherwise(F.array("task"))).alias("task"), (F.col("kind") == "BLOCKER_RAISED").alias("up"), F.lit(False).alias("end"))
+    both = blocked.unionByName(completed.select(*keys, "task", F.lit(None).cast("boolean").alias("up"), F.lit(True).alias("end")), allowMissingColumns=True)
+    before = F.last("up", ignorenulls=True).over(Window.partitionBy("task").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    bypassed = both.withColumn("before", before).filter("end and before").select("event_id", "task")
+    found.append(find(bypassed, "drift.bypassed-blocker", blocking))
+    at = F.struct(*order)
+    last_done = completed.groupBy("task").agg(F.max_by("event_id", at).alias("event_id"))
+    accepted = e.filter("kind = 'TASK_ACCEPTED' and task is not null").select("task").distinct()
+    found.append(find(last_done.join(accepted, "task", "left_anti"), "drift.completion-without-acceptance", attention))
+    ends = e.filter("task is not null and kind in ('TASK_STARTED', 'TASK_COMPLETED', 'TASK_FAILED', 'TASK_REJECTED')").groupBy("task").agg(F.max_by(F.struct("kind", "event_id", F.col("m.parent_ref").alias("parent")), at).alias("z")).select("task", "z.*")
+    child = ends.filter("kind = 'TASK_STARTED'").join(completed.select(F.col("task").alias("parent")).distinct(), "parent", "left_semi")
+    found.append(find(child, "drift.active-child-after-parent", attention))
+    reported = e.filter("kind = 'DRIFT_DETECTED'").select(F.coalesce(F.get("entity_refs", F.lit(0)), F.col("event_id")).alias("drift_id"), F.lit("event.drift-detected").alias("rule"), F.coalesce(said("severity"), F.col("importance")).alias("severity"), "event_id", "task")
+    union = reported
+    for f in found:
+        union = union.unionByName(f)
+    when = e.select("event_id", at.alias("at"))
+    resolved = e.filter("kind = 'DRIFT_RESOLVED'").select(F.explode("entity_refs").alias("drift_id"), at.alias("then")).groupBy("drift_id").agg(F.max("then").alias("then"))
+    backed = e.filter("kind = 'INTENT_REVISED'").withColumn("decision", said("decision_id")).join(recorded, "decision", "left_semi")
+    listed = backed.agg(F.max_by("details", at).alias("details")).select(F.explode(F.from_json(F.get_json_object("details", "$.resolves_drift_ids"), "array<string>")).alias("drift_id")).distinct().withColumn("pivot", F.lit(True))
+    rows = union.join(when, "event_id", "left").join(resolved, "drift_id", "left").join(listed, "drift_id", "left")
+    disposition = F.when(F.col("pivot"), "superseded-by-pivot").when((F.col("rule") == "event.drift-detected") & (F.col("then") > F.col("at")), "resolved").otherwise("open")
+    return rows.select("drift_id", "rule", "severity", "event_id", "task", disposition.alias("disposition"))
+
+
+def supersedes(events: DataFrame) -> DataFrame:
+    """(drift_id, event_id): findings that a revision of intent lists as settled."""
+    listed = F.explode(F.from_json(F.get_json_object("details", "$.resolves_drift_ids"), "array<string>"))
+    return events.filter("kind = 'INTENT_REVISED'").select(listed.alias("drift_id"), "event_id")
+
+
+def story(events: DataFrame) -> DataFrame:
+    """One row a project: what a snapshot tells besides its evidence, each as a sorted list.
+
+    Intents, phases, milestones, detours, human actions, blockers still up and lessons with their review.
+    """
+    said = lambda name: F.get_json_object("details", f"$.{name}")
+    at = F.struct("occurred_at", "event_id")
+    ref = F.coalesce(F.get("entity_refs", F.lit(0)), F.col("event_id"))
+    listed = lambda cond, *what: F.sort_array(F.collect_list(F.when(cond, F.struct(*what)))).alias
+    kind = F.col("kind")
+    told = events.groupBy("project_id").agg(
+        listed(kind.isin("INTENT_DECLARED", "INTENT_REVISED"), "occurred_at", "event_id", F.coalesce(F.col("method_context.intent_ref"), F.get("entity_refs", F.lit(0))).alias("intent_ref"), "headline")("intents"),
+        F.max_by("method_context.phase", F.when(F.coalesce(F.col("method_context.phase"), F.lit("")) != "", at)).alias("phase"),
+        listed(kind.isin("TASK_COMPLETED", "TASK_ACCEPTED", "ARTIFACT_CREATED"), "occurred_at", "event_id", "kind", "headline")("milestones"),
+        listed(said("signal") == "detour", "occurred_at", "event_id", "headline", said("reason").alias("reason"))("detours"),
+        listed(F.coalesce(said("human_action"), F.lit("")) != "", "occurred_at", "event_id", said("human_action").alias("action"), (F.col("importance") == "blocking").alias("blocking"))("human_actions"),
+    )
+    up = events.filter("kind in ('BLOCKER_RAISED', 'BLOCKER_CLEARED')").select("project_id", at.alias("at"), kind, F.explode(F.when(kind == "BLOCKER_RAISED", F.array(ref)).otherwise(F.col("entity_refs"))).alias("blocker"))
+    up = up.groupBy("project_id", "blocker").agg(F.max_by("kind", "at").alias("kind")).filter("kind = 'BLOCKER_RAISED'").groupBy("project_id").agg(F.sort_array(F.collect_list("blocker")).alias("blockers"))
+    proposed = events.filter("kind = 'LESSON_PROPOSED'").groupBy("project_id", F.coalesce(said("lesson_id"), ref).alias("lesson_id")).agg(F.max_by(F.coalesce(said("observation"), F.col("headline")), at).alias("observation"))
+    reviews = events.filter("kind = 'DECISION_RECORDED'").select("project_id", said("decision_id").alias("d"), said("choice").alias("choice"), at.alias("at")).filter("d like 'lesson-review:%'")
+    reviews = reviews.groupBy("project_id", F.substring_index("d", ":", -1).alias("lesson_id")).agg(F.max_by(F.coalesce("choice", F.lit("recorded")), "at").alias("review"))
+    lessons = proposed.join(reviews, ["project_id", "lesson_id"], "left").groupBy("project_id").agg(F.sort_array(F.collect_list(F.struct("lesson_id", "observation", F.coalesce("review", F.lit("proposed")).alias("review")))).alias("lessons"))
+    return told.join(up, "project_id", "left").join(lessons, "project_id", "left")
+
+
 def decisions(events: DataFrame) -> DataFrame:
     """Requests and records of a decision side by side."""
     rows = events.select("kind", "occurred_at", F.get_json_object("details", "$.decision_id").alias("decision_id"))

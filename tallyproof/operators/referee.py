@@ -30,8 +30,19 @@ def status(differences: DataFrame, by: list[str] | None = None) -> DataFrame:
     return differences.groupBy(*(by or [])).agg(n.alias("differences"), bad.alias("unexplained"), F.when(n == 0, "MATCHED").when(bad == 0, "RESOLVED").otherwise("STALLED").alias("status"))
 
 
-def record_diff(actual: DataFrame, contract: DataFrame, keys: list[str], fields: list[str], money: tuple[str, ...] = ()) -> DataFrame:
-    """(keys, field, actual, expected, classification) of every field that differs; a row on one side only is one difference ``(record)``."""
+def last_of_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row a key, the last in ``order``: what a dictionary filled in that order holds."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.groupBy(*keys).agg(F.max_by(whole, F.struct(*order)).alias("_last")).select("_last.*")
+
+
+def record_diff(actual: DataFrame, contract: DataFrame, keys: list[str], fields: list[str], money: tuple[str, ...] = (), order: list[str] | None = None) -> DataFrame:
+    """(keys, field, actual, expected, classification) of every field that differs; a row on one side only is one difference ``(record)``.
+
+    Of rows that share a key the last in ``order`` counts; without an order there must be one row a key.
+    """
+    if order:
+        actual, contract = last_of_key(actual, keys, order), last_of_key(contract, keys, order)
     shape = lambda df, name: df.select(*keys, F.struct(*(canonical(F.col(f), f in money).alias(f) for f in fields)).alias(name))
     joined = shape(actual, "a").join(shape(contract, "c"), keys, "full_outer")
     one_side = F.col("a").isNull() | F.col("c").isNull()
@@ -54,6 +65,12 @@ def aggregate_diff(actual: DataFrame, contract: DataFrame, reference: DataFrame)
     return joined.select("field", a.alias("actual"), c.alias("contract"), r.alias("reference"), classify(a == c, a == r).alias("classification")).filter(~((a == c) & (a == r)))
 
 
+def in_order(differences: DataFrame, keys: list[str], numeric: bool = False) -> DataFrame:
+    """Differences by key and field for a report, keys compared as text or as numbers."""
+    by = [F.col(k).cast("decimal(38,0)") if numeric else F.col(k).cast("string") for k in keys]
+    return differences.orderBy(*by, "field")
+
+
 def control_pairs(df: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     """declared_* and computed_* columns as rows (keys, control, declared, computed, equal)."""
     rows = F.explode(F.array(*(F.struct(F.lit(n).alias("control"), F.col(f"declared_{n}").cast("string").alias("declared"), F.col(f"computed_{n}").cast("string").alias("computed")) for n in names)))

@@ -2,30 +2,29 @@
 
 from __future__ import annotations
 
-import os
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
 
-def session(name: str = "tallyproof", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with ANSI casts, adaptive execution with skew handling, and UTC; object stores come from the environment."""
+BASE = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def object_store(endpoint: str, key: str, secret: str) -> dict[str, str]:
+    """Settings of an S3-compatible store that is addressed by path."""
+    return {f"spark.hadoop.fs.s3a.{name}": value for name, value in (("endpoint", endpoint), ("access.key", key), ("secret.key", secret), ("path.style.access", "true"))}
+
+
+def session(name: str = "tallyproof", master: str | None = None, shuffle_partitions: int | None = None, more: Mapping[str, str] | None = None) -> SparkSession:
+    """A session with ANSI casts, adaptive execution with skew handling, UTC, and ``more`` settings, an object store's for instance."""
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
-    conf = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.ansi.enabled": "true",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
-    }
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if endpoint := os.environ.get("S3_ENDPOINT"):
-        conf |= {
-            "spark.hadoop.fs.s3a.endpoint": endpoint,
-            "spark.hadoop.fs.s3a.access.key": os.environ.get("S3_ACCESS_KEY", ""),
-            "spark.hadoop.fs.s3a.secret.key": os.environ.get("S3_SECRET_KEY", ""),
-            "spark.hadoop.fs.s3a.path.style.access": "true",
-        }
+    conf = BASE | ({"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {}) | dict(more or {})
     return builder.config(map=conf).getOrCreate()

@@ -108,7 +108,7 @@ def test_running_peak(spark):
     rows = [(i, D(v)) for i, v in enumerate(["5.00", "-3.00", "4.00", "-9.00", "8.00"])]
     df = spark.createDataFrame(rows, "i int, v decimal(18,2)")
     for width in (1, 2, 10):
-        row = profile.running_peak(df, F.floor(F.col("i") / width), [F.col("i")], F.col("v")).first()
+        row = profile.running_peak(df.repartition(3), [F.col("i")], F.col("v"), width).first()
         assert (row.total, row.peak) == (D("5.00"), D("6.00"))
 
 
@@ -126,7 +126,15 @@ def test_graphs(spark):
     assert [(r.id, r.level) for r in graphs.topological(n, e).orderBy("place").collect()] == [("a", 0), ("b", 1), ("d", 1), ("c", 2)]
     assert graphs.critical_path_length(n, e).first().steps == 3
     loop = graph(spark, [("a", "b"), ("b", "a"), ("b", "c")])
-    assert {r.id for r in graphs.cyclic(loop, 6).collect()} == {"a", "b"}
+    assert {r.id for r in graphs.cyclic(loop).collect()} == {"a", "b"}
+    assert [(r.id, r.level, r.place) for r in graphs.topological(n, loop.unionByName(graph(spark, [("d", "c")]))).orderBy("place").collect()] == [("d", 0, 1), ("a", None, 2), ("b", None, 3), ("c", None, 4)]
+    assert graphs.cycles(loop) == [["a", "b", "a"]] and graphs.cycles(e) == []
+    two = graph(spark, [("a", "b"), ("b", "c"), ("c", "a"), ("c", "b"), ("d", "d"), ("x", "a")])
+    assert graphs.cycles(two) == [["a", "b", "c", "a"], ["b", "c", "b"], ["d", "d"]]
+    assert [r.id for r in graphs.critical_path(n, e).orderBy("place").collect()] == ["a", "b", "c"]
+    assert [r.id for r in graphs.critical_path(n, graph(spark, [("a", "b"), ("a", "c"), ("b", "d"), ("c", "d")])).orderBy("place").collect()] == ["a", "c", "d"]
+    declared = spark.createDataFrame([("a", ["b", "d"]), ("b", ["d"]), ("c", [])], "id string, blocks array<string>")
+    assert [tuple(r) for r in graphs.blocks_mismatch(declared, e).collect()] == [("b", ["d"], ["c"])]
     assert sorted((r.kind, r.id) for r in graphs.issues(n.limit(3).unionByName(n.limit(1)), graph(spark, [*EDGES, ("c", "d"), ("a", "z")])).collect() if r.id != "d") == [("dangling", "z"), ("duplicate", "a")]
     assert graphs.disjoint_groups([("t1", ["src/a"]), ("t2", ["src"]), ("t3", ["doc"])]) == [["t1", "t3"], ["t2"]]
     writes = spark.createDataFrame([("t1", "src/a"), ("t2", "src"), ("t3", "srcs")], "id string, path string")
@@ -136,6 +144,65 @@ def test_graphs(spark):
     assert {r.id: (r.ready, r.blocked_by) for r in graphs.frontier(tasks, graph(spark, [("a", "b"), ("b", "c"), ("q", "c")])).collect()} == {"b": (True, []), "c": (False, ["b:open", "q:missing"])}
 
 
+def test_long_and_layered_graphs(spark):
+    chain = graph(spark, [(f"n{i:03}", f"n{i + 1:03}") for i in range(80)])
+    nodes = spark.createDataFrame([(f"n{i:03}",) for i in range(81)], "id string")
+    assert graphs.closure(chain).count() == 81 * 80 // 2
+    assert graphs.critical_path_length(nodes, chain).first().steps == 81
+    layers = graph(spark, [(f"l{i}{a}", f"l{i + 1}{b}") for i in range(9) for a in range(6) for b in range(6)])
+    assert graphs.closure(layers).count() == 36 * 45
+
+
+def test_frontier_reasons(spark):
+    rows = [("a", "done", "S", None), ("b", "ready", "S", None), ("c", "ready", "XL", None), ("d", "in-progress", "M", "a"), ("e", "ready", "S", None), ("f", "ready", "S", None), ("g", "ready", "S", None)]
+    tasks = spark.createDataFrame(rows, "id string, status string, effort string, supersedes string")
+    edges = graph(spark, [("a", "b"), ("b", "c"), ("zz", "c"), ("f", "g"), ("g", "f")])
+    writes = spark.createDataFrame([("d", "src"), ("e", "src/x")], "id string, path string")
+    got = {r.id: r.reasons for r in graphs.frontier_reasons(tasks, edges, writes).collect()}
+    assert got == {"a": ["status:done"], "b": ["stale-superseded:a"], "c": ["composition-node", "unmet:b:ready", "missing:zz"], "d": ["status:in-progress"], "e": ["write-conflict:d:in-progress"], "f": ["unmet:g:ready", "dependency-cycle"], "g": ["unmet:f:ready", "dependency-cycle"]}
+    assert [r.id for r in graphs.frontier_reasons(tasks.filter("id = 'b'").drop("supersedes").withColumn("supersedes", F.lit(None).cast("string")), graph(spark, [("q", "r")])).filter("ready").collect()] == ["b"]
+    facts = spark.createDataFrame([("a", "S", "ready", 1, "verified", False), ("b", "XXL", "ready", 1, "verified", True), ("c", "S", None, None, None, None), ("d", "S", "draft", 2, "verified", False)], "id string, effort string, lifecycle string, tier int, verification string, stale boolean")
+    ready = spark.createDataFrame([(x,) for x in "abcdz"], "id string")
+    assert {r.id: (r.eligible, r.blockers) for r in graphs.eligible(ready, facts).collect()} == {"a": (True, []), "b": (False, ["COMPOSITION_NODE", "AUTHORIZATION_NOT_TIER1"]), "c": (False, ["STATUS_UNAVAILABLE"]), "d": (False, ["NOT_READY", "AUTHORIZATION_NOT_TIER1"]), "z": (False, ["GRAPH_NODE_MISSING"])}
+
+
+def test_last_write_wins(spark):
+    schema = "id string, n int, name string, amount decimal(18,2)"
+    actual = spark.createDataFrame([("a", 1, "old", D("1.00")), ("a", 2, "x", D("10.00")), ("b", 1, "y", D("2.00"))], schema)
+    wanted = spark.createDataFrame([("b", 1, "q", D("2.00")), ("b", 2, "y", D("2.00")), ("a", 1, "x", D("10.00")), ("c", 1, None, None)], schema)
+    found = referee.record_diff(actual, wanted, ["id"], ["name", "amount"], ("amount",), ["n"])
+    assert [(r.id, r.field) for r in referee.in_order(found, ["id"]).collect()] == [("c", "(record)")]
+    numbers = spark.createDataFrame([("10", "f"), ("9", "f"), ("9", "a")], "id string, field string")
+    assert [(r.id, r.field) for r in referee.in_order(numbers, ["id"], numeric=True).collect()] == [("9", "a"), ("9", "f"), ("10", "f")]
+    assert [r.id for r in referee.in_order(numbers, ["id"]).collect()] == ["10", "9", "9"]
+
+
+def test_scale_of_the_reference(spark):
+    from tallyproof.functions import money as M
+
+    df = spark.createDataFrame([(D("1.50"), "2.0"), (D("1.25"), "7"), (D("2.25"), "0.1"), (D("-0.01"), "0.000"), (D("3.00"), "")], "v decimal(18,2), r string")
+    assert [r[0] for r in df.select(M.at_scale(F.col("v"), F.col("r"))).collect()] == ["1.5", "1", "2.2", "-0.010", "3"]
+
+
+def test_status_and_failure_code(spark):
+    rows = [("claimed", None), ("claimed", "X"), ("quarantined", None), ("quarantined", "X"), ("oracle_mismatch", "X"), ("succeeded", None)]
+    df = spark.createDataFrame(rows, "status string, failure_code string")
+    assert sorted((r.status, r.conflict) for r in assertions.status_conflicts(df).collect()) == [("claimed", "FAILURE_CODE_MISMATCH"), ("quarantined", "FAILURE_CODE_MISMATCH"), ("succeeded", "UNSAFE_INITIAL_STATUS")]
+    assert [(r.status, r.failure_code) for r in assertions.status_conflicts(df, initial=False).collect()] == [("quarantined", None)]
+
+
+def test_profiles(spark):
+    df = spark.createDataFrame([("1", "a", "x"), ("2", "a", "x"), ("3", "b", "3"), ("4x", "c", "12")], "code string, d string, other string")
+    assert sorted(r.code for r in profile.collapsed_codes(df, "code", "d").collect()) == ["1", "2"]
+    assert profile.swappable(df, F.col("code"), F.col("other")).first().swappable == 3
+    stats = profile.run_stats(spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 5.5)], "c string, v double"), "c", F.col("v"))
+    assert profile.mean_delta(stats, "c", "a", "b").first().delta == -4.0
+    raw = spark.createDataFrame([(f"bad{i:02}",) for i in range(30)] + [("1,25",), ("x" * 90,), (None,), ("bad00",)], "raw string")
+    row = profile.grammar(raw, F.col("raw"), F.when(F.col("raw").rlike("^[0-9],[0-9]+$"), 1)).first()
+    assert (row.accepted, row.refused, row.scales, row.samples) == (1, 33, [2], [f"bad{i:02}" for i in range(10)])
+    assert profile.grammar(raw.limit(0), F.col("raw"), F.lit(1)).first().samples == []
+
+
 def event(i, kind, entity="t1", **more):
     row = {"schema_version": "1", "event_id": f"e{i}", "project_id": "p", "kind": kind, "importance": "", "access": "", "occurred_at": f"2026-01-0{i}T00:00:00Z", "observed_at": f"2026-01-0{i}T00:00:00Z", "source": None, "method_context": None, "headline": "", "entity_refs": [entity], "evidence_ids": [], "details": None, "previous_event_hash": None, "event_hash": None}
     return row | more
@@ -152,7 +219,12 @@ def test_ledger(spark):
         event(5, "VERIFICATION_RECORDED", "t2", evidence_ids=["v1", "v2"]), event(6, "DRIFT_RESOLVED", "x"), event(7, "DECISION_REQUESTED", details='{"decision_id":"d1"}', observed_at="2026-01-09T00:00:00Z"),
     )
     assert sorted((r.rule, r.entity) for r in ledger.drift(df, ["occurred_at"]).collect()) == [("task_not_ended", "t1")]
-    assert sorted((r.src, r.relation, r.dst) for r in ledger.relations(df).collect()) == [("t1", "implements", "i1"), ("t1", "part_of", "t0"), ("v1", "verifies", "t2"), ("v2", "verifies", "t2")]
+    assert sorted((r.src, r.relation, r.dst) for r in ledger.relations(df).collect()) == [("t1", "implements", "i1")]
+    more = events(
+        spark, event(1, "TASK_ACCEPTED", "x", method_context=("m", "f", None, "t9", None)), event(5, "TASK_ACCEPTED", "t8"), event(2, "EVIDENCE_ADDED", "t1", entity_refs=["t1", "t2"], evidence_ids=["v1", "v2"]), event(3, "INTENT_REVISED", "i2", details='{"supersedes":"i1"}'),
+        event(4, "NOTE", details='{"relations":[{"source_ref":"a","relation":"blocked_by","target_ref":"b"},{"source_ref":"a","relation":"likes","target_ref":"b"},{"source_ref":"","relation":"verifies","target_ref":"b"}]}'),
+    )
+    assert sorted((r.src, r.relation, r.dst) for r in ledger.relations(more).collect()) == [("a", "blocked_by", "b"), ("i2", "supersedes", "i1"), ("t1", "verifies", "v1"), ("t1", "verifies", "v2"), ("t2", "verifies", "v1"), ("t2", "verifies", "v2"), ("t9", "accepted_by", "e1")]
     assert [(r.decision_id, r.open) for r in ledger.decisions(df).collect()] == [("d1", True)]
     row = ledger.snapshot(df).first()
     assert (row.events, row.late, row.evidence_ids) == (7, 1, ["v1", "v2"])
@@ -160,10 +232,40 @@ def test_ledger(spark):
     assert sorted(r.outcome for r in ledger.ingest(df.limit(2), df.limit(3)).collect()) == ["APPENDED", "DUPLICATE", "DUPLICATE"]
 
 
+def test_drift_findings(spark):
+    task = lambda t, method="m", phase=None, parent=None: (method, phase, None, t, parent)
+    df = events(
+        spark,
+        event(1, "NOTE", "x", details='{"scope_status":"exceeds-accepted","expected_phase":"build"}', method_context=("m", "plan", None, None, None)),
+        event(2, "NOTE", "x", details='{"expected_source_revision":"r2","expected_sha256":"a","observed_sha256":"b"}', source=("git", "r", "r1")),
+        event(3, "TASK_STARTED", "t1", method_context=task("t1", "converge", parent="t0")),
+        event(4, "BLOCKER_RAISED", "t0", method_context=None),
+        event(5, "TASK_COMPLETED", "t0", method_context=task("t0")),
+        event(6, "DRIFT_DETECTED", "d1", details='{"severity":"blocking"}'),
+        event(7, "DRIFT_RESOLVED", "d1"),
+        event(8, "INTENT_REVISED", "i1", details='{"decision_id":"q1","resolves_drift_ids":["drift.bypassed-blocker:e5"]}'),
+        event(9, "INTENT_REVISED", "i1", details='{"decision_id":"none"}'),
+    )
+    recorded = events(spark, event(9, "DECISION_RECORDED", "q", event_id="e99", details='{"decision_id":"q1"}'))
+    got = {(r.rule, r.event_id): r.disposition for r in ledger.drift_findings(df.unionByName(recorded)).collect()}
+    assert got == {
+        ("drift.scope-exceeds-accepted", "e1"): "open", ("drift.method-phase-conflict", "e1"): "open", ("drift.source-revision-mismatch", "e2"): "open", ("drift.artifact-hash-mismatch", "e2"): "open",
+        ("drift.converge-authorization", "e3"): "open", ("drift.completion-without-evidence", "e5"): "open", ("drift.bypassed-blocker", "e5"): "superseded-by-pivot", ("drift.completion-without-acceptance", "e5"): "open",
+        ("drift.active-child-after-parent", "e3"): "open", ("event.drift-detected", "e6"): "resolved", ("drift.pivot-without-decision", "e9"): "open",
+    }
+    assert {(r.rule, r.event_id) for r in ledger.drift_findings(df).collect()} == {*got, ("drift.pivot-without-decision", "e8")}
+    told = ledger.story(df.unionByName(recorded)).first()
+    assert [i.event_id for i in told.intents] == ["e8", "e9"] and told.blockers == ["t0"] and told.phase == "plan" and [m.kind for m in told.milestones] == ["TASK_COMPLETED"]
+    assert [r.drift_id for r in ledger.supersedes(df).collect()] == ["drift.bypassed-blocker:e5"]
+    assert [r.event_id for r in ledger.in_order(df.repartition(3)).limit(2).collect()] == ["e1", "e2"]
+
+
 def test_chain(spark):
     rows = [("p", 1, None, "h1"), ("p", 2, "h1", "h2"), ("p", 3, "hX", "h3"), ("q", 1, "h0", "g1")]
     df = spark.createDataFrame(rows, "project string, n int, previous_event_hash string, event_hash string")
     assert sorted((r.project, r.n) for r in ledger.chain_breaks(df, "project", ["n"]).collect()) == [("p", 3), ("q", 1)]
+    made = df.withColumn("event_hash", F.when(F.col("n") == 2, "forged").otherwise(ledger.event_hash(F.col("previous_event_hash"), F.col("project"), F.col("n"))))
+    assert [(r.project, r.n) for r in ledger.forged(made, ["project", "n"]).collect()] == [("p", 2)]
 
 
 def test_search(spark):
