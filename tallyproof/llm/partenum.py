@@ -3,48 +3,63 @@
 Set sizes are cut into bands whose ends are in the ratio of the threshold, so
 two similar sets lie in one band or in neighbouring ones, and each set signs
 for its own band and the next.  Similar sets of a band differ in at most k
-elements, which its largest size gives.  The hash domain is cut into k + 1 parts (PartEnum with
-one second-level partition a part): k differences leave a part untouched, so
-similar sets share the signature of one part at least.  A signature is the sum
-of the mixed hashes of a part; an empty part says nothing, so sets with one
-sign under two further partitions too, the last with its empty parts, and no
-pair is lost.
+elements, which its largest size gives.  The hash domain is cut into n1 first-level
+partitions and each of these into ``CELLS`` second-level ones; a set signs under
+every subset of ``CELLS - 1`` of the latter, where a signature is the sum of the mixed
+hashes that lie in the subset.  If every first-level partition held two differences,
+there would be 2 n1 > k of them, so some partition holds one at most, and
+the subset without its cell is equal in both sets.
+
+A subset without elements says nothing and is left out.  To break all the
+others takes one difference in a partition with one cell in use and two
+in any other; if the k differences suffice for that, the set signs under
+up to two further partitions of the domain, the last with its empty subsets, and no
+pair is lost.  What they don't suffice for is the number of signatures that
+similar sets share at least, so a class that shares fewer than that
+has no partner and is left out.  n1 exceeds k / 2 by ``SLACK`` to make that number larger.
 
 Work is done on classes of equal sets, found by digest, so copies cost nothing.
-1. Signatures are gathered by range in packed blobs, 16 bytes each; those of
-   one class only are left out.
+1. Signatures are gathered by range in packed blobs; those of one class only are
+   left out, and then, twice, classes that share too few.
 2. Every class is compared exactly with its hub, the class of most shared
    signatures that shares one with it; links are closed to components.
-3. Signatures whose classes still lie in several components are worked off:
-   classes of different hubs are compared if their sizes allow a link; classes of
-   one hub only if the elements in which they differ from it overlap as a link
+3. Signatures whose classes still lie in several components are worked off: their classes
+   are compared with the end of their chain of hubs, which all of a group have in common.  Then
+   classes of different chains are compared if their sizes allow a link; classes of
+   one chain only if the elements in which they differ from its end overlap as a link
    demands (prefix filter by frequency).
 A pair within a component needs no comparison, so the pairs of a group of
 copies are never listed.
 
-Set, class and signature digests have 64 bits; links are decided on the sets themselves.
+Set and class digests have 64 bits, signatures 40 within a range; links are decided on the sets themselves.
 Defined results: a null or empty text, or one without words, has an empty set and is linked with
 nothing; a text of fewer words than a shingle is one shingle; rows with equal
-keys are each given the result of their own text.
+keys are each given the result of their own text, and a null key counts as the greatest; an empty table
+gives no rows; ``join`` leaves out other columns, whatever their names, ``keep_one`` returns them untouched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-from tallyproof.llm.shingles import GOLD, U, fingerprint, mixed, shingle_sets
-from tallyproof.llm.storage import stored
+from tallyproof.llm.deal import labels
+from tallyproof.llm.shingles import GOLD, U, fingerprints, mixed, shingle_sets
+from tallyproof.llm.storage import discard, stored
 
 CLASS_SALT, PART_SALT = 0x1234ABCD5678EF01, 0x0F1E2D3C4B5A6978
 LEVELS = 3
-BLOB = 1_500_000  # signatures that a task of the gathering step takes on average
-FILTER_BITS = 25
+CELLS = 3
+SUBSETS = list(combinations(range(CELLS), CELLS - 1))
+SLACK = 0.1
+BLOB = 1_000_000  # signatures that a task of the gathering step takes on average
+#: Bits of the filter on wanted classes: so many a class, and at most; past that, more sets than wanted are shuffled.
+BITS_EACH, BITS_MOST = 16, 28
 
 
 class Bands:
@@ -57,43 +72,52 @@ class Bands:
             low = self.last[-1] + 1
             self.first.append(low)
             self.last.append(low * den // num)
+        r = np.array(self.last, np.int64)
+        self.differ = (den - num) * 2 * r // (den + num)  # k of each band
+        least = self.differ // 2
+        self.partitions = least + 1 + np.ceil(least * SLACK).astype(np.int64)  # n1
 
-    def of(self, n: int) -> int:
-        return int(np.searchsorted(self.last, n))
+    def of(self, n: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.last, n)
 
-    def parts(self, band: int) -> int:
-        """k + 1 for the sets that sign for a band."""
-        r = self.last[band]
-        return (self.den - self.num) * 2 * r // (self.den + self.num) + 1
 
-
-def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """The signatures of a sorted set of mixed hashes."""
-    n, out = len(s), []
-    if not n:
-        return np.empty(0, np.uint64)
-    own = bands.of(n)
+def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted sets of mixed hashes: signatures, number of the set, code of band and level, and how many of a code a partner shares at least."""
+    out: list[tuple[np.ndarray, ...]] = []
     with np.errstate(over="ignore"):
-        for band in (own, own + 1):
-            parts = bands.parts(band)
+        for ahead in (0, 1):
+            some = np.array([i for i, s in enumerate(sets) if len(s)], np.int64)
             for level in range(LEVELS):
-                if level:
-                    key = mixed(s ^ U(level * 0x51ED27 + 1))
-                    order = np.argsort(key, kind="stable")
-                    key, body = key[order], mixed(s[order] ^ U(PART_SALT))
-                else:
-                    key, body = s, mixed(s ^ U(PART_SALT))
-                part = ((key >> U(32)) * U(parts)) >> U(32)
-                first = np.flatnonzero(np.diff(part, prepend=U(parts)) != 0)
-                sums = np.add.reduceat(body, first)
-                base = U(((band * LEVELS + level) * 0x2545F4914F6CDD1D) & 0xFFFFFFFFFFFFFFFF)
-                out.append(mixed(sums + base + part[first] * GOLD))
-                if len(first) == parts:
+                if not len(some):
                     break
-                if level == LEVELS - 1:
-                    empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), part[first])
-                    out.append(mixed(base + empty * GOLD))
-    return np.concatenate(out)
+                size = np.array([len(sets[i]) for i in some.tolist()], np.int64)
+                elements = np.concatenate([sets[i] for i in some.tolist()])
+                band = bands.of(size) + ahead
+                parts = bands.partitions[band]
+                own = np.repeat(np.arange(len(some)), size)
+                h = mixed(elements ^ U(0x51ED27 * level + 1))
+                part = ((h >> U(32)) * parts.astype(np.uint64)[own]) >> U(32)
+                cell = ((h & U(0xFFFFFFFF)) * U(CELLS)) >> U(32)
+                before = np.cumsum(parts) - parts
+                at = (part.astype(np.int64) + before[own]) * CELLS + cell.astype(np.int64)
+                sums = np.zeros(int(parts.sum()) * CELLS, np.uint64)
+                np.add.at(sums, at, mixed(elements ^ U(PART_SALT)))
+                used = np.bincount(at, minlength=len(sums)).reshape(-1, CELLS) > 0
+                sums = sums.reshape(-1, CELLS)
+                own = np.repeat(np.arange(len(some)), parts)
+                cost = np.bincount(own, np.minimum(used.sum(1), 2), len(some)).astype(np.int64)
+                sure = cost - bands.differ[band]
+                empties = (sure <= 0) & (level == LEVELS - 1)
+                base = band.astype(np.uint64)[own] * U(0x2545F4914F6CDD1D) + (np.arange(len(own)) - before[own]).astype(np.uint64) * GOLD
+                code = np.full(len(own), ahead * LEVELS + level, np.uint8)
+                for n, subset in enumerate(SUBSETS):
+                    keep = used[:, subset].any(1) | empties[own]
+                    sig = mixed(mixed(sums[keep][:, subset].sum(1, dtype=np.uint64) + base[keep]) + U(n * LEVELS + level))
+                    out.append((sig, some[own[keep]], code[keep], np.clip(sure, 1, 60_000).astype(np.uint16)[own[keep]]))
+                some = some[sure <= 0]
+    if not out:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint8), np.empty(0, np.uint16)
+    return tuple(map(np.concatenate, zip(*out)))
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> int:
@@ -107,119 +131,150 @@ def _chunks(batches: Iterator[pa.RecordBatch], rows: int = 300) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-def _signed(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Each row's key, set size and class."""
-    kind = docs.schema[key].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _chunks(batches):
-            sets = shingle_sets(part.column(1).to_pylist(), words)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s, CLASS_SALT) for s in sets], pa.int64())], ["k", "n", "cls"])
-
-    return docs.select(key, text).mapInArrow(run, f"k {kind}, n long, cls long")
-
-
 def _members(docs: DataFrame, text: str, words: int, bands: Bands, buckets: int) -> DataFrame:
-    """(sig, cls) of signatures that two classes at least share."""
+    """(sig, cls, code, least) of signatures that two classes at least share."""
+    shared = docs.sparkSession.sparkContext.broadcast(labels(buckets))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, classes, seen, held = [], [], set(), 0
+        held, seen, n, label = [], set(), 0, shared.value
 
         def blobs() -> pa.RecordBatch:
-            s, c = np.concatenate(sigs), np.concatenate(classes)
+            s, c, code, least = map(np.concatenate, zip(*held))
             bucket = ((s >> U(32)) * U(buckets)) >> U(32)
-            order = np.argsort(bucket, kind="stable")
-            s, c, bucket = s[order], c[order], bucket[order]
+            order = np.lexsort((c, bucket))
+            s, c, code, least, bucket = s[order], c[order], code[order], least[order], bucket[order]
             first = np.flatnonzero(np.diff(bucket, prepend=U(buckets)) != 0)
-            ends = [*first[1:].tolist(), len(s)]
-            packed = [np.concatenate([s[a:b], c[a:b].view(np.uint64)]).tobytes() for a, b in zip(first.tolist(), ends)]
-            return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int64)), pa.array(packed, pa.binary())], ["bucket", "packed"])
+            packed = []
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(s)]):
+                columns = (s[a:b].astype(np.uint32), (s[a:b] >> U(32)).astype(np.uint8), c[a:b], code[a:b], least[a:b])
+                packed.append(b"".join(x.tobytes() for x in columns))
+            where = bucket[first].astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(label[where]), pa.array(where), pa.array(packed, pa.binary())], ["dealt", "bucket", "packed"])
 
         for part in _chunks(batches):
-            for s in shingle_sets(part.column(0).to_pylist(), words):
-                if len(s):
-                    cls = fingerprint(s, CLASS_SALT)
-                    if cls not in seen:  # copies in a task sign once
-                        seen.add(cls)
-                        sig = signatures(s, bands)
-                        sigs.append(sig)
-                        classes.append(np.full(len(sig), cls, np.int64))
-                        held += len(sig)
-            if held > 4_000_000:
+            new, classes = [], []
+            sets = shingle_sets(part.column(0).to_pylist(), words)
+            for s, cls in zip(sets, fingerprints(sets, CLASS_SALT).tolist()):
+                if len(s) and cls not in seen:  # copies in a task sign once
+                    seen.add(cls)
+                    new.append(s)
+                    classes.append(cls)
+            sig, own, code, least = signatures(new, bands)
+            held.append((sig, np.array(classes, np.int64)[own], code, least))
+            n += len(sig)
+            if n > 1_500_000:
                 yield blobs()
-                sigs, classes, seen, held = [], [], set(), 0
-        if held:
+                held, seen, n = [], set(), 0
+        if n:
             yield blobs()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, classes = [], []
+        columns: list[list[np.ndarray]] = [[] for _ in range(4)]
         for batch in batches:
-            for blob in batch.column(1):
-                v = np.frombuffer(blob.as_py(), np.uint64)
-                sigs.append(v[: len(v) // 2])
-                classes.append(v[len(v) // 2 :])
-        if not sigs:
+            for bucket, blob in zip(batch.column(1).to_pylist(), batch.column(2)):
+                raw = blob.as_buffer()
+                n, upto = len(raw) // 16, 5 * (len(raw) // 16)
+                s = np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.uint64)
+                s <<= U(32)
+                s |= np.frombuffer(raw, np.uint32, n)
+                s |= U(bucket << 40)
+                columns[0].append(s)
+                for column, kind in zip(columns[1:], (np.int64, np.uint8, np.uint16)):
+                    column.append(np.frombuffer(raw, kind, n, upto))
+                    upto += n * np.dtype(kind).itemsize
+        if not columns[0]:
             return
-        s, c = np.concatenate(sigs), np.concatenate(classes)
-        sigs = classes = None
+        s, c, code, least = map(np.concatenate, columns)
+        columns.clear()
         order = np.argsort(s, kind="stable")
         s = s[order]
         alone = np.diff(s, prepend=~s[:1]) != 0
         alone[:-1] &= alone[1:]  # neither like the one before nor like the one after
-        s, c = s[~alone], c[order[~alone]]
+        s, order = s[~alone], order[~alone]
+        c, code, least = c[order], code[order], least[order]
         order = np.lexsort((c, s))
-        s, c = s[order], c[order]
+        s, c, code, least = s[order], c[order], code[order], least[order]
         new = np.ones(len(s), bool)
         new[1:] = (s[1:] != s[:-1]) | (c[1:] != c[:-1])
-        s, c = s[new], c[new]
-        first = np.flatnonzero(np.diff(s, prepend=~s[:1] if len(s) else None) != 0) if len(s) else np.empty(0, int)
+        s, c, code, least = s[new], c[new], code[new], least[new]
+        first = np.flatnonzero(np.diff(s, prepend=~s[:1]) != 0) if len(s) else np.empty(0, int)
         many = np.repeat(np.diff(first, append=len(s)), np.diff(first, append=len(s))) > 1
-        s, c = s[many].view(np.int64), c[many].view(np.int64)
+        s, c, code, least = s[many].view(np.int64), c[many], code[many], least[many]
         for at in range(0, len(s), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(s[at : at + 50_000]), pa.array(c[at : at + 50_000])], ["sig", "cls"])
+            some = slice(at, at + 50_000)
+            yield pa.RecordBatch.from_arrays([pa.array(s[some]), pa.array(c[some]), pa.array(code[some].astype(np.int8)), pa.array(least[some].astype(np.int32))], ["sig", "cls", "code", "least"])
+
+    return docs.select(F.col(f"`{text}`").alias("_text")).mapInArrow(sign, "dealt long, bucket long, packed binary").repartition(buckets, "dealt").mapInArrow(gather, "sig long, cls long, code byte, least int")
 
-    return docs.select(text).mapInArrow(sign, "bucket long, packed binary").repartition(buckets, "bucket").mapInArrow(gather, "sig long, cls long")
 
+def _enough(members: DataFrame) -> DataFrame:
+    """Without the members that have no partner: those whose signature is shared by no other, or that share fewer than a partner would."""
+    shared = members.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("cls", "code"))).filter("n >= least").drop("n")
+    several = stored(shared, "members")
+    discard(members)
+    left = stored(several.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("sig"))).filter("n > 1"), "members")
+    discard(several)
+    return left
 
-def _filter_of(classes: DataFrame) -> bytes:
-    """A fixed 4 MB bitmap with the bits of all classes of a DataFrame, merged in a tree."""
-    size = 1 << FILTER_BITS - 3
+
+def _filter_of(classes: DataFrame) -> tuple[int, bytes]:
+    """A bitmap with the bits of all classes of a DataFrame, 16 a class and at most 32 MB in all, merged on the executors."""
+    n = classes.count()
+    width = min(max(20, (n * BITS_EACH).bit_length()), BITS_MOST)
+    size, chunk = 1 << width - 3, 1 << 13
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(size, np.uint8)
+        found: dict[int, np.ndarray] = {}
         for batch in batches:
             v = np.asarray(batch.column(0)).view(np.uint64)
-            np.bitwise_or.at(found, (v >> U(64 - FILTER_BITS + 3)).astype(np.int64), np.uint8(1) << (v & U(7)).astype(np.uint8))
-        at = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at].astype(np.int16))], ["at", "bits"])
-
-    set_bits = classes.select("cls").mapInArrow(bits, "at long, bits short").groupBy("at").agg(F.bit_or("bits").alias("bits"))
-    out = np.zeros(size, np.uint8)
-    for batch in set_bits.toArrow().to_batches():  # at most 4 million rows, whatever the input
-        out[np.asarray(batch.column(0))] = np.asarray(batch.column(1)).astype(np.uint8)
-    return out.tobytes()
-
-
-def _sets(docs: DataFrame, text: str, words: int, wanted: DataFrame) -> DataFrame:
-    """(cls, set) of the wanted classes, once each; a bitmap keeps most others from the shuffle."""
+            place = (v >> U(64 - width + 3)).astype(np.int64)
+            order = np.argsort(place // chunk, kind="stable")
+            v, place = v[order], place[order]
+            first = np.flatnonzero(np.diff(place // chunk, prepend=-1) != 0)
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(v)]):
+                into = found.setdefault(int(place[a]) // chunk, np.zeros(chunk, np.uint8))
+                np.bitwise_or.at(into, place[a:b] % chunk, np.uint8(1) << (v[a:b] & U(7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([x.tobytes() for x in found.values()], pa.binary())], ["at", "bits"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                v = np.frombuffer(b, np.uint8)
+                found[at] = found[at] | v if at in found else v
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([v.tobytes() for v in found.values()], pa.binary())], ["at", "bits"])
+
+    schema = "at long, bits binary"
+    dealt = classes.select("cls").repartition(max(1, min(size // chunk, n // 200_000 + 1)), F.shiftrightunsigned("cls", 64 - width + 16))
+    rows = dealt.mapInArrow(bits, schema).repartition(16, "at").mapInArrow(merge, schema).toArrow()  # as many bytes as the filter has, at most
+    out = np.zeros((size // chunk, chunk), np.uint8)
+    for at, b in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+        out[at] = np.frombuffer(b, np.uint8)
+    return width, out.tobytes()
+
+
+def _rows(docs: DataFrame, key: str, text: str, words: int, wanted: DataFrame) -> DataFrame:
+    """Each row's key, set size, class, and the set of a wanted class where a task meets it first, with a few others that pass the filter."""
     shared = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
+    kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = np.frombuffer(shared.value, np.uint8), set()
+        width, bits = shared.value
+        bits, seen = np.frombuffer(bits, np.uint8), set()
         for part in _chunks(batches):
-            classes, packed = [], []
-            for s in shingle_sets(part.column(0).to_pylist(), words):
-                if len(s):
-                    cls = fingerprint(s, CLASS_SALT)
-                    v = cls & 0xFFFFFFFFFFFFFFFF
-                    if cls not in seen and bits[v >> 64 - FILTER_BITS + 3] >> (v & 7) & 1:
-                        seen.add(cls)
-                        classes.append(cls)
-                        packed.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(packed, pa.binary())], ["cls", "elements"])
+            sets = shingle_sets(part.column(1).to_pylist(), words)
+            classes = fingerprints(sets, CLASS_SALT)
+            v = classes.view(np.uint64)
+            hit = bits[(v >> U(64 - width + 3)).astype(np.int64)] >> (v & U(7)).astype(np.uint8) & 1 == 1
+            packed = []
+            for s, cls, h in zip(sets, classes.tolist(), hit.tolist()):
+                first = h and len(s) > 0 and cls not in seen
+                if first:
+                    seen.add(cls)
+                packed.append(s.tobytes() if first else None)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes), pa.array(packed, pa.binary())], ["k", "n", "cls", "elements"])
 
-    found = docs.select(text).mapInArrow(run, "cls long, elements binary")
-    return found.join(wanted.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("elements").alias("elements"))
+    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"k {kind}, n long, cls long, elements binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> DataFrame:
@@ -276,6 +331,34 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _open(state: DataFrame) -> DataFrame:
+    """The members of signatures whose classes lie in several components, with the label of most of them as ``top``."""
+    by_label = state.groupBy("sig", "label").count()
+    several = by_label.groupBy("sig").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("count", "label")).alias("top")).filter("labels > 1").select("sig", F.col("top.label").alias("top"))
+    return stored(state.join(several, "sig"), "open")
+
+
+def _common(state: DataFrame, central: DataFrame, rounds: int = 2) -> DataFrame:
+    """With the hub of a class the most central of those of all it shares a signature with, in ``rounds`` rounds: one a group, mostly."""
+    own = F.coalesce("hub", "cls")
+    at = state.select("cls", own.alias("hub")).distinct().join(central.select(F.col("cls").alias("hub"), "degree"), "hub").select("cls", F.struct("degree", "hub").alias("top"))
+    for _ in range(rounds):
+        by_sig = state.select("sig", "cls").join(at, "cls").groupBy("sig").agg(F.max("top").alias("top"))
+        at = stored(state.select("sig", "cls").join(by_sig, "sig").groupBy("cls").agg(F.max("top").alias("top")), "hubs")
+    hub = F.when(F.col("_hub") != F.col("cls"), F.col("_hub"))
+    return stored(state.join(at.select("cls", F.col("top.hub").alias("_hub")), "cls").withColumn("hub", hub).drop("_hub"), "open")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after (a, b) links."""
+    of = lambda c: labels.select(F.col("cls").alias(c), F.col("label").alias(f"label_{c}"))
+    between = stored(links.join(of("a"), "a").join(of("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).filter("a <> b").distinct(), "between")
+    if not between.limit(1).count():
+        return labels
+    joined = components(between).select(F.col("cls").alias("label"), F.col("label").alias("wide"))
+    return stored(labels.join(joined, "label", "left").select("cls", F.coalesce("wide", "label").alias("label")), "labels")
+
+
 def _across(state: DataFrame, near) -> DataFrame:
     """Pairs of classes with different hubs that share a signature and lie in different components."""
     fields = ("cls", "label", "size", "hub")
@@ -286,7 +369,7 @@ def _across(state: DataFrame, near) -> DataFrame:
     return one.join(two, (one["sig"] == two["sig"]) & new & ~met).select(F.least("cls1", "cls2").alias("a"), F.greatest("cls1", "cls2").alias("b")).distinct()
 
 
-def _within(state: DataFrame, first: DataFrame, labels: DataFrame, near, num: int, den: int) -> DataFrame:
+def _within(state: DataFrame, far: DataFrame, labels: DataFrame, near, num: int, den: int) -> DataFrame:
     """Pairs of classes with one hub, in different components, that can be linked.
 
     With D the elements in which a class differs from the hub, two classes
@@ -298,7 +381,7 @@ def _within(state: DataFrame, first: DataFrame, labels: DataFrame, near, num: in
     """
     active = state.select("cls", "label", "size", "hub").filter("hub is not null").distinct()
     home = labels.select(F.col("cls").alias("hub"), F.col("label").alias("home"))
-    rows = active.join(first.select(F.col("a").alias("cls"), "apart"), "cls").join(home, "hub")
+    rows = active.join(far.select(F.col("a").alias("cls"), "apart"), "cls").join(home, "hub")
     widest = F.floor((den - num) * (F.col("size") + F.floor(F.col("size") * den / num)) / (den + num))
     rows = stored(rows.select("hub", "home", "cls", "label", "size", F.size("apart").alias("m"), widest.alias("widest"), "apart"), "apart")
     each = rows.select("hub", "cls", F.explode("apart").alias("e"))
@@ -329,38 +412,41 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     """
     bands = Bands(num, den)
     spark = docs.sparkSession
-    rows = stored(_signed(docs, key, text, words), "rows")
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    per = 4 * (den - num) / (den + num)
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total * per / BLOB) + 1)
-    members = stored(_members(docs, text, words, bands, buckets), "members")
-    sizes = rows.filter("n > 0").groupBy("cls").agg(F.first("n").alias("size"))
-    nodes = stored(members.select("cls").distinct().join(sizes, "cls"), "nodes")
-    sets = stored(_sets(docs, text, words, nodes), "sets")
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    per = 3 * (1 + SLACK) * (den - num) / (den + num) * 2  # signatures a shingle, which takes some six bytes
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size / 6 * per / BLOB) + 1)
+    members = _enough(_enough(stored(_members(docs, text, words, bands, buckets), "members")))
+    wanted = stored(members.select("cls").distinct(), "wanted")
+    rows = stored(_rows(docs, key, text, words, wanted), "rows")
+    sets = rows.filter("elements is not null").select("cls", "elements").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("elements").alias("elements"))
+    sets = stored(sets, "sets")
+    rows = rows.select("k", "n", "cls")
+    nodes = sets.select("cls", (F.octet_length("elements") / 8).cast("long").alias("size"))
 
     near = lambda a, b: den * F.least(a, b) >= num * F.greatest(a, b)
     linked = den * F.col("both") >= num * (F.col("na") + F.col("nb") - F.col("both"))
 
     # each class and the most central class that shares a signature with it, its hub
-    central = members.join(members.groupBy("sig").count(), "sig").groupBy("cls").agg(F.sum("count").alias("degree"))
-    pivots = members.join(central, "cls").groupBy("sig").agg(F.max(F.struct("degree", "cls")).alias("top"))
+    central = stored(members.groupBy("cls").agg(F.sum("n").alias("degree")), "central")
+    members = members.select("sig", "cls")
+    pivots = stored(members.join(central, "cls").groupBy("sig").agg(F.max(F.struct("degree", "cls")).alias("top")), "pivots")
     best = members.join(pivots, "sig").filter("cls <> top.cls").groupBy("cls").agg(F.max("top").alias("top")).select(F.col("cls").alias("a"), F.col("top.cls").alias("b"))
-    first = stored(_verified(best, sets, differences=True), "links")
-    labels = roots(nodes, first.filter(linked))
-
-    # signatures whose classes are still apart
-    state = nodes.join(labels, "cls").join(first.select(F.col("a").alias("cls"), F.col("b").alias("hub")), "cls", "left")
-    state = stored(members.join(state, "cls"), "state")
-    by_label = state.groupBy("sig", "label").count()
-    open_sigs = by_label.groupBy("sig").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("count", "label")).alias("top")).filter("labels > 1").select("sig", F.col("top.label").alias("top"))
-    open_state = stored(state.join(open_sigs, "sig"), "open")
-    pairs = _across(open_state, near).unionByName(_within(open_state, first, labels, near, num, den)).distinct()
-    second = stored(_verified(pairs, sets).filter(linked), "links")
-    if second.limit(1).count():
-        of = lambda c: labels.select(F.col("cls").alias(c), F.col("label").alias(f"label_{c}"))
-        between = second.join(of("a"), "a").join(of("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).filter("a <> b").distinct()
-        joined = components(between).select(F.col("cls").alias("label"), F.col("label").alias("wide"))
-        labels = stored(labels.join(joined, "label", "left").select("cls", F.coalesce("wide", "label").alias("label")), "labels")
+    best = stored(best, "best")
+    first = _verified(best, sets).filter(linked).select("a", "b")
+    labels = roots(nodes, first)
+
+    # the classes of signatures that are still open, against the end of their chain of hubs
+    chains = roots(nodes, best).select("cls", F.when(F.col("label") != F.col("cls"), F.col("label")).alias("hub"))
+    state = stored(members.join(nodes.join(labels, "cls").join(chains, "cls"), "cls"), "state")
+    discard(members, pivots)
+    open_state = _common(_open(state), central)
+    far = open_state.select(F.col("cls").alias("a"), F.col("hub").alias("b")).filter("hub is not null").distinct()
+    far = stored(_verified(far, sets, differences=True), "links")
+    labels = _merged(labels, far.filter(linked).select("a", "b"))
+    again = open_state.drop("label", "top").join(labels, "cls")
+    open_state = _open(again)
+    pairs = _across(open_state, near).unionByName(_within(open_state, far, labels, near, num, den)).distinct()
+    labels = _merged(labels, stored(_verified(pairs, sets).filter(linked).select("a", "b"), "links"))
     return rows, labels
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 U = np.uint64
@@ -23,17 +25,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 _BYTE = mixed(np.arange(256, dtype=np.uint64))
 _BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z, other letters as they are
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_POWERS = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+#: Longer words are hashed by a keyed digest: sums of powers modulo 2**64 can be made to collide on long ones.
+LONG_WORD = 32
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse; kept for the largest size asked for."""
-    size = 1 << max(16, (n - 1).bit_length())
-    if size not in _POWERS:
-        _POWERS.clear()
+    """The first ``n`` powers, or more, of the base and of its inverse; kept for the largest size asked for."""
+    global _POWERS
+    if len(_POWERS[0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
         with np.errstate(over="ignore"):
-            _POWERS[size] = tuple(np.cumprod(np.concatenate([[U(1)], np.full(size - 1, U(b), np.uint64)])) for b in (_BASE, _INVERSE))
-    return _POWERS[size]
+            _POWERS = tuple(np.cumprod(np.concatenate([[U(1)], np.full(size - 1, U(b), np.uint64)])) for b in (_BASE, _INVERSE))
+    return _POWERS
 
 
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,6 +54,9 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         total = np.concatenate([[U(0)], np.cumsum(_BYTE[data] * up[: len(data)])])
         h = mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    for i in np.flatnonzero(end - start > LONG_WORD).tolist():
+        word = _LOWER[data[start[i] : end[i]]].tobytes()
+        h[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=b"long word").digest(), "little")
     return h, np.searchsorted(start, at)
 
 
@@ -73,8 +82,12 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     return out
 
 
-def fingerprint(s: np.ndarray, salt: int) -> int:
-    """A signed 64-bit digest of a set, whatever its order."""
+def fingerprints(sets: list[np.ndarray], salt: int) -> np.ndarray:
+    """A signed 64-bit digest of each set, whatever its order."""
+    size = np.array([len(s) for s in sets], np.int64)
+    total = np.zeros(len(sets), np.uint64)
+    some = np.flatnonzero(size)
     with np.errstate(over="ignore"):
-        total = mixed(s ^ U(salt)).sum(dtype=np.uint64) + U(len(s)) * GOLD
-    return int(mixed(np.array([total], np.uint64)).view(np.int64)[0])
+        if len(some):
+            total[some] = np.add.reduceat(mixed(np.concatenate(sets) ^ U(salt)), (np.cumsum(size) - size)[some])
+        return mixed(total + size.astype(np.uint64) * GOLD).view(np.int64)

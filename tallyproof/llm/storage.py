@@ -2,30 +2,44 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's shared checkpoint folder and read back, so that lost executors lose nothing."""
-    spark: SparkSession = df.sparkSession
+def _folder(spark: SparkSession) -> str:
+    """The session's shared checkpoint folder; a folder of this machine's own only where there is no other machine."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyproof-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the session's shared checkpoint folder and read back, so that lost executors lose nothing."""
+    _folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read back, columns still prunable."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyproof-"))
-    path = f"{context._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    context._jvm.System.gc()  # shuffle files go when the driver lets go of the plans that made them
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()  # shuffle files go when the driver lets go of the plans that made them
+    found = spark.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored tables that all who read them have been stored themselves."""
+    for df in frames:
+        if path := getattr(df, "_stored_at", None):
+            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
