@@ -1,21 +1,22 @@
 """Quality classification by co-training two views of a document.
 
-View one sees the text: presence of hashed words and a few shares (symbols,
-digits, repeated words and lines, stop words).  View two sees what is known
-about the page: source, language, stated length, number of lines and their mean length.
-Both are regularised logistic regressions.  Each round, every view labels the
-rows of the pool that it is surest of and hands them to the other; at the end
-each view's log-odds are calibrated on labelled rows held back from
-training and the two are added.
-
-Fitting reads at most ``labelled`` labelled rows and ``pool`` others, both
-chosen by a hash of the key; every document is scored.
+View one sees the text alone: presence of hashed words and a few shares (symbols,
+digits, repeated words and lines, stop words).  View two sees only what is known
+about the page besides its text: source, language and stated length.
+Both are regularised logistic regressions.  Each round, every view scores all documents
+without a label and hands the ``exchange`` that it is surest of, of either
+kind, to the other; at the end each view's log-odds are calibrated on labelled rows held back from
+training and the two are added, less the log-odds of all labelled rows, which both hold.
+
+Fitting reads at most ``labelled`` labelled rows, chosen by a hash of the key; candidates for
+exchange are sought among all other documents, every document is scored.  Features of all documents are made
+once, on the executors, and stored while the rounds last; only those of the rows trained on, a few KB each, reach the driver.
 
 Defined results: a null text counts as empty, null metadata as a value of its
 own; without labels of both kinds every score is 0.5 and every row is kept; a
-row is kept when its score is at least ``least``.  Repeated rows get equal
-scores.  Labels of unknown documents are ignored; of two labels of a
-document, the lower counts.
+row is kept when its score is at least ``least``; an empty table gives no rows.  Repeated rows get equal
+scores; of rows that share a key, the one of least features is learned from.  Labels of unknown documents are ignored; of two labels of a
+document, the lower counts; ties of sureness go to the lesser key.  Other columns, whatever their names, are left out, or with ``rows`` untouched.
 """
 
 from __future__ import annotations
@@ -29,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyproof.llm.storage import discard, stored
+
 WORDS = 1 << 11
 SHARES = 8
 PLACES = 1 << 7
-FACTS = 4
+FACTS = 3
 _SYMBOL = re.compile(r"[^\w\s.,;:!?'\"()-]")
 _DIGIT = re.compile(r"\d")
 
@@ -68,12 +71,11 @@ def content(text: str | None) -> tuple[list[int], list[float]]:
     return sorted({bucket(w) for w in distinct}), shares
 
 
-def facts(source: object, lang: object, n_chars: int | None, text: str | None) -> tuple[list[int], list[float]]:
-    """Buckets of source and language, and the page's measures."""
-    place = [zlib.crc32(f"s:{source}".encode()) % PLACES, zlib.crc32(f"l:{lang}".encode()) % PLACES]
-    lines = (text or "").count("\n") + 1
+def facts(source: object, lang: object, n_chars: int | None) -> tuple[list[int], list[float]]:
+    """Buckets of source, language and order of length, and the length."""
     n = max(0, n_chars or 0)
-    return place, [min(1.0, np.log1p(n) / 14), min(1.0, np.log1p(lines) / 8), min(1.0, np.log1p(n / lines) / 12), float(n_chars is None)]
+    place = [zlib.crc32(f"{kind}:{value}".encode("utf-8", "surrogatepass")) % PLACES for kind, value in (("s", source), ("l", lang), ("n", n.bit_length()))]
+    return place, [min(1.0, np.log1p(n) / 14), min(1.0, (np.log1p(n) / 14) ** 2), float(n_chars is None)]
 
 
 def matrix(rows: list[tuple[list[int], list[float]]], hashed: int, dense: int) -> np.ndarray:
@@ -103,13 +105,18 @@ def calibrated(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset that fit held-back labels (Platt), the slope kept from 0."""
     if len(set(y.tolist())) < 2:
         return 1.0, 0.0
-    w = np.array([1.0, 0.0])
     x = np.stack([logits, np.ones_like(logits)], 1).astype(np.float64)
+    prior, pull = np.array([1.0, 0.0]), 1.0 / len(y)  # as much as one row
+    loss = lambda w: float(np.logaddexp(0, np.where(y > 0, -1, 1) * (x @ w)).mean() + pull / 2 * ((w - prior) ** 2).sum())
+    w = prior.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - y) / len(y) + 1e-3 * (w - [1.0, 0.0])
-        curve = (x * (p * (1 - p))[:, None]).T @ x / len(y) + 1e-3 * np.eye(2)
-        w = w - np.linalg.solve(curve, slope)
+        slope = x.T @ (p - y) / len(y) + pull * (w - prior)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / len(y) + pull * np.eye(2), slope)
+        size = 1.0
+        while size > 1e-4 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
     return max(float(w[0]), 0.0), float(w[1])
 
 
@@ -119,6 +126,7 @@ class Model:
     def __init__(self) -> None:
         self.text = self.page = None
         self.cal = ((1.0, 0.0), (1.0, 0.0))
+        self.prior = 0.0  # log-odds of a labelled row, which both views count
         self.exchanged: list[tuple[int, int]] = []
 
     def logits(self, texts: list, pages: list) -> tuple[np.ndarray, np.ndarray]:
@@ -127,80 +135,123 @@ class Model:
         return a * self.cal[0][0] + self.cal[0][1], b * self.cal[1][0] + self.cal[1][1]
 
 
-def cotrain(labelled: list[tuple], pool: list[tuple], rounds: int = 3, share: float = 0.05, sure: float = 0.9) -> Model:
-    """Rows are (text features, page features, label); the pool's labels are ignored."""
-    model = Model()
-    y = np.array([r[2] for r in labelled], np.float32)
-    if not len(y) or len(set(y.tolist())) < 2:
-        return model
-    xa, xb = matrix([r[0] for r in labelled], WORDS, SHARES), matrix([r[1] for r in labelled], PLACES, FACTS)
-    held = np.arange(len(y)) % 5 == 0
-    if len(set(y[~held].tolist())) < 2:
-        held[:] = False
-    back = held if held.any() else ~held
-    ua, ub = matrix([r[0] for r in pool], WORDS, SHARES), matrix([r[1] for r in pool], PLACES, FACTS)
-    sets = [[xa[~held], y[~held]], [xb[~held], y[~held]]]
-    free = np.ones(len(pool), bool)
-    for k in range(rounds + 1):
-        wa, wb = logistic(*sets[0]), logistic(*sets[1])
-        if k == rounds or not free.any():
-            break
-        given = []
-        for w, own, held_x, other, at in ((wa, ua, xa, ub, 1), (wb, ub, xb, ua, 0)):
-            slope, offset = calibrated(held_x[back] @ w, y[back])
-            p = 1 / (1 + np.exp(-np.clip(slope * (own @ w) + offset, -30, 30)))
-            most = max(1, int(share * len(pool)))
-            ahead = np.argsort(-p, kind="stable")
-            yes = [i for i in ahead if free[i] and p[i] >= sure][:most]
-            no = [i for i in ahead[::-1] if free[i] and p[i] <= 1 - sure][:most]
-            picked = np.array(yes + no, int)
-            given.append((at, other[picked], np.array([1.0] * len(yes) + [0.0] * len(no), np.float32), picked))
-        for at, x, label, picked in given:
-            if len(picked):
-                sets[at] = [np.vstack([sets[at][0], x]), np.concatenate([sets[at][1], label])]
-                free[picked] = False
-        model.exchanged.append((len(given[0][3]), len(given[1][3])))
-    model.text, model.page = wa, wb
-    model.cal = calibrated(xa[back] @ wa, y[back]), calibrated(xb[back] @ wb, y[back])
-    return model
+Row = tuple[tuple[list[int], list[float]], tuple[list[int], list[float]]]
+
+
+class Pupils:
+    """Two views in training: their sets and, once learned, their weights."""
+
+    def __init__(self, rows: list[Row], labels: list[float]) -> None:
+        self.y = np.array(labels, np.float32)
+        self.x = [matrix([r[0] for r in rows], WORDS, SHARES), matrix([r[1] for r in rows], PLACES, FACTS)]
+        held = np.arange(len(rows)) % 5 == 0
+        if len(set(self.y[~held].tolist())) < 2:
+            held[:] = False
+        self.back = held if held.any() else ~held
+        self.sets = [[x[~held], self.y[~held]] for x in self.x]
+
+    def learn(self) -> tuple[np.ndarray, np.ndarray, tuple, tuple]:
+        """Weights and calibration of both views."""
+        a, b = (logistic(*s) for s in self.sets)
+        return a, b, calibrated(self.x[0][self.back] @ a, self.y[self.back]), calibrated(self.x[1][self.back] @ b, self.y[self.back])
+
+    def take(self, view: int, rows: list[Row], label: float) -> None:
+        """Rows that the other view labelled."""
+        if rows:
+            x = matrix([r[view] for r in rows], *((WORDS, SHARES), (PLACES, FACTS))[view])
+            self.sets[view] = [np.vstack([self.sets[view][0], x]), np.concatenate([self.sets[view][1], np.full(len(rows), label, np.float32)])]
+
+
+def packed(row: Row) -> bytes:
+    (words, shares), (places, measures) = row
+    return np.array([len(words), *words, *places], np.uint16).tobytes() + np.array([*shares, *measures], np.float32).tobytes()
+
+
+def unpacked(raw: bytes) -> Row:
+    n = int.from_bytes(raw[:2], "little")
+    upto = 2 * (1 + n + 3)
+    whole, real = np.frombuffer(raw[:upto], np.uint16), np.frombuffer(raw[upto:], np.float32)
+    return (whole[1 : 1 + n].tolist(), real[:SHARES].tolist()), (whole[1 + n :].tolist(), real[SHARES:].tolist())
 
 
 def features(part: pa.RecordBatch) -> tuple[list, list]:
     text, source, lang, n = (part.column(i).to_pylist() for i in range(1, 5))
-    return [content(t) for t in text], [facts(*x) for x in zip(source, lang, n, text)]
+    return [content(t) for t in text], [facts(*x) for x in zip(source, lang, n)]
 
 
 def _inputs(docs: DataFrame, key: str) -> DataFrame:
-    return docs.select(F.col(key).alias("_k"), F.col("text"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.col("n_chars").cast("long").alias("n_chars"))
+    return docs.select(F.col(f"`{key}`").alias("_k"), F.col("text"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.col("n_chars").cast("long").alias("n_chars"))
+
 
+def _featured(docs: DataFrame, key: str) -> DataFrame:
+    """(_k, x) of every row with a key."""
+    kind = docs.schema[key].dataType.simpleString()
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", labelled: int = 3000, pool: int = 3000, rounds: int = 3) -> Model:
-    """Co-train on at most ``labelled`` labelled rows and ``pool`` rows without a label.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([packed(r) for r in zip(*features(part))], pa.binary())], ["_k", "x"])
 
-    Keys are chosen by hash without reading texts; features of the chosen rows
-    are made on the executors, and only those, a few KB a row, reach the driver.
-    """
-    known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.min(label).alias("_y"))
-    some = known.join(docs.select(F.col(key).alias("_k")).distinct(), "_k").orderBy(F.xxhash64("_k"), "_k").limit(labelled)
-    other = docs.select(F.col(key).alias("_k")).filter(F.col("_k").isNotNull()).distinct().join(known, "_k", "left_anti").orderBy(F.xxhash64("_k"), "_k").limit(pool)
-    chosen = some.select("_k", F.col("_y").cast("int").alias("_y")).unionByName(other.select("_k", F.lit(None).cast("int").alias("_y")))
+    return stored(_inputs(docs, key).filter("_k is not null").mapInArrow(run, f"_k {kind}, x binary"), "features")
+
+
+def _surest(rows: DataFrame, done: DataFrame, weights: tuple, sure: float, exchange: int) -> DataFrame:
+    """(_k, view, label): of all rows but those ``done``, the ``exchange`` that each view is surest of, of either kind."""
+    shared = rows.sparkSession.sparkContext.broadcast(weights)
+    kind = rows.schema["_k"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            a, b = features(part)
-            packed = [np.array([len(t[0]), *t[0], *(int(v * 1e6) for v in t[1]), *p[0], *(int(v * 1e6) for v in p[1])], np.int32).tobytes() for t, p in zip(a, b)]
-            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.string()), part.column(5), pa.array(packed, pa.binary())], ["k", "y", "x"])
-
-    rows = _inputs(docs, key).join(F.broadcast(chosen), "_k").mapInArrow(run, "k string, y int, x binary").collect()
-    out: tuple[list, list] = [], []
-    for r in sorted(rows, key=lambda r: (zlib.crc32(r["k"].encode()), r["k"], bytes(r["x"]))):
-        v = np.frombuffer(r["x"], np.int32)
-        n = int(v[0])
-        rest = v[1 + n :]
-        text = v[1 : 1 + n].tolist(), (rest[:SHARES] / 1e6).tolist()
-        page = rest[SHARES : SHARES + 2].tolist(), (rest[SHARES + 2 :] / 1e6).tolist()
-        out[r["y"] is None].append((text, page, r["y"]))
-    return cotrain([(a, b, float(y > 0)) for a, b, y in out[0]], out[1], rounds)
+        a, b, one, two = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                both = [unpacked(x) for x in part.column(1).to_pylist()]
+                told = []
+                for view, (w, (slope, offset), sizes) in enumerate(((a, one, (WORDS, SHARES)), (b, two, (PLACES, FACTS)))):
+                    z = matrix([r[view] for r in both], *sizes) @ w * slope + offset
+                    told.append(pa.array(np.round(1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30))), 6)))
+                yield pa.RecordBatch.from_arrays([part.column(0), *told], ["_k", "pa", "pb"])
+
+    scored = rows.mapInArrow(run, f"_k {kind}, pa double, pb double").filter((F.abs(F.col("pa") - 0.5) >= sure - 0.5) | (F.abs(F.col("pb") - 0.5) >= sure - 0.5))
+    scored = stored(scored.groupBy("_k").agg(F.min("pa").alias("pa"), F.min("pb").alias("pb")).join(done.hint("merge"), "_k", "left_anti"), "scored")
+    found = None
+    for view, p in ((0, "pa"), (1, "pb")):
+        for label in (1, 0):
+            far = F.col(p) if label else 1 - F.col(p)
+            top = scored.filter(far >= sure).orderBy(far.desc(), "_k").limit(exchange).select("_k", F.lit(view).alias("view"), F.lit(label).alias("label"))
+            found = top if found is None else found.unionByName(top)
+    return found
+
+
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", labelled: int = 3000, exchange: int = 150, share: float = 0.05, rounds: int = 3, sure: float = 0.9) -> Model:
+    """Co-train on at most ``labelled`` labelled rows and, each round, ``exchange`` rows of either kind from each view, of few documents a ``share``."""
+    known = labels.filter(F.col(label).isNotNull() & F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("_k")).agg(F.min(label).cast("int").alias("_y"))
+    rows = _featured(docs, key)
+    some = known.join(rows.select("_k").distinct(), "_k").orderBy(F.xxhash64("_k"), "_k").limit(labelled)
+    read = lambda chosen, *more: rows.join(F.broadcast(chosen), "_k").groupBy("_k", *more).agg(F.min("x").alias("x")).collect()  # noqa: E731  a few thousand rows
+    found = sorted(read(some, "_y"), key=lambda r: (zlib.crc32(str(r["_k"]).encode()), str(r["_k"])))
+    model = Model()
+    if len({r["_y"] > 0 for r in found}) < 2:
+        discard(rows)
+        return model
+    pupils = Pupils([unpacked(r["x"]) for r in found], [float(r["_y"] > 0) for r in found])
+    done, each = known.select("_k"), min(exchange, max(1, int(share * rows.count())))
+    for _ in range(rounds):
+        weights = pupils.learn()
+        chosen = stored(_surest(rows, done, weights, sure, each), "exchanged")
+        given = sorted(read(chosen, "view", "label"), key=lambda r: str(r["_k"]))
+        for view in (0, 1):
+            for kind in (0, 1):
+                pupils.take(1 - view, [unpacked(r["x"]) for r in given if (r["view"], r["label"]) == (view, kind)], float(kind))
+        model.exchanged.append(tuple(sum(r["view"] == v for r in given) for v in (0, 1)))
+        if not given:
+            break
+        done = done.unionByName(chosen.select("_k"))
+    model.text, model.page, *model.cal = pupils.learn()
+    model.prior = float(np.log((pupils.y > 0).sum() / (pupils.y <= 0).sum()))
+    discard(rows)
+    return model
 
 
 COLUMNS = "p_content double, p_page double, score double, kept boolean"
@@ -225,7 +276,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", least: float = 0.5
                 else:
                     a, b = m.logits(*features(part))
                 squash = lambda v: 1 / (1 + np.exp(-np.clip(v.astype(np.float64), -30, 30)))
-                both = squash(a + b)
+                both = squash(a + b - m.prior)
                 if rows:
                     yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(both >= least))], ["_row"])
                 else:

@@ -6,8 +6,8 @@ walks variable-length EBML elements, unknown sizes included, and yields one
 packet per laced frame with its track, timestamp and byte range.
 
 Defined results: a null text counts as empty; an empty payload is 64 zero
-bytes; equal texts give equal rows; other columns of the input are ignored and
-may have any name.  Each row stands alone, so there is no shuffle, no state
+bytes; equal texts give equal rows, keys null or repeated included; an empty table gives no rows; other columns of the input are ignored and
+may have any name; a malformed file is a row with its error.  Each row stands alone, so there is no shuffle, no state
 between rows, and a lost task is simply run again.
 """
 
@@ -21,13 +21,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Fixed values of the container format (element ids).
 EBML, SEGMENT, INFO, TRACKS, TRACK_ENTRY, AUDIO = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x1654AE6B, 0xAE, 0xE1
 CLUSTER, TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1
 CUES, CUE_POINT, CUE_TIME, CUE_POSITIONS, CUE_TRACK, CUE_CLUSTER = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 TIMESTAMP_SCALE, TRACK_NUMBER, TRACK_TYPE, TRACK_UID, CODEC_ID = 0x2AD7B1, 0xD7, 0x83, 0x73C5, 0x86
-SAMPLING, CHANNELS, BIT_DEPTH = 0xB5, 0x9F, 0x6264
+SAMPLING, CHANNELS, BIT_DEPTH, DEFAULT_DURATION = 0xB5, 0x9F, 0x6264, 0x23E383
 MASTERS = frozenset({SEGMENT, INFO, TRACKS, TRACK_ENTRY, AUDIO, CLUSTER, BLOCK_GROUP, CUES, CUE_POINT, CUE_POSITIONS})
 #: Elements that can only follow, never lie inside, a cluster of unknown size.
 TOP = frozenset({CLUSTER, CUES, INFO, TRACKS})
@@ -172,27 +173,72 @@ def split_lacing(data: bytes, at: int, end: int, scheme: int) -> list[tuple[int,
     return ranges
 
 
+class Track:
+    """What a track entry says of its packets' duration."""
+
+    def __init__(self) -> None:
+        self.number, self.rate, self.channels, self.bits, self.duration, self.codec = 0, 0.0, 1, 0, 0, b""
+
+    def nanoseconds(self, frames: int, size: int) -> int:
+        """How long ``frames`` frames of ``size`` bytes in all last: by the default duration, or as samples."""
+        if self.duration:
+            return frames * self.duration
+        if self.codec.startswith(b"A_PCM") and self.rate > 0 and self.bits:
+            return round(size * 8 * 1_000_000_000 / (self.bits * self.channels * self.rate))
+        return 0
+
+
+def real(raw: bytes) -> float:
+    """An EBML float of 0, 4 or 8 bytes."""
+    return float(np.frombuffer(raw, {4: ">f4", 8: ">f8"}[len(raw)])[0]) if raw else 0.0
+
+
 def demux(data: bytes) -> tuple[list[tuple[int, int, int, int, int, int]], list[tuple[int, int, int]]]:
-    """Packets (track, timestamp ms, first byte, length, lacing, cluster) and cues (time, track, cluster byte)."""
+    """Packets (track, timestamp ms, first byte, length, lacing, cluster) and cues (time, track, cluster byte).
+
+    Timestamps follow the file's scale; the later frames of a lace follow the track's default duration, or its sampling.
+    """
     packets, cues = [], []
     base = origin = 0
+    scale = 1_000_000
     cluster = -1
     num = lambda a, b: int.from_bytes(data[a:b], "big")
     cue = [0, 0]
+    tracks: dict[int, Track] = {}
+    track = Track()
     for ident, start, at, stop in elements(data):
         if ident == SEGMENT:
             origin = at
+        elif ident == TIMESTAMP_SCALE:
+            scale = num(at, stop)
+        elif ident == TRACK_ENTRY:
+            track = Track()
+        elif ident == TRACK_NUMBER:
+            tracks[num(at, stop)] = track
+        elif ident == DEFAULT_DURATION:
+            track.duration = num(at, stop)
+        elif ident == CODEC_ID:
+            track.codec = data[at:stop]
+        elif ident == SAMPLING:
+            track.rate = real(data[at:stop])
+        elif ident == CHANNELS:
+            track.channels = max(1, num(at, stop))
+        elif ident == BIT_DEPTH:
+            track.bits = num(at, stop)
         elif ident == CLUSTER:
             cluster = start - origin
         elif ident == TIMESTAMP:
             base = num(at, stop)
         elif ident in (SIMPLE_BLOCK, BLOCK):
-            track, at = read_vint(data, at)
+            number, at = read_vint(data, at)
+            if number is None or at + 3 > stop:
+                raise ValueError(f"block at byte {start} is cut")
             offset, flags = int.from_bytes(data[at : at + 2], "big", signed=True), data[at + 2]
-            scheme, done = flags >> 1 & 3, 0
-            for a, b in split_lacing(data, at + 3, stop, scheme):
-                packets.append((track, base + offset + done * 1000 // RATE, a, b - a, scheme, cluster))
-                done += b - a
+            scheme, size = flags >> 1 & 3, 0
+            of = tracks.get(number) or Track()
+            for n, (a, b) in enumerate(split_lacing(data, at + 3, stop, scheme)):
+                packets.append((number, ((base + offset) * scale + of.nanoseconds(n, size)) // 1_000_000, a, b - a, scheme, cluster))
+                size += b - a
         elif ident == CUE_TIME:
             cue[0] = num(at, stop)
         elif ident == CUE_TRACK:
@@ -202,6 +248,14 @@ def demux(data: bytes) -> tuple[list[tuple[int, int, int, int, int, int]], list[
     return packets, cues
 
 
+def parsed(data: bytes | None) -> tuple[list[tuple[int, int, int, int, int, int]], str | None]:
+    """Packets of a file, and why it could not be read to its end; no file has none of either."""
+    try:
+        return (demux(data)[0] if data else []), None
+    except (ValueError, IndexError, KeyError, OverflowError, RecursionError) as error:
+        return [], f"{type(error).__name__}: {error}"
+
+
 def describe(packets: list, cues: list, payload: bytes) -> str:
     """Features of the packet table and of the samples that were read back."""
     samples = np.bincount(np.frombuffer(payload, np.uint8), minlength=256)
@@ -218,7 +272,7 @@ def describe(packets: list, cues: list, payload: bytes) -> str:
 
 
 SCHEMA = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-PACKETS = "track int, timestamp_ms long, first_byte long, length long, lacing int, cluster_byte long"
+PACKETS = "track long, timestamp_ms long, first_byte long, length long, lacing int, cluster_byte long, error string"
 
 
 def media_row(text: str | None) -> tuple:
@@ -246,23 +300,28 @@ def media_columns(docs: DataFrame, key: str = "doc_id", text: str = "text", keep
                     names.append("media")
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, {SCHEMA}" + ", media binary" * keep_media)
+    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"`{key}` {kind}, {SCHEMA}" + ", media binary" * keep_media)
 
 
 def packet_table(media: DataFrame, key: str = "doc_id", column: str = "media") -> DataFrame:
-    """One row per packet of each stored file: track, timestamp, byte range, lacing and cluster."""
+    """One row per packet of each stored file: track, timestamp, byte range, lacing and cluster.
+
+    A file that can't be read to its end is one row that says why in ``error``, and stops no other; a null or empty one has no rows.
+    """
     kind = media.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, rows = [], []
-            for k, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = demux(data)[0] if data else []
-                keys += [k] * len(found)
-                rows += found
-            columns = list(zip(*rows)) or [[]] * 6
-            order = (0, 1, 2, 3, 4, 5)
-            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), *(pa.array(columns[i], t) for i, t in zip(order, types))], [key, "track", "timestamp_ms", "first_byte", "length", "lacing", "cluster_byte"])
-
-    return media.select(key, column).mapInArrow(run, f"`{key}` {kind}, {PACKETS}")
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                keys, rows = [], []
+                for k, data in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    found, error = parsed(data)
+                    found = [(*x, None) for x in found] if error is None else [(None, None, None, None, None, None, error)]
+                    keys += [k] * len(found)
+                    rows += found
+                columns = list(zip(*rows)) or [[]] * 7
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(keys, part.schema.field(0).type), *(pa.array(c, t) for c, t in zip(columns, types))], [key, "track", "timestamp_ms", "first_byte", "length", "lacing", "cluster_byte", "error"])
+
+    return media.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{column}`").alias("_media")).mapInArrow(run, f"`{key}` {kind}, {PACKETS}")

@@ -9,6 +9,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch while a table is stored: rows here hold whole texts, sets and packed signatures.
+ROWS = 1000
+
+
 def _folder(spark: SparkSession) -> str:
     """The session's shared checkpoint folder; a folder of this machine's own only where there is no other machine."""
     context = spark.sparkContext
@@ -30,7 +35,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read back, columns still prunable."""
     spark = df.sparkSession
     path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(ROWS, int(before)) if int(before) > 0 else ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     spark.sparkContext._jvm.System.gc()  # shuffle files go when the driver lets go of the plans that made them
     found = spark.read.schema(df.schema).parquet(path)
     found._stored_at = path

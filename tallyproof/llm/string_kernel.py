@@ -10,7 +10,7 @@ two matrix products.
 Training reads at most ``per_class`` labelled rows of every language, chosen by
 a hash of the key, from the rows that the caller marks for training, and fewer
 of each where there are many languages; landmarks are shared out among the
-languages, one each at least.  The model is a few MB whatever the number of rows.
+languages, one each at least.  The model is a few MB whatever the number of rows.  The driver gets hashed n-grams, no texts.
 
 Texts of no known language are told by another measure, as scores say only
 which of the known ones is nearest: the share of a text's n-grams that the
@@ -20,7 +20,8 @@ others of its language, so it does not depend on how many languages there are.
 
 Defined results: a null text, or one without a letter, gets ``und`` and score
 0, as do all texts when there is nothing to learn from; ties go to the
-language that sorts first; repeated rows get equal answers.
+language that sorts first; repeated rows get equal answers; rows with a null key or label teach nothing; an empty table gives
+no rows; texts are read whole, whatever their length; other columns, whatever their names, are left out, or kept as they are by ``reject_unknown``.
 """
 
 from __future__ import annotations
@@ -55,26 +56,48 @@ def presence(texts: list[str], out: np.ndarray) -> np.ndarray:
     return out
 
 
+def held(text: str) -> bytes:
+    """The buckets that a text holds, two bytes each."""
+    row = presence([text], np.zeros((1, BUCKETS), np.float32))[0]
+    return np.flatnonzero(row).astype(np.uint16).tobytes()
+
+
+def spread(rows: list, out: np.ndarray) -> np.ndarray:
+    """Rows of 0 and 1 of texts, or of what ``held`` gave for them."""
+    if rows and isinstance(rows[0], str):
+        return presence(rows, out)
+    out = out[: len(rows)]
+    out[:] = 0
+    for i, raw in enumerate(rows):
+        out[i, np.frombuffer(raw, np.uint16)] = 1
+    return out
+
+
 class Model:
     """Landmarks, their map and the weights of each language."""
 
-    def __init__(self, texts: list[str], labels: list[str], landmarks: int = 128, ridge: float = 0.1) -> None:
+    def __init__(self, texts: list, labels: list[str], landmarks: int = 128, ridge: float = 0.1) -> None:
         self.classes = sorted(set(labels))
         if not self.classes:
             return
-        x = presence(texts, np.zeros((len(texts), BUCKETS), np.float32))
-        x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
         turn: dict[str, int] = {}
         order = []
         for i, c in enumerate(labels):  # the first of each language, then the second of each, ...
             order.append((turn.setdefault(c, 0), c, i))
             turn[c] += 1
         chosen = [i for _, _, i in sorted(order)[: max(landmarks, len(self.classes))]]
-        self.landmarks = np.ascontiguousarray(x[chosen].T)
+        x = spread([texts[i] for i in chosen], np.zeros((len(chosen), BUCKETS), np.float32))
+        x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+        self.landmarks = np.ascontiguousarray(x.T)
         values, vectors = np.linalg.eigh((self.landmarks.T @ self.landmarks).astype(np.float64))
         good = values > 1e-6 * values.max()
         nystroem = vectors[:, good] / np.sqrt(values[good])
-        z = (x @ self.landmarks).astype(np.float64) @ nystroem
+        room = np.zeros((128, BUCKETS), np.float32)
+        blocks = []
+        for at in range(0, len(texts), len(room)):  # a few rows at a time: only their products with landmarks are kept
+            x = spread(texts[at : at + len(room)], room)
+            blocks.append((x @ self.landmarks) / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1)))
+        z = np.concatenate(blocks).astype(np.float64) @ nystroem
         z = np.hstack([z, np.ones((len(z), 1))])
         y = np.where(np.array(labels)[:, None] == np.array(self.classes), 1.0, -1.0)
         beta = np.linalg.solve(z.T @ z + ridge * np.eye(z.shape[1]), z.T @ y)
@@ -99,12 +122,12 @@ class Profiles:
         for c, i in place.items():
             own = [t for t, label in zip(texts, labels) if label == c]
             parts = range(0, len(own), len(room))
-            counts = sum((presence(own[at : at + len(room)], room).sum(0) for at in parts), np.zeros(BUCKETS, np.float32))
+            counts = sum((spread(own[at : at + len(room)], room).sum(0) for at in parts), np.zeros(BUCKETS, np.float32))
             least = max(1.0, usual * len(own))
             self.usual[i] = counts >= least
             held_back = []
             for at in parts:
-                x = presence(own[at : at + len(room)], room)
+                x = spread(own[at : at + len(room)], room)
                 held_back += ((x * (counts - 1 >= least)).sum(1) / np.maximum(x.sum(1), 1)).tolist()
             self.floor[i] = slack * np.quantile(held_back, lost) if held_back else 0.0
 
@@ -118,18 +141,28 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def training_rows(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_class: int = 250, most: int = 16_000) -> tuple[list[str], list[str]]:
-    """Texts and labels of at most ``per_class`` rows of every label, fewer each if that were over ``most`` rows.
+def training_rows(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_class: int = 250, most: int = 16_000) -> tuple[list[bytes], list[str]]:
+    """What texts hold, and their labels, of at most ``per_class`` rows of every label, fewer each if that were over ``most`` rows.
 
-    Keys are chosen first, without texts; the chosen few are then joined to the texts.
+    Keys are chosen first, without texts, one row a key: of rows that share one, those of the least text hash.  The chosen few are then joined to the
+    texts and their n-grams hashed on the executors, so that a few KB a row reach the driver.
     """
-    rows = docs.filter(train & F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("_k"), F.col(label).alias("_c"))
+    column, at = F.col(f"`{text}`"), F.col(f"`{key}`")
+    letters = column.rlike(r"\p{L}")
+    rows = docs.filter(train & F.col(f"`{label}`").isNotNull() & letters).select(at.alias("_k"), F.col(f"`{label}`").alias("_c"), F.xxhash64(column).alias("_h"))
+    rows = rows.groupBy("_k").agg(F.min(F.struct("_h", "_c")).alias("_f")).select("_k", "_f.*")
     each = max(1, min(per_class, most // max(1, rows.select("_c").distinct().count())))
     order = Window.partitionBy("_c").orderBy(F.xxhash64("_k"), "_k")
     chosen = rows.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= each)
-    found = docs.filter(train).join(F.broadcast(chosen.select(F.col("_k").alias(key), "_c", "_r").distinct()), key).select("_c", "_r", text).orderBy("_c", "_r", text).collect()
-    found = [r for r in found if has_letter(r[2])]
-    return [r[2] for r in found], [r[0] for r in found]
+    texts = docs.filter(train).select(at.alias("_k"), F.xxhash64(column).alias("_h"), column.alias("_t"))
+    found = texts.join(F.broadcast(chosen), ["_k", "_h"]).select("_c", "_r", "_t")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), pa.array([held(t) for t in batch.column(2).to_pylist()], pa.binary())], ["c", "r", "x"])
+
+    got = found.mapInArrow(run, "c string, r int, x binary").groupBy("c", "r").agg(F.min("x").alias("x")).orderBy("c", "r").collect()
+    return [bytes(r["x"]) for r in got], [r["c"] for r in got]
 
 
 def fit(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "lang", per_class: int = 250, landmarks: int = 128, ridge: float = 0.1) -> Model:
@@ -157,7 +190,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
                         langs[i], scores[i] = m.classes[c], min(max(s, 0.0), 1.0)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [key, "lang_pred", "score"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, lang_pred string, score double")
+    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"`{key}` {kind}, lang_pred string, score double")
 
 
 def held_out(key: str = "doc_id", folds: int = 5) -> Column:

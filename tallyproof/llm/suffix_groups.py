@@ -242,7 +242,7 @@ def _spread(first: np.ndarray, many: np.ndarray) -> np.ndarray:
 
 
 #: Bytes of a group from which it is sorted alone, and of all groups sorted at once.
-_ALONE, _AT_ONCE = 60_000, 500_000
+_ALONE, _AT_ONCE = 9_000, 500_000
 
 
 def repeated(data: np.ndarray, bounds: np.ndarray, groups: np.ndarray, k: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
