@@ -17,6 +17,7 @@ from tallyproof.functions import privacy as P
 from tallyproof.functions import text as X
 from tallyproof.functions import timestamps as T
 from tallyproof.operators import assertions, controls, graphs, leases, ledger, medallion, profile, reconcile, referee, search
+from tallyproof.plans.storage import written as scratch_table
 from tallyproof.sources import batches, encoders, files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -233,9 +234,11 @@ def accepted_values(spark, sf_dir):
     return assertions.accepted_values(t(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O"])
 
 
-@query("select c_custkey, c_name from customer c where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("select c_custkey, c_name from customer c where not exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority like '1%' and o_orderstatus = 'F')")
 def orphan_rows(spark, sf_dir):
-    return assertions.orphans(t(spark, sf_dir, "customer").select("c_custkey", "c_name"), t(spark, sf_dir, "orders"), "c_custkey", "o_custkey")
+    """Customers without a finished urgent order; some have none."""
+    urgent = t(spark, sf_dir, "orders").filter("o_orderpriority like '1%' and o_orderstatus = 'F'")
+    return assertions.orphans(t(spark, sf_dir, "customer").select("c_custkey", "c_name"), urgent, "c_custkey", "o_custkey")
 
 
 @query("""select l_orderkey, l_linenumber, rule from (select l_orderkey, l_linenumber, unnest(list_filter([case when l_discount > 0.09 then 'discount' end, case when l_quantity > 49 then 'quantity' end, case when l_extendedprice < 0 then 'sign' end], lambda x: x is not null)) rule from lineitem)""")
@@ -310,16 +313,16 @@ def cpf_check_digit(spark, sf_dir):
     return t(spark, sf_dir, "customer").select("c_custkey", d.alias("document")).withColumn("valid", P.valid_cpf(F.col("document")))
 
 
-@query("""select doc_id, regexp_matches(text, '(^|[^0-9])[0-9]{11}([^0-9]|$)') has_11, regexp_matches(text, '(^|[^0-9])[0-9]{16}([^0-9]|$)') has_16 from documents where text is not null""")
+@query("""select doc_id, regexp_matches(text, '(^|[^0-9])[0-9]{11}([^0-9]|$)') has_11, regexp_matches(text, '(^|[^0-9])[0-9]{16}([^0-9]|$)') has_16 from documents""")
 def clear_pii_scan(spark, sf_dir):
-    return t(spark, sf_dir, "documents").filter("text is not null").select("doc_id", P.clear_digits(F.col("text"), 11).alias("has_11"), P.clear_digits(F.col("text"), 16).alias("has_16"))
+    return t(spark, sf_dir, "documents").select("doc_id", P.clear_digits(F.col("text"), 11).alias("has_11"), P.clear_digits(F.col("text"), 16).alias("has_16"))
 
 
-@query("""with b as (select doc_id, string_split(text, chr(10))[1] l from documents where text is not null)
-select doc_id, length(l) between 1 and 80 and not regexp_matches(l, '[\\x00-\\x1F\\x7F-\\x{9F}\\x{61C}\\x{200E}\\x{200F}\\x{202A}-\\x{202E}\\x{2066}-\\x{2069}]') and not regexp_matches(l, '^[=+\\-@]') and not regexp_matches(l, '(^|[^0-9])[0-9]{11,19}([^0-9]|$)') safe from b""")
+@query("""with b as (select doc_id, generate_subscripts(string_split(text, chr(10)), 1) i, unnest(string_split(text, chr(10))) l from documents)
+select doc_id, i::bigint i, length(l) between 1 and 80 and not regexp_matches(l, '[\\x00-\\x1F\\x7F-\\x{9F}\\x{61C}\\x{200E}\\x{200F}\\x{202A}-\\x{202E}\\x{2066}-\\x{2069}]') and not regexp_matches(l, '^[=+\\-@]') and not regexp_matches(l, '(^|[^0-9])[0-9]{11,19}([^0-9]|$)') safe from b""")
 def text_safety(spark, sf_dir):
-    line = F.get(F.split("text", "\n"), F.lit(0))
-    return t(spark, sf_dir, "documents").filter("text is not null").select("doc_id", P.safe_text(line).alias("safe"))
+    lines = t(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
+    return lines.select("doc_id", (F.col("i") + 1).cast("bigint").alias("i"), P.safe_text(F.col("line")).alias("safe"))
 
 
 @query("select count(distinct trim(source)) codes, count(distinct trim(lang)) descriptions, count(distinct (trim(source), trim(lang))) pairs from documents where source is not null and lang is not null")
@@ -512,12 +515,14 @@ def ready_frontier(spark, sf_dir):
     return graphs.frontier(tasks, edges(spark, sf_dir)).withColumn("blocked_by", F.array_join("blocked_by", ","))
 
 
-@query("""with b as (select o_orderkey, strftime(o_orderdate, '%Y%m%d') d, lpad(cast(o_orderkey % 24 as varchar), 2, '0') || '3000' h from orders)
-select o_orderkey, d || h lexeme, strftime(strptime(d || h, '%Y%m%d%H%M%S'), '%Y-%m-%dT%H:%M:%S') wall from b""")
+@query("""with b as (select o_orderkey, strftime(o_orderdate, '%Y%m%d') d, lpad(cast(o_orderkey % 24 as varchar), 2, '0') || '3000' h from orders),
+w as (select o_orderkey, d || h lexeme, strptime(d || h, '%Y%m%d%H%M%S') wall from b),
+y as (select *, date_diff('minute', timezone('UTC', timezone('America/Sao_Paulo', wall)), wall) m1, date_diff('minute', timezone('UTC', timezone('America/Sao_Paulo', wall - interval 1 hour)), wall - interval 1 hour) m2 from w),
+z as (select *, greatest(m1, m2) m from y)
+select o_orderkey, lexeme, strftime(wall, '%Y-%m-%dT%H:%M:%S') || case when m < 0 then '-' else '+' end || lpad(cast(abs(m) // 60 as varchar), 2, '0') || ':' || lpad(cast(abs(m) % 60 as varchar), 2, '0') iso from z""")
 def iso_timestamp(spark, sf_dir):
     d, h = F.date_format("o_orderdate", "yyyyMMdd"), F.concat(F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit("3000"))
-    rows = t(spark, sf_dir, "orders").select("o_orderkey", F.concat(d, h).alias("lexeme"), T.local_iso(d, h).alias("iso"))
-    return rows.select("o_orderkey", "lexeme", F.substring("iso", 1, 19).alias("wall"))
+    return t(spark, sf_dir, "orders").select("o_orderkey", F.concat(d, h).alias("lexeme"), T.local_iso(d, h).alias("iso"))
 
 
 @query("""with b as (select o_orderkey, lpad(cast(o_orderkey % 33 as varchar), 2, '0') || '/' || lpad(cast(o_orderkey % 13 as varchar), 2, '0') || '/' || strftime(o_orderdate, '%Y') raw from orders)
@@ -598,11 +603,11 @@ def stream_available_now(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(M.money("value")).cast("decimal(38,2)").alias("total"))
 
 
-@query("""select event_id, json_extract_string(props, '$.k') is not null is_object, true same, cast(json_extract_string(props, '$.k') as bigint) declared_count from events""")
+@query("""select event_id, json_extract_string(props, '$.k') is not null is_object, event_id % 3 = 1 same, cast(json_extract_string(props, '$.k') as bigint) declared_count from events""")
 def json_documents(spark, sf_dir):
     rows = t(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k"))
     turned = F.concat(F.lit('{"z": 1, "k": '), F.col("k"), F.lit("}"))
-    other = F.concat(F.lit('{"k":'), F.col("k"), F.lit(', "z":1}'))
+    other = F.concat(F.lit('{"k":'), F.col("k"), F.lit(', "z":'), (F.col("event_id") % 3).cast("string"), F.lit("}"))  # the same where that is 1
     named = F.concat(F.lit('{"record_count": '), F.col("k"), F.lit("}"))
     return rows.select("event_id", D.is_object(F.col("props")).alias("is_object"), D.same_object(turned, other).alias("same"), D.control_count(named).alias("declared_count"))
 
@@ -693,19 +698,249 @@ def relation_mentions(spark, sf_dir):
     return search.mentions(t(spark, sf_dir, "pages"), "page_id", "html", ["nav", "aside", "tion"])
 
 
-@query("""select batch_id, count_ok, sum_ok from (select 'B' || lpad(cast(c_nationkey as varchar), 15, '0') batch_id, count(*) = count(*) count_ok, true sum_ok from customer group by 1)""")
-def parser_roundtrip(spark, sf_dir):
-    """Customers written as card settlement files and read back by the parser."""
+def _wide(prefix: str, width: int = 16, key: str = "c_custkey") -> F.Column:
+    return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), width - len(prefix), "0"))
+
+
+def _check(body: F.Column, weights: list[int]) -> F.Column:
+    """A check digit modulo 11 over the digits of ``body``."""
+    total = F.lit(0)
+    for i, w in enumerate(weights):
+        total = total + F.substring(body, i + 1, 1).cast("int") * w
+    return F.when(total % 11 < 2, "0").otherwise((11 - total % 11).cast("string"))
+
+
+def _cnpj(stem: F.Column) -> F.Column:
+    one = F.concat(stem, _check(stem, [5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2]))
+    return F.concat(one, _check(one, [6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2]))
+
+
+def _cpf(stem: F.Column) -> F.Column:
+    one = F.concat(stem, _check(stem, list(range(10, 1, -1))))
+    return F.concat(one, _check(one, list(range(11, 1, -1))))
+
+
+_BATCH = "'B' || lpad(cast(c_nationkey as varchar), 15, '0')"
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as rows of one batch a nation, with an amount of a cent at least and a place in their batch."""
     c = t(spark, sf_dir, "customer")
-    amount = F.abs(M.money("c_acctbal")) + F.lit("0.01").cast("decimal(18,2)")
-    refund = F.col("c_custkey") % 3 == 0
-    wide = lambda prefix: F.concat(F.lit(prefix), F.lpad(F.col("c_custkey").cast("string"), 16 - len(prefix), "0"))
+    place = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))
+    return c.select("c_custkey", "c_nationkey", F.concat(F.lit("B"), F.lpad(F.col("c_nationkey").cast("string"), 15, "0")).alias("batch_id"), F.lit("20260723").alias("file_date"), place.alias("position"), (F.abs(M.money("c_acctbal")) + F.lit("0.01").cast("decimal(18,2)")).cast("decimal(18,2)").alias("amount"))
+
+
+_CUSTOMERS = f"""c as (select c_custkey, c_nationkey, {_BATCH} batch_id, row_number() over (partition by c_nationkey order by c_custkey) p, cast(abs(cast(c_acctbal as decimal(18,2))) + 0.01 as decimal(18,2)) amount from customer)"""
+
+
+def _verdict(result: batches.Result, measure: str) -> DataFrame:
+    """Per batch: the code that refused it, the declared and the computed total, and how many rows got through."""
+    rows = result.details.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    told = result.batches.select(F.regexp_extract("path", "(B[0-9]{15})", 1).alias("batch_id"), "rejection_code", F.col(f"declared_{measure}").cast("decimal(18,2)").alias("declared"), F.col(f"computed_{measure}").cast("decimal(18,2)").alias("computed"))
+    return told.join(rows, "batch_id", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+
+
+def _as_files(written: DataFrame, charset: str = "UTF-8") -> DataFrame:
+    return scratch_table(written.select(F.concat(F.lit("/in/"), "batch_id").alias("path"), F.encode("content", charset).alias("content")), "files")
+
+
+def _lie(content: F.Column, batch: str, back: int, digits: str) -> F.Column:
+    """In one batch, ``digits`` in place of those that stand ``back`` characters before the end."""
+    return F.when(F.col("batch_id").endswith(batch), F.overlay(content, F.lit(digits), F.length(content) - back + 1)).otherwise(content)
+
+
+@query(f"""with {_CUSTOMERS}, s as (select batch_id, c_nationkey k, count(*) n, cast(sum(case when c_custkey % 3 = 0 and c_nationkey <> 5 then -amount else amount end) as decimal(18,2)) net, max(case when c_nationkey = 5 and c_custkey % 3 = 0 then 1 else 0 end) bad from c group by 1, 2)
+select batch_id, case when bad = 1 then 'INVALID_MOVEMENT_AMOUNT' when k = 7 then 'TRAILER_MISMATCH' end rejection_code, net declared, net computed, case when bad = 1 or k = 7 then 0 else n end n_rows from s""")
+def parser_card_settlement(spark, sf_dir):
+    """Type 01: in one batch refunds have the sign of purchases, in one the trailer's count is wrong."""
+    c, col = _customers(spark, sf_dir), F.col
+    refund = col("c_custkey") % 3 == 0
     rows = c.select(
-        F.concat(F.lit("B"), F.lpad(F.col("c_nationkey").cast("string"), 15, "0")).alias("batch_id"), F.lit("20260723").alias("file_date"), F.col("c_custkey").cast("int").alias("position"), wide("TXN").alias("transaction_id"), wide("MER").alias("merchant_id"), wide("4").alias("pan"),
-        F.lpad(F.col("c_custkey").cast("string"), 11, "0").alias("cpf"), F.lit("20260723").alias("date"), F.lit("101500").alias("time"), F.when(refund, -amount).otherwise(amount).cast("decimal(18,2)").alias("amount_brl"), F.when(refund, "R").otherwise("P").alias("movement_code"), F.lit("A1B2C3").alias("authorization_code"), F.lpad(F.col("c_custkey").cast("string"), 12, "0").alias("nsu"), wide("TER").alias("terminal_id"),
+        "batch_id", "file_date", "position", _wide("TXN").alias("transaction_id"), _wide("MER").alias("merchant_id"), _wide("4").alias("pan"), F.lpad(col("c_custkey").cast("string"), 11, "0").alias("cpf"), F.lit("20260723").alias("date"), F.lit("101500").alias("time"),
+        F.when(refund & (col("c_nationkey") != 5), -col("amount")).otherwise(col("amount")).cast("decimal(18,2)").alias("amount_brl"), F.when(refund, "R").otherwise("P").alias("movement_code"), F.lit("A1B2C3").alias("authorization_code"), _wide("", 12).alias("nsu"), _wide("TER").alias("terminal_id"),
     )
-    written = encoders.card_settlement(rows).select(F.concat(F.lit("/"), "batch_id").alias("path"), F.encode("content", "ISO-8859-1").alias("content"))
-    result = batches.card_settlement(written, CHECK_KEY)
-    sent = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum("amount_brl").alias("s"))
-    back = result.details.groupBy("batch_id").agg(F.count(F.lit(1)).alias("bn"), F.sum("amount_brl").alias("bs"))
-    return sent.join(back, "batch_id", "left").select("batch_id", F.col("n").eqNullSafe(F.col("bn")).alias("count_ok"), F.col("s").eqNullSafe(F.col("bs")).alias("sum_ok"))
+    written = encoders.card_settlement(rows).withColumn("content", _lie(F.col("content"), "07", 38, "999999"))
+    return _verdict(batches.parse("01", _as_files(written, "ISO-8859-1"), CHECK_KEY), "net")
+
+
+@query(f"""with {_CUSTOMERS}, s as (select batch_id, c_nationkey k, count(*) n, cast(sum(case when c_custkey % 2 = 0 then amount else -amount end) as decimal(18,2)) net from c group by 1, 2)
+select batch_id, case when k = 3 then 'INVALID_STATUS_RETURN_CODE' when k = 4 then 'INVALID_DESCRIPTION' when k = 7 then 'SOURCE_CONTROL_NET_MISMATCH' when k = 9 then 'DUPLICATE_IDENTIFIER' end rejection_code,
+  case when k = 7 then cast(net + 1 as decimal(18,2)) else net end declared, net computed, case when k in (3, 4, 7, 9) then 0 else n end n_rows from s""")
+def parser_instant_payments(spark, sf_dir):
+    """Type 02: a settled event with a return code, a description that is not in normal form C, a wrong net total, an identifier given twice."""
+    c, col = _customers(spark, sf_dir), F.col
+    nation, first = col("c_nationkey"), col("position") == 1
+    rows = c.select(
+        "batch_id", "file_date", "position", F.when((nation == 9), _wide("E20260723", 32, "c_nationkey")).otherwise(_wide("E20260723", 32)).alias("end_to_end_id"), _wide("PIX").alias("transaction_id"), F.lit("CPF").alias("payer_type"), _cpf(F.lpad(col("c_custkey").cast("string"), 9, "1")).alias("payer"),
+        F.lit("CNPJ").alias("payee_type"), _cnpj(F.lpad(col("c_custkey").cast("string"), 12, "2")).alias("payee"), F.lit("2026-07-23T09:00:00-03:00").alias("event_timestamp"), "amount", F.when(col("c_custkey") % 2 == 0, "C").otherwise("D").alias("direction"), F.lit("SETTLED").alias("status"), F.when((nation == 3) & first, "AC03").alias("return_code"),
+        F.when((nation == 4) & first, "cafe\u0301 | a").otherwise("caf\u00e9 | a").alias("description"),
+    )
+    written = encoders.instant_payments(rows)
+    net = F.regexp_extract("content", r"\|(-?\d+\.\d\d)\n$", 1)
+    off = F.concat(F.regexp_extract("content", r"(?s)^(.*\|)-?\d+\.\d\d\n$", 1), (net.cast("decimal(18,2)") + 1).cast("decimal(18,2)").cast("string"), F.lit("\n"))
+    written = written.withColumn("content", F.when(F.col("batch_id").endswith("07"), off).otherwise(F.col("content")))
+    return _verdict(batches.parse("02", _as_files(written), CHECK_KEY), "net")
+
+
+@query(f"""with {_CUSTOMERS}, s as (select batch_id, c_nationkey k, count(*) n, cast(sum(amount + 2.00 - 0.01) as decimal(18,2)) net from c group by 1, 2)
+select batch_id, case when k = 3 then 'INVALID_BUSINESS_DATE' when k = 7 then 'SOURCE_CONTROL_LOGICAL_COUNT_MISMATCH' end rejection_code, net declared, net computed, case when k in (3, 7) then 0 else n end n_rows from s""")
+def parser_payment_slips(spark, sf_dir):
+    """Type 03: lots of five slips; in one batch a slip is paid after it was due, in one the last record counts wrong."""
+    c, col = _customers(spark, sf_dir), F.col
+    cents = lambda x: F.lit(x).cast("decimal(18,2)")
+    rows = c.select(
+        "batch_id", "file_date", F.floor((col("position") - 1) / 5 + 1).cast("int").alias("lot"), "position", _wide("SET").alias("settlement_id"), _wide("REF", 20).alias("payment_reference"), col("amount").alias("face_amount_brl"), cents("0.01").alias("discount_brl"), cents("2.00").alias("fee_brl"),
+        F.when((col("c_nationkey") == 3) & (col("position") == 1), "20260722").otherwise("20260731").alias("due"), F.lit("20260723").alias("paid"), F.lit("PG").alias("status"), _wide("BR").alias("bank_reference"), F.lit("J").alias("tax_type"), _cnpj(F.lpad(col("c_custkey").cast("string"), 12, "3")).alias("tax_id"),
+        F.lit("SOME NAME").alias("name"), F.lit("001").alias("bank"), F.lit("00012").alias("branch"), _wide("", 12).alias("account"), F.lit("7").alias("digit"), F.lit("CLIENT").alias("client_reference"),
+    )
+    written = encoders.payment_slips(rows).withColumn("content", _lie(F.col("content"), "07", 229, "999999"))
+    return _verdict(batches.parse("03", _as_files(written, "US-ASCII"), CHECK_KEY), "net")
+
+
+@query(f"""with {_CUSTOMERS}, s as (select batch_id, c_nationkey k, count(*) n, count(*) filter (c_custkey % 4 = 0) r, cast(sum(case when c_custkey % 4 = 0 then 0 else amount end) as decimal(18,2)) net, max(case when c_nationkey = 3 and c_custkey % 4 = 0 then 1 else 0 end) bad from c group by 1, 2)
+select batch_id, case when bad = 1 then 'INVALID_TIMESTAMP' when k = 7 then 'SOURCE_CONTROL_RETURN_COUNT_MISMATCH' end rejection_code, net declared, net computed, case when bad = 1 or k = 7 then 0 else n + r end n_rows from s""")
+def parser_ted_transfers(spark, sf_dir):
+    """Type 04: every fourth transfer comes back; in one batch before it was sent, in one the trailer counts returns wrong."""
+    c, col = _customers(spark, sf_dir), F.col
+    party = lambda tag: F.struct(F.lit("12345678").alias("ispb"), F.lit("0001").alias("branch"), _wide(tag, 12).alias("account"), _cnpj(F.lpad(col("c_custkey").cast("string"), 12, "4")).alias("tax"), F.lit("J").alias("party"))
+    back = F.struct(_wide("RET").alias("return_id"), F.lit("20260723").alias("date"), F.when(col("c_nationkey") == 3, "080000").otherwise("150000").alias("time"), F.lit("AC03").alias("reason"), F.lit("closed").alias("text"))
+    rows = c.select("batch_id", "file_date", "position", _wide("TED").alias("transfer_id"), col("amount").alias("amount_brl"), F.lit("20260723").alias("date"), F.lit("101500").alias("time"), party("1").alias("payer"), party("2").alias("beneficiary"), F.lit("PAY").alias("purpose"), F.lit("SOME NAME").alias("name"), F.when(col("c_custkey") % 4 == 0, back).alias("returned"))
+    written = encoders.ted_transfers(rows).withColumn("content", _lie(F.col("content"), "07", 69, "999999"))
+    return _verdict(batches.parse("04", _as_files(written, "US-ASCII"), CHECK_KEY), "net")
+
+
+def _merchant(spark: SparkSession, sf_dir: str, kind: str) -> batches.Result:
+    """Types 05 and 06: amounts of 1.5 percent, declared in a manifest beside the file; one manifest is off by a cent, one row by a cent."""
+    c, col = _customers(spark, sf_dir), F.col
+    header = batches.CSV_TYPES[kind][0]
+    names = header.split(";")
+    due = M.half_up(col("amount"), F.lit("1.500").cast("decimal(9,3)"))
+    wrong = (col("c_nationkey") == 3) & (col("position") == 1)
+    values = [_wide("FEE" if kind == "05" else "CBK"), col("batch_id"), _wide("MER"), _cnpj(F.lpad(col("c_custkey").cast("string"), 12, "5")), F.lit("MDR"), F.lit('a "b"; c'), col("amount"), F.lit("1.500").cast("decimal(9,3)"), (due + F.when(wrong, F.lit("0.01")).otherwise(F.lit("0.00")).cast("decimal(18,2)")).cast("decimal(18,2)"), F.lit("2026-07-23").cast("date")]
+    rows = c.select(*(v.alias(n) for v, n in zip(values, names)), "position", "c_nationkey")
+    files_ = scratch_table(encoders.merchant_csv(rows, header).select(F.concat(F.lit("/in/"), "batch_id", F.lit("/a.csv")).alias("path"), F.encode("content", "UTF-8").alias("content")), "files")
+    off = F.when(F.col("batch_id").endswith("07"), F.lit("0.01")).otherwise(F.lit("0.00")).cast("decimal(18,2)")
+    told = rows.groupBy("batch_id").agg(F.sum(names[8]).cast("decimal(18,2)").alias("s")).withColumn("s", (F.col("s") + off).cast("decimal(18,2)").cast("string"))
+    body = F.concat(F.lit('{"source_controls":{"assessed_fee":"' if kind == "05" else '{"source_controls":{"chargeback_amount":"'), "s", F.lit('"}}'))
+    manifests = told.select(F.concat(F.lit("/in/"), "batch_id", F.lit("/source-manifest.json")).alias("path"), F.encode(body, "UTF-8").alias("content"))
+    return batches.parse(kind, files_, CHECK_KEY, manifests)
+
+
+_FEE = "cast(floor(amount * 1.5 + 0.5) / 100 as decimal(18,2))"
+_FEES = f"{_CUSTOMERS}, s as (select batch_id, c_nationkey k, count(*) n, cast(sum({_FEE}) as decimal(18,2)) + case when c_nationkey = 3 then 0.01 else 0.00 end a from c group by 1, 2)"
+
+
+@query(f"""with {_FEES} select batch_id, case when k = 7 then 'SOURCE_CONTROL_ASSESSED_FEE_MISMATCH' end rejection_code, cast(a + case when k = 7 then 0.01 else 0.00 end as decimal(18,2)) declared, cast(a as decimal(18,2)) computed, case when k = 7 then 0 else n end n_rows from s""")
+def parser_merchant_fees(spark, sf_dir):
+    return _verdict(_merchant(spark, sf_dir, "05"), "amount")
+
+
+@query(f"""with {_FEES} select batch_id, case when k = 3 then 'CHARGEBACK_CALCULATION_MISMATCH' when k = 7 then 'SOURCE_CONTROL_CHARGEBACK_MISMATCH' end rejection_code, cast(a + case when k = 7 then 0.01 else 0.00 end as decimal(18,2)) declared, cast(a as decimal(18,2)) computed, case when k in (3, 7) then 0 else n end n_rows from s""")
+def parser_chargebacks(spark, sf_dir):
+    return _verdict(_merchant(spark, sf_dir, "06"), "amount")
+
+
+_MONTH_CHAIN = "m as (select distinct strftime(o_orderdate, '%Y%m') p from orders), e as (select p src, lead(p) over (order by p) dst from m)"
+
+
+def month_chain(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Months with orders, each followed by the next: a chain of many steps."""
+    nodes = t(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyyMM").alias("id")).distinct()
+    links = nodes.select(F.col("id").alias("src"), F.lead("id").over(Window.orderBy("id")).alias("dst")).filter("dst is not null")  # a row a month
+    return nodes, links
+
+
+@query(f"""with recursive {_MONTH_CHAIN}, r(src, dst, depth) as (select src, dst, 1 from e where dst is not null union select r.src, e.dst, r.depth + 1 from r join e on r.dst = e.src where e.dst is not null) select src, dst, depth from r""")
+def closure_of_a_chain(spark, sf_dir):
+    return graphs.closure(month_chain(spark, sf_dir)[1])
+
+
+@query(f"""with {_MONTH_CHAIN} select cast(row_number() over (order by p) - 1 as integer) place, p id from m""")
+def critical_path_of_a_chain(spark, sf_dir):
+    nodes, links = month_chain(spark, sf_dir)
+    return graphs.critical_path(nodes, links)
+
+
+_LAYERS = "n as (select distinct year(o_orderdate) y, o_orderpriority p from orders), e as (select a.y || a.p src, b.y || b.p dst from n a join n b on b.y = a.y + 1)"
+
+
+@query(f"""with recursive {_LAYERS}, r(src, dst, depth) as (select src, dst, 1 from e union select r.src, e.dst, r.depth + 1 from r join e on r.dst = e.src) select src, dst, min(depth) depth from r group by 1, 2""")
+def closure_of_layers(spark, sf_dir):
+    """Years and priorities, each linked to all of the next year: few pairs, very many paths."""
+    n = t(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y"), F.col("o_orderpriority").alias("p")).distinct()
+    after = n.select((F.col("y") - 1).alias("y"), F.concat("y", "p").alias("dst"))
+    return graphs.closure(n.join(after, "y").select(F.concat("y", "p").alias("src"), "dst"))
+
+
+@query("""with c as (select c_custkey k, c_nationkey n, cast(c_acctbal as decimal(18,2)) v from customer),
+a as (select c_nationkey k, count(*) n, arg_max(c_mktsegment, c_custkey) s from customer group by 1), b as (select c_nationkey k, arg_max(case when c_nationkey % 5 = 0 then 'OTHER' else c_mktsegment end, c_custkey) s from customer group by 1)
+select cast(a.k as varchar) id, 'segment' field, a.s actual, b.s expected, 'MODERN_DEFECT' classification from a join b using (k) where a.s <> b.s""")
+def record_diff_last_wins(spark, sf_dir):
+    """Of the rows that share a key the last counts: a nation's customer with the greatest number."""
+    c = t(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("id"), F.col("c_custkey").alias("n"), F.col("c_mktsegment").alias("segment"))
+    wanted = c.withColumn("segment", F.when(F.col("id").cast("int") % 5 == 0, "OTHER").otherwise(F.col("segment")))
+    return referee.record_diff(c, wanted, ["id"], ["segment"], order=["n"])
+
+
+@query("""select count(*) filter (regexp_matches(trim(c_name), '^[0-9]+$') <> regexp_matches(trim(cast(c_custkey as varchar)), '^[0-9]+$')) swappable from customer""")
+def swappable_columns(spark, sf_dir):
+    return profile.swappable(t(spark, sf_dir, "customer"), F.col("c_name"), F.col("c_custkey").cast("string"))
+
+
+@query("""with p as (select distinct p_brand, p_type from part) select distinct p_brand code from p where p_type in (select p_type from p group by 1 having count(*) > 1)""")
+def collapsed_codes(spark, sf_dir):
+    return profile.collapsed_codes(t(spark, sf_dir, "part"), "p_brand", "p_type")
+
+
+@query("""select o_orderkey, status, failure_code, conflict from (select o_orderkey, status, failure_code, case when status not in ('claimed', 'quarantined') then 'UNSAFE_INITIAL_STATUS' when (status = 'claimed') = (failure_code is not null) then 'FAILURE_CODE_MISMATCH' end conflict
+  from (select o_orderkey, case o_orderstatus when 'F' then 'claimed' when 'O' then 'quarantined' else 'succeeded' end status, case when o_orderkey % 3 = 0 then 'X' end failure_code from orders)) where conflict is not null""")
+def status_conflicts(spark, sf_dir):
+    status = F.when(F.col("o_orderstatus") == "F", "claimed").when(F.col("o_orderstatus") == "O", "quarantined").otherwise("succeeded")
+    rows = t(spark, sf_dir, "orders").select("o_orderkey", status.alias("status"), F.when(F.col("o_orderkey") % 3 == 0, "X").alias("failure_code"))
+    return assertions.status_conflicts(rows)
+
+
+@query("""select cast(c_custkey as bigint) c_custkey, cast(c_acctbal as decimal(18,2)) c_acctbal, c_mktsegment from customer""")
+def bronze_casts(spark, sf_dir):
+    raw = t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("c_custkey"), M.money("c_acctbal").cast("string").alias("c_acctbal"), "c_mktsegment")
+    return medallion.bronze(raw, {"c_custkey": "bigint", "c_acctbal": "decimal(18,2)", "c_mktsegment": "string"})
+
+
+@query("""select doc_id from documents where regexp_matches(coalesce(text, ''), '[0-9]{11}') or regexp_matches(coalesce(source, ''), '[0-9]{11}')""")
+def clear_identifiers(spark, sf_dir):
+    rows = t(spark, sf_dir, "documents").fillna("", ["text", "source"])
+    return assertions.clear_identifiers(rows, ["text", "source"], "[0-9]{11}").select("doc_id")
+
+
+@query("""select o_orderkey from orders where o_orderstatus = 'O'""")
+def null_values(spark, sf_dir):
+    rows = t(spark, sf_dir, "orders").withColumn("status", F.nullif("o_orderstatus", F.lit("O")))
+    return assertions.not_null(rows, "status").select("o_orderkey")
+
+
+@query("""select user_id, arg_max(case event_type when 'signup' then 'open' when 'purchase' then 'done' else 'failed' end, (ts, event_id)) state from events where event_type in ('signup', 'purchase', 'error') group by 1""")
+def state_fold(spark, sf_dir):
+    return ledger.state_fold(t(spark, sf_dir, "events").withColumnRenamed("event_type", "kind"), "user_id", {"signup": "open", "purchase": "done", "error": "failed"}, ["ts", "event_id"])
+
+
+@query("""select event_id, user_id from events where event_id > 100 order by event_id""")
+def events_after(spark, sf_dir):
+    from tallyproof.streaming.dropzone import after
+
+    return after(t(spark, sf_dir, "events").select("event_id", "user_id"), 100, "event_id")
+
+
+@query("""with g as (select 'p' || (user_id % 5) project_id, event_type headline, max((ts, event_id)) m from events where event_type in ('signup', 'purchase', 'view', 'click') group by 1, 2)
+select project_id, cast(place as integer) place, headline from (select *, row_number() over (partition by project_id order by m desc) place from g) where place <= 3""")
+def next_actions(spark, sf_dir):
+    rows = t(spark, sf_dir, "events").filter("event_type <> 'error'").select(F.lit("NEXT_ACTION").alias("kind"), F.concat(F.lit("p"), (F.col("user_id") % 5).cast("string")).alias("project_id"), F.col("event_type").alias("headline"), F.col("ts").alias("occurred_at"), "event_id")
+    return ledger.next_actions(rows, 3)
+
+
+@query("""with e as (select 'p' || (user_id % 5) project_id, ts from events), r as (select project_id, min(ts) + (max(ts) - min(ts)) / 2 u from e group by 1)
+select e.project_id, 'r' || e.project_id report_id, count(*) newer_events from e join r on e.project_id = r.project_id and e.ts > r.u group by 1, 2""")
+def stale_reports(spark, sf_dir):
+    rows = t(spark, sf_dir, "events").select(F.concat(F.lit("p"), (F.col("user_id") % 5).cast("string")).alias("project_id"), F.col("ts").cast("timestamp").alias("occurred_at"))
+    half = F.timestamp_micros(F.floor((F.min(F.unix_micros("occurred_at")) + F.max(F.unix_micros("occurred_at"))) / 2))
+    reports = rows.groupBy("project_id").agg(half.alias("until")).withColumn("report_id", F.concat(F.lit("r"), "project_id"))
+    return ledger.stale_reports(reports, rows)

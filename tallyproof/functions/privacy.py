@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 
 def hmac_sha256(value: Column, key: bytes) -> Column:
@@ -76,3 +79,9 @@ def safe_text(text: Column, most: int = 80) -> Column:
         & ~text.rlike(r"^[=+\-@]")
         & ~text.rlike(r"(?<!\d)\d{11,19}(?!\d)")
     )
+
+
+@F.pandas_udf(BooleanType())
+def composed(text: pd.Series) -> pd.Series:
+    """Whether text is in normal form C; Spark has no function for it, so Arrow batches are asked."""
+    return text.map(lambda v: None if v is None else unicodedata.is_normalized("NFC", v))

@@ -20,6 +20,8 @@ from tallyproof.functions import timestamps as T
 from tallyproof.operators.controls import first_by_phase
 
 BATCH = r"^B[0-9]{15}\z"
+#: The most events or rows of a file of types 02, 05 and 06.
+MOST_ROWS = 10_000
 
 
 @dataclass
@@ -142,7 +144,7 @@ def instant_payments(files: DataFrame, key: bytes) -> Result:
     rules.add(rows, 2, "INVALID_ESCAPE", F.col("f").isNull())
     count = F.when((at == 1) | (at == n), 5).otherwise(13)
     rules.add(rows, 3, "INVALID_FIELD_COUNT", F.size("f") != count)
-    rules.add(rows, 4, "INVALID_RECORD_SEQUENCE", (F.get("f", F.lit(0)) != F.when(at == 1, "H").when(at == n, "T").otherwise("D")) | (n < 3))
+    rules.add(rows, 4, "INVALID_RECORD_SEQUENCE", (F.get("f", F.lit(0)) != F.when(at == 1, "H").when(at == n, "T").otherwise("D")) | (n < 3) | (n > 2 + MOST_ROWS))
     g = lambda i: F.get("f", F.lit(i))
     head = rows.filter("position = 1").select("path", "position", g(1).alias("kind"), g(2).alias("layout"), g(3).alias("file_date"), g(4).alias("batch_id"))
     rules.add(head, 4, "INVALID_RECORD_SEQUENCE", (F.col("kind") != "PIX_EVENTS01") | (F.col("layout") != "001") | ~F.col("file_date").rlike(r"^\d{8}\z") | ~F.col("batch_id").rlike(BATCH) | _cross(F.col("path"), F.col("file_date"), F.col("batch_id")))
@@ -160,7 +162,7 @@ def instant_payments(files: DataFrame, key: bytes) -> Result:
     rules.add(body, 9, "INVALID_STATUS_RETURN_CODE", ~c("return_code").rlike(r"^([A-Z0-9]{4})?\z") | ((c("status") == "SETTLED") != (c("return_code") == "")))
     instant = T.strict_offset(c("event_timestamp"))
     rules.add(body, 10, "INVALID_TIMESTAMP", F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(T.ZONE), F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")), "yyyyMMdd") != c("file_date"))
-    rules.add(body, 11, "INVALID_DESCRIPTION", ~P.safe_text(c("description")) | c("description").contains(c("payer")) | c("description").contains(c("payee")))
+    rules.add(body, 11, "INVALID_DESCRIPTION", ~P.safe_text(c("description")) | ~P.composed(c("description")) | c("description").contains(c("payer")) | c("description").contains(c("payee")))
     for name in ("end_to_end_id", "transaction_id"):
         twice = body.groupBy("path", name).agg(F.count(F.lit(1)).alias("k"), F.max("position").alias("position"))
         rules.add(twice, 12, "DUPLICATE_IDENTIFIER", c("k") > 1)
@@ -299,16 +301,19 @@ def merchant_csv(files: DataFrame, kind: str, declared: DataFrame | None = None)
     rows = lines_of(files, "UTF-8", "\n")
     rules.add(rows, 1, "INVALID_RECORD_LENGTH", F.octet_length("record") > (511 if kind == "06" else 512))
     rules.add(rows, 2, "INVALID_HEADER", (c("position") == 1) & (c("record") != header))
+    rules.add(rows.filter("position = 1"), 4, "INVALID_FIELD_COUNT", c("n") > 1 + MOST_ROWS)
     body = rows.filter("position > 1").withColumn("f", X.quoted_fields(c("record")))
     only_sixth = F.transform("f", lambda x, i: x["quoted"] == (i == 5))
     rules.add(body, 3, "INVALID_CSV_QUOTING", c("f").isNull() | ((F.size("f") == 10) & ~F.forall(only_sixth, lambda x: x)))
     rules.add(body, 4, "INVALID_FIELD_COUNT", F.size("f") != 10)
+    if kind == "06":  # no empty fields, no blanks around one
+        rules.add(body, 4, "INVALID_CSV_QUOTING", F.exists("f", lambda x: (x["value"] == "") | (F.trim(x["value"]) != x["value"])))
     body = body.select("path", "position", *(F.get("f", F.lit(i))["value"].alias(x) for i, x in enumerate(names)))
     body = body.withColumns({base: M.locale_decimal(c(base), 2), "rate_percent": M.locale_decimal(c("rate_percent"), 3, 9), amount: M.locale_decimal(c(amount), 2)})
     rules.add(body, 5, "INVALID_FIELD", ~((c(base) > 0) & (c("rate_percent") > 0) & (c("rate_percent") <= 100) & (c(amount) >= 0)))
     rules.add(body, 6, "INVALID_DOCUMENT", ~P.valid_cnpj(c("merchant_tax_id")))
     rules.add(body, 7, "INVALID_IDENTIFIER", ~c(ident).rlike(r"^[A-Z0-9]{16}\z") | ~c("merchant_id").rlike(r"^[A-Z0-9]{16}\z") | ~c(code_name).rlike(r"^[A-Z0-9_]{1,12}\z"))
-    rules.add(body, 8, "INVALID_DESCRIPTION", ~P.safe_text(c("description")))
+    rules.add(body, 8, "INVALID_DESCRIPTION", ~P.safe_text(c("description")) | ~P.composed(c("description")))
     day = T.strict_date(c(date))
     rules.add(body, 9, "INVALID_BUSINESS_DATE", day.isNull() | ~c("batch_id").rlike(BATCH) | _cross(c("path"), F.date_format(day, "yyyyMMdd"), c("batch_id")))
     twice = body.groupBy("path", ident).agg(F.count(F.lit(1)).alias("k"), F.max("position").alias("position"))
@@ -329,7 +334,23 @@ def merchant_csv(files: DataFrame, kind: str, declared: DataFrame | None = None)
     return _finish(files, rules, totals, [(m, f"SOURCE_CONTROL_{labels[m]}_MISMATCH") for m in measures], details)
 
 
-def parse(kind: str, files: DataFrame, key: bytes) -> Result:
-    """Parse files of one registered type."""
+def declared_controls(files: DataFrame, manifests: DataFrame, kind: str) -> DataFrame:
+    """(path, count, base, amount, calculated) that the ``source-manifest.json`` beside a file of type 05 or 06 declares.
+
+    ``manifests`` has (path, content); a control that is not there is null, and counts as declared as computed.
+    """
+    text = F.decode("content", "UTF-8")
+    controls = F.coalesce(F.get_json_object(text, "$.source_controls"), F.get_json_object(text, "$.controls"))
+    names = ("row_count", "gross_amount", "assessed_fee", "calculated_fee") if kind == "05" else ("row_count", "original_amount", "chargeback_amount", "calculated_amount")
+    kinds = ("bigint", *["decimal(18,2)"] * 3)
+    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    told = manifests.select(folder.alias("_folder"), *(F.get_json_object(controls, f"$.{n}").try_cast(k).alias(m) for n, k, m in zip(names, kinds, ("count", "base", "amount", "calculated"))))
+    return files.select("path", folder.alias("_folder")).join(told, "_folder").drop("_folder")
+
+
+def parse(kind: str, files: DataFrame, key: bytes, manifests: DataFrame | None = None) -> Result:
+    """Parse files of one registered type; ``manifests`` are the documents beside files of types 05 and 06."""
     readers = {"01": card_settlement, "02": instant_payments, "03": payment_slips, "04": ted_transfers}
-    return readers[kind](files, key) if kind in readers else merchant_csv(files, kind)
+    if kind in readers:
+        return readers[kind](files, key)
+    return merchant_csv(files, kind, None if manifests is None else declared_controls(files, manifests, kind))

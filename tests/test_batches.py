@@ -129,3 +129,18 @@ def test_ted_transfers(spark):
 def test_no_files(spark, kind):
     result = B.parse(kind, spark.createDataFrame([], "path string, content binary"), KEY)
     assert result.batches.count() == 0 and result.details.count() == 0
+
+
+def test_normal_form_bounds_and_sidecars(spark):
+    odd = EVENTS.replace("Invoice 1001", "Invoice é").encode()
+    fine = EVENTS.replace("Invoice 1001", "Invoice é").encode()
+    head, one, two, tail = EVENTS.strip("\n").split("\n")
+    many = "\n".join([head, *[one] * 10_001, tail]) + "\n"
+    found = verdicts(B.instant_payments(files(spark, odd=odd, fine=fine, many=many.encode()), KEY))
+    assert found == {"odd": "INVALID_DESCRIPTION", "fine": None, "many": "INVALID_RECORD_SEQUENCE"}
+    blank = CHARGEBACK.replace("FRAUD", " FRAUD").encode()
+    assert verdicts(B.merchant_csv(files(spark, blank=blank), "06")) == {"blank": "INVALID_CSV_QUOTING"}
+    rows = spark.createDataFrame([("/in/B1/a.csv", bytearray(CHARGEBACK.encode())), ("/in/B2/a.csv", bytearray(CHARGEBACK.encode())), ("/in/B3/a.csv", bytearray(CHARGEBACK.encode()))], "path string, content binary")
+    beside = spark.createDataFrame([("/in/B1/source-manifest.json", bytearray(b'{"source_controls":{"row_count":1,"chargeback_amount":"1.00"}}')), ("/in/B2/source-manifest.json", bytearray(b'{"controls":{"row_count":2}}'))], "path string, content binary")
+    found = {r.path: r.rejection_code for r in B.parse("06", rows, KEY, beside).batches.collect()}
+    assert found == {"/in/B1/a.csv": "SOURCE_CONTROL_CHARGEBACK_MISMATCH", "/in/B2/a.csv": "SOURCE_CONTROL_COUNT_MISMATCH", "/in/B3/a.csv": None}
