@@ -59,7 +59,8 @@ def lines_of(files: DataFrame, charset: str, ending: str) -> DataFrame:
     text = F.decode("content", charset)
     body = F.when(text.endswith(ending), text.substr(F.lit(1), F.length(text) - len(ending))).otherwise(text)
     split = files.filter(F.length("content") > 0).select("path", F.split(body, ending, -1).alias("all"))
-    return split.select("path", F.size("all").alias("n"), F.posexplode("all").alias("p", "record")).select("path", (F.col("p") + 1).alias("position"), "record", "n")
+    counted = split.select("path", F.size("all").alias("n"), "all")  # before the lines part, or each would carry them all
+    return counted.select("path", "n", F.posexplode("all").alias("p", "record")).select("path", (F.col("p") + 1).alias("position"), "record", "n")
 
 
 def transport(files: DataFrame, ending: str, ascii_only: bool = False, utf8: bool = False, most: int | None = None) -> Column:

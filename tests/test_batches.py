@@ -131,13 +131,14 @@ def test_no_files(spark, kind):
     assert result.batches.count() == 0 and result.details.count() == 0
 
 
-def test_normal_form_bounds_and_sidecars(spark):
+def test_normal_form_bounds_and_sidecars(spark, tmp_path):
     odd = EVENTS.replace("Invoice 1001", "Invoice é").encode()
     fine = EVENTS.replace("Invoice 1001", "Invoice é").encode()
     head, one, two, tail = EVENTS.strip("\n").split("\n")
     many = "\n".join([head, *[one] * 10_001, tail]) + "\n"
-    found = verdicts(B.instant_payments(files(spark, odd=odd, fine=fine, many=many.encode()), KEY))
-    assert found == {"odd": "INVALID_DESCRIPTION", "fine": None, "many": "INVALID_RECORD_SEQUENCE"}
+    assert verdicts(B.instant_payments(files(spark, odd=odd, fine=fine), KEY)) == {"odd": "INVALID_DESCRIPTION", "fine": None}
+    (tmp_path / "many").write_text(many)
+    assert verdicts(B.instant_payments(B.read_files(spark, str(tmp_path)), KEY)) == {"many": "INVALID_RECORD_SEQUENCE"}
     blank = CHARGEBACK.replace("FRAUD", " FRAUD").encode()
     assert verdicts(B.merchant_csv(files(spark, blank=blank), "06")) == {"blank": "INVALID_CSV_QUOTING"}
     rows = spark.createDataFrame([("/in/B1/a.csv", bytearray(CHARGEBACK.encode())), ("/in/B2/a.csv", bytearray(CHARGEBACK.encode())), ("/in/B3/a.csv", bytearray(CHARGEBACK.encode()))], "path string, content binary")
