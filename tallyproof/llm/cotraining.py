@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.storage import discard, stored
+from tallyproof.llm.storage import discard, lean, stored
 
 WORDS = 1 << 11
 SHARES = 8
@@ -45,7 +45,7 @@ _SEEN: dict[str, int] = {}
 def bucket(word: str) -> int:
     found = _SEEN.get(word)
     if found is None:
-        if len(_SEEN) > 300_000:
+        if len(_SEEN) > 150_000:
             _SEEN.clear()
         found = _SEEN[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % WORDS
     return found
@@ -193,7 +193,7 @@ def _featured(docs: DataFrame, key: str) -> DataFrame:
                 part = batch.slice(at, 1000)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([packed(r) for r in zip(*features(part))], pa.binary())], ["_k", "x"])
 
-    return stored(_inputs(docs, key).filter("_k is not null").mapInArrow(run, f"_k {kind}, x binary"), "features")
+    return stored(_inputs(docs, key).filter("_k is not null").mapInArrow(lean(run, _SEEN.clear), f"_k {kind}, x binary"), "features")
 
 
 def _surest(rows: DataFrame, done: DataFrame, weights: tuple, sure: float, exchange: int) -> DataFrame:
@@ -213,7 +213,7 @@ def _surest(rows: DataFrame, done: DataFrame, weights: tuple, sure: float, excha
                     told.append(pa.array(np.round(1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30))), 6)))
                 yield pa.RecordBatch.from_arrays([part.column(0), *told], ["_k", "pa", "pb"])
 
-    scored = rows.mapInArrow(run, f"_k {kind}, pa double, pb double").filter((F.abs(F.col("pa") - 0.5) >= sure - 0.5) | (F.abs(F.col("pb") - 0.5) >= sure - 0.5))
+    scored = rows.mapInArrow(lean(run), f"_k {kind}, pa double, pb double").filter((F.abs(F.col("pa") - 0.5) >= sure - 0.5) | (F.abs(F.col("pb") - 0.5) >= sure - 0.5))
     scored = stored(scored.groupBy("_k").agg(F.min("pa").alias("pa"), F.min("pb").alias("pb")).join(done.hint("merge"), "_k", "left_anti"), "scored")
     found = None
     for view, p in ((0, "pa"), (1, "pb")):
@@ -283,5 +283,5 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", least: float = 0.5
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(squash(a)), pa.array(squash(b)), pa.array(both), pa.array(both >= least)], [key, "p_content", "p_page", "score", "kept"])
 
     if rows:
-        return columns.mapInArrow(run, f"_row {kind}").select("_row.*")
-    return columns.mapInArrow(run, f"`{key}` {kind}, {COLUMNS}")
+        return columns.mapInArrow(lean(run, _SEEN.clear), f"_row {kind}").select("_row.*")
+    return columns.mapInArrow(lean(run, _SEEN.clear), f"`{key}` {kind}, {COLUMNS}")

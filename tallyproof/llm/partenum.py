@@ -49,8 +49,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyproof.llm.deal import labels
-from tallyproof.llm.shingles import GOLD, U, fingerprints, mixed, shingle_sets
-from tallyproof.llm.storage import discard, stored
+from tallyproof.llm.shingles import GOLD, U, fingerprints, forget, mixed, shingle_sets
+from tallyproof.llm.storage import discard, lean, stored
 
 CLASS_SALT, PART_SALT = 0x1234ABCD5678EF01, 0x0F1E2D3C4B5A6978
 LEVELS = 3
@@ -125,7 +125,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> int:
     return len(np.intersect1d(a, b, assume_unique=True))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], rows: int = 300) -> Iterator[pa.RecordBatch]:
+def _chunks(batches: Iterator[pa.RecordBatch], rows: int = 150) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
@@ -204,7 +204,7 @@ def _members(docs: DataFrame, text: str, words: int, bands: Bands, buckets: int)
             some = slice(at, at + 50_000)
             yield pa.RecordBatch.from_arrays([pa.array(s[some]), pa.array(c[some]), pa.array(code[some].astype(np.int8)), pa.array(least[some].astype(np.int32))], ["sig", "cls", "code", "least"])
 
-    return docs.select(F.col(f"`{text}`").alias("_text")).mapInArrow(sign, "dealt long, bucket long, packed binary").repartition(buckets, "dealt").mapInArrow(gather, "sig long, cls long, code byte, least int")
+    return docs.select(F.col(f"`{text}`").alias("_text")).mapInArrow(lean(sign, forget), "dealt long, bucket long, packed binary").repartition(buckets, "dealt").mapInArrow(lean(gather), "sig long, cls long, code byte, least int")
 
 
 def _enough(members: DataFrame) -> DataFrame:
@@ -274,7 +274,7 @@ def _rows(docs: DataFrame, key: str, text: str, words: int, wanted: DataFrame) -
                 packed.append(s.tobytes() if first else None)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes), pa.array(packed, pa.binary())], ["k", "n", "cls", "elements"])
 
-    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"k {kind}, n long, cls long, elements binary")
+    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(lean(run, forget), f"k {kind}, n long, cls long, elements binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> DataFrame:
@@ -295,7 +295,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> D
 
     one = sets.select(F.col("cls").alias("a"), F.col("elements").alias("ea"))
     two = sets.select(F.col("cls").alias("b"), F.col("elements").alias("eb"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "ea", "eb").mapInArrow(run, "a long, b long, na long, nb long, both long" + ", apart array<long>" * differences)
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "ea", "eb").mapInArrow(lean(run), "a long, b long, na long, nb long, both long" + ", apart array<long>" * differences)
 
 
 def roots(nodes: DataFrame, parents: DataFrame, most: int = 60) -> DataFrame:

@@ -42,6 +42,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS
 
 
+def forget() -> None:
+    """Let the powers go."""
+    global _POWERS
+    _POWERS = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and how many words lie before each text (one entry more than texts)."""
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyproof.llm.storage import lean
+
 BUCKETS = 1 << 14
 ORDERS = 4
 UNKNOWN = "und"
@@ -161,7 +163,7 @@ def training_rows(docs: DataFrame, train: Column, key: str = "doc_id", text: str
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), pa.array([held(t) for t in batch.column(2).to_pylist()], pa.binary())], ["c", "r", "x"])
 
-    got = found.mapInArrow(run, "c string, r int, x binary").groupBy("c", "r").agg(F.min("x").alias("x")).orderBy("c", "r").collect()
+    got = found.mapInArrow(lean(run), "c string, r int, x binary").groupBy("c", "r").agg(F.min("x").alias("x")).orderBy("c", "r").collect()
     return [bytes(r["x"]) for r in got], [r["c"] for r in got]
 
 
@@ -190,7 +192,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
                         langs[i], scores[i] = m.classes[c], min(max(s, 0.0), 1.0)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [key, "lang_pred", "score"])
 
-    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"`{key}` {kind}, lang_pred string, score double")
+    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(lean(run), f"`{key}` {kind}, lang_pred string, score double")
 
 
 def held_out(key: str = "doc_id", folds: int = 5) -> Column:
@@ -223,4 +225,4 @@ def reject_unknown(docs: DataFrame, train: Column, key: str = "doc_id", text: st
                     known = [i for i, good in zip(known, usual.known(room[: len(known)], best).tolist()) if good]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(known, pa.int64()))], ["_row"])
 
-    return rows.mapInArrow(run, f"_row {kind}").select("_row.*")
+    return rows.mapInArrow(lean(run), f"_row {kind}").select("_row.*")

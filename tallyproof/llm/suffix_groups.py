@@ -44,8 +44,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyproof.llm.deal import labels
-from tallyproof.llm.shingles import GOLD, U, mixed, powers
-from tallyproof.llm.storage import stored
+from tallyproof.llm.shingles import GOLD, U, forget, mixed, powers
+from tallyproof.llm.storage import lean, stored
 
 LENGTH = 100
 GRAM = 32
@@ -495,7 +495,7 @@ def _heavy(rows: DataFrame, hot: int) -> tuple[np.ndarray, int]:
             h, many, total = map(np.concatenate, zip(*found))
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(many.astype(np.int64)), pa.array(total)], ["h", "n", "total"])
 
-    counts = rows.mapInArrow(run, "h long, n long, total boolean").groupBy("total", "h").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(lean(run, forget), "h long, n long, total boolean").groupBy("total", "h").agg(F.sum("n").alias("n"))
     counts = stored(counts.filter(F.col("total") | (F.col("n") > hot)), "counts")
     total = counts.filter("total").agg(F.sum("n")).first()[0] or 0
     least = max(hot, total // SPLIT_KEYS)  # of so many contexts there are SPLIT_KEYS anchors at most, and four times as many ranges
@@ -616,8 +616,8 @@ def _matched(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
         one = one[keep & ~crowd]
         yield from _found(k[one], a[one], b[one], key[one])
 
-    dealt = rows.mapInArrow(emit, "bucket long, ranges boolean, packed binary").repartition(buckets, "bucket")
-    return dealt.mapInArrow(gather, _FOUND)
+    dealt = rows.mapInArrow(lean(emit, forget), "bucket long, ranges boolean, packed binary").repartition(buckets, "bucket")
+    return dealt.mapInArrow(lean(gather), _FOUND)
 
 
 def _marked(rows: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
@@ -689,8 +689,8 @@ def _marked(rows: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
         yield from _found(*_merged(k[context], a[context] + offset, a[context] + offset + LENGTH))
 
     wanted = stored(asked.groupBy("k").agg(F.collect_list(F.struct("a", "b", "key")).alias("wanted")), "asked")
-    cuts = rows.join(wanted, "k").select("k", "t", "wanted").mapInArrow(cut, "bucket long, packed binary")
-    return cuts.repartition(buckets, "bucket").mapInArrow(sort, _FOUND).select("k", "a", "b")
+    cuts = rows.join(wanted, "k").select("k", "t", "wanted").mapInArrow(lean(cut), "bucket long, packed binary")
+    return cuts.repartition(buckets, "bucket").mapInArrow(lean(sort), _FOUND).select("k", "a", "b")
 
 
 def _numbered(docs: DataFrame, key: str) -> tuple[Column | None, DataFrame | None]:
