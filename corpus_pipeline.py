@@ -2,6 +2,11 @@
 
 ``run`` writes every stage's result as Parquet under the session's shared
 checkpoint folder and reads it back as the next one's input.
+
+Defined results: a null text is rejected as of no language, as are empty ones; null source, language or
+length count as values of their own; of rows that share key and text one stays, and of ties the lesser key
+then text hash; null keys are documents of their own, last in order of near copies and first in that of
+sentences; an empty table gives no pieces; columns beyond the five of ``documents`` pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -31,8 +36,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier document or place holds."""
-    return line_dedup.keep_first(docs)
+    """All documents, without the sentences of 13 words or more that an earlier document or place holds."""
+    return line_dedup.keep_first(docs, sentence=line_dedup.SENTENCE, least=line_dedup.LEAST)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
