@@ -85,9 +85,7 @@ def gold_filtered_totals(spark, sf_dir):
 @query(f"""with {_LINES} select batch_id, cast(sum(case when code = 'R' then 1 else 0 end) as bigint) returned_count,
   cast(sum(case when code = 'R' then amount_brl else 0 end) as decimal(38,2)) returned_amount, cast(sum(case when code <> 'R' then amount_brl else 0 end) as decimal(38,2)) kept_amount from lines group by 1""")
 def gold_conditional_split(spark, sf_dir):
-    back = F.col("code") == "R"
-    zero = F.lit(0).cast("decimal(18,2)")
-    return bronze_lines(spark, sf_dir).groupBy("batch_id").agg(F.sum(F.when(back, 1).otherwise(0)).alias("returned_count"), F.sum(F.when(back, F.col("amount_brl")).otherwise(zero)).cast("decimal(38,2)").alias("returned_amount"), F.sum(F.when(~back, F.col("amount_brl")).otherwise(zero)).cast("decimal(38,2)").alias("kept_amount"))
+    return medallion.conditional_split(bronze_lines(spark, sf_dir), "batch_id", F.col("amount_brl"), F.col("code") == "R")
 
 
 @query(f"""with {_LINES} select batch_id, cast(grouping(batch_id) as integer) "level", count(*) row_count, cast(sum(amount_brl) as decimal(38,2)) sum_amount from lines group by rollup(batch_id)""")
@@ -387,16 +385,13 @@ def cumulative_anchor(spark, sf_dir):
 
 @query("""select event_id, user_id, lead(event_id) over w as next_id, lead(event_type) over w = event_type as pairs_with_next from events window w as (partition by user_id order by ts, event_id)""")
 def pair_link(spark, sf_dir):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return t(spark, sf_dir, "events").select("event_id", "user_id", F.lead("event_id").over(w).alias("next_id"), (F.lead("event_type").over(w) == F.col("event_type")).alias("pairs_with_next"))
+    return reconcile.next_of_kind(t(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "event_id", "event_type")
 
 
 @query("""with x as (select *, sum(case when event_type = 'signup' then 1 else 0 end) over (partition by user_id order by ts, event_id rows unbounded preceding) island from events)
 select user_id, cast(island as bigint) island, count(*) n, cast(sum(cast(value as decimal(18,2))) as decimal(38,2)) total from x group by 1, 2""")
 def lot_islands(spark, sf_dir):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    rows = t(spark, sf_dir, "events").withColumn("island", F.sum(F.when(F.col("event_type") == "signup", 1).otherwise(0)).over(w))
-    return rows.groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("n"), F.sum(M.money("value")).cast("decimal(38,2)").alias("total"))
+    return reconcile.islands(t(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "signup", F.col("value"))
 
 
 @query("""with h as (select event_id, user_id, ts, sha256(cast(event_id as varchar) || ':' || event_type) event_hash from events),
@@ -440,15 +435,12 @@ def run_stats_delta(spark, sf_dir):
 
 @query("""select event_type, cast(sum(coalesce(cast(json_extract_string(props, '$.count') as bigint), cast(json_extract_string(props, '$.k') as bigint))) as bigint) k_total, count(json_extract_string(props, '$.k')) with_k from events group by 1""")
 def json_controls(spark, sf_dir):
-    k = F.coalesce(*(F.get_json_object("props", f"$.{n}").try_cast("bigint") for n in ("count", "k")))
-    return t(spark, sf_dir, "events").groupBy("event_type").agg(F.sum(k).alias("k_total"), F.count(F.get_json_object("props", "$.k")).alias("with_k"))
+    return t(spark, sf_dir, "events").groupBy("event_type").agg(F.sum(D.number(F.col("props"), "count", "k")).alias("k_total"), F.count(F.get_json_object("props", "$.k")).alias("with_k"))
 
 
 @query("""select vec_id, cast(len(embedding) as integer) n, cast(list_sum(list_transform(embedding, lambda x: cast(cast(x as double) as decimal(18,6)))) as decimal(28,6)) total from embeddings""")
 def array_sum(spark, sf_dir):
-    zero = F.lit(0).cast("decimal(28,6)")
-    total = F.aggregate("embedding", zero, lambda a, x: (a + x.cast("double").cast("decimal(18,6)")).cast("decimal(28,6)"))
-    return t(spark, sf_dir, "embeddings").select("vec_id", F.size("embedding").alias("n"), total.alias("total"))
+    return t(spark, sf_dir, "embeddings").select("vec_id", F.size("embedding").alias("n"), D.array_sum(F.col("embedding")).alias("total"))
 
 
 @query("""with s as (select doc_id, 3 * (case when contains(lower(text), 'the') then 1 else 0 end) + 3 * (case when contains(lower(text), 'ation') then 1 else 0 end) + 8 * (case when contains(lower(text), 'the ation') then 1 else 0 end) score from documents)
@@ -592,15 +584,19 @@ def stream_available_now(spark, sf_dir):
 
     from tallyproof.plans.storage import scratch
 
+    from tallyproof.streaming import dropzone
+
     root, source = f"{scratch(spark)}/stream-{uuid.uuid4().hex}", t(spark, sf_dir, "events")
-    source.write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(source.schema).parquet(f"{root}/in")
+    source.select("event_id", "event_type", M.money("value").alias("value")).repartition(4).write.json(f"{root}/in")
 
-    def add(df: DataFrame, number: int) -> None:
-        df.write.mode("append").parquet(f"{root}/out")
+    def handle(files_: DataFrame) -> DataFrame:
+        lines = files_.select(F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line")).filter("line <> ''")
+        return lines.select(F.from_json("line", "event_id long, event_type string, value decimal(18,2)").alias("e")).select("e.*")
 
-    stream.writeStream.foreachBatch(add).option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(M.money("value")).cast("decimal(38,2)").alias("total"))
+    zone = dropzone.batches(spark, f"{root}/in", "part-*", per_cycle=2)
+    for _ in range(2):  # the second run finds nothing new
+        dropzone.work(zone, handle, f"{root}/out", f"{root}/outcomes", f"{root}/progress", ["event_id"]).awaitTermination()
+    return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("decimal(38,2)").alias("total"))
 
 
 @query("""select event_id, json_extract_string(props, '$.k') is not null is_object, event_id % 3 = 1 same, cast(json_extract_string(props, '$.k') as bigint) declared_count from events""")
@@ -944,3 +940,92 @@ def stale_reports(spark, sf_dir):
     half = F.timestamp_micros(F.floor((F.min(F.unix_micros("occurred_at")) + F.max(F.unix_micros("occurred_at"))) / 2))
     reports = rows.groupBy("project_id").agg(half.alias("until")).withColumn("report_id", F.concat(F.lit("r"), "project_id"))
     return ledger.stale_reports(reports, rows)
+
+
+@query(f"""with {_LINES} select batch_id, code, cast(grouping(batch_id) + grouping(code) as integer) "level", count(*) row_count, cast(sum(amount_brl) as decimal(38,2)) sum_amount from lines group by rollup(batch_id, code)""")
+def totals_by_lot_and_file(spark, sf_dir):
+    return controls.two_levels(bronze_lines(spark, sf_dir), ["batch_id", "code"], F.col("amount_brl"))
+
+
+@query(f"with {_LINES} select * from lines")
+def identity_silver(spark, sf_dir):
+    lines = bronze_lines(spark, sf_dir)
+    return medallion.identity_silver(lines, ["batch_id", "l_orderkey", "l_linenumber", "amount_brl", "code"])
+
+
+@query(f"""with {_LINES} select count(*) as rows, cast(coalesce(sum(amount_brl), 0) as decimal(38,2)) amount from lines l where not exists (select 1 from lines k where k.l_orderkey = l.l_orderkey and k.l_linenumber = l.l_linenumber and k.code <> 'R' and k.amount_brl > 0)""")
+def lossy_filter(spark, sf_dir):
+    """A superseded procedure applies only one kind of movement: the rows that it loses must show."""
+    lines = bronze_lines(spark, sf_dir)
+    return medallion.lost_rows(lines, lines.filter("code <> 'R' and amount_brl > 0"), ["l_orderkey", "l_linenumber"], "amount_brl")
+
+
+@query("select o_orderkey batch_id, o_orderstatus status, l_linenumber, cast(l_extendedprice as decimal(18,2)) amount from orders join lineitem on l_orderkey = o_orderkey")
+def batches_with_loads(spark, sf_dir):
+    batches_ = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("batch_id"), F.col("o_orderstatus").alias("status"))
+    return reconcile.with_loads(batches_, t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("batch_id"), "l_linenumber", M.money("l_extendedprice").alias("amount")))
+
+
+@query("select user_id, arg_min(event_id, (ts, event_id)) event_id from events group by 1")
+def idempotent_registration(spark, sf_dir):
+    return reconcile.registered(t(spark, sf_dir, "events").select("user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_id")
+
+
+@query("""select 'nav' relation, string_agg(page_id, ',' order by page_id) used_by from pages where contains(lower(html), 'nav') having count(*) > 0
+union all select 'tion', string_agg(page_id, ',' order by page_id) from pages where contains(lower(html), 'tion') having count(*) > 0""")
+def relation_edges(spark, sf_dir):
+    return search.edges(t(spark, sf_dir, "pages"), "page_id", "html", ["nav", "aside-of-none", "tion"]).withColumn("used_by", F.array_join(F.transform("used_by", lambda x: x.cast("string")), ","))
+
+
+@query("""select event_id from events where strftime(ts, '%Y-%m-%dT%H:%M:%S') >= '2024-01-02' and user_id % 7 = 3 and user_id in (select user_id from events where event_type = 'purchase')""")
+def filtered_records(spark, sf_dir):
+    e = t(spark, sf_dir, "events")
+    rows = e.select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("at"), F.concat(F.lit("a"), (F.col("user_id") % 7).cast("string")).alias("author"), F.col("user_id").alias("task_id"))
+    board = e.select(F.col("user_id").alias("task_id"), F.col("event_type").alias("status"))
+    return search.records(rows, "2024-01-02", "a3", "purchase", board).select("event_id")
+
+
+@query("""select event_id, user_id from events order by ts, event_id""")
+def event_order(spark, sf_dir):
+    return ledger.in_order(t(spark, sf_dir, "events").withColumn("occurred_at", F.col("ts"))).select("event_id", "user_id")
+
+
+@query("""select count(*) > 0 held from events where user_id = 3 and event_type <> 'error' and ts >= timestamp '2024-01-01 00:00:00'""")
+def active_lease(spark, sf_dir):
+    one = leases.active_lease(_leases(spark, sf_dir), 3, F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    return one.agg((F.count(F.lit(1)) > 0).alias("held"))
+
+
+@query("""select event_id token, user_id resource from events where event_id % 10 in (select event_id % 10 from events where event_id = 4)""")
+def leases_of_run(spark, sf_dir):
+    held = _leases(spark, sf_dir).withColumn("run_id", F.concat(F.lit("r"), (F.col("token") % 10).cast("string")))
+    attempts = t(spark, sf_dir, "events").select(F.concat(F.lit("a"), F.col("event_id").cast("string")).alias("attempt_id"), F.concat(F.lit("r"), (F.col("event_id") % 10).cast("string")).alias("run_id"))
+    return leases.of_run(held, attempts, "a4").select("token", "resource")
+
+
+@query("""select 'fk_' || column_name "constraint", table_name, column_name, of_table, of_column from (values ('orders', 'o_custkey', 'customer', 'c_custkey'), ('lineitem', 'l_orderkey', 'orders', 'o_orderkey')) x(table_name, column_name, of_table, of_column)""")
+def foreign_keys(spark, sf_dir):
+    """Declared keys against the columns that the tables have; one names a column that is not there."""
+    columns = spark.createDataFrame([(name, c) for name in ("orders", "lineitem", "customer") for c in t(spark, sf_dir, name).columns], "table_name string, column_name string")
+    declared = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_colour", "part", "p_colour")]
+    rows = spark.createDataFrame([(f"fk_{c}", a, 1, c, b, d) for a, c, b, d in declared], "constraint string, table_name string, position int, column_name string, of_table string, of_column string")
+    return search.foreign_keys(rows, columns)
+
+
+@query("""select c_custkey, case c_nationkey % 3 when 0 then cast(cast(round_even(cast(c_acctbal as decimal(18,2)), 0) as decimal(18,0)) as varchar) when 1 then cast(cast(c_acctbal as decimal(18,2)) as varchar) else cast(cast(c_acctbal as decimal(18,3)) as varchar) end shown from customer""")
+def rendered_at_scale(spark, sf_dir):
+    reference = F.when(F.col("c_nationkey") % 3 == 0, "7").when(F.col("c_nationkey") % 3 == 1, "7.00").otherwise("0.123")
+    return t(spark, sf_dir, "customer").select("c_custkey", M.at_scale(M.money("c_acctbal"), reference).alias("shown"))
+
+
+@query("""with tasks as (select cast(n_nationkey as bigint) id, case when n_nationkey % 3 = 0 then 'done' when n_nationkey % 7 = 1 then 'in-progress' else 'ready' end status, case when n_nationkey % 8 = 5 then 'XL' else 'S' end effort, case when n_nationkey = 9 then 3 end supersedes from nation),
+e as (select distinct cast(n_regionkey as bigint) src, cast(n_nationkey as bigint) dst from nation where n_regionkey < n_nationkey),
+r as (select id, 0 k, '' b, 'status:' || status r from tasks where status <> 'ready' union all select id, 1, '', 'composition-node' from tasks where effort = 'XL'
+  union all select e.dst, 2, e.src || '0', 'unmet:' || e.src || ':' || t.status from e join tasks t on t.id = e.src where t.status <> 'done'
+  union all select e.dst, 2, e.src || '1', 'stale-superseded:' || e.src from e where e.src in (select supersedes from tasks))
+select id, coalesce(string_agg(r, ',' order by k, b, r), '') reasons, count(r) = 0 ready from tasks left join r using (id) group by 1""")
+def frontier_reasons(spark, sf_dir):
+    k = F.col("n_nationkey")
+    status = F.when(k % 3 == 0, "done").when(k % 7 == 1, "in-progress").otherwise("ready")
+    tasks = t(spark, sf_dir, "nation").select(k.cast("bigint").alias("id"), status.alias("status"), F.when(k % 8 == 5, "XL").otherwise("S").alias("effort"), F.when(k == 9, F.lit(3)).cast("bigint").alias("supersedes"))
+    return graphs.frontier_reasons(tasks, edges(spark, sf_dir)).withColumn("reasons", F.array_join("reasons", ","))

@@ -40,3 +40,14 @@ def control_amount(text: Column) -> Column:
 def control_map(count: Column, amounts: dict[str, Column]) -> Column:
     """A control document: the count as a number, money as text with two places."""
     return F.to_json(F.struct(count.alias("count"), *(v.cast("decimal(18,2)").cast("string").alias(k) for k, v in amounts.items())))
+
+
+def number(text: Column, *keys: str) -> Column:
+    """The first of several keys that a document has, as a whole number."""
+    return first_of(text, keys, "bigint")
+
+
+def array_sum(values: Column, kind: str = "decimal(18,6)") -> Column:
+    """The exact sum of an array's elements, each cast first; 0 of none."""
+    whole = "decimal(28," + kind.split(",")[1]
+    return F.aggregate(values, F.lit(0).cast(whole), lambda total, x: (total + x.cast("double").cast(kind)).cast(whole))

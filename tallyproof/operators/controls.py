@@ -52,10 +52,15 @@ def filtered_totals(df: DataFrame, key: str, amount: Column, credit: Column, deb
     )
 
 
-def two_levels(df: DataFrame, inner: str, amount: Column) -> DataFrame:
-    """Totals per inner group, and once more over them (``level`` 0 and 1), in one rollup."""
+def two_levels(df: DataFrame, inner: str | list[str], amount: Column) -> DataFrame:
+    """Totals per inner group, and once more over them, in one rollup.
+
+    With one column the levels are 0 and 1; with several, a file and its lots for instance, there is one more for each.
+    """
+    by = [inner] if isinstance(inner, str) else inner
     value = amount.cast("decimal(18,2)")
-    return df.rollup(inner).agg(F.grouping(inner).cast("int").alias("level"), F.count(F.lit(1)).alias("row_count"), F.sum(value).cast("decimal(38,2)").alias("sum_amount"))
+    level = F.bit_count(F.grouping_id()).cast("int")
+    return df.rollup(*by).agg(level.alias("level"), F.count(F.lit(1)).alias("row_count"), F.sum(value).cast("decimal(38,2)").alias("sum_amount"))
 
 
 def gate(declared: DataFrame, computed: DataFrame, key: str, checks: list[tuple[str, str]]) -> DataFrame:

@@ -15,6 +15,11 @@ def next_tokens(leases: DataFrame, key: str = "resource") -> DataFrame:
     return leases.groupBy(key).agg((F.max("token") + 1).alias("next_token"), F.max(F.col("active").cast("int")).alias("held"))
 
 
+def active_lease(leases: DataFrame, resource, now: Column) -> DataFrame:
+    """One lease that holds a resource at ``now``, if there is any: enough to refuse another."""
+    return leases.filter((F.col("resource") == resource) & F.col("active") & (F.col("expires_at") >= now)).limit(1)
+
+
 def of_run(leases: DataFrame, attempts: DataFrame, wanted: str) -> DataFrame:
     """Leases of a run, named by the run itself or by one of its attempts."""
     run = attempts.filter(F.col("attempt_id") == wanted).select("run_id").unionByName(leases.filter(F.col("run_id") == wanted).select("run_id")).distinct()

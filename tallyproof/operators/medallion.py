@@ -13,6 +13,27 @@ def bronze(raw: DataFrame, types: dict[str, str]) -> DataFrame:
     return raw.select(*(F.col(c).cast(t).alias(c) for c, t in types.items()))
 
 
+def identity_silver(bronze_rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Silver that takes bronze over as it is, by named columns, so that an unexpected one stops the job."""
+    extra = set(bronze_rows.columns) - set(columns)
+    if extra:
+        raise ValueError(f"columns that silver does not know: {sorted(extra)}")
+    return bronze_rows.select(*columns)
+
+
+def conditional_split(df: DataFrame, by: str, amount: Column, back: Column) -> DataFrame:
+    """Per group: how many rows went back, their total, and the total of the others."""
+    zero = F.lit(0).cast("decimal(18,2)")
+    value = amount.cast("decimal(18,2)")
+    return df.groupBy(by).agg(F.sum(F.when(back, 1).otherwise(0)).alias("returned_count"), F.sum(F.when(back, value).otherwise(zero)).cast("decimal(38,2)").alias("returned_amount"), F.sum(F.when(~back, value).otherwise(zero)).cast("decimal(38,2)").alias("kept_amount"))
+
+
+def lost_rows(source: DataFrame, kept: DataFrame, keys: list[str], amount: str) -> DataFrame:
+    """(rows, amount) that a filter between two layers loses: what a superseded procedure that applies only some kinds drops."""
+    gone = source.join(kept.select(*keys), keys, "left_anti")
+    return gone.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.col(amount).cast("decimal(18,2)")), F.lit(0)).cast("decimal(38,2)").alias("amount"))
+
+
 def label(code: Column, names: dict[str, str]) -> Column:
     """Names of codes; an unknown code is null."""
     out = None

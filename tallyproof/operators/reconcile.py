@@ -74,3 +74,27 @@ def zone_selection(processing: DataFrame, cache: DataFrame, incoming: DataFrame,
 def ambiguous(processing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Batches that stand in both zones."""
     return processing.select("batch_id").intersect(incoming.select("batch_id"))
+
+
+def with_loads(batches: DataFrame, loads: DataFrame, key: str = "batch_id") -> DataFrame:
+    """Batches with their loads, one row a load; a batch without one is left out."""
+    return batches.join(loads, key)
+
+
+def registered(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """Registrations once each: the first in order stands, later ones of its key change nothing."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    return rows.groupBy(*key).agg(F.min_by(whole, F.struct(*order)).alias("_first")).select("_first.*")
+
+
+def next_of_kind(df: DataFrame, by: str, order: list[str], key: str, kind: str) -> DataFrame:
+    """Each row with the key of the one after it in its group, and whether both are of one kind."""
+    w = Window.partitionBy(by).orderBy(*order)
+    return df.select(key, by, F.lead(key).over(w).alias("next_id"), (F.lead(kind).over(w) == F.col(kind)).alias("pairs_with_next"))
+
+
+def islands(df: DataFrame, by: str, order: list[str], starts: Column, amount: Column) -> DataFrame:
+    """Rows of a group in runs that begin where ``starts`` holds: their number and total by run."""
+    w = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = df.withColumn("island", F.sum(F.when(starts, 1).otherwise(0)).over(w))
+    return rows.groupBy(by, "island").agg(F.count(F.lit(1)).alias("n"), F.sum(amount.cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"))
