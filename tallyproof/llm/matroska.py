@@ -125,6 +125,8 @@ def elements(data: bytes, at: int = 0, end: int | None = None, inside: int = 0)
         if inside == CLUSTER and ident in TOP:
             return  # a cluster of unknown size ends here
         size, at = read_vint(data, at)
+        if size is None and ident not in MASTERS:
+            raise ValueError(f"element at byte {start} has no size")
         stop = end if size is None else at + size
         if stop > end:
             raise ValueError(f"element at byte {start} runs past its parent")

@@ -426,6 +426,130 @@ def test_quality_classifier_without_labels(spark, sf):
     assert cotraining.score(empty, cotraining.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))).count() == 1
 
 
+def test_quality_classifier_on_rows_it_has_not_seen(spark):
+    import os
+
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables are not here")
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    model = cotraining.fit(docs, labels.filter("doc_id % 2 = 0"))
+    rows = cotraining.score(docs, model).join(labels.filter("doc_id % 2 = 1"), "doc_id").collect()
+    assert len(rows) > 100 and sum(r.kept == (r.quality > 0) for r in rows) >= 0.95 * len(rows)
+
+
+def test_views_are_apart():
+    assert cotraining.facts("a", "en", 10) == cotraining.facts("a", "en", 10) and len(cotraining.facts(None, None, None)[0]) == 3
+    assert cotraining.content("x " * 400_000)[1][2] > 0.99 and cotraining.content(None) == cotraining.content("")
+    row = (cotraining.content("some words, and 12 more"), cotraining.facts("s", "en", 23))
+    (words, shares), (places, measures) = cotraining.unpacked(cotraining.packed(row))
+    assert (words, places) == (row[0][0], row[1][0]) and max(abs(a - b) for a, b in zip(shares + measures, row[0][1] + row[1][1])) < 1e-6
+
+
+def test_calibration_against_a_grid():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    z = rng.normal(size=300)
+    y = (rng.random(300) < 1 / (1 + np.exp(-(2 * z + 0.5)))).astype(float)
+    loss = lambda a, b: np.logaddexp(0, np.where(y > 0, -1, 1) * (a * z + b)).mean() + ((a - 1) ** 2 + b**2) / 600
+    slope, offset = cotraining.calibrated(z, y)
+    best = min(loss(a, b) for a in np.arange(0, 4, 0.05) for b in np.arange(-2, 2, 0.05))
+    assert loss(slope, offset) <= best + 1e-6
+
+
+def test_the_surest_rows_are_exchanged(spark):
+    import numpy as np
+
+    texts = [f"w{i % 7} v{i % 11} " * (1 + i % 5) for i in range(120)]
+    rows = [(cotraining.content(t), cotraining.facts(f"s{i % 3}", "en", len(t))) for i, t in enumerate(texts)]
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=cotraining.WORDS + cotraining.SHARES + 1).astype(np.float32), rng.normal(size=cotraining.PLACES + cotraining.FACTS + 1).astype(np.float32)
+    frame_ = spark.createDataFrame([(i, bytearray(cotraining.packed(r))) for i, r in enumerate(rows)], "_k long, x binary").repartition(3)
+    done = spark.createDataFrame([(i,) for i in range(0, 120, 9)], "_k long")
+    got = {(r._k, r.view, r.label) for r in cotraining._surest(frame_, done, (a, b, (1.0, 0.0), (1.0, 0.0)), 0.6, 5).collect()}
+    want = set()
+    for view, (w, size) in enumerate(((a, (cotraining.WORDS, cotraining.SHARES)), (b, (cotraining.PLACES, cotraining.FACTS)))):
+        p = np.round(1 / (1 + np.exp(-(cotraining.matrix([r[view] for r in rows], *size) @ w).astype(np.float64))), 6)
+        for label in (1, 0):
+            far = p if label else 1 - p
+            want |= {(i, view, label) for i in sorted((i for i in range(120) if i % 9 and far[i] >= 0.6), key=lambda i: (-far[i], i))[:5]}
+    assert {x[1:] for x in got} == {x[1:] for x in want} and len(got) == len(want) and len(got & want) >= 0.9 * len(want)
+
+
+def test_quality_classifier_of_odd_rows(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    again = docs.unionByName(docs.filter("doc_id < 30")).unionByName(spark.createDataFrame([(None, "a b", None, None, None), (None, None, None, None, None), (7, "x " * 200_000, "s", "en", 400_000)], docs.schema))
+    model = cotraining.fit(again.withColumn("x", F.lit(1)), labels.unionByName(labels))
+    rows = cotraining.score(again, model).collect()
+    assert len(rows) == again.count() and all(0 <= r.score <= 1 for r in rows)
+    assert cotraining.score(docs.limit(0), model).count() == 0 and cotraining.fit(docs.limit(0), labels).text is None
+
+
+def test_kernel_regression_against_its_formula():
+    import numpy as np
+
+    rng = random.Random(2)
+    words = {c: ["".join(rng.choice("abcdefghijklmnop"[4 * i : 4 * i + 6]) for _ in range(5)) for _ in range(30)] for i, c in enumerate("xyz")}
+    texts = [(" ".join(rng.choices(words[c], k=12)), c) for c in "xyz" for _ in range(20)]
+    model = string_kernel.Model([t for t, _ in texts], [c for _, c in texts], landmarks=60, ridge=0.1)
+    assert [t for t, _ in texts] and model.classes == ["x", "y", "z"]
+    rows = string_kernel.Model([string_kernel.held(t) for t, _ in texts], [c for _, c in texts], landmarks=60, ridge=0.1)
+    assert np.allclose(rows.weights, model.weights, atol=1e-3)
+    room = string_kernel.presence([t for t, _ in texts], np.zeros((60, string_kernel.BUCKETS), np.float32)).astype(np.float64)
+    room /= np.sqrt(room.sum(1, keepdims=True))
+    kernel = room @ room.T  # with all rows as landmarks the map is exact: ridge regression in the kernel's space, with a constant
+    gram = kernel + 1.0
+    y = np.where(np.array([c for _, c in texts])[:, None] == np.array(["x", "y", "z"]), 1.0, -1.0)
+    want = gram @ np.linalg.solve(gram + 0.1 * np.eye(60), y)
+    space = np.zeros((60, string_kernel.BUCKETS), np.float32)
+    x = string_kernel.presence([t for t, _ in texts], space)
+    got = (x @ model.landmarks) / np.sqrt(x.sum(1, keepdims=True)) @ model.weights + model.bias
+    assert np.abs(got - want).max() < 0.02
+
+
+def test_language_of_odd_rows(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = string_kernel.fit(docs.unionByName(docs.filter("doc_id < 50")).unionByName(docs.filter("doc_id = 3").withColumn("lang", F.lit(None).cast("string"))), F.lit(True))
+    assert string_kernel.predict(docs.limit(0), model).count() == 0
+    long = docs.filter("doc_id = 1").select("doc_id", F.repeat("text", 500).alias("text"), "lang")
+    row = string_kernel.predict(long, model).first()
+    assert row.lang_pred == long.first().lang
+    odd = spark.createDataFrame([(None, "a"), (1, "The and of"), (1, "The and of")], "`doc.id` long, text string")
+    assert len(set(map(tuple, string_kernel.predict(odd, model, key="doc.id").filter("`doc.id` = 1").collect()))) == 1
+
+
+def plain_pipeline(rows, model, languages, sf_docs):
+    """The stages on lists: what stays after near copies and repeated sentences, for rows that the models kept."""
+    kept, seen = [], set()
+    for k, t in sorted(rows, key=lambda r: r[0]):
+        if (k, t) not in seen:
+            seen.add((k, t))
+            kept.append((k, t))
+    labels = plain_components(kept, 5, 80, 100)
+    kept = [(k, t) for k, t in kept if labels[k][1] == k]
+    return {k: t for k, (t, _) in plain_sentences(kept, 13).items()}
+
+
+def test_pipeline_against_lists(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    spare = spark.createDataFrame([(10**6, None, "en", "s", 0), (10**6 + 1, "", "en", "s", 0), (10**6 + 2, "1234 5678", "en", "s", 9)], docs.schema)
+    first = docs.unionByName(docs.filter("doc_id < 20")).unionByName(spare)
+    stages = dict(corpus_pipeline.STAGES)
+    good = spark.createDataFrame(stages["quality classifier"](spark, first, sf).collect(), docs.schema)
+    told = spark.createDataFrame(stages["language ID"](spark, good, sf).collect(), docs.schema)
+    assert not {r.doc_id for r in told.collect()} & {10**6, 10**6 + 1, 10**6 + 2}
+    one = spark.createDataFrame(stages["n-gram Jaccard join"](spark, told, sf).collect(), docs.schema)
+    last = stages["substring dedup"](spark, one, sf)
+    assert {r.doc_id: r.text for r in last.collect()} == plain_pipeline([(r.doc_id, r.text) for r in told.collect()], None, None, docs)
+    pieces = stages["packing"](spark, last, sf)
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {r.doc_id for r in last.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
 

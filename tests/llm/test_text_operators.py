@@ -358,3 +358,71 @@ def test_extraction_of_odd_tables(spark):
     assert sorted((str(r.page_id), r.n_chars) for r in got.collect()) == [("1", 3), ("1", 3), ("2", 0), ("3", 999_999), ("None", 3)]
     for broadcast in (10, 0):
         assert style_tree.extract(spark.createDataFrame([], kinds), broadcast_paths=broadcast).count() == 0
+
+
+def plain_walk(data, at, end, masters):
+    """EBML by its definition: (id, body) of all elements whose size is known."""
+    while at < end:
+        lead = next(i for i in range(8) if data[at] >> (7 - i) & 1)
+        ident = data[at : at + lead + 1].hex()
+        at += lead + 1
+        wide = next(i for i in range(8) if data[at] >> (7 - i) & 1)
+        size = int.from_bytes(data[at : at + wide + 1], "big") & ((1 << 7 * (wide + 1)) - 1)
+        at += wide + 1
+        yield ident, data[at : at + size]
+        if ident in masters:
+            yield from plain_walk(data, at, at + size, masters)
+        at += size
+
+
+@pytest.mark.parametrize("n", [0, 700, 9000, 70_000])
+def test_media_against_a_plain_reader(n):
+    payload = matroska.payload_of("ab\u00e9" * n)
+    media = matroska.mux(payload)
+    parts = list(plain_walk(media, 0, len(media), {"18538067", "1f43b675", "1654ae6b", "ae", "e1", "1c53bb6b", "bb", "b7"}))
+    held = b""
+    for ident, body in parts:
+        if ident == "a3":
+            assert body[0] == 0x81
+            scheme, rest = body[3] >> 1 & 3, body[4:]
+            if scheme:
+                n_frames, rest = rest[0] + 1, rest[1:]
+                if scheme == 1:
+                    for _ in range(n_frames - 1):
+                        while rest[0] == 255:
+                            rest = rest[1:]
+                        rest = rest[1:]
+                elif scheme == 3:
+                    for _ in range(n_frames - 1):
+                        rest = rest[9 - rest[0].bit_length() :]
+            held += rest
+    assert held == payload
+    assert dict(parts)["86"] == b"A_PCM/INT/LIT" and np.frombuffer(dict(parts)["b5"], ">f4")[0] == 8000
+
+
+def box(ident, body):
+    return bytes.fromhex(ident) + bytes([0x08, *len(body).to_bytes(4, "big")]) + body
+
+
+def test_timestamps_follow_the_track():
+    track = lambda number, *more: box("ae", box("d7", bytes([number])) + b"".join(more))
+    tracks = box("1654ae6b", track(1, box("23e383", (20_000_000).to_bytes(4, "big"))) + track(2, box("86", b"A_PCM/INT/LIT"), box("e1", box("b5", np.array(1000, ">f8").tobytes()) + box("9f", b"\2") + box("6264", b"\x10"))) + track(3))
+    block = lambda number, at: bytes([0x80 | number]) + at.to_bytes(2, "big", signed=True) + bytes([2 << 1, 1]) + b"x" * 8  # noqa: E731  two frames of four bytes
+    cluster = box("1f43b675", box("e7", b"\x64") + box("a3", block(1, 0)) + box("a0", box("a1", block(2, -10))) + box("a3", block(3, 4)))
+    media = box("1a45dfa3", b"") + box("18538067", box("1549a966", box("2ad7b1", (500_000).to_bytes(3, "big"))) + tracks + cluster)
+    assert [(p[0], p[1]) for p in matroska.demux(media)[0]] == [(1, 50), (1, 70), (2, 45), (2, 46), (3, 52), (3, 52)]
+
+
+def test_malformed_media_are_rows(spark):
+    good = matroska.mux(matroska.payload_of("hello"))
+    rows = [(1, good), (2, good[:-3]), (3, b"\0\0\0"), (4, b"\xff" * 50), (5, None), (6, b""), (7, bytes.fromhex("18538067ff") * 3000), (None, good), (1, good)]
+    got = matroska.packet_table(spark.createDataFrame([(k, m, "e", 1) for k, m in rows], "doc_id long, media binary, error string, track int")).collect()
+    assert {r.doc_id for r in got if r.error} == {2, 3, 4, 7}
+    assert sorted(str(r.doc_id) for r in got if r.error is None) == ["1", "1", "None"]
+    assert matroska.media_columns(frame(spark, [])).count() == 0 and matroska.packet_table(spark.createDataFrame([], "doc_id long, media binary")).count() == 0
+
+
+def test_empty_tables_give_no_rows(spark):
+    model = queries.tokenizer("piece_bpe_32k.model")
+    assert piece_sampling.encode(frame(spark, []), model).count() == 0
+    assert quality_rules.keep(frame(spark, [])).count() == 0
