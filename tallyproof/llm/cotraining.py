@@ -174,8 +174,9 @@ def unpacked(raw: bytes) -> Row:
     return (whole[1 : 1 + n].tolist(), real[:SHARES].tolist()), (whole[1 + n :].tolist(), real[SHARES:].tolist())
 
 
-def features(part: pa.RecordBatch) -> tuple[list, list]:
-    text, source, lang, n = (part.column(i).to_pylist() for i in range(1, 5))
+def features(columns: list[pa.Array]) -> tuple[list, list]:
+    """Of key, text, source, language and length."""
+    text, source, lang, n = (c.to_pylist() for c in columns[1:5])
     return [content(t) for t in text], [facts(*x) for x in zip(source, lang, n)]
 
 
@@ -191,7 +192,7 @@ def _featured(docs: DataFrame, key: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([packed(r) for r in zip(*features(part))], pa.binary())], ["_k", "x"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([packed(r) for r in zip(*features(part.columns))], pa.binary())], ["_k", "x"])
 
     return stored(_inputs(docs, key).filter("_k is not null").mapInArrow(lean(run, _SEEN.clear), f"_k {kind}, x binary"), "features")
 
@@ -259,10 +260,10 @@ COLUMNS = "p_content double, p_page double, score double, kept boolean"
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", least: float = 0.5, rows: bool = False) -> DataFrame:
     """The key, each view's probability, the combined score and ``kept``; with ``rows``, the kept rows of ``docs`` as they were."""
-    columns = _inputs(docs, key)
-    if rows:
-        whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{key}`").alias(key), "text", "source", "lang", "n_chars")
-        columns = whole.select(F.col("_row").alias("_k"), "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.col("n_chars").cast("long").alias("n_chars"))
+    if rows:  # the row itself holds all that the views see
+        columns = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_k"))
+    else:
+        columns = _inputs(docs, key)
     kind = columns.schema["_k"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -271,10 +272,11 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", least: float = 0.5
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
+                seen = [part.column(0), *(part.column(0).field(c) for c in ("text", "source", "lang", "n_chars"))] if rows else part.columns
                 if m.text is None:
                     a = b = np.zeros(part.num_rows)
                 else:
-                    a, b = m.logits(*features(part))
+                    a, b = m.logits(*features(seen))
                 squash = lambda v: 1 / (1 + np.exp(-np.clip(v.astype(np.float64), -30, 30)))
                 both = squash(a + b - m.prior)
                 if rows:

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyproof.llm.storage import lean
+
 # Fixed values of the container format (element ids).
 EBML, SEGMENT, INFO, TRACKS, TRACK_ENTRY, AUDIO = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x1654AE6B, 0xAE, 0xE1
 CLUSTER, TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1
@@ -302,7 +304,7 @@ def media_columns(docs: DataFrame, key: str = "doc_id", text: str = "text", keep
                     names.append("media")
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"`{key}` {kind}, {SCHEMA}" + ", media binary" * keep_media)
+    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(lean(run), f"`{key}` {kind}, {SCHEMA}" + ", media binary" * keep_media)
 
 
 def packet_table(media: DataFrame, key: str = "doc_id", column: str = "media") -> DataFrame:
@@ -326,4 +328,4 @@ def packet_table(media: DataFrame, key: str = "doc_id", column: str = "media") -
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(keys, part.schema.field(0).type), *(pa.array(c, t) for c, t in zip(columns, types))], [key, "track", "timestamp_ms", "first_byte", "length", "lacing", "cluster_byte", "error"])
 
-    return media.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{column}`").alias("_media")).mapInArrow(run, f"`{key}` {kind}, {PACKETS}")
+    return media.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{column}`").alias("_media")).mapInArrow(lean(run), f"`{key}` {kind}, {PACKETS}")

@@ -31,6 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyproof.llm.storage import lean
+
 WINDOW = 1024
 END_ID = 0
 #: How byte-level vocabularies cut texts before merging (a fixed value of the format).
@@ -242,4 +244,4 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
         if rows:
             yield table()
 
-    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(lean(run), f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -14,7 +14,8 @@ or other rows; rows with equal key and text are segmented alike.
 A file trained by merges scores its pieces by rank; the weight of a piece is
 then 1 / (rank + 10) ** alpha, Zipf's law.  Characters without a piece are
 written as byte pieces, the space mark itself too, so decoding gives back every
-text.  A null or empty text has no pieces and decodes to the empty text.
+text.  A null or empty text has no pieces and decodes to the empty text; a null key seeds as a key of its own;
+an empty table gives no rows; columns other than key and text are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tallyproof.llm.storage import lean
 
 MARK = "▁"
 UNITS_KEPT = 300_000
@@ -297,7 +301,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
                 else:
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tolist() for x in ids], pa.list_(pa.int32()))], [key, "ids"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, {columns}")
+    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(lean(run), f"`{key}` {kind}, {columns}")
 
 
 def decode(encoded: DataFrame, model: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -310,4 +314,4 @@ def decode(encoded: DataFrame, model: str, key: str = "doc_id", ids: str = "ids"
             found = [None if x is None else lat.decode(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], [key, "text"])
 
-    return encoded.select(key, ids).mapInArrow(run, f"`{key}` {kind}, text string")
+    return encoded.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{ids}`").alias("_ids")).mapInArrow(lean(run), f"`{key}` {kind}, text string")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-#: Rows of an Arrow batch while a table is stored: rows here hold whole texts, sets and packed signatures.
+#: Rows of an Arrow batch, at most: rows here hold whole texts, sets and packed signatures, and both sides keep the memory of the largest batch.
 ROWS = 1000
 
 
@@ -38,12 +38,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read back, columns still prunable."""
     spark = df.sparkSession
     path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, str(min(ROWS, int(before)) if int(before) > 0 else ROWS))
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(_BATCH, before)
+    df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()  # shuffle files go when the driver lets go of the plans that made them
     found = spark.read.schema(df.schema).parquet(path)
     found._stored_at = path
@@ -59,7 +54,13 @@ def discard(*frames: DataFrame) -> None:
 
 
 def lean(run: Callable, *forget: Callable[[], None]) -> Callable:
-    """A function over Arrow batches that gives its memory back when a task ends: workers live on, beside the next stage's JVM."""
+    """A function over Arrow batches of at most ``ROWS`` rows that gives its memory back when a task ends: workers live on, beside the next stage's JVM.
+
+    Called where the plan is made; the size of batches is a setting of the session, which is lowered if it is higher.
+    """
+    session = SparkSession.getActiveSession()
+    if session and not 0 < int(session.conf.get(_BATCH)) <= ROWS:
+        session.conf.set(_BATCH, str(ROWS))
 
     def inner(batches: Iterator) -> Iterator:
         try:

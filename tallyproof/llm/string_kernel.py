@@ -208,7 +208,7 @@ def reject_unknown(docs: DataFrame, train: Column, key: str = "doc_id", text: st
     texts, labels = training_rows(docs, train, key, text, label)
     model = Model(texts, labels)
     profiles = Profiles(model.classes, texts, labels)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_x"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     kind = rows.schema["_row"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast((model, profiles))
 
@@ -218,7 +218,7 @@ def reject_unknown(docs: DataFrame, train: Column, key: str = "doc_id", text: st
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                texts = part.column(1).to_pylist()
+                texts = part.column(0).field(text).to_pylist()
                 known = [i for i, t in enumerate(texts) if has_letter(t)]
                 if known and m.classes:
                     best = m.score([texts[i] for i in known], room)[0]

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.llm.storage import checkpointed, stored
+from tallyproof.llm.storage import checkpointed, lean, stored
 
 GAMMA = 0.9
 _TOKEN = re.compile(
@@ -340,7 +340,7 @@ def low_branches(pages: DataFrame, url: str = "url", source: str = "html", least
                     insides.append(inside)
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.int64()), pa.array(features, pa.int64()), pa.array(texts, pa.bool_()), pa.array(insides, pa.bool_())], ["host", "path", "feature", "is_text", "inside"])
 
-    votes = pages.select(host_of(F.col(f"`{url}`")).alias("host"), F.col(f"`{source}`").alias("html")).mapInArrow(run, "host string, path long, feature long, is_text boolean, inside boolean")
+    votes = pages.select(host_of(F.col(f"`{url}`")).alias("host"), F.col(f"`{source}`").alias("html")).mapInArrow(lean(run), "host string, path long, feature long, is_text boolean, inside boolean")
     counted = votes.groupBy("host", "path", "is_text", "feature").agg(F.count(F.lit(1)).alias("n"), F.max("inside").alias("inside"))
     style, n = ~F.col("is_text"), F.col("n").cast("double")
     sums = counted.groupBy("host", "path").agg(
@@ -382,7 +382,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
                     part = batch.slice(at, 500)
                     yield table(part, [Page(h).text(by_host.get(host, none)) if h else "" for host, h in zip(part.column(3).to_pylist(), part.column(2).to_pylist())])
 
-        return rows.mapInArrow(run, schema)
+        return rows.mapInArrow(lean(run), schema)
 
     by_host = stored(low.groupBy("host").agg(F.collect_set("path").alias("paths")), "branches")  # stored, so that a large host's pages can be split
     joined = rows.join(by_host, "host", "left").select("_key", "url", "html", "paths")
@@ -393,4 +393,4 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
                 part = batch.slice(at, 500)
                 yield table(part, [Page(h).text(set(p or ())) if h else "" for h, p in zip(part.column(2).to_pylist(), part.column(3).to_pylist())])
 
-    return joined.mapInArrow(run_joined, schema)
+    return joined.mapInArrow(lean(run_joined), schema)

@@ -754,4 +754,4 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = H
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(columns[i], pa.int64()) for i in range(3)), pa.array(columns[3], pa.string() if digest else pa.binary())], [key, "n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "kept"])
 
     joined = rows.join(spans, "k", "left").select("_key", "t", "spans")
-    return joined.mapInArrow(run, f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digest else "kept binary"))
+    return joined.mapInArrow(lean(run), f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digest else "kept binary"))
