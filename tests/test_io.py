@@ -169,3 +169,39 @@ def test_windowed_totals(spark, sf, tmp_path):
     running = dropzone.running_totals(stream).writeStream.format("memory").queryName("totals").outputMode("complete").trigger(availableNow=True).start()
     running.awaitTermination()
     assert spark.table("totals").agg(F.sum("n")).first()[0] == source.count()
+
+
+def test_ledger_contracts_and_manifests(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 'a "b"; c'), (2, None)], "id int, v string")
+    files.write_csv(rows, str(tmp_path / "csv"))
+    back = files.expected_rows(spark, str(tmp_path / "csv"))
+    assert sorted((r.id, r.v) for r in back.collect()) == [("1", 'a "b"; c'), ("2", None)]
+    for n in (1, 2):
+        files.append_ledger(rows.filter(f"id = {n}"), str(tmp_path / "ledger"))
+    with open(tmp_path / "ledger" / "part-bad.json", "w") as f:
+        f.write("not an event\n")
+    read = files.ledger(spark, str(tmp_path / "ledger"), "id int, v string").cache()
+    assert sorted(r.id for r in read.filter("_corrupt_record is null").collect()) == [1, 2] and read.filter("_corrupt_record is not null").count() == 1
+    for n in (1, 2):
+        (tmp_path / f"B{n}").mkdir()
+        (tmp_path / f"B{n}" / "source-manifest.json").write_text(json.dumps({"batch_id": f"B{n}", "declared_net_amount": "1.50"}))
+    found = files.manifests(spark, str(tmp_path), "batch_id string, declared_net_amount string")
+    assert sorted(r.batch_id for r in found.filter("batch_id is not null").collect()) == ["B1", "B2"]
+
+
+def test_catalog_frames(spark, tmp_path):
+    from tallyproof.operators import search
+
+    files.replace_table(spark.range(2).withColumn("name", F.lit("x")), "seen_table", str(tmp_path / "t"))
+    found = search.tables(spark).filter("table_name = 'seen_table'").collect()
+    spark.sql("drop table seen_table")
+    assert sorted((r.column_name, r.data_type) for r in found) == [("id", "bigint"), ("name", "string")]
+    assert search.routines(spark).filter("name = 'sha2'").count() == 1
+
+
+def test_session_settings(spark):
+    from tallyproof.plans.session import BASE, object_store, session
+
+    again = session("again", more=object_store("http://store", "k", "s"))
+    assert again.sparkContext is spark.sparkContext and set(object_store("e", "k", "s")) == {f"spark.hadoop.fs.s3a.{n}" for n in ("endpoint", "access.key", "secret.key", "path.style.access")}
+    assert BASE["spark.sql.session.timeZone"] == "UTC"
