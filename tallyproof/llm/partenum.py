@@ -162,7 +162,7 @@ def _members(docs: DataFrame, text: str, words: int, bands: Bands, buckets: int)
             sig, own, code, least = signatures(new, bands)
             held.append((sig, np.array(classes, np.int64)[own], code, least))
             n += len(sig)
-            if n > 700_000:
+            if n > 350_000:
                 yield blobs()
                 held, seen, n = [], set(), 0
         if n:
