@@ -83,9 +83,11 @@ def drift(events: DataFrame, order: list[str]) -> DataFrame:
     return blockers.unionByName(active).unionByName(bare).join(settled, "entity", "left_anti").select("rule", "entity")
 
 
-def drift_findings(events: DataFrame, order: list[str] | None = None) -> DataFrame:
+def drift_findings(events: DataFrame, order: list[str] | None = None, bounded: tuple[str, ...] = ()) -> DataFrame:
     """(drift_id, rule, severity, event_id, task, disposition) of all eleven rules over a project's events.
 
+    ``bounded`` names the methods whose tasks need an authorization to start.
+
     What an event tells alone is one projection; what came before it is a window over the events of a task or an entity.
     A finding is resolved by a later DRIFT_RESOLVED that names it, and superseded by the last revision of intent that
     a recorded decision backs, if that lists it.
@@ -106,7 +108,7 @@ def drift_findings(events: DataFrame, order: list[str] | None = None) -> DataFra
         find(e.filter(full(said("expected_source_revision")) & ~F.col("source.source_revision").eqNullSafe(said("expected_source_revision"))), "drift.source-revision-mismatch", attention),
         find(e.filter((F.coalesce(said("hash_status"), F.lit("")) == "mismatch") | (full(expected_hash) & full(observed_hash) & (expected_hash != observed_hash))), "drift.artifact-hash-mismatch", blocking),
         find(e.filter("kind = 'INTENT_REVISED'").withColumn("decision", said("decision_id")).join(recorded, "decision", "left_anti"), "drift.pivot-without-decision", blocking),
-        find(started.filter((F.col("m.method") == "converge") & ~full(said("authorization_ref"))), "drift.converge-authorization", attention),
+        find(started.filter(F.col("m.method").isin(*bounded) & ~full(said("authorization_ref"))), "drift.start-without-authorization", attention),
         find(completed.filter(F.coalesce(F.size("evidence_ids"), F.lit(0)) <= 0), "drift.completion-without-evidence", attention),
     ]
     # a blocker still up when its task completes

@@ -238,7 +238,7 @@ def test_drift_findings(spark):
         spark,
         event(1, "NOTE", "x", details='{"scope_status":"exceeds-accepted","expected_phase":"build"}', method_context=("m", "plan", None, None, None)),
         event(2, "NOTE", "x", details='{"expected_source_revision":"r2","expected_sha256":"a","observed_sha256":"b"}', source=("git", "r", "r1")),
-        event(3, "TASK_STARTED", "t1", method_context=task("t1", "converge", parent="t0")),
+        event(3, "TASK_STARTED", "t1", method_context=task("t1", "bounded", parent="t0")),
         event(4, "BLOCKER_RAISED", "t0", method_context=None),
         event(5, "TASK_COMPLETED", "t0", method_context=task("t0")),
         event(6, "DRIFT_DETECTED", "d1", details='{"severity":"blocking"}'),
@@ -247,13 +247,13 @@ def test_drift_findings(spark):
         event(9, "INTENT_REVISED", "i1", details='{"decision_id":"none"}'),
     )
     recorded = events(spark, event(9, "DECISION_RECORDED", "q", event_id="e99", details='{"decision_id":"q1"}'))
-    got = {(r.rule, r.event_id): r.disposition for r in ledger.drift_findings(df.unionByName(recorded)).collect()}
+    got = {(r.rule, r.event_id): r.disposition for r in ledger.drift_findings(df.unionByName(recorded), bounded=("bounded",)).collect()}
     assert got == {
         ("drift.scope-exceeds-accepted", "e1"): "open", ("drift.method-phase-conflict", "e1"): "open", ("drift.source-revision-mismatch", "e2"): "open", ("drift.artifact-hash-mismatch", "e2"): "open",
-        ("drift.converge-authorization", "e3"): "open", ("drift.completion-without-evidence", "e5"): "open", ("drift.bypassed-blocker", "e5"): "superseded-by-pivot", ("drift.completion-without-acceptance", "e5"): "open",
+        ("drift.start-without-authorization", "e3"): "open", ("drift.completion-without-evidence", "e5"): "open", ("drift.bypassed-blocker", "e5"): "superseded-by-pivot", ("drift.completion-without-acceptance", "e5"): "open",
         ("drift.active-child-after-parent", "e3"): "open", ("event.drift-detected", "e6"): "resolved", ("drift.pivot-without-decision", "e9"): "open",
     }
-    assert {(r.rule, r.event_id) for r in ledger.drift_findings(df).collect()} == {*got, ("drift.pivot-without-decision", "e8")}
+    assert {(r.rule, r.event_id) for r in ledger.drift_findings(df, bounded=("bounded",)).collect()} == {*got, ("drift.pivot-without-decision", "e8")}
     told = ledger.story(df.unionByName(recorded)).first()
     assert [i.event_id for i in told.intents] == ["e8", "e9"] and told.blockers == ["t0"] and told.phase == "plan" and [m.kind for m in told.milestones] == ["TASK_COMPLETED"]
     assert [r.drift_id for r in ledger.supersedes(df).collect()] == ["drift.bypassed-blocker:e5"]
