@@ -154,8 +154,10 @@ def training_rows(docs: DataFrame, train: Column, key: str = "doc_id", text: str
     rows = docs.filter(train & F.col(f"`{label}`").isNotNull() & letters).select(at.alias("_k"), F.col(f"`{label}`").alias("_c"), F.xxhash64(column).alias("_h"))
     rows = rows.groupBy("_k").agg(F.min(F.struct("_h", "_c")).alias("_f")).select("_k", "_f.*")
     each = max(1, min(per_class, most // max(1, rows.select("_c").distinct().count())))
-    order = Window.partitionBy("_c").orderBy(F.xxhash64("_k"), "_k")
-    chosen = rows.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= each)
+    order = [F.xxhash64("_k"), F.col("_k")]
+    dealt = rows.withColumn("_s", F.pmod(F.xxhash64("_k", F.lit("deal")), F.lit(64)))  # so that no task gets all rows of a language
+    first = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("_c", "_s").orderBy(*order))).filter(F.col("_r") <= each)
+    chosen = first.withColumn("_r", F.row_number().over(Window.partitionBy("_c").orderBy(*order))).filter(F.col("_r") <= each).drop("_s")
     texts = docs.filter(train).select(at.alias("_k"), F.xxhash64(column).alias("_h"), column.alias("_t"))
     found = texts.join(F.broadcast(chosen), ["_k", "_h"]).select("_c", "_r", "_t")
 
