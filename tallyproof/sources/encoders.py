@@ -83,18 +83,18 @@ def payment_slips(rows: DataFrame) -> DataFrame:
     c, by = F.col, ["batch_id", "file_date"]
     fill = lambda line: F.rpad(line, 240, "~")
     text = lambda value, width: F.rpad(value, width, "~")
-    first, last = F.lit(-(1 << 40)), F.lit(1 << 40)
+    first, last = F.lit(-(1 << 40)), F.lit(1 << 62)
     lot = digits(c("lot"), 6)
     net = c("face_amount_brl") - c("discount_brl") + c("fee_brl")
     sums = lambda *keys: rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("paid").alias("paid"), *(F.sum(x).cast("decimal(18,2)").alias(x) for x in ("face_amount_brl", "discount_brl", "fee_brl")), F.countDistinct("lot").alias("lots"))
-    place = lambda rank, at=F.lit(0): c("lot") * (1 << 20) + at * 4 + rank
+    place = lambda rank, at=F.lit(0): c("lot").cast("bigint") * (1 << 40) + at.cast("bigint") * 4 + rank  # noqa: E731  # longs: an int ends at 2,047 lots
     heads = rows.select(*by).distinct().select(*by, first.alias("position"), fill(F.concat(F.lit("H"), "file_date", "batch_id", F.lit("SLIPSETTLE01001"), F.lit("BANK0001000001"))).alias("line"))
     lots = sums(*by, "lot")
     opens = lots.select(*by, place(-4).alias("position"), fill(F.concat(F.lit("L"), lot, F.lit("SLIPSETTLE01BRL"), "paid", "batch_id", F.lit("ORIGINATOR000001"))).alias("line"))
     a = rows.select(*by, place(0, c("position")).alias("position"), fill(F.concat(F.lit("A"), lot, digits(c("position"), 6), "settlement_id", text(c("payment_reference"), 48), minor(c("face_amount_brl"), 15), "due", "paid", minor(c("discount_brl"), 12), minor(c("fee_brl"), 12), "status", text(c("bank_reference"), 20))).alias("line"))
     b = rows.select(*by, place(1, c("position")).alias("position"), fill(F.concat(F.lit("B"), lot, digits(c("position"), 6), "settlement_id", "tax_type", "tax_id", text(c("name"), 40), "bank", "branch", "account", "digit", text(c("client_reference"), 20))).alias("line"))
     whole = (c("face_amount_brl") - c("discount_brl") + c("fee_brl")).cast("decimal(18,2)")
-    ends = lots.select(*by, ((c("lot") + 1) * (1 << 20) - 8).alias("position"), fill(F.concat(F.lit("T"), lot, digits(c("n"), 6), minor(c("face_amount_brl"), 15), minor(c("discount_brl"), 15), minor(c("fee_brl"), 15), minor(whole, 15), "batch_id")).alias("line"))
+    ends = lots.select(*by, place((1 << 40) - 8).alias("position"), fill(F.concat(F.lit("T"), lot, digits(c("n"), 6), minor(c("face_amount_brl"), 15), minor(c("discount_brl"), 15), minor(c("fee_brl"), 15), minor(whole, 15), "batch_id")).alias("line"))
     tails = sums(*by).select(*by, last.alias("position"), fill(F.concat(F.lit("Z"), digits(c("lots"), 6), digits(2 + 2 * c("lots") + 2 * c("n"), 6), digits(c("n"), 6), minor(whole, 15), "batch_id")).alias("line"))
     frames = [x.withColumn("position", c("position").cast("bigint")) for x in (heads, opens, a, b, ends, tails)]
     lines = frames[0]
