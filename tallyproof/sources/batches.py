@@ -4,6 +4,8 @@ Each parser turns whole files into records with their place, then into rule
 findings (phase, place, code).  A batch's code is that of the earliest phase
 and, in it, the earliest record, as the contracts order their checks.  A
 refused batch gives no rows; its declared and computed totals are kept.
+Each rule is a query of its own, so the records of types 02, 03, 05 and 06 are
+written to the scratch folder once they are cut, and not cut again for each.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from tallyproof.functions import privacy as P
 from tallyproof.functions import text as X
 from tallyproof.functions import timestamps as T
 from tallyproof.operators.controls import first_by_phase
+from tallyproof.plans.storage import written
 
 BATCH = r"^B[0-9]{15}\z"
 #: The most events or rows of a file of types 02, 05 and 06.
@@ -139,7 +142,7 @@ def instant_payments(files: DataFrame, key: bytes) -> Result:
     """Type 02: escaped pipes, UTF-8; H 5, D 13 and T 5 fields."""
     rules = Rules()
     rules.add(files, 0, "INVALID_TRANSPORT", transport(files, "\n", utf8=True, most=5_200_000), F.lit(0))
-    rows = lines_of(files, "UTF-8", "\n").withColumn("f", X.escaped_fields(F.col("record")))
+    rows = written(lines_of(files, "UTF-8", "\n").withColumn("f", X.escaped_fields(F.col("record"))), "records")
     at, n = F.col("position"), F.col("n")
     rules.add(rows, 1, "INVALID_RECORD_LENGTH", F.octet_length("record") > 512)
     rules.add(rows, 2, "INVALID_ESCAPE", F.col("f").isNull())
@@ -190,6 +193,7 @@ def payment_slips(files: DataFrame, key: bytes) -> Result:
     rules.add(rows, 1, "INVALID_RECORD_LENGTH", F.length(r) != 240)
     order = Window.partitionBy("path").orderBy("position")
     rows = rows.withColumn("kind", kind_of(r)).withColumn("before", F.lag("kind").over(order)).withColumn("lot_no", F.sum(F.when(c("kind") == "L", 1).otherwise(0)).over(order)).withColumn("next", F.lead("record").over(order))
+    rows = written(rows, "records")
     follows = F.when(c("kind") == "H", c("before").isNull()).when(c("kind") == "L", c("before").isin("H", "T")).when(c("kind") == "A", c("before").isin("L", "B")).when(c("kind") == "B", c("before") == "A").when(c("kind") == "T", c("before") == "B").when(c("kind") == "Z", (c("before") == "T") & (c("position") == c("n"))).otherwise(False)
     rules.add(rows, 2, "INVALID_RECORD_SEQUENCE", ~follows | ((c("position") == c("n")) & (c("kind") != "Z")))
     filler = {"H": 55, "L": 63, "A": 155, "B": 126, "T": 90, "Z": 51}
@@ -207,14 +211,15 @@ def payment_slips(files: DataFrame, key: bytes) -> Result:
         s(93, 100).alias("due"), s(101, 108).alias("paid"), s(133, 134).alias("status"), s(135, 154).alias("bank_reference"),
         s(1, 29, nx).alias("b_head"), s(30, 30, nx).alias("tax_type"), s(31, 44, nx).alias("tax_id"), s(85, 87, nx).alias("bank"), s(88, 92, nx).alias("branch"), s(93, 104, nx).alias("account"), s(105, 105, nx).alias("digit"), X.rtrim_filler(s(106, 125, nx)).alias("client_reference"),
     ).withColumn("net_amount_brl", (c("face_amount_brl") - c("discount_brl") + c("fee_brl")).cast("decimal(18,2)"))
+    pairs = written(pairs.withColumns({"tax": P.tagged_tax_id(c("tax_id")), "due": T.strict_date(c("due"), "yyyyMMdd"), "paid_on": T.strict_date(c("paid"), "yyyyMMdd")}), "pairs")
     rules.add(pairs, 5, "INVALID_FIELD", c("face_amount_brl").isNull() | c("discount_brl").isNull() | c("fee_brl").isNull() | (c("discount_brl") > c("face_amount_brl")) | (c("net_amount_brl") < 0))
-    tax = P.tagged_tax_id(c("tax_id"))
+    tax = c("tax")
     rules.add(pairs, 6, "INVALID_DOCUMENT", tax["kind"].isNull())
     rules.add(pairs, 7, "SEGMENT_PAIR_MISMATCH", c("b_head") != F.concat(F.lit("B"), c("lot_number"), c("sequence"), c("settlement_id")))
     twice = pairs.groupBy("path", "settlement_id").agg(F.count(F.lit(1)).alias("k"), F.max("position").alias("position"))
     rules.add(twice, 8, "DUPLICATE_IDENTIFIER", c("k") > 1)
     dated = pairs.join(lots, ["path", "lot_no"], "left")
-    due, paid = T.strict_date(c("due"), "yyyyMMdd"), T.strict_date(c("paid"), "yyyyMMdd")
+    due, paid = c("due"), c("paid_on")
     rules.add(dated, 9, "INVALID_BUSINESS_DATE", due.isNull() | paid.isNull() | (paid > due) | (c("paid") != c("settlement_date")))
     measures = {"face": "face_amount_brl", "discount": "discount_brl", "fee": "fee_brl", "net": "net_amount_brl"}
     by_lot = pairs.groupBy("path", "lot_no").agg(F.count(F.lit(1)).alias("count"), *(F.sum(x).cast("decimal(18,2)").alias(m) for m, x in measures.items()))
@@ -303,7 +308,7 @@ def merchant_csv(files: DataFrame, kind: str, declared: DataFrame | None = None)
     rules.add(rows, 1, "INVALID_RECORD_LENGTH", F.octet_length("record") > (511 if kind == "06" else 512))
     rules.add(rows, 2, "INVALID_HEADER", (c("position") == 1) & (c("record") != header))
     rules.add(rows.filter("position = 1"), 4, "INVALID_FIELD_COUNT", c("n") > 1 + MOST_ROWS)
-    body = rows.filter("position > 1").withColumn("f", X.quoted_fields(c("record")))
+    body = written(rows.filter("position > 1").withColumn("f", X.quoted_fields(c("record"))), "records")
     only_sixth = F.transform("f", lambda x, i: x["quoted"] == (i == 5))
     rules.add(body, 3, "INVALID_CSV_QUOTING", c("f").isNull() | ((F.size("f") == 10) & ~F.forall(only_sixth, lambda x: x)))
     rules.add(body, 4, "INVALID_FIELD_COUNT", F.size("f") != 10)

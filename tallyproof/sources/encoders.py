@@ -54,9 +54,9 @@ def card_settlement(rows: DataFrame) -> DataFrame:
     return _file(heads.unionByName(body).unionByName(tails), by, "\n")
 
 
-def instant_payments(rows: DataFrame) -> DataFrame:
-    """Type 02 files from batch_id, file_date, position, the twelve event fields as text, and amount as a decimal."""
-    c, by = F.col, ["batch_id", "file_date"]
+def instant_payments(rows: DataFrame, *parts: str) -> DataFrame:
+    """Type 02 files from batch_id, file_date, position, the twelve event fields as text, and amount as a decimal; a file for each value of ``parts`` in a batch."""
+    c, by = F.col, ["batch_id", "file_date", *parts]
     heads = rows.select(*by).distinct().select(*by, F.lit(-(1 << 30)).alias("position"), F.concat_ws("|", F.lit("H"), F.lit("PIX_EVENTS01"), F.lit("001"), "file_date", "batch_id").alias("line"))
     names = ["end_to_end_id", "transaction_id", "payer_type", "payer", "payee_type", "payee", "event_timestamp"]
     body = rows.select(*by, c("position"), F.concat_ws("|", F.lit("D"), *names, c("amount").cast("decimal(18,2)").cast("string"), "direction", "status", F.coalesce("return_code", F.lit("")), escaped(c("description"))).alias("line"))
@@ -66,13 +66,13 @@ def instant_payments(rows: DataFrame) -> DataFrame:
     return _file(heads.unionByName(body).unionByName(tails), by, "\n")
 
 
-def merchant_csv(rows: DataFrame, header: str) -> DataFrame:
-    """Type 05 or 06 files: ``rows`` has the header's columns, decimals and a date, and position."""
-    names = header.split(";")
+def merchant_csv(rows: DataFrame, header: str, *parts: str) -> DataFrame:
+    """Type 05 or 06 files: ``rows`` has the header's columns, decimals and a date, and position; a file for each value of ``parts`` in a batch."""
+    names, by = header.split(";"), ["batch_id", *parts]
     show = lambda n, i: quoted(F.col(n)) if i == 5 else locale(F.col(n), 3) if n == "rate_percent" else locale(F.col(n), 2) if n.endswith("_brl") else F.date_format(n, "dd/MM/yyyy") if i == 9 else F.col(n)
-    body = rows.select("batch_id", "position", F.concat_ws(";", *(show(n, i) for i, n in enumerate(names))).alias("line"))
-    heads = rows.select("batch_id").distinct().select("batch_id", F.lit(-(1 << 30)).alias("position"), F.lit(header).alias("line"))
-    return _file(heads.unionByName(body), ["batch_id"], "\n")
+    body = rows.select(*by, "position", F.concat_ws(";", *(show(n, i) for i, n in enumerate(names))).alias("line"))
+    heads = rows.select(*by).distinct().select(*by, F.lit(-(1 << 30)).alias("position"), F.lit(header).alias("line"))
+    return _file(heads.unionByName(body), by, "\n")
 
 
 def payment_slips(rows: DataFrame) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from decimal import Decimal
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from tallyproof import catalog
 from tallyproof.sources import batches, encoders
+from test_queries import rows
 
 
 def test_slips_of_very_many_lots_keep_their_order(spark):
@@ -15,3 +19,11 @@ def test_slips_of_very_many_lots_keep_their_order(spark):
     assert "".join(line[0] for line in text.split("\r\n") if line) == "HLABABTLABTLABTLABTLABTZ"
     found = batches.payment_slips(spark.createDataFrame([("/in/a", bytearray(text.encode()))], "path string, content binary"), b"k").batches.first()
     assert (found.rejection_code, found.computed_net) == (None, Decimal("71.94"))
+
+
+@pytest.mark.parametrize("name", ["parser_chargebacks", "parser_instant_payments", "parser_merchant_fees"])
+def test_batches_beyond_the_rows_of_a_file(spark, sf, monkeypatch, name):
+    monkeypatch.setattr(batches, "MOST_ROWS", 3)  # of the layout, so that a table of some rows a batch goes beyond it
+    con = duckdb.connect()
+    con.execute(f"create view customer as select * from '{sf}/customer.parquet'")
+    assert rows(catalog.QUERIES[name](spark, sf).toArrow()) == rows(con.sql(catalog.SQL[name]).to_arrow_table())
