@@ -376,7 +376,7 @@ def _within(state: DataFrame, far: DataFrame, labels: DataFrame, near, num: int,
     differ in |D1| + |D2| - 2 |D1 and D2| elements, and a link allows h.  So the
     sets D of a pair share t = (|D1| + |D2| - h) / 2 elements at least, and, each in the order
     of the elements' frequency, one of the first |D| - t + 1; for the smaller
-    set these are no more than h / 2 + 1.  A pair with |D1| + |D2| <= h need
+    set these are no more than h / 2 + 1.  Elements that one component alone has come first of all.  A pair with |D1| + |D2| <= h need
     share none: there, classes not in the hub's component meet all that are as near to the hub.
     """
     active = state.select("cls", "label", "size", "hub").filter("hub is not null").distinct()
@@ -384,12 +384,14 @@ def _within(state: DataFrame, far: DataFrame, labels: DataFrame, near, num: int,
     rows = active.join(far.select(F.col("a").alias("cls"), "apart"), "cls").join(home, "hub")
     widest = F.floor((den - num) * (F.col("size") + F.floor(F.col("size") * den / num)) / (den + num))
     rows = stored(rows.select("hub", "home", "cls", "label", "size", F.size("apart").alias("m"), widest.alias("widest"), "apart"), "apart")
-    each = rows.select("hub", "cls", F.explode("apart").alias("e"))
-    seen = stored(each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "seen")
-    # elements that one class alone has meet nobody, but keep their place before the others
-    shared = each.join(seen, ["hub", "e"]).groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("order"))
-    placed = rows.drop("apart").join(shared, "cls").select("*", F.posexplode("order").alias("p", "x"))
-    placed = placed.select("hub", "cls", "label", "size", "m", "widest", F.col("x.e").alias("e"), (F.col("p") + F.col("m") - F.size("order")).alias("p")).filter("p <= widest")
+    each, met = rows.select("hub", "cls", "label", F.explode("apart").alias("e")), Window.partitionBy("hub", "e")
+    each = each.select("cls", "e", F.count(F.lit(1)).over(met).alias("df"), (F.min("label").over(met) != F.max("label").over(met)).alias("several"))
+    # elements that classes of one component alone have link nothing new, but keep their place before the others
+    shared = each.filter("several").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("order"))
+    placed = rows.drop("apart").join(shared, "cls").withColumn("before", F.col("m") - F.size("order"))
+    first = F.slice("order", F.lit(1), F.greatest(F.lit(0), F.col("widest") + 1 - F.col("before")).cast("int"))
+    placed = placed.select("hub", "cls", "label", "size", "m", "widest", "before", F.posexplode(first).alias("p", "x"))
+    placed = placed.select("hub", "cls", "label", "size", "m", "widest", F.col("x.e").alias("e"), (F.col("p") + F.col("before")).alias("p"))
     placed = stored(placed, "placed")
     name = lambda df, i, *more: df.select("hub", *more, *(F.col(c).alias(f"{c}{i}") for c in ("cls", "label", "size", "m", "p")))
     allowed = F.floor((den - num) * (F.col("size1") + F.col("size2")) / (den + num))

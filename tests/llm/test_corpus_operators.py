@@ -168,6 +168,24 @@ def test_shingles_of_odd_texts():
     assert one[0].tolist() == two[1].tolist()
 
 
+def test_elements_of_one_component_meet_nobody(spark, monkeypatch):
+    apart = {c: list(range(2000, 2020)) for c in (1, 2, 3, 4)} | {5: list(range(1000, 1020)), 6: [*range(1000, 1018), 1, 2]}
+    label = {1: 100, 2: 100, 3: 100, 4: 100, 5: 5, 6: 6, 100: 100}
+    state = spark.createDataFrame([(c, label[c], 100, 100) for c in apart], "cls long, label long, size long, hub long")
+    far = spark.createDataFrame([(c, e) for c, e in apart.items()], "a long, apart array<long>")
+    labels, held = spark.createDataFrame(list(label.items()), "cls long, label long"), {}
+
+    def stored(df, name):
+        held[name] = df.collect()
+        return spark.createDataFrame(held[name], df.schema)
+
+    monkeypatch.setattr(partenum, "stored", stored)
+    near = lambda a, b: 100 * F.least(a, b) >= 80 * F.greatest(a, b)
+    pairs = partenum._within(state, far, labels, near, 80, 100)
+    assert [tuple(r) for r in pairs.collect()] == [(5, 6)]
+    assert {(r.cls, r.e) for r in held["placed"]} == {(c, e) for c in (5, 6) for e in range(1000, 1018)}
+
+
 def norm(line):
     return re.sub(r"[\x20\x09-\x0D]+", " ", line).strip(" ").lower()
 
