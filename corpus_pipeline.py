@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.llm import cotraining, line_dedup, packing, partenum, string_kernel
+from tallyproof.llm import cotraining, line_dedup, packing, partenum, passage_dedup, string_kernel
 from tallyproof.llm.queries import table, tokenizer
 from tallyproof.llm.storage import stored
 
@@ -35,6 +35,11 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return partenum.keep_one(docs, words=5, num=80, den=100)
 
 
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the runs of sentences, short ones included, of 13 words or more that an earlier document or place holds."""
+    return passage_dedup.keep_first(docs)
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the sentences of 13 words or more that an earlier document or place holds."""
     return line_dedup.keep_first(docs, sentence=line_dedup.SENTENCE, least=line_dedup.LEAST)
@@ -51,6 +56,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", quality_classifier),
     ("language ID", language_id),
     ("n-gram Jaccard join", ngram_jaccard_join),
+    ("passage dedup", passages),
     ("substring dedup", substring_dedup),
     ("packing", packed),
 ]
