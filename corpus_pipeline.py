@@ -36,8 +36,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the runs of sentences, short ones included, of 13 words or more that an earlier document or place holds."""
-    return passage_dedup.keep_first(docs)
+    """All documents, without the runs of sentences, short ones included, of 13 words or more, and the passages of over 50 words that an earlier document or place holds."""
+    return passage_dedup.keep_first(docs, passage=passage_dedup.PASSAGE)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,3 +85,69 @@ def test_pipeline_cuts_passages_of_short_sentences(spark, sf):
         now = stage(spark, now, sf)
     got = {r.doc_id: r.text for r in now.collect()}
     assert got == {0: rows[0][1]} | {i: rows[i][1].replace(passage + " ", "") for i in (1, 2)}
+
+
+def plain_words(rows, size):
+    """Of rows in order: each text without the words of runs that start earlier too, and without lines that lose all of theirs."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)) for _, t in rows]
+    first, out = {}, []
+    for n, w in enumerate(words):
+        for i in range(len(w) - size + 1):
+            first.setdefault(tuple(w[i : i + size]), (n, i))
+    for n, (k, t) in enumerate(rows):
+        gone = {j for i in range(len(words[n]) - size + 1) if first[tuple(words[n][i : i + size])] != (n, i) for j in range(i, i + size)}
+        at, lines = 0, []
+        for line in (t or "").split("\n"):
+            parts = re.findall(r"^[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", line)
+            left, had = "", False
+            for part in parts:
+                if part.strip(" \t\n\x0b\f\r"):
+                    had |= at in gone
+                    left += "" if at in gone else part
+                    at += 1
+                else:
+                    left += part
+            if not had or left.strip(" \t\n\x0b\f\r"):
+                lines.append(left)
+        out.append((k, None if t is None else "\n".join(lines)))
+    return out
+
+
+def test_passages_of_words(spark, monkeypatch):
+    rng = random.Random(5)
+    space = lambda: rng.choice([" ", " ", " ", "  ", "\n", " \n\n", "\t", "\n "])
+    text = lambda n: [rng.choice("abcdefghijkl") * rng.randrange(1, 4) + rng.choice(["", "", "", ".", ","]) for _ in range(n)]
+    passages = [text(n) for n in (6, 7, 8, 9, 13, 14, 20, 40, 60)]
+    rows = []
+    for i in range(60):
+        words = text(rng.randrange(0, 12)) + [w.upper() if i % 7 == 0 else w for w in rng.choice(passages)] + text(rng.randrange(0, 12))
+        rows.append((i, "".join(w + space() for w in words)))
+    rows += [(100, None), (101, ""), (102, "is " * 40), (103, "a b c " * 30), (104, "\n\n"), (105, "É " * 9), (106, "é " * 9), (107, rows[3][1])]
+    for size in (7, 8):
+        want = sorted(plain_words(rows, size), key=str)
+        assert want != sorted(rows, key=str)
+        assert kept(spark, rows, least=10**6, passage=size) == want
+    monkeypatch.setattr(passage_dedup, "CHUNK", 200)
+    monkeypatch.setattr(passage_dedup, "SLICE", 90)
+    assert kept(spark, rows, least=10**6, passage=8) == want
+
+
+def test_pipeline_cuts_passages_within_a_sentence(spark, sf):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage, short = text(51), text(50)
+    rows = [(i, f"{text(9)} {passage} {text(9)}.") for i in range(3)] + [(i, f"{text(9)} {short} {text(9)}.") for i in (3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text")})
+    got = {r.doc_id: (r.text, r.n_chars) for r in dict(corpus_pipeline.STAGES)["passage dedup"](spark, docs, sf).collect()}
+    want = {k: t.replace(passage + " ", "") if k in (1, 2) else t for k, t in rows}
+    assert got == {k: (t, len(t)) for k, t in want.items()}
+
+
+def test_words_and_sentences_together():
+    t = "One two. Three\n four five. Six.\n\nSeven eight "
+    assert passage_dedup.without(t, set(), [(1, 4)]) == "One \n five. Six.\n\nSeven eight "
+    assert passage_dedup.without(t, {3}, [(0, 3)]) == " four five. \n\nSeven eight "
+    assert passage_dedup.without(t, {2, 3}, [(0, 3), (6, 8)]) == ""
