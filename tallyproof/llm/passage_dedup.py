@@ -140,7 +140,10 @@ def anchors(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarra
 def _around(words: np.ndarray, bounds: np.ndarray, size: int, width: int, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Digest and first word of the runs of ``size`` words that hold an anchor in the bitmap."""
     v, at = anchors(words, bounds, size)
-    at = at[bits[(v >> U(64 - width + 3)).astype(np.int64)] >> (v & U(7)).astype(np.uint8) & 1 == 1]
+    there = np.ones(len(v), bool)
+    for x in (v, v << U(32) | v >> U(32)):
+        there &= bits[(x >> U(64 - width + 3)).astype(np.int64)] >> (x & U(7)).astype(np.uint8) & 1 == 1
+    at = at[there]
     if not len(at):
         return np.empty(0, np.uint64), at
     inside = _inside(bounds, size)
@@ -210,7 +213,8 @@ def repeats(rows: DataFrame, buckets: int, least: int, passage: int | None = Non
     wanted = None
     if passage:
         found = stored(repeated_anchors(rows, passage), "anchors")
-        wanted = _filter_of(found)
+        turned = F.shiftleft("cls", 32).bitwiseOR(F.shiftrightunsigned("cls", 32))
+        wanted = _filter_of(found.select(F.explode(F.array("cls", turned)).alias("cls")))  # two bits each, as one lets in a sixteenth of all anchors
         discard(found)
     shared = rows.sparkSession.sparkContext.broadcast((labels(buckets), wanted))
     kinds = (np.uint64, np.int64, np.int64, np.uint32, np.uint32)

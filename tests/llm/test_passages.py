@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tallyproof.llm import passage_dedup
@@ -151,3 +152,18 @@ def test_words_and_sentences_together():
     assert passage_dedup.without(t, set(), [(1, 4)]) == "One \n five. Six.\n\nSeven eight "
     assert passage_dedup.without(t, {3}, [(0, 3)]) == " four five. \n\nSeven eight "
     assert passage_dedup.without(t, {2, 3}, [(0, 3), (6, 8)]) == ""
+
+
+def test_few_runs_are_hashed_where_nothing_repeats(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    held = [" ".join(map(str, rng.integers(0, 10**9, 4000))) for _ in range(60)]
+    rows = spark.createDataFrame([(i, 0, t) for i, t in enumerate(held + held[:45])], "k long, h long, t string")
+    wanted = {}
+    kept_filter = passage_dedup._filter_of
+    monkeypatch.setattr(passage_dedup, "_filter_of", lambda found: wanted.setdefault("bits", kept_filter(found)))
+    passage_dedup.repeats(rows, 4, 13, 51)
+    width, bits = wanted["bits"]
+    words, bounds = passage_dedup._worded(held)
+    first = passage_dedup._around(words, bounds, 51, width, np.frombuffer(bits, np.uint8))[1]
+    assert set(range(45 * 4000 - 50)) - set(first.tolist()) <= {int(b) - 1 - i for b in bounds[1:] for i in range(50)}
+    assert (first >= bounds[45]).sum() < 0.03 * (bounds[-1] - bounds[45])
